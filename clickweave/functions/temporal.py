@@ -35,7 +35,9 @@ def age_from_birthdate(birthdate, as_of) -> Column:
 
 def timestamp_from_nanos(col) -> Column:
     """ns epoch long -> timestamp (Spark keeps microseconds)."""
-    return F.timestamp_micros(F.floor(_c(col) / 1000).cast("long"))
+    ns = _c(col)
+    # exact floor division on longs (a double would lose the last digits)
+    return F.timestamp_micros(F.call_function("div", ns - F.pmod(ns, F.lit(1000)), F.lit(1000)))
 
 
 def timestamp_from_seconds(col) -> Column:
@@ -125,7 +127,9 @@ def time_axis(end, periods: int, step: str) -> Column:
 
 
 def step_seconds(step: str) -> int:
-    """Seconds in an interval text like ``"30 minutes"``."""
-    num, unit = step.split()
-    unit = unit.lower().rstrip("s")
-    return int(num) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit]
+    """Seconds in an interval text like ``"30 minutes"`` or ``"8 hours 30 minutes"``."""
+    units = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+    words = step.split()
+    if len(words) % 2:
+        raise ValueError(f"bad interval text: {step!r}")
+    return sum(int(n) * units[u.lower().rstrip("s")] for n, u in zip(words[::2], words[1::2]))

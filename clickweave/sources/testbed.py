@@ -163,6 +163,7 @@ def duckdb_ctes() -> str:
     ipn = ", ".join(IP_RANGE_COLUMNS_NATION)
     ipr = ", ".join(IP_RANGE_COLUMNS_REGION)
     ctry = ", ".join(COUNTRY_COLUMNS)
+    epoch = _DIALECT["duckdb"]["epoch"]
     ipnum = ("TRY_CAST(split_part(c.ip, '.', 1) AS BIGINT) * 16777216 + "
              "TRY_CAST(split_part(c.ip, '.', 2) AS BIGINT) * 65536 + "
              "TRY_CAST(split_part(c.ip, '.', 3) AS BIGINT) * 256 + "
@@ -170,7 +171,8 @@ def duckdb_ctes() -> str:
     dev = device_case_sql("c.userAgent")
     return f"""
 raw_clicks AS (SELECT
-  {raw}
+  {raw},
+  {epoch} AS _epoch
 FROM events),
 clicks AS (SELECT event_id, timestamp, original_timestamp, userId, ip, userAgent,
   {pid} AS productId, age, gender FROM raw_clicks),

@@ -1,11 +1,11 @@
 """Click enrichment (J1-J6, J8, F3-F9) as joins, never per-row lookups.
 
-Plan shape: the click stream is the big side. Products, visitors and the
-IP-range table are left-joined on equality keys; Catalyst/AQE decides at run
-time from real sizes whether each dimension is broadcast (size checked
-against ``spark.sql.autoBroadcastJoinThreshold``) or shuffled, and AQE splits
-skewed join partitions when one visitor or product is hot. Only the country
-list, bounded by the ISO code list, gets an explicit broadcast hint.
+Plan shape: the click stream is the big side and is never shuffled while
+the dimensions are small. Products, visitors and the bucketed IP-range
+table are broadcast only after a row-count check (``max_broadcast_rows``);
+a larger dimension is joined with a shuffle on the key, where AQE splits
+partitions of hot visitors/products. The country list, bounded by the ISO
+code list, is always broadcast (into the small range table).
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from ..functions.device import device_type
 from ..functions.temporal import age_from_birthdate
 from ..functions.visitors import UNKNOWN, UNKNOWN_GENDER, age_to_int, gender_letter, or_default
-from .range_join import ip_to_long, range_lookup
+from .joins import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast, checked_broadcast_all
+from .range_join import bucketed_ranges, ip_to_long, range_lookup
 
 ENRICHED_COLUMNS = ["event_id", "timestamp", "original_timestamp", "userId", "ip", "userAgent",
                     "productId", "category", "title", "birthdate", "country", "deviceType", "age", "gender"]
@@ -26,20 +27,24 @@ ENRICHED_COLUMNS = ["event_id", "timestamp", "original_timestamp", "userId", "ip
 MAX_COUNTRIES = 676  # 26 * 26 two-letter codes
 
 
-def with_product(clicks: DataFrame, products: DataFrame) -> DataFrame:
+def with_product(clicks: DataFrame, products: DataFrame,
+                 max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """J1 + J2: category and title in one join; null or '' -> 'Unknown'."""
     p = products.select(F.col("id").alias("_pid"), F.col("category").alias("_cat"),
                         F.col("title").alias("_title"))
+    p = checked_broadcast(p, max_broadcast_rows)
     out = clicks.join(p, clicks["productId"] == p["_pid"], "left")
     return (out.withColumn("category", or_default("_cat", UNKNOWN))
                .withColumn("title", or_default("_title", UNKNOWN))
                .drop("_pid", "_cat", "_title"))
 
 
-def with_visitor(clicks: DataFrame, visitors: DataFrame) -> DataFrame:
+def with_visitor(clicks: DataFrame, visitors: DataFrame,
+                 max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """J3 + J4: birth date and gender of the visitor in one join."""
     v = visitors.select(F.col("userId").alias("_vid"), F.col("birthDate").alias("_birth"),
                         F.col("gender").alias("_vgender"))
+    v = checked_broadcast(v, max_broadcast_rows)
     return clicks.join(v, clicks["userId"] == v["_vid"], "left").drop("_vid")
 
 
@@ -51,16 +56,25 @@ def country_table(ip_ranges: DataFrame, countries: DataFrame) -> DataFrame:
 
 
 def with_country(clicks: DataFrame, ip_ranges: DataFrame, countries: DataFrame,
-                 ip_col: str = "ip") -> DataFrame:
+                 ip_col: str = "ip", max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """J5 + J6: IP -> range -> country name; anything unmatched -> 'Unknown'."""
     ranges = country_table(ip_ranges, countries)
-    out = range_lookup(clicks.withColumn("_ipnum", ip_to_long(ip_col)), "_ipnum", ranges, ["country"])
+    out = range_lookup(clicks.withColumn("_ipnum", ip_to_long(ip_col)), "_ipnum", ranges, ["country"],
+                       max_broadcast_rows=max_broadcast_rows)
+    return out.withColumn("country", F.coalesce("country", F.lit(UNKNOWN))).drop("_ipnum")
+
+
+def with_country_buckets(clicks: DataFrame, buckets: DataFrame, ip_col: str = "ip") -> DataFrame:
+    """J5 + J6 on an already bucketed (and size-checked) country range table."""
+    out = range_lookup(clicks.withColumn("_ipnum", ip_to_long(ip_col)), "_ipnum", buckets, ["country"],
+                       max_broadcast_rows=None, pre_bucketed=True)
     return out.withColumn("country", F.coalesce("country", F.lit(UNKNOWN))).drop("_ipnum")
 
 
 def enrich(clicks: DataFrame, products: DataFrame, visitors: DataFrame,
            ip_ranges: DataFrame, countries: DataFrame, as_of: Column | None = None,
-           strict_age: bool = True) -> DataFrame:
+           strict_age: bool = True,
+           max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Full enrichment of click-data into enriched-click-data.
 
     ``as_of`` is the "today" used for ages computed from birth dates; by
@@ -68,9 +82,14 @@ def enrich(clicks: DataFrame, products: DataFrame, visitors: DataFrame,
     enriched it live). Given age/gender on a row win over the lookup (F7).
     """
     as_of = F.col("timestamp") if as_of is None else as_of
-    df = with_product(clicks, products)
-    df = with_visitor(df, visitors)
-    df = with_country(df, ip_ranges, countries)
+    # one size-check job for all three dimensions, then no further checks
+    prod = products.select("id", "category", "title")
+    vis = visitors.select("userId", "birthDate", "gender")
+    ranges = bucketed_ranges(country_table(ip_ranges, countries))
+    prod, vis, ranges = checked_broadcast_all([prod, vis, ranges], max_broadcast_rows)
+    df = with_product(clicks, prod, None)
+    df = with_visitor(df, vis, None)
+    df = with_country_buckets(df, ranges)
     given_gender = gender_letter("gender")
     df = (df
           .withColumn("birthdate", F.to_date("_birth", "yyyy-MM-dd"))

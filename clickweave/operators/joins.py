@@ -1,0 +1,45 @@
+"""Size-checked broadcast for dimension joins.
+
+A dimension is broadcast only after its row count has been checked against
+a limit (one small job over the dimension, never over the fact side).
+Above the limit it is joined as is: Spark shuffles both sides on the key
+and AQE splits skewed partitions. ``max_rows=None`` skips the check and
+leaves the choice entirely to Catalyst/AQE (used inside micro-batches).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+
+
+def checked_broadcast(small: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint for ``small`` if it has at most ``max_rows`` rows."""
+    return checked_broadcast_all([small], max_rows)[0]
+
+
+def checked_broadcast_all(smalls: list[DataFrame], max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS
+                          ) -> list[DataFrame]:
+    """Size-check several dimensions in one small job (capped counts)."""
+    if max_rows is None or not smalls:
+        return list(smalls)
+    spark = smalls[0].sparkSession
+    keys = [(spark.sparkContext.applicationId, d.semanticHash(), max_rows) for d in smalls]
+    todo = [i for i, k in enumerate(keys) if k not in _DECISIONS]
+    if todo:
+        tagged = [smalls[i].limit(max_rows + 1).select(F.lit(i).alias("_dim")) for i in todo]
+        union = tagged[0]
+        for t in tagged[1:]:
+            union = union.unionByName(t)
+        counts = {r["_dim"]: r["n"] for r in union.groupBy("_dim").agg(F.count(F.lit(1)).alias("n")).collect()}
+        for i in todo:
+            _DECISIONS[keys[i]] = counts.get(i, 0) <= max_rows
+    return [F.broadcast(d) if _DECISIONS[k] else d for d, k in zip(smalls, keys)]
+
+
+# Decisions per (application, dimension plan, limit): a dimension plan that
+# was checked once in this application is not counted again. Plans over
+# files that change between calls must pass ``max_rows=None`` (AQE decides).
+_DECISIONS: dict = {}

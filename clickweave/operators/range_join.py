@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast
+
 IP_BUCKET_BITS = 16
 
 
@@ -33,10 +35,17 @@ def bucketed_ranges(ranges: DataFrame, bits: int = IP_BUCKET_BITS) -> DataFrame:
 
 
 def range_lookup(df: DataFrame, value_col: str, ranges: DataFrame, payload: list[str],
-                 bits: int = IP_BUCKET_BITS) -> DataFrame:
-    """Left join ``df`` to the range containing ``value_col`` (lo <= v <= hi)."""
-    b = bucketed_ranges(ranges, bits).select(
+                 bits: int = IP_BUCKET_BITS,
+                 max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+                 pre_bucketed: bool = False) -> DataFrame:
+    """Left join ``df`` to the range containing ``value_col`` (lo <= v <= hi).
+
+    The bucketed range table is broadcast after a row-count check; beyond
+    the limit both sides shuffle on the bucket (AQE splits hot buckets).
+    """
+    b = (ranges if pre_bucketed else bucketed_ranges(ranges, bits)).select(
         F.col("_bucket"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), *payload)
+    b = checked_broadcast(b, max_broadcast_rows)
     v = F.col(value_col)
     left = df.withColumn("_vbucket", F.shiftright(v, bits))
     cond = (left["_vbucket"] == b["_bucket"]) & (v >= b["_lo"]) & (v <= b["_hi"])

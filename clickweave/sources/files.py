@@ -64,6 +64,19 @@ def read_visitors(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(VISITOR_SCHEMA).json(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on inputs that do not split.
+
+    A scan of a few unsplittable files (e.g. one Parquet row group) yields
+    fewer tasks than the cluster has cores; such an input is small, so one
+    round-robin exchange spreads it. On split inputs (many files / row
+    groups, the large-scale case) the scan already has enough partitions
+    and nothing is added to the plan.
+    """
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
 def with_arrival_order(df: DataFrame) -> DataFrame:
     """Arrival order of file rows: (file, row position) as sortable columns."""
     return df.withColumn("_file", F.input_file_name()).withColumn("_row", F.monotonically_increasing_id())

@@ -108,8 +108,25 @@ def product_id_sql(url: str, dialect: str) -> str:
 
 # --------------------------------------------------------------------- Spark
 
+# fact tables: spread over all cores when the file does not split
+FACT_TABLES = {"events", "pages", "documents"}
+
+
+_HANDLES: dict = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet table handle; one per (session, path), so repeated queries do
+    not re-list files and re-read footers (the test tables are immutable)."""
+    from .files import spread
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), spark.sparkContext.applicationId, path)
+    df = _HANDLES.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        df = spread(df) if name in FACT_TABLES else df
+        _HANDLES[key] = df
+    return df
 
 
 def raw_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:

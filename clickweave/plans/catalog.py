@@ -290,6 +290,67 @@ def q_snapshot_json(spark, sf):
     return L.column_json(M.top_products(b), "top_products")
 
 
+# ---------------------------------------------------------------- streaming
+
+STREAM_SLICES = 4
+
+
+def _staged(spark, sf, what: str) -> tuple[str, object]:
+    """Stage the click (or enriched) table as time-ordered files."""
+    from ..session import shared_path
+    from ..streaming.sources import stage_time_slices
+    df = TB.clicks(spark, sf) if what == "clicks" else _enriched(spark, sf)
+    path = shared_path(spark, f"stage-{what}")
+    stage_time_slices(df, path, STREAM_SLICES)
+    return path, df.schema
+
+
+def _run(q) -> None:
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+
+
+def q_stream_enrich(spark, sf):
+    """Click stream -> foreachBatch enrichment (dims re-read per batch)."""
+    from ..session import shared_path
+    from ..streaming.pipelines import read_enriched, start_enrichment
+    from ..streaming.sources import file_stream
+    path, schema = _staged(spark, sf, "clicks")
+    out, ck = shared_path(spark, "enriched"), shared_path(spark, "ck-enrich")
+    stream = file_stream(spark, path, schema, max_files_per_trigger=1)
+    _run(start_enrichment(stream, lambda: TB.load(spark, sf), out, ck))
+    return read_enriched(spark, out)
+
+
+def q_stream_bucket_counts(spark, sf):
+    """Watermarked update-mode aggregation, latest count per key."""
+    from ..session import shared_path
+    from ..streaming.pipelines import latest_bucket_counts, start_bucket_counts
+    from ..streaming.sources import file_stream
+    path, schema = _staged(spark, sf, "enriched")
+    out, ck = shared_path(spark, "buckets"), shared_path(spark, "ck-buckets")
+    _run(start_bucket_counts(file_stream(spark, path, schema, max_files_per_trigger=1), out, ck))
+    return latest_bucket_counts(spark, out)
+
+
+def q_stream_visitors_per_bucket(spark, sf):
+    """G3 on the streamed bucket table."""
+    buckets = q_stream_bucket_counts(spark, sf)
+    return M.visitors_per_bucket(buckets, _as_of(TB.clicks(spark, sf)))
+
+
+def q_stream_offers(spark, sf):
+    """X1 keyed state (transformWithStateInPandas) over time-ordered batches."""
+    from ..session import shared_path
+    from ..streaming.pipelines import start_offers
+    from ..streaming.sources import file_stream
+    path, schema = _staged(spark, sf, "enriched")
+    out, ck = shared_path(spark, "offers"), shared_path(spark, "ck-offers")
+    _run(start_offers(file_stream(spark, path, schema, max_files_per_trigger=1), out, ck, OFFER_WINDOW_MINUTES))
+    return spark.read.parquet(out)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "enrich_clicks": q_enrich_clicks,
     "country_by_ip": q_country_by_ip,
@@ -333,4 +394,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "transition_log": q_transition_log,
     "log_tail": q_log_tail,
     "snapshot_json": q_snapshot_json,
+    "stream_enrich": q_stream_enrich,
+    "stream_bucket_counts": q_stream_bucket_counts,
+    "stream_visitors_per_bucket": q_stream_visitors_per_bucket,
+    "stream_offers": q_stream_offers,
 }

@@ -169,6 +169,12 @@ def _offers_sql(window: int) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    base = _batch_oracles()
+    base.update(stream_oracles(base))
+    return base
+
+
+def _batch_oracles() -> dict[str, str]:
     pat = C.PAGE_ID_PATTERN.replace("'", "''")
     rel_as_of = f"({AS_OF} - INTERVAL {C.RELATIVE_TIME_SHIFT_HOURS} HOUR)"
     split = f"TIMESTAMP '{C.MERGE_SPLIT}'"
@@ -273,6 +279,12 @@ def oracle_sql() -> dict[str, str]:
     }
 
 
+def stream_oracles(base: dict[str, str]) -> dict[str, str]:
+    """Streaming forms must equal their batch forms on time-ordered input."""
+    return {"stream_enrich": base["enrich_clicks"], "stream_bucket_counts": base["user_bucket_counts"],
+            "stream_visitors_per_bucket": base["visitors_per_bucket"], "stream_offers": base["offers"]}
+
+
 def _product_id(url: str) -> str:
     from ..sources.testbed import product_id_sql
     return product_id_sql(url, "duckdb")

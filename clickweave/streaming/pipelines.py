@@ -1,0 +1,169 @@
+"""Structured Streaming pipelines.
+
+* ``start_enrichment``: click stream -> enriched table. ``foreachBatch`` so
+  the dimensions are re-read per micro-batch (J9: a lookup update is seen
+  by the next batch); each batch is written under its own ``batch``
+  partition with dynamic overwrite, so a retried batch replaces its own
+  output (idempotent) -- X13.
+* ``start_bucket_counts``: X4, the 30-minute (bucket, visitor) counts with
+  an 8.5-hour watermark in **update** mode; each batch appends its changed
+  absolute counts (idempotent per batch); readers take the latest count
+  per key (``latest_bucket_counts``).
+* ``start_offers``: X1 keyed state -> offers, file sink (exactly once).
+* ``start_marts``: X6/X11, a ``rate`` source as the clock; each tick reads
+  the trailing slice of the enriched table once (partition-pruned by day),
+  persists it, recomputes every mart, writes them (K3) and unpersists.
+
+Every query has its own checkpoint folder (a consumer group, X8) under the
+shared ``spark.checkpoint.dir``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from ..operators import enrich as E
+from ..operators import metrics as M
+from .detector import offers_stream, sequence_trace_stream
+
+BUCKET_WATERMARK = "8 hours 30 minutes"
+DAY_PARTITION = "day"
+
+
+def _event_time(df: DataFrame) -> DataFrame:
+    # watermarks need TIMESTAMP (not TIMESTAMP_NTZ); the session zone is UTC
+    return df.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+
+
+def _ntz(df: DataFrame, *cols: str) -> DataFrame:
+    for c in cols:
+        df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
+    return df
+
+
+def _write_batch(df: DataFrame, path: str, batch_id: int, partition_cols: list[str]) -> None:
+    """Idempotent batch write: a retried batch overwrites its own partition."""
+    out = df.withColumn("batch", F.lit(batch_id).cast("long"))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_cols, "batch").parquet(path))
+
+
+# ------------------------------------------------------------------ enrichment
+
+def start_enrichment(clicks_stream: DataFrame, load_dims: Callable[[], dict], out_path: str,
+                     checkpoint: str, trigger: dict | None = None,
+                     max_broadcast_rows: int | None = E.DEFAULT_MAX_BROADCAST_ROWS) -> StreamingQuery:
+    """Enrich every micro-batch against freshly read dimensions."""
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        d = load_dims()
+        out = E.enrich(df, d["products"], d["visitors"], d["ip_ranges"], d["countries"],
+                       max_broadcast_rows=max_broadcast_rows)
+        out = (out.withColumn(DAY_PARTITION, F.to_date("timestamp"))
+               .sortWithinPartitions(DAY_PARTITION, "timestamp"))
+        _write_batch(out, out_path, batch_id, [DAY_PARTITION])
+
+    w = clicks_stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def read_enriched(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
+    """The enriched table; with ``since``, only day partitions >= date(since)
+    are read (partition pruning) and the pushed-down time filter skips row
+    groups (files are time-sorted within a day)."""
+    df = spark.read.parquet(path)
+    if since is not None:
+        df = df.filter((F.col(DAY_PARTITION) >= F.to_date(since)) & (F.col("timestamp") > since))
+    return df.drop("batch", DAY_PARTITION)
+
+
+# ---------------------------------------------------------------- X4 buckets
+
+def bucket_counts_stream(enriched_stream: DataFrame, watermark: str = BUCKET_WATERMARK,
+                         every: str = "30 minutes") -> DataFrame:
+    """G1 as a streaming aggregation with a watermark (partial + final hash
+    aggregate, running totals in the state store = G2)."""
+    s = _event_time(enriched_stream).withWatermark("timestamp", watermark)
+    # group by the window struct itself: it carries the watermark, so late
+    # rows are dropped and state of closed windows is evicted
+    agg = (s.filter(F.col("userId").isNotNull())
+           .groupBy(F.window("timestamp", every).alias("w"), "userId")
+           .agg(F.count(F.lit(1)).alias("count")))
+    return agg.select(F.col("w.start").alias("datetime"), "userId", "count")
+
+
+def start_bucket_counts(enriched_stream: DataFrame, out_path: str, checkpoint: str,
+                        trigger: dict | None = None, watermark: str = BUCKET_WATERMARK) -> StreamingQuery:
+    """Update mode; each batch appends the keys whose count changed."""
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        _write_batch(_ntz(df, "datetime"), out_path, batch_id, [])
+
+    q = (bucket_counts_stream(enriched_stream, watermark).writeStream.outputMode("update")
+         .foreachBatch(batch).option("checkpointLocation", checkpoint))
+    return q.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def latest_bucket_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Current absolute count per (bucket, visitor): the newest batch wins."""
+    return (spark.read.parquet(path).groupBy("datetime", "userId")
+            .agg(F.max_by("count", "batch").alias("count")))
+
+
+# ------------------------------------------------------------------ X1 offers
+
+def start_offers(enriched_stream: DataFrame, out_path: str, checkpoint: str, within_minutes: int,
+                 trigger: dict | None = None) -> StreamingQuery:
+    q = (offers_stream(enriched_stream, within_minutes).writeStream.format("parquet")
+         .option("path", out_path).option("checkpointLocation", checkpoint).outputMode("append"))
+    return q.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def start_trace(enriched_stream: DataFrame, out_path: str, checkpoint: str, within_minutes: int,
+                trigger: dict | None = None) -> StreamingQuery:
+    q = (sequence_trace_stream(enriched_stream, within_minutes).writeStream.format("parquet")
+         .option("path", out_path).option("checkpointLocation", checkpoint).outputMode("append"))
+    return q.trigger(**(trigger or {"availableNow": True})).start()
+
+
+# --------------------------------------------------------------- X6/X11 marts
+
+def refresh_marts(spark: SparkSession, enriched_path: str, buckets_path: str | None, out_dir: str,
+                  as_of: Column, buffer: str = "1 hour") -> dict[str, DataFrame]:
+    """Recompute every dashboard mart from one snapshot of the trailing buffer."""
+    since = as_of - M.interval(buffer)
+    snap = M.trailing(read_enriched(spark, enriched_path, since), as_of, buffer).persist()
+    try:
+        marts = {
+            "last_15_minutes": M.visits_per_minute(snap, as_of, "15 minutes"),
+            "products_last_hour": M.top_products(snap),
+            "latest_visitors": M.latest_visitors(snap, as_of),
+            "category_popularity": M.category_popularity(snap),
+            "device_type_popularity": M.device_popularity(snap, as_of, "10 minutes"),
+            "raw_data": M.raw_latest(snap),
+        }
+        if buckets_path is not None:
+            marts["sessions"] = M.visitors_per_bucket(latest_bucket_counts(spark, buckets_path), as_of)
+        for name, df in marts.items():
+            df.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/{name}")
+    finally:
+        snap.unpersist()
+    return marts
+
+
+def start_marts(spark: SparkSession, enriched_path: str, buckets_path: str | None, out_dir: str,
+                checkpoint: str, period: str = "1 second", buffer: str = "1 hour") -> StreamingQuery:
+    """A ``rate`` source (one row per tick) drives the recomputation, so the
+    trailing windows shrink even while no clicks arrive."""
+    clock = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+
+    def tick(df: DataFrame, batch_id: int) -> None:
+        now = F.current_timestamp().cast("timestamp_ntz")
+        refresh_marts(spark, enriched_path, buckets_path, out_dir, now, buffer)
+
+    return (clock.writeStream.foreachBatch(tick).option("checkpointLocation", checkpoint)
+            .trigger(processingTime=period).start())

@@ -174,6 +174,11 @@ def axis_bound(counts: DataFrame, value: str = "count") -> DataFrame:
     return counts.agg(F.greatest(F.lit(1), F.coalesce(F.max(value), F.lit(1))).cast("long").alias("bound"))
 
 
+def product_by_id(products: DataFrame, product_id: str) -> DataFrame:
+    """The product with this id (at most one row)."""
+    return products.filter(F.col("id") == product_id).limit(1)
+
+
 def category_list(products: DataFrame) -> DataFrame:
     """Distinct categories, sorted."""
     return (products.filter(F.col("category").isNotNull())

@@ -180,6 +180,15 @@ def _chain(summ: dict, ends: dict, verified: dict) -> dict:
     return incoming
 
 
+def eligible(clicks: DataFrame) -> DataFrame:
+    """P10 as a filter: rows that carry both gender and age.
+
+    Not the default: a row without age still refreshes, advances or resets
+    a running sequence; dropping it up front changes the result.
+    """
+    return clicks.filter(F.col("gender").isNotNull() & F.col("age").isNotNull())
+
+
 def fold_layout(clicks: DataFrame, partitions: int | None = None) -> DataFrame:
     """Range-partitioned, sorted, checkpointed fold input with partition ids."""
     spark = clicks.sparkSession
@@ -201,7 +210,8 @@ def fold_layout(clicks: DataFrame, partitions: int | None = None) -> DataFrame:
 
 
 def sequence_trace(clicks: DataFrame, within_minutes: int = DEFAULT_WINDOW_MINUTES,
-                   partitions: int | None = None, max_rounds: int = 64) -> DataFrame:
+                   partitions: int | None = None, max_rounds: int = 64,
+                   require_demographics: bool = False) -> DataFrame:
     """Accepted transitions of every visitor (state entered per click).
 
     Input needs userId, timestamp, event_id, productId, category, gender,
@@ -209,6 +219,8 @@ def sequence_trace(clicks: DataFrame, within_minutes: int = DEFAULT_WINDOW_MINUT
     timestamp, productId, category, state, offer, live.
     """
     window_us = int(within_minutes) * 60 * 1_000_000
+    if require_demographics:
+        clicks = eligible(clicks)
     layout = fold_layout(clicks, partitions)
     summ = _summaries(layout, {}, window_us)
     ends: dict = {}
@@ -237,7 +249,7 @@ def sequence_trace(clicks: DataFrame, within_minutes: int = DEFAULT_WINDOW_MINUT
 
 
 def detect_offers(clicks: DataFrame, within_minutes: int = DEFAULT_WINDOW_MINUTES,
-                  partitions: int | None = None) -> DataFrame:
+                  partitions: int | None = None, require_demographics: bool = False) -> DataFrame:
     """X1 + X10: one row per offer: userId, event_id, timestamp, offer."""
-    t = sequence_trace(clicks, within_minutes, partitions)
+    t = sequence_trace(clicks, within_minutes, partitions, require_demographics=require_demographics)
     return t.filter(F.col("state") == OFFER).select("userId", "event_id", "timestamp", "offer")

@@ -290,6 +290,13 @@ def q_snapshot_json(spark, sf):
     return L.column_json(M.top_products(b), "top_products")
 
 
+def q_snapshot_roundtrip(spark, sf):
+    """K4 + S7: top products -> JSON document -> rows again."""
+    b, _ = _buffer(spark, sf)
+    doc = L.column_json(M.top_products(b), "products_last_hour")
+    return L.rows_from_column_json(doc, [("productId", "string"), ("category", "string"), ("count", "bigint")])
+
+
 # ---------------------------------------------------------------- streaming
 
 STREAM_SLICES = 4
@@ -394,6 +401,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "transition_log": q_transition_log,
     "log_tail": q_log_tail,
     "snapshot_json": q_snapshot_json,
+    "snapshot_roundtrip": q_snapshot_roundtrip,
     "stream_enrich": q_stream_enrich,
     "stream_bucket_counts": q_stream_bucket_counts,
     "stream_visitors_per_bucket": q_stream_visitors_per_bucket,

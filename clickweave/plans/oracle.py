@@ -281,7 +281,7 @@ def _batch_oracles() -> dict[str, str]:
 
 def stream_oracles(base: dict[str, str]) -> dict[str, str]:
     """Streaming forms must equal their batch forms on time-ordered input."""
-    return {"stream_enrich": base["enrich_clicks"], "stream_bucket_counts": base["user_bucket_counts"],
+    return {"snapshot_roundtrip": base["top_products"], "stream_enrich": base["enrich_clicks"], "stream_bucket_counts": base["user_bucket_counts"],
             "stream_visitors_per_bucket": base["visitors_per_bucket"], "stream_offers": base["offers"]}
 
 

@@ -63,3 +63,17 @@ def column_json(df: DataFrame, name: str) -> DataFrame:
     per_col = [F.map_from_entries(F.collect_list(F.struct("_i", F.col(f"`{c}`")))).alias(c) for c in cols]
     return numbered.agg(*per_col).select(F.lit(name).alias("key"),
                                          F.to_json(F.struct(*[F.col(f"`{c}`") for c in cols])).alias("value"))
+
+
+def rows_from_column_json(doc: DataFrame, columns: list[tuple[str, str]], value_col: str = "value") -> DataFrame:
+    """A column-oriented JSON document back into rows.
+
+    ``columns`` = [(name, spark type text)], e.g. [("count", "bigint")].
+    The row index comes from the first column's keys; each document is
+    exploded on its own (one row per document in, n rows out).
+    """
+    schema = "struct<" + ", ".join(f"`{n}`: map<string, {t}>" for n, t in columns) + ">"
+    parsed = doc.select(F.from_json(F.col(value_col), schema).alias("_d"))
+    first = columns[0][0]
+    keyed = parsed.select("_d", F.explode(F.map_keys(F.col(f"_d.`{first}`"))).alias("_i"))
+    return keyed.select(*[F.col(f"_d.`{n}`")[F.col("_i")].alias(n) for n, _ in columns])

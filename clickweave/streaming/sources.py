@@ -94,3 +94,21 @@ def stage_time_slices(df: DataFrame, path: str, slices: int, ts: str = "timestam
         if i + 1 < slices:
             cond = cond & (F.col(ts) < F.lit(lo + step * (i + 1)))
         df.filter(cond).coalesce(1).write.mode("append").parquet(path)
+
+
+def stamp_arrival(df: DataFrame, col: str = "timestamp") -> DataFrame:
+    """P5: stamp each row with the (UTC) time it is published."""
+    return df.withColumn(col, F.current_timestamp().cast("timestamp_ntz"))
+
+
+def with_progress(df: DataFrame, name: str = "progress"):
+    """Row counter as a named observation (no extra job, no collect).
+
+    Returns (df, observation); read ``observation.get`` after an action in
+    batch, or ``query.lastProgress["observedMetrics"]`` in streaming.
+    """
+    from pyspark.sql import Observation
+    if df.isStreaming:
+        return df.observe(name, F.count(F.lit(1)).alias("rows")), None
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs

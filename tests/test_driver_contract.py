@@ -17,6 +17,7 @@ def test_entry_runs(spark):
 def test_every_query_has_an_oracle_but_json(spark):
     import __spark_entry__ as E
     assert set(E.queries()) - set(E.oracle_sql()) == {"snapshot_json"}
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_all_queries_match_oracle_small(spark):

@@ -73,3 +73,23 @@ def test_price_and_title(spark):
     df = spark.createDataFrame(rows, "p double, t string")
     r = df.select(T.price_label("p"), T.title_case("t")).first()
     assert r[0] == "€1,234.50" and r[1] == "Forest Green Lavender"
+
+
+def test_json_catalogue_readers(spark, tmp_path):
+    from clickweave.sources.files import read_products, read_visitors
+    (tmp_path / "products.json").write_text(
+        '[{"id": "1", "category": "shoes", "title": "A", "description": "d", "image": "a.png", "price": 9.5},\n'
+        ' {"id": "2", "category": "clothing", "title": "B", "description": "d", "image": "b.png", "price": 20}]')
+    (tmp_path / "users.json").write_text('{"userId": "u1", "birthDate": "1990-01-01", "gender": "M"}\n'
+                                         '{"userId": "u2", "birthDate": null, "gender": null}\n')
+    p = read_products(spark, str(tmp_path / "products.json")).orderBy("id").collect()
+    assert [(r.id, r.category, r.price) for r in p] == [("1", "shoes", 9.5), ("2", "clothing", 20.0)]
+    v = read_visitors(spark, str(tmp_path / "users.json")).orderBy("userId").collect()
+    assert [(r.userId, r.birthDate, r.gender) for r in v] == [("u1", "1990-01-01", "M"), ("u2", None, None)]
+
+
+def test_progress_observation(spark):
+    from clickweave.streaming.sources import with_progress
+    df, obs = with_progress(spark.range(25))
+    df.write.format("noop").mode("overwrite").save()
+    assert obs.get["rows"] == 25

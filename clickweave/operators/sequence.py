@@ -43,6 +43,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -203,9 +204,16 @@ def fold_layout(clicks: DataFrame, partitions: int | None = None) -> DataFrame:
         F.col("age").cast("int").alias("age"),
         F.col("original_timestamp").isNull().alias("live"),
     ).filter(F.col("userId").isNotNull() & F.col("us").isNotNull())
-    laid = (cols.repartitionByRange(n, "userId", "us", "event_id")
-            .sortWithinPartitions("userId", "us", "event_id"))
-    laid = laid.checkpoint(eager=True)
+    # The range exchange samples its input in a separate job; persisting the
+    # narrow projection first means the upstream plan (scan + enrichment
+    # joins) runs once, not once for sampling and once for the shuffle.
+    cols = cols.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        laid = (cols.repartitionByRange(n, "userId", "us", "event_id")
+                .sortWithinPartitions("userId", "us", "event_id"))
+        laid = laid.checkpoint(eager=True)
+    finally:
+        cols.unpersist()
     return laid.withColumn("_pid", F.spark_partition_id())
 
 

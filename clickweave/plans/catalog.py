@@ -302,14 +302,16 @@ def q_snapshot_roundtrip(spark, sf):
 STREAM_SLICES = 4
 
 
-def _staged(spark, sf, what: str) -> tuple[str, object]:
-    """Stage the click (or enriched) table as time-ordered files."""
+def _staged(spark, sf, what: str) -> tuple[str, object, int]:
+    """Stage the click (or enriched) table as time-ordered files; returns
+    (path, schema, files per micro-batch)."""
     from ..session import shared_path
     from ..streaming.sources import stage_time_slices
     df = TB.clicks(spark, sf) if what == "clicks" else _enriched(spark, sf)
     path = shared_path(spark, f"stage-{what}")
-    stage_time_slices(df, path, STREAM_SLICES)
-    return path, df.schema
+    per = spark.sparkContext.defaultParallelism
+    stage_time_slices(df, path, STREAM_SLICES, per)
+    return path, df.schema, per
 
 
 def _run(q) -> None:
@@ -321,11 +323,11 @@ def _run(q) -> None:
 def q_stream_enrich(spark, sf):
     """Click stream -> foreachBatch enrichment (dims re-read per batch)."""
     from ..session import shared_path
-    from ..streaming.pipelines import read_enriched, start_enrichment
+    from ..streaming.jobs import read_enriched, start_enrichment
     from ..streaming.sources import file_stream
-    path, schema = _staged(spark, sf, "clicks")
+    path, schema, per = _staged(spark, sf, "clicks")
     out, ck = shared_path(spark, "enriched"), shared_path(spark, "ck-enrich")
-    stream = file_stream(spark, path, schema, max_files_per_trigger=1)
+    stream = file_stream(spark, path, schema, max_files_per_trigger=per)
     _run(start_enrichment(stream, lambda: TB.load(spark, sf), out, ck))
     return read_enriched(spark, out)
 
@@ -333,11 +335,11 @@ def q_stream_enrich(spark, sf):
 def q_stream_bucket_counts(spark, sf):
     """Watermarked update-mode aggregation, latest count per key."""
     from ..session import shared_path
-    from ..streaming.pipelines import latest_bucket_counts, start_bucket_counts
+    from ..streaming.jobs import latest_bucket_counts, start_bucket_counts
     from ..streaming.sources import file_stream
-    path, schema = _staged(spark, sf, "enriched")
+    path, schema, per = _staged(spark, sf, "enriched")
     out, ck = shared_path(spark, "buckets"), shared_path(spark, "ck-buckets")
-    _run(start_bucket_counts(file_stream(spark, path, schema, max_files_per_trigger=1), out, ck))
+    _run(start_bucket_counts(file_stream(spark, path, schema, max_files_per_trigger=per), out, ck))
     return latest_bucket_counts(spark, out)
 
 
@@ -350,11 +352,11 @@ def q_stream_visitors_per_bucket(spark, sf):
 def q_stream_offers(spark, sf):
     """X1 keyed state (transformWithStateInPandas) over time-ordered batches."""
     from ..session import shared_path
-    from ..streaming.pipelines import start_offers
+    from ..streaming.jobs import start_offers
     from ..streaming.sources import file_stream
-    path, schema = _staged(spark, sf, "enriched")
+    path, schema, per = _staged(spark, sf, "enriched")
     out, ck = shared_path(spark, "offers"), shared_path(spark, "ck-offers")
-    _run(start_offers(file_stream(spark, path, schema, max_files_per_trigger=1), out, ck, OFFER_WINDOW_MINUTES))
+    _run(start_offers(file_stream(spark, path, schema, max_files_per_trigger=per), out, ck, OFFER_WINDOW_MINUTES))
     return spark.read.parquet(out)
 
 

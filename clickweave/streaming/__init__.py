@@ -1 +1 @@
-"""Structured Streaming pipelines built from the batch operators."""
+"""Structured Streaming jobs built from the batch operators."""

@@ -1,4 +1,4 @@
-"""Structured Streaming pipelines.
+"""Structured Streaming jobs.
 
 * ``start_enrichment``: click stream -> enriched table. ``foreachBatch`` so
   the dimensions are re-read per micro-batch (J9: a lookup update is seen
@@ -108,10 +108,24 @@ def start_bucket_counts(enriched_stream: DataFrame, out_path: str, checkpoint: s
     return q.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def latest_bucket_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Current absolute count per (bucket, visitor): the newest batch wins."""
-    return (spark.read.parquet(path).groupBy("datetime", "userId")
-            .agg(F.max_by("count", "batch").alias("count")))
+def latest_bucket_counts(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
+    """Current absolute count per (bucket, visitor): the newest batch wins.
+
+    ``since`` keeps only buckets starting at or after it (the 8.5-hour
+    retention of the reference), filtered before the aggregation.
+    """
+    df = spark.read.parquet(path)
+    if since is not None:
+        df = df.filter(F.col("datetime") >= since)
+    return df.groupBy("datetime", "userId").agg(F.max_by("count", "batch").alias("count"))
+
+
+def compact_bucket_counts(spark: SparkSession, path: str, out_path: str, since: Column) -> None:
+    """Retention + compaction of the bucket log: latest count per key for
+    buckets >= ``since`` written as one new table (run periodically; readers
+    switch to ``out_path``, old log folders are dropped by storage policy)."""
+    latest_bucket_counts(spark, path, since).withColumn("batch", F.lit(0).cast("long")) \
+        .write.mode("overwrite").parquet(out_path)
 
 
 # ------------------------------------------------------------------ X1 offers

@@ -78,10 +78,13 @@ def subscribe(events: DataFrame, topic: str, stream_id: str, event_id: str = "of
                          & (F.col("id") == event_id))
 
 
-def stage_time_slices(df: DataFrame, path: str, slices: int, ts: str = "timestamp") -> None:
-    """Write ``df`` as ``slices`` files of consecutive event-time ranges, one
-    write job per slice in time order, so a file source with
-    ``maxFilesPerTrigger=1`` replays them as time-ordered micro-batches.
+def stage_time_slices(df: DataFrame, path: str, slices: int, files_per_slice: int,
+                      ts: str = "timestamp") -> None:
+    """Write ``df`` as ``slices`` consecutive event-time ranges, one write job
+    per slice in time order, each range-partitioned on time into
+    ``files_per_slice`` files. A file source with
+    ``maxFilesPerTrigger=files_per_slice`` then replays the table as
+    time-ordered micro-batches, and every slice is written in parallel.
     (Replay tooling for tests; production input is the broker.)"""
     b = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
     lo, hi = b["lo"], b["hi"]
@@ -89,11 +92,10 @@ def stage_time_slices(df: DataFrame, path: str, slices: int, ts: str = "timestam
         return
     step = (hi - lo) / slices
     for i in range(slices):
-        start = lo + step * i
-        cond = F.col(ts) >= F.lit(start)
+        cond = F.col(ts) >= F.lit(lo + step * i)
         if i + 1 < slices:
             cond = cond & (F.col(ts) < F.lit(lo + step * (i + 1)))
-        df.filter(cond).coalesce(1).write.mode("append").parquet(path)
+        df.filter(cond).repartitionByRange(files_per_slice, ts).write.mode("append").parquet(path)
 
 
 def stamp_arrival(df: DataFrame, col: str = "timestamp") -> DataFrame:

@@ -23,8 +23,16 @@ def _c(x) -> Column:
 
 
 def default_as_of(df: DataFrame, ts: str = TS) -> Column:
-    """Batch default "now": the newest event time, as a scalar subquery."""
-    return df.agg(F.max(ts)).scalar()
+    """Batch default "now": the newest event time.
+
+    Computed once (one small aggregate over the time column) and inlined as
+    a literal, so every trailing filter built from it is pushed down to the
+    Parquet scan (row-group / partition skipping) instead of being a
+    scalar subquery evaluated after the scan.
+    """
+    dtype = df.schema[ts].dataType.simpleString()
+    value = df.agg(F.max(ts)).first()[0]
+    return F.lit(value).cast(dtype)
 
 
 def interval(text: str) -> Column:

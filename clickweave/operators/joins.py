@@ -26,7 +26,8 @@ def checked_broadcast_all(smalls: list[DataFrame], max_rows: int | None = DEFAUL
     if max_rows is None or not smalls:
         return list(smalls)
     spark = smalls[0].sparkSession
-    keys = [(spark.sparkContext.applicationId, d.semanticHash(), max_rows) for d in smalls]
+    keys = [(spark.sparkContext.applicationId, d.semanticHash(), tuple(sorted(d.inputFiles())), max_rows)
+            for d in smalls]
     todo = [i for i, k in enumerate(keys) if k not in _DECISIONS]
     if todo:
         tagged = [smalls[i].limit(max_rows + 1).select(F.lit(i).alias("_dim")) for i in todo]
@@ -39,7 +40,7 @@ def checked_broadcast_all(smalls: list[DataFrame], max_rows: int | None = DEFAUL
     return [F.broadcast(d) if _DECISIONS[k] else d for d, k in zip(smalls, keys)]
 
 
-# Decisions per (application, dimension plan, limit): a dimension plan that
-# was checked once in this application is not counted again. Plans over
-# files that change between calls must pass ``max_rows=None`` (AQE decides).
+# Decisions per (application, dimension plan, its input files, limit): a
+# dimension checked once is not counted again until its files change (a new
+# lookup load writes new files, so it is checked afresh).
 _DECISIONS: dict = {}

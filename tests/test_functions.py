@@ -1,5 +1,6 @@
 import datetime as dt
 
+
 from pyspark.sql import functions as F
 
 from clickweave.functions import text as T
@@ -93,3 +94,34 @@ def test_progress_observation(spark):
     df, obs = with_progress(spark.range(25))
     df.write.format("noop").mode("overwrite").save()
     assert obs.get["rows"] == 25
+
+
+def test_packets_multi_element(spark):
+    from clickweave.sources.packets import packet_rows
+    day_ns = 1704067200 * 10**9
+    rows = [("u1", day_ns, [1000, 2_000_000_000],
+             {"userId": ["u1", "u1"], "productId": ["A", None], "age": ["30"], "gender": ["Male", "Male"],
+              "ip": ["1.1.1.1", "1.1.1.1"], "userAgent": ["x", "y"]}, {"event_id": [7.0, 8.0]})]
+    df = spark.createDataFrame(rows, "streamId string, epoch long, timestamps array<long>, "
+                                     "stringValues map<string,array<string>>, numericValues map<string,array<double>>")
+    out = packet_rows(df).orderBy("timestamp").collect()
+    assert [(r.event_id, r.productId, r.age, r.userAgent) for r in out] == [(7, "A", "30", "x"), (8, None, None, "y")]
+    assert out[1].timestamp == dt.datetime(2024, 1, 1, 0, 0, 2)
+
+
+def test_transition_log_offer_two_lines(spark):
+    from clickweave.sources.logs import log_tail, transition_log
+    trace = spark.createDataFrame(
+        [("u", 1, dt.datetime(2024, 1, 1, 0, 0, 1), "A", "clothing", "clothes_visited", "offer1", True),
+         ("u", 2, dt.datetime(2024, 1, 1, 0, 0, 2), "S", "shoes", "shoes_visited", "offer1", False),
+         ("u", 3, dt.datetime(2024, 1, 1, 0, 0, 3), "B", "clothing", "offer", "offer1", True)],
+        "userId string, event_id long, timestamp timestamp_ntz, productId string, category string, "
+        "state string, offer string, live boolean")
+    log = transition_log(trace).orderBy("event_id", "line").collect()
+    assert [r.msg for r in log] == ["[User u entered state clothes_visited][Event: clicked A][Category: clothing]",
+                                    "[User u entered state offer][Event: clicked B][Category: clothing]",
+                                    "[User u triggered offer offer1]"]
+    tail = log_tail(transition_log(trace), keep=10, show=2).collect()
+    assert [r.text for r in tail] == ["2024-01-01 00:00:03: [User u triggered offer offer1]",
+                                      "2024-01-01 00:00:03: [User u entered state offer][Event: clicked B]"
+                                      "[Category: clothing]"]

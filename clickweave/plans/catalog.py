@@ -269,6 +269,13 @@ def _offers(window: int):
     return q
 
 
+def q_offer_events(spark, sf):
+    """K2: every offer as the event the shop subscribes to (stream = visitor)."""
+    from ..streaming.sources import offer_events
+    o = S.detect_offers(_enriched(spark, sf), OFFER_WINDOW_MINUTES)
+    return offer_events(o).drop("tags")
+
+
 def q_offer_summary(spark, sf):
     o = S.detect_offers(_enriched(spark, sf), OFFER_WINDOW_MINUTES)
     return o.groupBy("offer").agg(F.count(F.lit(1)).alias("offers"),
@@ -399,6 +406,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "offers": _offers(OFFER_WINDOW_MINUTES),
     "offers_default_window": _offers(S.DEFAULT_WINDOW_MINUTES),
     "offers_month_window": _offers(43200),
+    "offer_events": q_offer_events,
     "offer_summary": q_offer_summary,
     "transition_log": q_transition_log,
     "log_tail": q_log_tail,

@@ -266,6 +266,10 @@ def _batch_oracles() -> dict[str, str]:
         "offers": _offers_sql(C.OFFER_WINDOW_MINUTES),
         "offers_default_window": _offers_sql(30),
         "offers_month_window": _offers_sql(43200),
+        "offer_events": _with(_sequence_ctes(C.OFFER_WINDOW_MINUTES),
+                              "SELECT 'special-offers' AS topicName, userId AS streamId, "
+                              "epoch_us(timestamp) * 1000 AS timestamp, 'offer' AS id, offer AS value "
+                              "FROM fold WHERE entered = 'offer'", recursive=True),
         "offer_summary": _with(_sequence_ctes(C.OFFER_WINDOW_MINUTES),
                                "SELECT offer, count(*) AS offers, count(DISTINCT userId) AS visitors "
                                "FROM fold WHERE entered = 'offer' GROUP BY offer", recursive=True),

@@ -161,7 +161,8 @@ def refresh_marts(spark: SparkSession, enriched_path: str, buckets_path: str | N
             "raw_data": M.raw_latest(snap),
         }
         if buckets_path is not None:
-            marts["sessions"] = M.visitors_per_bucket(latest_bucket_counts(spark, buckets_path), as_of)
+            recent = latest_bucket_counts(spark, buckets_path, as_of - M.interval(BUCKET_WATERMARK))
+            marts["sessions"] = M.visitors_per_bucket(recent, as_of)
         for name, df in marts.items():
             df.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/{name}")
     finally:

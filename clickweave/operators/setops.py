@@ -15,14 +15,20 @@ def align_union(*frames: DataFrame) -> DataFrame:
 
 
 def snapshot_diff(new: DataFrame, old: DataFrame) -> DataFrame:
-    """Has a table changed? Exact multiset comparison in one plan.
+    """Has a table changed? Exact multiset comparison in one aggregation.
 
-    One row: rows only in ``new``, rows only in ``old``, and ``changed``.
-    Both ``exceptAll`` sides shuffle on all columns; nothing is collected.
+    Rows of ``new`` count +1, rows of ``old`` -1; grouped by every column
+    (nulls group together), the net count of a row is how many more times it
+    occurs in ``new`` than in ``old``. Summing the positive / negative parts
+    gives exactly ``new.exceptAll(old).count()`` / ``old.exceptAll(new).count()``
+    with one shuffle (partial aggregation first, so a hot duplicated row
+    costs one row per task). One row out: only_new, only_old, changed.
     """
-    a = new.exceptAll(old).select(F.lit(True).alias("_new"))
-    b = old.exceptAll(new).select(F.lit(False).alias("_new"))
-    both = a.unionByName(b)
-    return both.agg(F.count_if(F.col("_new")).alias("only_new"),
-                    F.count_if(~F.col("_new")).alias("only_old")).select(
+    cols = new.columns
+    tagged = (new.select(*cols, F.lit(1).alias("_d"))
+              .unionByName(old.select(*cols, F.lit(-1).alias("_d"))))
+    net = tagged.groupBy(*cols).agg(F.sum("_d").alias("_n"))
+    return net.agg(F.coalesce(F.sum(F.when(F.col("_n") > 0, F.col("_n"))), F.lit(0)).cast("long").alias("only_new"),
+                   F.coalesce(F.sum(F.when(F.col("_n") < 0, -F.col("_n"))), F.lit(0)).cast("long")
+                   .alias("only_old")).select(
         "only_new", "only_old", ((F.col("only_new") + F.col("only_old")) > 0).alias("changed"))

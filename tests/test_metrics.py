@@ -62,3 +62,13 @@ def test_merge_partials_equals_whole(spark):
     merged = M.merge_partials(M.user_bucket_counts(df.filter(F.col("timestamp") < split)),
                               M.user_bucket_counts(df.filter(F.col("timestamp") >= split)))
     assert sorted(tuple(r) for r in merged.collect()) == whole
+
+
+def test_snapshot_diff_multiset(spark):
+    from clickweave.operators.setops import snapshot_diff
+    a = spark.createDataFrame([(1, None), (1, None), (2, "x"), (3, "y")], "k int, v string")
+    b = spark.createDataFrame([(1, None), (2, "x"), (2, "x"), (4, "z")], "k int, v string")
+    r = snapshot_diff(a, b).first()
+    assert (r.only_new, r.only_old, r.changed) == (a.exceptAll(b).count(), b.exceptAll(a).count(), True)
+    same = snapshot_diff(a, a).first()
+    assert (same.only_new, same.only_old, same.changed) == (0, 0, False)

@@ -54,6 +54,25 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+# Runtime SQL settings the library needs on *any* session it is handed:
+# UTC (epoch <-> TIMESTAMP_NTZ conversions) and the RocksDB state store
+# (required by transformWithStateInPandas).
+RUNTIME_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the library's runtime settings and the shared folder to a session."""
+    for k, v in RUNTIME_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    ensure_shared_dir(spark)
+    return spark
+
+
 def ensure_shared_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset."""
     d = spark.conf.get("spark.checkpoint.dir", None) or None

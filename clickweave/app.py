@@ -22,7 +22,6 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import enrich as E
 from .operators.ordered import replay_schedule
 from .operators.upsert import upsert_fields
 from .sources.files import normalise_log, read_click_log, read_products, read_visitors

@@ -22,9 +22,8 @@ from .range_join import bucketed_ranges, ip_to_long, range_lookup
 ENRICHED_COLUMNS = ["event_id", "timestamp", "original_timestamp", "userId", "ip", "userAgent",
                     "productId", "category", "title", "birthdate", "country", "deviceType", "age", "gender"]
 
-# Upper bound on the ISO 3166-1 alpha-2 code list; the country table is
-# broadcast only because it can never grow past this.
-MAX_COUNTRIES = 676  # 26 * 26 two-letter codes
+# The country table is keyed by ISO 3166-1 alpha-2 codes: at most 26 * 26 =
+# 676 rows whatever the data volume, so it is broadcast without a check.
 
 
 def with_product(clicks: DataFrame, products: DataFrame,

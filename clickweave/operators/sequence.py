@@ -56,7 +56,6 @@ DEFAULT_WINDOW_MINUTES = 30
 
 _INIT_STATE = (INIT, None, None, None)  # (state, first_us, first_pid, last_pid)
 
-FOLD_INPUT = ["userId", "us", "event_id", "productId", "category", "gender", "age", "live"]
 TRACE_SCHEMA = ("userId string, event_id long, us long, productId string, category string, "
                 "state string, offer string, live boolean")
 SUMMARY_SCHEMA = ("pid int, first_user string, last_user string, n long, "

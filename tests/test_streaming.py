@@ -4,7 +4,6 @@ import time
 
 from pyspark.sql import functions as F
 
-from clickweave.operators import metrics as M
 from clickweave.session import shared_path
 from clickweave.streaming import jobs as P
 from clickweave.streaming.sources import file_stream, offer_events, subscribe

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import offer_log_message, rendered_log_line, state_log_message
@@ -47,22 +47,30 @@ def log_tail(log: DataFrame, keep: int = 10, show: int = 8) -> DataFrame:
 
 
 def column_json(df: DataFrame, name: str) -> DataFrame:
-    """K4: a small result table as a column-oriented JSON document
-    ``{"col": {"0": v, "1": v, ...}, ...}`` (row index = sort position,
-    datetimes as epoch milliseconds). Input must be a bounded mart.
+    """K4: a small result table as one column-oriented JSON document
+    ``{"col": {"0": v, "1": v, ...}, ...}`` (index = position after sorting
+    by all columns; datetimes as epoch milliseconds).
+
+    A document is one value, so the input must be a bounded mart (top-k,
+    pivot, per-category counts); it is gathered by one aggregate.
     """
-    cols = df.columns
-    idx = Window.orderBy(*[F.col(c) for c in cols])
     conv = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if f.dataType.typeName() in ("timestamp", "timestamp_ntz"):
             c = F.unix_millis(c.cast("timestamp"))
         conv.append(c.alias(f.name))
-    numbered = df.select(*conv).withColumn("_i", (F.row_number().over(idx) - 1).cast("string"))
-    per_col = [F.map_from_entries(F.collect_list(F.struct("_i", F.col(f"`{c}`")))).alias(c) for c in cols]
-    return numbered.agg(*per_col).select(F.lit(name).alias("key"),
-                                         F.to_json(F.struct(*[F.col(f"`{c}`") for c in cols])).alias("value"))
+    rows = F.array_sort(F.collect_list(F.struct(*conv)))
+    doc = df.agg(rows.alias("_rows"))
+    idx = F.transform(F.sequence(F.lit(0), F.size("_rows") - 1), lambda i: i.cast("string"))
+    def field(name: str):
+        return lambda r: r[name]
+
+    per_col = [F.when(F.size("_rows") > 0, F.map_from_arrays(idx, F.transform("_rows", field(c))))
+               .otherwise(F.create_map().cast(f"map<string,{t}>")).alias(c)
+               for c, t in ((f.name, f.dataType.simpleString()) for f in df.select(*conv).schema.fields)]
+    return doc.select(F.lit(name).alias("key"),
+                      F.to_json(F.struct(*per_col)).alias("value"))
 
 
 def rows_from_column_json(doc: DataFrame, columns: list[tuple[str, str]], value_col: str = "value") -> DataFrame:

@@ -72,3 +72,21 @@ def test_snapshot_diff_multiset(spark):
     assert (r.only_new, r.only_old, r.changed) == (a.exceptAll(b).count(), b.exceptAll(a).count(), True)
     same = snapshot_diff(a, a).first()
     assert (same.only_new, same.only_old, same.changed) == (0, 0, False)
+
+
+def test_enrich_shuffle_fallback_equals_broadcast(spark):
+    from clickweave.operators.enrich import enrich
+    from clickweave.sources import testbed as TB
+    from tests.conftest import SF_SMALL
+    t = TB.load(spark, SF_SMALL)
+    args = (t["clicks"], t["products"], t["visitors"], t["ip_ranges"], t["countries"])
+    small = enrich(*args)  # all dimensions broadcast after the size check
+    big = enrich(*args, max_broadcast_rows=1)  # every check fails: shuffle joins
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        big.explain()
+    plan = buf.getvalue()
+    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))

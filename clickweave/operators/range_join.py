@@ -22,10 +22,10 @@ IP_BUCKET_BITS = 16
 def ip_to_long(ip) -> Column:
     """Dotted IPv4 text -> 32-bit number; malformed -> null."""
     c = F.col(ip) if isinstance(ip, str) else ip
-    part = [F.split_part(c, F.lit("."), F.lit(i)).try_cast("long") for i in (1, 2, 3, 4)]
-    valid = F.size(F.split(c, r"\.")) == 4
-    num = part[0] * 16777216 + part[1] * 65536 + part[2] * 256 + part[3]
-    return F.when(valid, num)
+    parts = F.split(c, r"\.")  # one split per row (common subexpression)
+    octet = [F.try_element_at(parts, F.lit(i + 1)).try_cast("long") for i in range(4)]
+    num = octet[0] * 16777216 + octet[1] * 65536 + octet[2] * 256 + octet[3]
+    return F.when(F.size(parts) == 4, num)
 
 
 def bucketed_ranges(ranges: DataFrame, bits: int = IP_BUCKET_BITS) -> DataFrame:

@@ -125,3 +125,9 @@ def test_transition_log_offer_two_lines(spark):
     assert [r.text for r in tail] == ["2024-01-01 00:00:03: [User u triggered offer offer1]",
                                       "2024-01-01 00:00:03: [User u entered state offer][Event: clicked B]"
                                       "[Category: clothing]"]
+
+
+def test_ip_to_long_malformed(spark):
+    from clickweave.operators.range_join import ip_to_long
+    rows = [("10.1.2.3",), ("1.2.3",), ("a.b.c.d",), (None,), ("1.2.3.4.5",), ("",)]
+    assert one(spark, ip_to_long("ip"), "ip string", rows) == [167838211, None, None, None, None, None]

@@ -94,7 +94,9 @@ def visits_per_minute(df: DataFrame, as_of: Column, within: str = "15 minutes",
     aggregated minutes, never from the click rows.
     """
     recent = trailing(df, as_of, within, ts)
-    counts = recent.groupBy(floor_minute(ts).alias("datetime")).agg(F.count(F.lit(1)).alias("count"))
+    # date_trunc yields TIMESTAMP; keep the input's type (e.g. TIMESTAMP_NTZ)
+    minute = floor_minute(ts).cast(df.schema[ts].dataType)
+    counts = recent.groupBy(minute.alias("datetime")).agg(F.count(F.lit(1)).alias("count"))
     axis = (counts.agg(F.min("datetime").alias("lo"), F.max("datetime").alias("hi"))
             .filter(F.col("lo").isNotNull())
             .select(F.explode(F.sequence("lo", "hi", interval("1 minute"))).alias("datetime")))
@@ -111,7 +113,7 @@ def dense_axis(like: DataFrame, end: Column, periods: int, step: str) -> DataFra
 def densify(counts: DataFrame, end: Column, periods: int, step: str,
             value: str = "count") -> DataFrame:
     """Generated time axis left-joined with counts, missing -> 0."""
-    axis = dense_axis(counts, end, periods, step)
+    axis = dense_axis(counts, end.cast(counts.schema["datetime"].dataType), periods, step)
     return (axis.join(counts.select("datetime", value), "datetime", "left")
             .select("datetime", F.coalesce(value, F.lit(0)).cast("long").alias(value)))
 

@@ -24,18 +24,19 @@ unbounded group into one task. Instead:
    contiguous partitions instead of one;
 2. that layout is checkpointed to the shared checkpoint folder (lineage
    cut, stable partition ids for the passes below);
-3. pass 1 folds every partition in parallel (``mapInPandas``, constant
-   memory: Arrow batches stream through, state is four scalars), starting
-   its first visitor at ``init``, and returns one summary row per
-   partition: first/last visitor and the last visitor's end state;
-4. the driver walks these P summary rows (P = partition count, independent
-   of data size) and derives the true incoming state of every partition
-   that starts in the middle of a visitor. A partition holding a single
-   visitor passes its state on; its end state is verified with a re-fold of
-   just those partitions until nothing changes (usually zero or one round);
-5. pass 2 folds every partition again with its incoming state and emits the
-   accepted transitions (the trace); offers are the trace rows with
-   ``state == 'offer'``.
+3. a JVM aggregate gives each partition's first and last visitor (P rows,
+   P = partition count, independent of data size). Only where a visitor
+   continues into the next partition are that visitor's tail rows of the
+   partition folded (``mapInPandas``) to get its end state;
+4. the driver walks the P partitions and derives the true incoming state
+   of every partition that starts in the middle of a visitor. A partition
+   holding a single visitor passes its state on; its end state is verified
+   by re-folding just that partition until nothing changes (usually zero or
+   one round);
+5. one parallel pass folds every partition with its incoming state
+   (constant memory: Arrow batches stream through, state is four scalars)
+   and emits the accepted transitions (the trace); offers are the trace
+   rows with ``state == 'offer'``.
 """
 
 from __future__ import annotations
@@ -151,32 +152,44 @@ def _partition_folder(incoming: dict, window_us: int, mode: str):
     return run
 
 
-def _summaries(layout: DataFrame, incoming: dict, window_us: int, only: set | None = None) -> dict:
-    df = layout
-    if only is not None:
-        df = df.filter(F.col("_pid").isin(sorted(only)))
-    rows = df.mapInPandas(_partition_folder(incoming, window_us, "summary"), SUMMARY_SCHEMA).collect()
-    return {r["pid"]: r for r in rows}
+def _bounds(layout: DataFrame) -> dict:
+    """First / last visitor of every non-empty partition (JVM aggregate; the
+    layout is sorted by visitor inside each partition, so min/max suffice)."""
+    rows = layout.groupBy("_pid").agg(F.min("userId").alias("first_user"),
+                                      F.max("userId").alias("last_user")).collect()
+    return {r["_pid"]: r for r in rows}
 
 
-def _chain(summ: dict, ends: dict, verified: dict) -> dict:
-    """Incoming state per partition from the ordered partition summaries.
+def _tail_ends(layout: DataFrame, tails: dict, incoming: dict, window_us: int) -> dict:
+    """End state of the last visitor of each partition in ``tails`` (pid ->
+    visitor), folding only that visitor's rows of that partition."""
+    if not tails:
+        return {}
+    keys = sorted(f"{pid}\u0001{user}" for pid, user in tails.items())
+    rows = layout.filter(F.concat_ws("\u0001", F.col("_pid").cast("string"), "userId").isin(keys))
+    out = rows.mapInPandas(_partition_folder(incoming, window_us, "summary"), SUMMARY_SCHEMA).collect()
+    return {r["pid"]: (r["st"], r["first_us"], r["first_pid"], r["last_pid"]) for r in out}
 
-    ``ends[pid]`` is a partition's re-folded end state, valid only while
-    its incoming state equals ``verified[pid]``; otherwise the end state of
-    the fold from ``init`` is used (exact unless the partition holds a
-    single visitor, which the caller then verifies).
+
+def _chain(bounds: dict, tail_end: dict, verified_end: dict, verified_in: dict) -> dict:
+    """Incoming state of every partition that starts inside a visitor.
+
+    ``tail_end[p]``: end state of p's last visitor folded from ``init`` --
+    exact unless p holds a single visitor with a non-init incoming state;
+    then ``verified_end[p]`` (folded from ``verified_in[p]``) is used while
+    it is still the current incoming state.
     """
-    incoming = {}
-    prev_user, prev_end = None, _INIT_STATE
-    for pid in sorted(summ):
-        r = summ[pid]
-        if prev_user is not None and prev_user == r["first_user"] and prev_end != _INIT_STATE:
-            incoming[pid] = (r["first_user"], prev_end)
-        end = (r["st"], r["first_us"], r["first_pid"], r["last_pid"])
-        if pid in incoming and verified.get(pid) == incoming[pid]:
-            end = ends[pid]
-        prev_user, prev_end = r["last_user"], tuple(end)
+    incoming: dict = {}
+    prev = None
+    for p in sorted(bounds):
+        b = bounds[p]
+        if prev is not None and bounds[prev]["last_user"] == b["first_user"]:
+            end = tail_end.get(prev, _INIT_STATE)
+            if prev in incoming and verified_in.get(prev) == incoming[prev]:
+                end = verified_end[prev]
+            if tuple(end) != _INIT_STATE:
+                incoming[p] = (b["first_user"], tuple(end))
+        prev = p
     return incoming
 
 
@@ -229,24 +242,27 @@ def sequence_trace(clicks: DataFrame, within_minutes: int = DEFAULT_WINDOW_MINUT
     if require_demographics:
         clicks = eligible(clicks)
     layout = fold_layout(clicks, partitions)
-    summ = _summaries(layout, {}, window_us)
-    ends: dict = {}
-    verified: dict = {}
-    incoming = _chain(summ, ends, verified)
-    # A partition holding a single visitor hands its incoming state on, so
-    # its end state must be re-folded from that state. Only those partitions
-    # are re-read, and only until the chain stops changing.
+    bounds = _bounds(layout)
+    pids = sorted(bounds)
+    # partitions whose last visitor continues in the next partition
+    carry = {p: bounds[p]["last_user"] for p, q in zip(pids, pids[1:])
+             if bounds[q]["first_user"] == bounds[p]["last_user"]}
+    tail_end = _tail_ends(layout, carry, {}, window_us)
+    verified_end: dict = {}
+    verified_in: dict = {}
+    incoming = _chain(bounds, tail_end, verified_end, verified_in)
+    # A single-visitor partition hands its incoming state on: re-fold those
+    # (only they depend on it) until the chain stops changing.
     for _ in range(max_rounds):
-        todo = {pid for pid in incoming
-                if summ[pid]["first_user"] == summ[pid]["last_user"] and verified.get(pid) != incoming[pid]}
+        todo = {p for p in incoming if p in carry and bounds[p]["first_user"] == bounds[p]["last_user"]
+                and verified_in.get(p) != incoming[p]}
         if not todo:
             break
-        fresh = _summaries(layout, incoming, window_us, todo)
-        for pid in todo:
-            r = fresh[pid]
-            ends[pid] = (r["st"], r["first_us"], r["first_pid"], r["last_pid"])
-            verified[pid] = incoming[pid]
-        incoming = _chain(summ, ends, verified)
+        fresh = _tail_ends(layout, {p: carry[p] for p in todo}, incoming, window_us)
+        for p in todo:
+            verified_end[p] = fresh[p]
+            verified_in[p] = incoming[p]
+        incoming = _chain(bounds, tail_end, verified_end, verified_in)
     else:
         raise RuntimeError("sequence fold: partition chain did not settle")
     trace = layout.mapInPandas(_partition_folder(incoming, window_us, "trace"), TRACE_SCHEMA)

@@ -4,11 +4,12 @@
 visitor's clicks where one visitor may hold a third of the data (P11/W3)
 would put everything into one task with a plain window. Here the rows are
 range-partitioned on the order (the sampler splits hot keys over several
-contiguous partitions), sorted inside each partition and checkpointed. One
-parallel pass returns a fixed-size summary per partition (its first and last
-row, a partial sum); the driver combines the P summaries (P = partition
-count, not data size) into each partition's boundary values; a second
-parallel pass computes the row values with vectorised pandas code.
+contiguous partitions), sorted inside each partition and checkpointed. A
+fixed-size summary per partition (last row or row count from a JVM
+aggregate; first/last value and a partial sum from a pandas pass where the
+summary needs row-to-row differences) is combined on the driver -- P rows,
+P = partition count, not data size -- into each partition's boundary
+values; one more parallel pass computes the rows with vectorised pandas.
 """
 
 from __future__ import annotations
@@ -68,13 +69,14 @@ def drop_refreshes(clicks: DataFrame, key: str = "userId", order: tuple = ("time
     """
     cols = [key, *order, value]
     layout = ordered_layout(clicks.select(*cols).filter(F.col(key).isNotNull()), [key, *order], partitions)
-    edges = _edges(layout, [key, value], f"pid int, first_{key} string, last_{key} string, "
-                                         f"first_{value} string, last_{value} string")
+    # last row of every partition = max of the sort key (JVM aggregate, P rows)
+    sort_key = F.struct(key, *order)
+    lasts = layout.groupBy("_pid").agg(F.max_by(F.struct(key, value), sort_key).alias("last")).collect()
     prev = {}
     last = None
-    for pid, r in edges.items():
-        prev[pid] = last
-        last = (r[f"last_{key}"], r[f"last_{value}"])
+    for r in sorted(lasts, key=lambda r: r["_pid"]):
+        prev[r["_pid"]] = last
+        last = (r["last"][key], r["last"][value])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         before = None
@@ -169,12 +171,11 @@ def replay_schedule(log: DataFrame, order: str = "event_id", t: str = "original_
 def untimed_schedule(log: DataFrame, order: str = "event_id", partitions: int | None = None) -> DataFrame:
     """W2, untimed mode: fixed 0.2 s spacing in file order (rank * 0.2)."""
     layout = ordered_layout(log.select(order), [order], partitions)
-    edges = _edges(layout, [order], f"pid int, first_{order} long, last_{order} long, partial long",
-                   lambda pdf, acc, carry: ((acc or 0) + len(pdf), None))
+    counts = layout.groupBy("_pid").count().collect()  # JVM aggregate, P rows
     start, run_n = {}, 0
-    for pid, r in edges.items():
-        start[pid] = run_n
-        run_n += r["partial"]
+    for r in sorted(counts, key=lambda r: r["_pid"]):
+        start[r["_pid"]] = run_n
+        run_n += r["count"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         k = None

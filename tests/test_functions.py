@@ -131,3 +131,18 @@ def test_ip_to_long_malformed(spark):
     from clickweave.operators.range_join import ip_to_long
     rows = [("10.1.2.3",), ("1.2.3",), ("a.b.c.d",), (None,), ("1.2.3.4.5",), ("",)]
     assert one(spark, ip_to_long("ip"), "ip string", rows) == [167838211, None, None, None, None, None]
+
+
+def test_small_text_helpers(spark):
+    from clickweave.functions.visitors import valid_age
+    from clickweave.operators.metrics import product_by_id
+    df = spark.createDataFrame([("42", "u7", "shop", "clicks", "img.png", "offer1", "tok\nen\n",
+                                 "https://portal-api.dev.example.io/x", 17)],
+                               "p string, u string, w string, t string, i string, o string, s string, url string, a int")
+    r = df.select(T.product_key("p"), T.visitor_key("u"), T.topic_id("w", "t"), T.product_image_path("i"),
+                  T.offer_image_path("o"), T.strip_first_line_feed("s"), T.subdomain("url"),
+                  T.subdomain(F.lit("http://other")), valid_age("a")).first()
+    assert tuple(r) == ("product:42", "visitor:u7", "shop-clicks", "assets/products/img.png", "assets/offer1.png",
+                        "token\n", "dev", "platform", False)
+    products = spark.createDataFrame([("1", "a"), ("2", "b")], "id string, category string")
+    assert [x.category for x in product_by_id(products, "2").collect()] == ["b"]

@@ -50,8 +50,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_shared_dir(spark)
-    return spark
+    return prepare(spark)
 
 
 # Runtime SQL settings the library needs on *any* session it is handed:
@@ -65,14 +64,33 @@ RUNTIME_CONF = {
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the library's runtime settings and the shared folder to a session."""
+    """Apply the library's runtime settings and the shared folder to a session,
+    and ship the package to the Python workers."""
     for k, v in RUNTIME_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
     ensure_shared_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make the package's code available to every Python worker.
+
+    Operators that run pandas code in tasks (``mapInPandas``, the keyed-state
+    processor) use functions of this package. Registering the package with
+    PySpark's cloudpickle as pickle-by-value sends that code with each task,
+    so executors and the streaming state runner never need to import it
+    (no files to distribute, works from any working directory).
+    """
+    import sys
+
+    from pyspark import cloudpickle
+    pkg = sys.modules[__name__.rsplit(".", 1)[0]]
+    if pkg.__name__ not in getattr(cloudpickle.cloudpickle, "_PICKLE_BY_VALUE_MODULES", set()):
+        cloudpickle.register_pickle_by_value(pkg)
+
+
 def ensure_shared_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset."""
     d = spark.conf.get("spark.checkpoint.dir", None) or None

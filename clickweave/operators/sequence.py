@@ -230,8 +230,7 @@ def fold_layout(clicks: DataFrame, partitions: int | None = None) -> DataFrame:
 
 
 def sequence_trace(clicks: DataFrame, within_minutes: int = DEFAULT_WINDOW_MINUTES,
-                   partitions: int | None = None, max_rounds: int = 64,
-                   require_demographics: bool = False) -> DataFrame:
+                   partitions: int | None = None, require_demographics: bool = False) -> DataFrame:
     """Accepted transitions of every visitor (state entered per click).
 
     Input needs userId, timestamp, event_id, productId, category, gender,
@@ -252,8 +251,11 @@ def sequence_trace(clicks: DataFrame, within_minutes: int = DEFAULT_WINDOW_MINUT
     verified_in: dict = {}
     incoming = _chain(bounds, tail_end, verified_end, verified_in)
     # A single-visitor partition hands its incoming state on: re-fold those
-    # (only they depend on it) until the chain stops changing.
-    for _ in range(max_rounds):
+    # (only they depend on it) until the chain stops changing. Each round
+    # fixes at least the first unverified partition of every chain, so it
+    # ends after at most (longest run of single-visitor partitions + 1)
+    # rounds; usually the first re-fold already agrees.
+    while True:
         todo = {p for p in incoming if p in carry and bounds[p]["first_user"] == bounds[p]["last_user"]
                 and verified_in.get(p) != incoming[p]}
         if not todo:
@@ -263,8 +265,6 @@ def sequence_trace(clicks: DataFrame, within_minutes: int = DEFAULT_WINDOW_MINUT
             verified_end[p] = fresh[p]
             verified_in[p] = incoming[p]
         incoming = _chain(bounds, tail_end, verified_end, verified_in)
-    else:
-        raise RuntimeError("sequence fold: partition chain did not settle")
     trace = layout.mapInPandas(_partition_folder(incoming, window_us, "trace"), TRACE_SCHEMA)
     return trace.select("userId", "event_id",
                         F.timestamp_micros("us").cast("timestamp_ntz").alias("timestamp"),

@@ -101,3 +101,20 @@ def test_sf_offers_stable_across_partitions(spark):
     a = sorted(tuple(r) for r in S.detect_offers(e, 1440, 3).collect())
     b = sorted(tuple(r) for r in S.detect_offers(e, 1440, 64).collect())
     assert a == b and len(a) == 26
+
+
+def test_sequence_spanning_every_partition(spark):
+    """One visitor's sequence stays open across all partitions (a long run of
+    refreshes of its first product), so every partition's speculative start
+    is wrong and the chain must be verified partition by partition."""
+    rows = [("h", 0, T0, "A", "clothing", "F", 30, 1)]
+    rows += [("h", i, T0 + dt.timedelta(milliseconds=100 * i), "A", "clothing", "F", 30, 1) for i in range(1, 3000)]
+    rows += [("h", 3000, T0 + dt.timedelta(minutes=6), "S", "shoes", "F", 30, 1),
+             ("h", 3001, T0 + dt.timedelta(minutes=7), "B", "clothing", "F", 30, 1),
+             ("x", 3002, T0, "A", "clothing", "M", 40, 1)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = sorted((r.userId, r.event_id, r.offer) for r in S.detect_offers(df, 30, 25).collect())
+    assert got == [("h", 3001, "offer2")]
+    # the init-anchored speculation would have restarted the sequence mid-run;
+    # with the anchor at T0, a 31-minute window still holds, a 5-minute one does not
+    assert sorted((r.userId, r.event_id) for r in S.detect_offers(df, 5, 25).collect()) == []

@@ -22,9 +22,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def layout_partitions(df: DataFrame, partitions: int | None = None) -> int:
+    """Range partitions for a layout: sized by the data, not a fixed setting.
+
+    At least as many as the input's own partitions (file splits of about
+    ``spark.sql.files.maxPartitionBytes`` each, so a range partition stays a
+    task-sized slice however large the input), and never fewer than
+    ``spark.sql.shuffle.partitions``.
+    """
+    if partitions:
+        return partitions
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
+
+
 def ordered_layout(df: DataFrame, order: list[str], partitions: int | None = None) -> DataFrame:
     """Range-partition + sort on ``order``, checkpoint, tag partition ids."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = layout_partitions(df, partitions)
     laid = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
     return laid.withColumn("_pid", F.spark_partition_id())
 

@@ -49,6 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.visitors import FEMALE_AGE_RANGE, MALE_AGE_RANGE, OFFER_MALE, OFFER_OTHER
+from .ordered import layout_partitions
 
 # fixed values: state names and the categories the rule reacts to
 INIT, CLOTHES, SHOES, OFFER = "init", "clothes_visited", "shoes_visited", "offer"
@@ -204,8 +205,7 @@ def eligible(clicks: DataFrame) -> DataFrame:
 
 def fold_layout(clicks: DataFrame, partitions: int | None = None) -> DataFrame:
     """Range-partitioned, sorted, checkpointed fold input with partition ids."""
-    spark = clicks.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = layout_partitions(clicks, partitions)
     cols = clicks.select(
         F.col("userId").cast("string").alias("userId"),
         F.unix_micros(F.col("timestamp").cast("timestamp")).alias("us"),

@@ -179,6 +179,11 @@ def device_popularity(df: DataFrame, as_of: Column, within: str = "10 minutes",
     return out.drop("_total")
 
 
+def grand_total(df: DataFrame, value: str = "count", name: str = "total") -> DataFrame:
+    """Sum of a count column (one row; 0 for an empty table)."""
+    return df.agg(F.coalesce(F.sum(value), F.lit(0)).cast("long").alias(name))
+
+
 def axis_bound(counts: DataFrame, value: str = "count") -> DataFrame:
     """Chart upper bound ``max(1, max(count))``; 1 for an empty table."""
     return counts.agg(F.greatest(F.lit(1), F.coalesce(F.max(value), F.lit(1))).cast("long").alias("bound"))

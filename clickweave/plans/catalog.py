@@ -194,6 +194,12 @@ def q_device_share(spark, sf):
     return M.device_popularity(b, as_of, DEVICE_WINDOW, with_share=True)
 
 
+def q_device_total(spark, sf):
+    """G8: "Total devices" = sum of the device pivot."""
+    b, as_of = _buffer(spark, sf)
+    return M.grand_total(M.device_popularity(b, as_of, DEVICE_WINDOW), "Total", "total_devices")
+
+
 def q_axis_bound(spark, sf):
     b, _ = _buffer(spark, sf)
     return M.axis_bound(M.category_popularity(b))
@@ -406,6 +412,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "device_counts": q_device_counts,
     "device_popularity": q_device_popularity,
     "device_share": q_device_share,
+    "device_total": q_device_total,
     "axis_bound": q_axis_bound,
     "category_list": q_category_list,
     "category_filter": q_category_filter,

@@ -231,6 +231,9 @@ def _batch_oracles() -> dict[str, str]:
                                            f"{AS_OF} - {_secs(C.DEVICE_WINDOW)} AND deviceType IS NOT NULL GROUP BY 1"),
         "device_popularity": _device_pivot(False),
         "device_share": _device_pivot(True),
+        "device_total": _with(BUFFER_CTE, "SELECT CAST(count(*) AS BIGINT) AS total_devices FROM buffer "
+                                          f"WHERE timestamp > {AS_OF} - {_secs(C.DEVICE_WINDOW)} "
+                                          "AND deviceType IS NOT NULL"),
         "axis_bound": _with(BUFFER_CTE, "SELECT CAST(greatest(1, COALESCE(max(count), 1)) AS BIGINT) AS bound FROM ("
                                         "SELECT category, count(*) AS count FROM buffer WHERE category IS NOT NULL "
                                         "GROUP BY 1)"),

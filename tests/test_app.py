@@ -37,3 +37,34 @@ def test_end_to_end_services(spark, tmp_path):
     marts = app.refresh_dashboard(spark, base, F.lit(dt.datetime(2024, 3, 1, 12, 5)).cast("timestamp_ntz"))
     top = spark.read.parquet(app.paths(base)["marts"] + "/products_last_hour").collect()
     assert sum(r["count"] for r in top) == 4 and "sessions" in marts
+
+
+def test_dimension_update_seen_by_next_batch(spark, tmp_path):
+    """The enrichment re-reads dimensions per micro-batch."""
+    from clickweave.streaming.jobs import start_enrichment
+    from clickweave.streaming.sources import CLICK_SCHEMA, file_stream
+    base = shared_path(spark, "j9")
+    p = app.paths(base)
+    (tmp_path / "p1.json").write_text('[{"id": "A", "category": "shoes", "title": "T", "description": "", '
+                                      '"image": "", "price": 1}]')
+    (tmp_path / "p2.json").write_text('[{"id": "A", "category": "clothing", "title": null, "description": "", '
+                                      '"image": "", "price": 1}]')
+    (tmp_path / "u.json").write_text('{"userId": "v", "birthDate": null, "gender": "F"}\n')
+    app.ingest_lookups(spark, base, str(tmp_path / "p1.json"), str(tmp_path / "u.json"))
+
+    def click(i):
+        row = (i, dt.datetime(2024, 1, 1, 0, i), None, "v", "10.0.0.1", None, None, None, "A")
+        spark.createDataFrame([row], CLICK_SCHEMA).write.mode("append").parquet(p["clicks"])
+
+    def run():
+        q = start_enrichment(file_stream(spark, p["clicks"], CLICK_SCHEMA), lambda: app.load_dims(spark, base),
+                             p["enriched"], f"{p['checkpoints']}/e")
+        q.awaitTermination()
+
+    click(1)
+    run()
+    app.ingest_lookups(spark, base, str(tmp_path / "p2.json"), None)  # category changes, title kept
+    click(2)
+    run()
+    got = {r.event_id: (r.category, r.title) for r in spark.read.parquet(p["enriched"]).collect()}
+    assert got == {1: ("shoes", "T"), 2: ("clothing", "T")}

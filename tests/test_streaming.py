@@ -87,3 +87,20 @@ def test_offers_stream_restart_from_checkpoint(spark):
     got = sorted(tuple(r) for r in spark.read.parquet(out).select("userId", "event_id", "offer").collect())
     expect = sorted(tuple(r) for r in detect_offers(e, 1440).select("userId", "event_id", "offer").collect())
     assert got == expect and len(expect) == 26
+
+
+def test_bucket_counts_restart_from_checkpoint(spark):
+    """Two runs on one checkpoint give the batch (bucket, visitor) counts."""
+    from clickweave.sources import testbed as TB
+    from clickweave.streaming.sources import stage_time_slices
+    from tests.conftest import SF_SMALL
+    c = TB.clicks(spark, SF_SMALL)
+    split = c.agg(F.percentile_approx(F.unix_micros(F.col("timestamp").cast("timestamp")), 0.5)).first()[0]
+    us = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    src, out, ck = shared_path(spark, "src"), shared_path(spark, "buckets"), shared_path(spark, "ck")
+    for half in (c.filter(us < split), c.filter(us >= split)):
+        stage_time_slices(half, src, 2, 2)
+        P.start_bucket_counts(file_stream(spark, src, c.schema, max_files_per_trigger=2), out, ck).awaitTermination()
+    from clickweave.operators.metrics import user_bucket_counts
+    got = sorted(tuple(r) for r in P.latest_bucket_counts(spark, out).collect())
+    assert got == sorted(tuple(r) for r in user_bucket_counts(c).collect())

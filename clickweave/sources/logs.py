@@ -49,7 +49,7 @@ def log_tail(log: DataFrame, keep: int = 10, show: int = 8) -> DataFrame:
 def column_json(df: DataFrame, name: str) -> DataFrame:
     """K4: a small result table as one column-oriented JSON document
     ``{"col": {"0": v, "1": v, ...}, ...}`` (index = position after sorting
-    by all columns; datetimes as epoch milliseconds).
+    by all columns; datetimes and dates as epoch milliseconds).
 
     A document is one value, so the input must be a bounded mart (top-k,
     pivot, per-category counts); it is gathered by one aggregate.
@@ -57,7 +57,7 @@ def column_json(df: DataFrame, name: str) -> DataFrame:
     conv = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if f.dataType.typeName() in ("timestamp", "timestamp_ntz"):
+        if f.dataType.typeName() in ("timestamp", "timestamp_ntz", "date"):
             c = F.unix_millis(c.cast("timestamp"))
         conv.append(c.alias(f.name))
     rows = F.array_sort(F.collect_list(F.struct(*conv)))

@@ -147,8 +147,14 @@ def start_trace(enriched_stream: DataFrame, out_path: str, checkpoint: str, with
 # --------------------------------------------------------------- X6/X11 marts
 
 def refresh_marts(spark: SparkSession, enriched_path: str, buckets_path: str | None, out_dir: str,
-                  as_of: Column, buffer: str = "1 hour") -> dict[str, DataFrame]:
-    """Recompute every dashboard mart from one snapshot of the trailing buffer."""
+                  as_of: Column, buffer: str = "1 hour", documents: bool = True) -> dict[str, DataFrame]:
+    """Recompute every dashboard mart from one snapshot of the trailing buffer.
+
+    Each mart is written as a table under its key (K3); with ``documents``
+    the same marts are also written as one (key, JSON) row each (K4) in
+    ``<out_dir>/documents`` -- every mart is bounded (top-k, pivot, per
+    category / minute / bucket), so each document is one small aggregate.
+    """
     since = as_of - M.interval(buffer)
     snap = M.trailing(read_enriched(spark, enriched_path, since), as_of, buffer).persist()
     try:
@@ -165,6 +171,13 @@ def refresh_marts(spark: SparkSession, enriched_path: str, buckets_path: str | N
             marts["sessions"] = M.visitors_per_bucket(recent, as_of)
         for name, df in marts.items():
             df.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/{name}")
+        if documents:
+            from ..sources.logs import column_json
+            docs = [column_json(spark.read.parquet(f"{out_dir.rstrip('/')}/{n}"), n) for n in marts]
+            union = docs[0]
+            for d in docs[1:]:
+                union = union.unionByName(d)
+            union.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/documents")
     finally:
         snap.unpersist()
     return marts

@@ -49,6 +49,10 @@ def test_marts_refresh_and_clock(spark):
     dev = {r["Device type"]: r["Total"] for r in spark.read.parquet(f"{out}/device_type_popularity").collect()}
     assert dev == {"Desktop": 3, "Tablet": 0, "Mobile": 3, "Other": 4}  # minutes 80..89 (> 79): 4 bots
     assert spark.read.parquet(f"{out}/latest_visitors").count() == 10
+    docs = {r.key: r.value for r in spark.read.parquet(f"{out}/documents").collect()}
+    assert set(docs) == {"last_15_minutes", "products_last_hour", "latest_visitors", "category_popularity",
+                         "device_type_popularity", "raw_data"}
+    assert docs["category_popularity"] == '{"category":{"0":"clothing"},"count":{"0":60}}'
     # the clock: a rate source ticks the same refresh (as_of = now, so empty windows)
     out2, ck = shared_path(spark, "marts2"), shared_path(spark, "ck-marts")
     q = P.start_marts(spark, enriched_path, None, out2, ck, period="1 second")

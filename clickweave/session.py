@@ -2,9 +2,8 @@
 
 Everything that the library writes between stages (checkpoints, stream
 state, mart tables) goes under the folder the cluster names in
-``spark.checkpoint.dir``. We read that setting from the session and only
-fall back to a fresh scratch folder when it is unset, which is the case in
-local tests.
+``spark.checkpoint.dir`` or the context's checkpoint folder. Only a local
+master without either, as in tests, gets a fresh scratch folder.
 """
 
 from __future__ import annotations
@@ -92,16 +91,20 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def ensure_shared_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset."""
+    """The shared folder: the context's checkpoint folder, else ``spark.checkpoint.dir``.
+
+    Where neither is set, a local master (tests) gets a scratch folder; on a cluster that
+    would be a different disk on each machine, so there it is an error.
+    """
+    sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or None
-    if d:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(d)
-        return d
-    d = tempfile.mkdtemp(prefix="clickweave-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    if sc.getCheckpointDir() is None:
+        if d is None:
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            d = tempfile.mkdtemp(prefix="clickweave-ckpt-")
+        sc.setCheckpointDir(d)
+    return d or sc.getCheckpointDir()
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:

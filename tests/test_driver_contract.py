@@ -16,12 +16,15 @@ def test_entry_runs(spark):
 
 def test_every_query_has_an_oracle_but_json(spark):
     import __spark_entry__ as E
-    assert set(E.queries()) - set(E.oracle_sql()) == {"snapshot_json"}
+    from clickweave.plans.catalog import QUERIES
+    assert set(QUERIES) <= set(E.queries())
+    assert set(QUERIES) - set(E.oracle_sql()) == {"snapshot_json"}
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_all_queries_match_oracle_small(spark):
     from oracle_check import check
-    res = check(spark, SF_SMALL, verbose=False)
+    from clickweave.plans.catalog import QUERIES
+    res = check(spark, SF_SMALL, list(QUERIES), verbose=False)
     bad = {k: v for k, v in res.items() if v[0] not in ("match", "rows-only")}
     assert not bad, bad

@@ -4,6 +4,7 @@ import os
 import subprocess
 import sys
 import tempfile
+import textwrap
 
 REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -27,3 +28,24 @@ def test_entry_from_foreign_cwd_and_session():
     assert "ENTRY" in out.stdout, out.stderr[-2000:]
     lines = dict(line.split() for line in out.stdout.splitlines() if line.startswith(("ENTRY", "REFRESH")))
     assert int(lines["ENTRY"]) >= 1 and int(lines["REFRESH"]) > 0
+
+
+def test_context_checkpoint_folder_is_enough(tmp_path):
+    """A session whose only setting is sc.setCheckpointDir runs the entry."""
+    code = textwrap.dedent(f"""
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+        assert not spark.conf.get("spark.checkpoint.dir", None)
+        spark.sparkContext.setCheckpointDir({str(tmp_path / 'shared')!r})
+        import sys
+        sys.path.insert(0, {REPO!r})
+        import __spark_entry__ as E
+        assert E.entry(spark).count() >= 0
+        import os
+        assert any(os.scandir({str(tmp_path / 'shared')!r}))
+    """)
+    conf = tmp_path / "conf"
+    conf.mkdir()
+    env = {k: v for k, v in os.environ.items()} | {"SPARK_CONF_DIR": str(conf)}
+    r = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert r.returncode == 0, r.stderr[-3000:]

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.llm import byte_shards, link_trust, nra_topk, poisson_mix, vector_pack
+from clickweave.llm import byte_shards, line_runs, link_trust, nra_topk, poisson_mix, radix_dedup, vector_pack
 from clickweave.llm.common import table
 
 # op7: target share of each source; all others and null share OTHER_SHARE.
@@ -26,6 +26,16 @@ RULES = (
 )
 
 
+def op2_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return radix_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_runs.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", F.col("_line_n").cast("long").alias("n_lines"), F.col("_line_lost").cast("long").alias("n_dropped"),
+        F.sha2(F.col("_line_kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_pack.pack(table(spark, sf_dir, "documents"))
 
@@ -46,8 +56,33 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards.byte_shards(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op6_best_fit_packing, op7_poisson_mix, op8_exact_topk, op9_url_filter, op10_byte_shards)}
+QUERIES = {f.__name__: f for f in (op2_radix_dedup, op3_line_dedup, op6_best_fit_packing, op7_poisson_mix, op8_exact_topk, op9_url_filter, op10_byte_shards)}
+
+
+OP2 = """
+WITH t AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents
+), g AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY norm)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(norm) AS text_sha256
+FROM t JOIN g USING (norm)
+"""
+
+OP3 = """
+WITH l AS (
+  SELECT doc_id, pos, line,
+         translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents)
+), shared AS (
+  SELECT key, min(doc_id) AS first_id FROM l WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1
+), marked AS (
+  SELECT doc_id, pos, line, first_id IS NOT NULL AND first_id <> doc_id AS gone FROM l LEFT JOIN shared USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_radix_dedup": OP2, "op3_line_dedup": OP3}

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.llm import byte_shards, line_runs, link_trust, nra_topk, poisson_mix, radix_dedup, vector_pack
-from clickweave.llm.common import table
+from clickweave.llm import byte_shards, crf_langid, line_runs, link_trust, lsa_knn, nra_topk, poisson_mix, radix_dedup, vector_pack
+from clickweave.llm.common import fold_of, is_held_out, table
 
 # op7: target share of each source; all others and null share OTHER_SHARE.
 TARGETS = {"src0": 0.10} | {f"src{i}": 0.88 / 19 for i in range(1, 20)}
@@ -26,6 +26,12 @@ RULES = (
 )
 
 
+def op1_crf_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = crf_langid.fit(crf_langid.training_sample(docs, fold_of() != 2))
+    return crf_langid.predict(docs, model).select("doc_id", is_held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op2_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -36,6 +42,13 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("_line_kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_knn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = lsa_knn.fit(*lsa_knn.training_sample(docs, table(spark, sf_dir, "labels"), fold_of() != 2))
+    return lsa_knn.score(docs, model).select("doc_id", is_held_out().alias("held_out"), "score",
+                                             (F.col("score") >= lsa_knn.PREDICT_AT).cast("int").alias("predicted"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_pack.pack(table(spark, sf_dir, "documents"))
 
@@ -56,7 +69,7 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards.byte_shards(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_radix_dedup, op3_line_dedup, op6_best_fit_packing, op7_poisson_mix, op8_exact_topk, op9_url_filter, op10_byte_shards)}
+QUERIES = {f.__name__: f for f in (op1_crf_langid, op2_radix_dedup, op3_line_dedup, op5_knn_quality, op6_best_fit_packing, op7_poisson_mix, op8_exact_topk, op9_url_filter, op10_byte_shards)}
 
 
 OP2 = """

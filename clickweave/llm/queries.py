@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.llm import byte_shards, crf_langid, line_runs, link_trust, lsa_knn, nra_topk, poisson_mix, radix_dedup, vector_pack
+from clickweave.llm import byte_shards, crf_langid, line_runs, link_trust, lsa_knn, lsh_forest, nra_topk, poisson_mix, radix_dedup, vector_pack
 from clickweave.llm.common import fold_of, is_held_out, table
 
 # op7: target share of each source; all others and null share OTHER_SHARE.
@@ -42,6 +42,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("_line_kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op4_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_groups(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op5_knn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = lsa_knn.fit(*lsa_knn.training_sample(docs, table(spark, sf_dir, "labels"), fold_of() != 2))
@@ -69,7 +73,7 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards.byte_shards(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_crf_langid, op2_radix_dedup, op3_line_dedup, op5_knn_quality, op6_best_fit_packing, op7_poisson_mix, op8_exact_topk, op9_url_filter, op10_byte_shards)}
+QUERIES = {f.__name__: f for f in (op1_crf_langid, op2_radix_dedup, op3_line_dedup, op4_lsh_forest, op5_knn_quality, op6_best_fit_packing, op7_poisson_mix, op8_exact_topk, op9_url_filter, op10_byte_shards)}
 
 
 OP2 = """

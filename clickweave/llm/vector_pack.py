@@ -24,6 +24,7 @@ import heapq
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -37,7 +38,7 @@ from clickweave.llm.common import written
 TOKENIZER = "byte_bpe_50k.json"
 MAX_TOKENS, MAX_DOCS = 2048, 512
 GROUP_ROWS = 2048
-CACHE_WORDS = 300_000
+CACHE_WORDS = 400_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
 
@@ -53,31 +54,82 @@ def tokenizer_file(name: str) -> str:
 class IdBytes:
     """Texts to their ids, as little-endian unsigned 32-bit bytes.
 
-    A byte-level pre-tokeniser never joins what lies on both sides of a single space
-    between two other characters, except that the space starts the next token. So a text
-    is cut there and each distinct part is encoded once; runs of white space stay whole.
+    A byte-level pre-tokeniser always starts a token at a single space or line feed between
+    two other characters, after such a line feed, and where end marks follow a letter or
+    digit. A text is cut at those places and each distinct piece is encoded once; runs
+    of white space stay whole.
     """
 
     CUT = re.compile(r"(?<=\S) (?=\S)")
     UNEVEN = re.compile(r"\s\s|\A\s|\s\Z")
+    END_MARKS = ".,;:!?"
 
     def __init__(self, name: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer_file(name))
-        self.known: dict[str, bytes] = {}
+        self.spaced: dict[str, bytes] = {}  # what follows a space: ids with that space
+        self.bare: dict[str, bytes] = {}
+        self.old_spaced: dict[str, bytes] = {}  # the last generation: what is used again moves up
+        self.old_bare: dict[str, bytes] = {}
+
+    def _split(self, part: str) -> tuple[list[str], list[str]]:
+        """(body and end marks, if it can be cut there; lines, if it can be cut into some)."""
+        if "\n" in part:
+            lines = part.split("\n")
+            if all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
+                return [], lines
+            return [], []
+        body = part.rstrip(self.END_MARKS)
+        return ([body, part[len(body):]], []) if body and len(body) < len(part) and body[-1].isalnum() else ([], [])
+
+    def _learn(self, parts: set[str], known: dict[str, bytes], lead: str) -> None:
+        """Add the ids of ``lead`` + part for each new part."""
+        ends, lined, whole, lines = [], [], set(), set()
+        for x in self._move_up(parts, known):
+            cut_end, cut_lines = self._split(x)
+            if cut_end:
+                ends.append((x, *cut_end))
+                whole.add(cut_end[0])
+                lines.add(cut_end[1])
+            elif cut_lines:
+                lined.append((x, cut_lines))
+                whole.add(cut_lines[0])
+                lines.update(cut_lines[1:])
+            else:
+                whole.add(x)
+        self._encode(self._move_up(whole - known.keys(), known), known, lead)
+        self._encode(self._move_up(lines - self.bare.keys(), self.bare), self.bare, "")
+        for x, body, marks in ends:
+            known[x] = known[body] + self.bare[marks]
+        for x, cut_lines in lined:
+            known[x] = known[cut_lines[0]] + b"".join(self.line_feed + self.bare[line] for line in cut_lines[1:])
+
+    def _move_up(self, parts: set[str], known: dict[str, bytes]) -> set[str]:
+        """What neither generation knows; the rest is copied into ``known``."""
+        old = self.old_spaced if known is self.spaced else self.old_bare
+        again = parts & old.keys()
+        known.update((x, old[x]) for x in again)
+        return parts - again
+
+    def _encode(self, parts: Iterable[str], known: dict[str, bytes], lead: str) -> None:
+        todo = [lead + x for x in parts]
+        for x, e in zip(todo, self.tokenizer.encode_batch_fast(todo, add_special_tokens=False), strict=True):
+            known[x[len(lead):]] = array("I", e.ids).tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
+        if len(self.spaced) + len(self.bare) > CACHE_WORDS:
+            self.old_spaced, self.old_bare, self.spaced, self.bare = self.spaced, self.bare, {}, {}
+        if "\n" not in self.bare:
+            self._encode(["\n"], self.bare, "")
+        self.line_feed = self.bare["\n"]
         parts = [self.CUT.split(t) if self.UNEVEN.search(t) else t.split(" ") for t in texts]
+        heads = [p[0] for p in parts]
         for p in parts:
-            p[1:] = [" " + x for x in p[1:]]
-        new = list({x for p in parts for x in p if x not in self.known})
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known = {}
-            new = list({x for p in parts for x in p})
-        for x, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[x] = np.array(e.ids, "<u4").tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, p)) for p in parts]
+            del p[0]
+        self._learn(set().union(*parts) - self.spaced.keys(), self.spaced, " ")
+        self._learn(set(heads) - self.bare.keys(), self.bare, "")
+        get = self.spaced.__getitem__
+        return [self.bare[h] + b"".join(map(get, p)) for h, p in zip(heads, parts, strict=True)]
 
 
 def cut(n: int, size: int) -> Iterator[tuple[int, int]]:

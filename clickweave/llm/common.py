@@ -27,6 +27,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def aside(docs: DataFrame, *needed: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` with all columns but the needed ones under names of our own, by position, so
+    that no name of the input clashes with one in use; and the names."""
+    names = [c if c in needed else f"_in_{i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*names), names
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     ensure_shared_dir(df.sparkSession)
     return df.checkpoint()

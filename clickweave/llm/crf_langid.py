@@ -210,7 +210,7 @@ def fit(rows: Sequence[tuple[str, str]], epochs: int = EPOCHS, rate: float = RAT
     past = [np.full_like(x, 1e-8) for x in (weights, words_w, t_w, s_w)]
 
     def soft(x: np.ndarray) -> np.ndarray:
-        e = np.exp(x - x.max(-1, keepdims=True))
+        e = np.exp(x - x.max(-1, keepdims=True, initial=-np.inf))
         return e / e.sum(-1, keepdims=True)
 
     def ascend(x: np.ndarray, grad: np.ndarray, sums: np.ndarray) -> None:

@@ -21,8 +21,7 @@ document by id and text hash. Texts are shuffled once, for that.
 Rows: a null or empty text is one empty line. Rows with a null id count as one document
 with the largest id. Rows that repeat an id are one document: what one of them holds
 first, all keep. Lines of any number and length are kept whole. Extra columns are kept by
-``dedup_lines`` (names starting ``_line_`` are its own); an empty table gives an empty
-result.
+``dedup_lines``; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,7 +31,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import ascii_lower, shared_path, shuffle_partitions, written
+from clickweave.llm.common import ascii_lower, aside, shuffle_partitions, written
+from clickweave.session import shared_path
 
 MIN_CHARS = 10
 BLANK = " \t\n\x0b\x0c\r"
@@ -144,6 +144,8 @@ def lost_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The documents with _line_n (lines before), _line_lost (lines dropped) and
     _line_kept (the text that is left)."""
+    columns = docs.columns
+    docs, names = aside(docs, id_col, text_col)
     lost = lost_lines(docs, id_col, text_col, **how)
     lost = lost.select(F.col("_id").alias("_line_id"), F.col("_text").alias("_line_text"), F.col("_lost").alias("_line_gone"))
     here = docs.withColumns({"_line_key": F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)),
@@ -156,4 +158,4 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .withColumn("_line_n", F.size("_line_all"))
             .withColumn("_line_lost", F.coalesce(F.size("_line_gone"), F.lit(0)))
             .withColumn("_line_kept", kept)
-            .drop("_line_key", "_line_hash", "_line_id", "_line_text", "_line_gone", "_line_all"))
+            .select(*names, "_line_n", "_line_lost", "_line_kept").toDF(*columns, "_line_n", "_line_lost", "_line_kept"))

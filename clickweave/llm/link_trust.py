@@ -16,7 +16,8 @@ itself. A host is blocked when its distrust reaches ``threshold`` and exceeds it
 Everything is DataFrame expressions. Pages are pre-aggregated to one row per host and
 per host edge before the first shuffle, so a host holding most pages is one row; each
 PageRank step joins edges with scores (AQE splits a hub's edges) and sums partially.
-The scores are checkpointed every few steps.
+The scores are checkpointed every few steps. The blocked hosts are written before they
+meet the pages, so that AQE can split the host with most pages.
 
 Rows: a null url or one without ``://`` has empty host and path, fits no rule and is
 allowed, as nothing speaks against it. Null html has no links. Repeated rows count as
@@ -31,11 +32,11 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import ascii_lower, checkpointed
+from clickweave.llm.common import ascii_lower, checkpointed, written
 
 LINK = r"""(?i)\bhref\s*=\s*["']?\s*[a-z][a-z0-9+.-]*://([^/?#"'<>\s]*)"""
 DAMPING, STEPS, THRESHOLD, DIGITS = 0.85, 12, 0.5, 9
-CHECKPOINT_EVERY = 6
+CHECKPOINT_EVERY = 4
 
 
 class Rule(NamedTuple):
@@ -121,9 +122,9 @@ def host_scores(pages: DataFrame, rules: Sequence[Rule], damping: float = DAMPIN
 def judge_urls(pages: DataFrame, rules: Sequence[Rule], keep: Sequence[str] = ("page_id",), damping: float = DAMPING,
                steps: int = STEPS, threshold: float = THRESHOLD) -> DataFrame:
     """``keep`` columns, host, path, rule and verdict of every page."""
-    blocked = (host_scores(pages, rules, damping, steps)
-               .where((F.col("distrust") >= threshold) & (F.col("distrust") > F.col("trust")))
-               .select(F.col("host").alias("_blocked")))
+    blocked = written(host_scores(pages, rules, damping, steps)
+                      .where((F.col("distrust") >= threshold) & (F.col("distrust") > F.col("trust")))
+                      .select(F.col("host").alias("_blocked")), "blocked")
     said = F.coalesce("_said", F.when(F.col("_blocked").isNotNull(), F.lit("block")).otherwise("allow"))
     return (judged_urls(pages, rules, keep).join(blocked, F.col("host") == F.col("_blocked"), "left")
             .select(*keep, "host", "path", "rule", said.alias("verdict")))

@@ -13,7 +13,8 @@ only their rates are broadcast: as many rows as ``weights`` has entries, plus on
 
 Rows: a null doc_id draws by its text's md5 instead. Repeated rows draw the same count
 each. A source that is missing or has weight 0 contributes nothing. Texts may be null or
-empty. All columns are kept; an input column named ``copy`` is replaced. An empty table
+empty. All columns are kept; an input column of the
+name that the number of the copy gets is replaced. An empty table
 gives an empty result.
 """
 
@@ -25,6 +26,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickweave.llm.common import aside
+
 RATE_STEP = 32.0
 BITS = 52
 
@@ -67,9 +70,9 @@ def rates(docs: DataFrame, weights: Mapping[str, float], other_weight: float, to
 
 
 def poisson_mix(docs: DataFrame, weights: Mapping[str, float], other_weight: float = 0.0, total: int | None = None,
-                seed: str = "mix") -> DataFrame:
-    """The documents, each repeated by its draw, with ``copy`` counting from 1, in a
-    globally shuffled order. ``total`` is the wanted number of rows (default: as many as
+                seed: str = "mix", number: str | None = "copy") -> DataFrame:
+    """The documents, each repeated by its draw, with a column ``number`` (None: without it)
+    that counts a document's copies from 1, in a globally shuffled order. ``total`` is the wanted number of rows (default: as many as
     there are)."""
     if any(w < 0 for w in (*weights.values(), other_weight)) or sum(weights.values()) + other_weight <= 0:
         raise ValueError("weights must not be negative, and one must be positive")
@@ -78,13 +81,14 @@ def poisson_mix(docs: DataFrame, weights: Mapping[str, float], other_weight: flo
     count = F.aggregate(
         F.transform(F.sequence(F.lit(1), F.col("_draws")), lambda j: uniform(F.lit(seed), F.col("_key"), j.cast("string"))),
         F.lit(0), lambda acc, u: acc + F.size(F.filter("_cdf", lambda c: c <= u)))
-    columns = [c for c in docs.columns if c != "copy"]
+    kept = [c for c in docs.columns if c != number]
+    docs, columns = aside(docs.select(*[F.col(f"`{c}`") for c in kept]), "doc_id", "text", "source")
     copies = (docs.select(*columns, _pool(F.col("source"), weights).alias("_pool"), key.alias("_key"),
                           F.monotonically_increasing_id().alias("_position"))
               .join(F.broadcast(plan), F.col("_pool").eqNullSafe(F.col("_of")))
               .withColumn("_n", count)
               .where("_n > 0")
-              .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-              .withColumn("_order", F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), F.col("_key"), F.col("copy").cast("string")))))
+              .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+              .withColumn("_order", F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), F.col("_key"), F.col("_copy").cast("string")))))
     order = ["_order", "_position"]
-    return copies.repartitionByRange(*order).sortWithinPartitions(*order).select(*columns, "copy")
+    return copies.repartitionByRange(*order).sortWithinPartitions(*order).select(*columns, *(["_copy"] if number else [])).toDF(*kept, *([number] if number else []))

@@ -73,7 +73,12 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards.byte_shards(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_crf_langid, op2_radix_dedup, op3_line_dedup, op4_lsh_forest, op5_knn_quality, op6_best_fit_packing, op7_poisson_mix, op8_exact_topk, op9_url_filter, op10_byte_shards)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_crf_langid, op2_radix_dedup, op3_line_dedup, op4_lsh_forest, op5_knn_quality, op6_best_fit_packing, op7_poisson_mix, op8_exact_topk, op9_url_filter, op10_byte_shards, pipeline)}
 
 
 OP2 = """

@@ -1,4 +1,4 @@
-"""The training-data operators as registered queries, and their DuckDB SQL.
+"""The training-data operators as registered queries; their DuckDB SQL is in ``sql``.
 
 Each query applies its operator with production parameters to the whole intended table.
 Queries without SQL are compared with brute-force versions in ``tests/llm``.
@@ -9,22 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.llm import byte_shards, crf_langid, line_runs, link_trust, lsa_knn, lsh_forest, nra_topk, poisson_mix, radix_dedup, vector_pack
+from clickweave.llm import byte_shards, crf_langid, line_runs, link_trust, lsa_knn, lsh_forest, nra_topk, poisson_mix, radix_dedup, sql, vector_pack
 from clickweave.llm.common import fold_of, is_held_out, table
-
-# op7: target share of each source; all others and null share OTHER_SHARE.
-TARGETS = {"src0": 0.10} | {f"src{i}": 0.88 / 19 for i in range(1, 20)}
-OTHER_SHARE = 0.02
-
-# op9: fixed values, the contract's rules.
-RULES = (
-    link_trust.Rule("allow", "com", "/"),
-    link_trust.Rule("block", "example.com", "/en/"),
-    link_trust.Rule("allow", "www.example.com", "/en/"),
-    link_trust.Rule("block", "net", "/es/"),
-    link_trust.Rule("block", "net", "/fr/"),
-)
-
+from clickweave.llm.params import OTHER_SHARE, RULES, TARGETS
 
 def op1_crf_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -81,30 +68,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_crf_langid, op2_radix_dedup, op3_line_dedup, op4_lsh_forest, op5_knn_quality, op6_best_fit_packing, op7_poisson_mix, op8_exact_topk, op9_url_filter, op10_byte_shards, pipeline)}
 
 
-OP2 = """
-WITH t AS (
-  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents
-), g AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY norm)
-SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(norm) AS text_sha256
-FROM t JOIN g USING (norm)
-"""
-
-OP3 = """
-WITH l AS (
-  SELECT doc_id, pos, line,
-         translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
-  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents)
-), shared AS (
-  SELECT key, min(doc_id) AS first_id FROM l WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1
-), marked AS (
-  SELECT doc_id, pos, line, first_id IS NOT NULL AND first_id <> doc_id AS gone FROM l LEFT JOIN shared USING (key)
-)
-SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
-FROM marked GROUP BY doc_id
-"""
-
-
 def oracle_sql() -> dict[str, str]:
-    return {"op2_radix_dedup": OP2, "op3_line_dedup": OP3}
+    return sql.ORACLES

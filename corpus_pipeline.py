@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from clickweave.llm import crf_langid, line_runs, lsh_forest, poisson_mix, vector_pack
 from clickweave.llm.common import aside, fold_of, written
-from clickweave.llm.queries import OTHER_SHARE, TARGETS
+from clickweave.llm.params import OTHER_SHARE, TARGETS
 from clickweave.session import prepare
 
 MIN_LANG_SCORE = 0.3

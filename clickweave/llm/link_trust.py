@@ -2,16 +2,16 @@
 
 Rules (host, path) fit a host and its subdomains when the url's path starts with the
 rule's; the longest fitting rule decides. Urls that no rule fits get their host's
-verdict from two personalised PageRank vectors, both kept linear in their seeds:
+verdict from two personalised PageRank vectors, scaled so that a seed counts in full
+wherever it has links or not (that is, divided by 1 - d):
 
-* trust:    t = (1 - d) s+ + d * (what each linking host gives, split over its links)
-* distrust: r = (1 - d) s- + d * (what each linked host gives back, split over its
-  inlinks) - a host that links to blocked hosts is suspect.
+* trust:    t = s+ + d * (what each linking host gives, split over its links)
+* distrust: r = s- + d * (what each linked host gives back, split over its inlinks) - a
+  host that links to blocked hosts is suspect.
 
 The seed of a host is the share of its pages that an allow (s+) or block (s-) rule
 decides. Edges are the absolute links of its pages to other hosts, weighted by their
-number. A host without out-links (trust) or in-links (distrust) gives its mass back to
-itself. A host is blocked when its distrust reaches ``threshold`` and exceeds its trust.
+number. A host is blocked when its distrust reaches ``threshold`` and exceeds its trust.
 
 Everything is DataFrame expressions. Pages are pre-aggregated to one row per host and
 per host edge before the first shuffle, so a host holding most pages is one row; each
@@ -93,15 +93,12 @@ def propagate(hosts: DataFrame, edges: DataFrame, seed: str, giver: str, taker:
     given = edges.groupBy(F.col(giver).alias("_giver")).agg(F.sum("links").alias("_all"))
     flows = checkpointed(edges.join(given, F.col(giver) == F.col("_giver"))
                          .select(F.col(giver).alias("_giver"), F.col(taker).alias("_taker"), (F.col("links") / F.col("_all")).alias("_part")))
-    base = checkpointed(hosts.join(given, F.col("host") == F.col("_giver"), "left")
-                        .select("host", F.col(seed).alias("_seed"), F.col("_giver").isNull().alias("_ends")))
-    score = base.select("host", "_seed", "_ends", F.col("_seed").alias("score"))
+    score = hosts.select("host", F.col(seed).alias("_seed"), F.col(seed).alias("score"))
     for step in range(1, steps + 1):
         got = (flows.join(score.select(F.col("host").alias("_giver"), "score"), "_giver")
                .groupBy(F.col("_taker").alias("host")).agg(F.sum(F.col("_part") * F.col("score")).alias("_got")))
         score = (score.join(got, "host", "left")
-                 .select("host", "_seed", "_ends",
-                         ((1 - damping) * F.col("_seed") + damping * (F.coalesce("_got", F.lit(0.0)) + F.when(F.col("_ends"), F.col("score")).otherwise(0.0))).alias("score")))
+                 .select("host", "_seed", (F.col("_seed") + damping * F.coalesce("_got", F.lit(0.0))).alias("score")))
         if step % CHECKPOINT_EVERY == 0 and step < steps:
             score = checkpointed(score)
     return score.select("host", F.round("score", DIGITS).alias("score"))

@@ -94,12 +94,11 @@ def _spread(name: str, seed: str, giver: str, taker: str) -> str:
     """CTEs of the PageRank steps name_0 .. name_STEPS along giver -> taker."""
     d = link_trust.DAMPING
     out = [f"{name}_flow AS (SELECT {giver} AS giver, {taker} AS taker, links / sum(links) OVER (PARTITION BY {giver}) AS part FROM edges)",
-           f"{name}_0 AS (SELECT host, {seed} AS seed, {seed} AS score, host NOT IN (SELECT giver FROM {name}_flow) AS ends FROM hosts)"]
+           f"{name}_0 AS (SELECT host, {seed} AS seed, {seed} AS score FROM hosts)"]
     for i in range(link_trust.STEPS):
         out.append(f"""{name}_{i + 1} AS (
   SELECT s.host, any_value(s.seed) AS seed,
-         {1 - d!r} * any_value(s.seed) + {d!r} * (coalesce(sum(f.part * g.score), 0) + CASE WHEN any_value(s.ends) THEN any_value(s.score) ELSE 0 END) AS score,
-         any_value(s.ends) AS ends
+         any_value(s.seed) + {d!r} * coalesce(sum(f.part * g.score), 0) AS score
   FROM {name}_{i} s LEFT JOIN {name}_flow f ON f.taker = s.host LEFT JOIN {name}_{i} g ON g.host = f.giver GROUP BY s.host)""")
     return ", ".join(out)
 

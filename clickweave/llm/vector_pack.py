@@ -161,7 +161,7 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, max_tokens: int = MAX_TO
 
 
 def best_fit(lengths: np.ndarray, max_tokens: int, max_docs: int, max_cost: float, rule: str = "residual_norm",
-             weights: tuple[float, float, float] = (1.0, 0.05, 0.05)) -> np.ndarray:
+             weights: tuple[float, float, float] = (1.0, 0.001, 0.001)) -> np.ndarray:
     """The bin of each length; the lengths come longest first.
 
     Open bins are kept by residual tokens. In each class a heap has the bin first whose

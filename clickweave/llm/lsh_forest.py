@@ -231,12 +231,11 @@ def near_groups(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHO
 
     prefixes = sets.select("v", "keys").mapInArrow(_prefixes, "key long, v long")
     hubs = written(prefixes.groupBy("key").agg(F.count("*").alias("c"), F.min("v").alias("hub")).where("c > 1").select("key", "hub"), "hubs")
-    near = written(components(prefixes.join(hubs, "key").select(F.col("v").alias("a"), F.col("hub").alias("b"))), "candidates")
-
-    near = near.join(sets.select(F.col("v").alias("node"), "n", "set_id", "set_hash"), "node")
+    near = components(prefixes.join(hubs, "key").select(F.col("v").alias("a"), F.col("hub").alias("b")))
+    near = written(near.join(sets.select(F.col("v").alias("node"), "n", "set_id", "set_hash"), "node"), "members")
     sizes = written(near.groupBy("root").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
                     .select("root", F.greatest(F.ceil(F.col("c") / BLOCK_SETS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks")), "sizes")
-    members = written(near, "members").join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    members = near.join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     members = members.select(F.col("node").alias("v"), "root", "blocks", "block", F.col("set_id").alias("m_id"), F.col("set_hash").alias("m_hash"))
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,7 +290,7 @@ def near_groups(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHO
     linked = written(sets.select("v", "set", "copies", "set_id").join(classes, F.col("v") == F.col("node"), "left").join(n_links, F.col("v") == F.col("l_v"), "left")
                      .select("set", "copies", "set_id", F.coalesce("root", "v").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "linked")
     named = written(linked.groupBy("class").agg(F.min("set_id").alias("class_id")), "named")
-    known = written(linked.join(named, "class").drop("class"), "known")
+    known = linked.join(named, "class").drop("class")
     return (rows.select("doc_id", "text_hash", "set").join(known, "set", "left")
             .select("doc_id", F.when(F.col("copies").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
                     F.when(F.col("copies").isNull(), F.col("doc_id")).otherwise(F.col("set_id")).alias("set_id"),

@@ -39,6 +39,7 @@ TOKENIZER = "byte_bpe_50k.json"
 MAX_TOKENS, MAX_DOCS = 2048, 512
 GROUP_ROWS = 2048
 CACHE_WORDS = 400_000
+LINES = 20_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
 
@@ -67,6 +68,8 @@ class IdBytes:
     def __init__(self, name: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer_file(name))
+        (self.line_feed_id,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line_feed = array("I", [self.line_feed_id]).tobytes()
         self.spaced: dict[str, bytes] = {}  # what follows a space: ids with that space
         self.bare: dict[str, bytes] = {}
         self.old_spaced: dict[str, bytes] = {}  # the last generation: what is used again moves up
@@ -112,16 +115,23 @@ class IdBytes:
         return parts - again
 
     def _encode(self, parts: Iterable[str], known: dict[str, bytes], lead: str) -> None:
-        todo = [lead + x for x in parts]
-        for x, e in zip(todo, self.tokenizer.encode_batch_fast(todo, add_special_tokens=False), strict=True):
-            known[x[len(lead):]] = array("I", e.ids).tobytes()
+        """Add the ids of ``lead`` + part. Parts without white space at an end or line feeds are
+        encoded as the lines of one text, the others one by one."""
+        lines, odd = [], []
+        for x in parts:
+            (odd if not x or "\n" in x or x[0].isspace() or x[-1].isspace() else lines).append(x)
+        for at in range(0, len(lines), LINES):
+            some = lines[at:at + LINES]
+            (e,) = self.tokenizer.encode_batch_fast([("\n" + lead).join(["", *some])], add_special_tokens=False)
+            ids = np.array(e.ids, "<u4")
+            raw, cuts = ids.tobytes(), [*(4 * np.flatnonzero(ids == self.line_feed_id)).tolist(), 4 * len(ids)]
+            known.update(zip(some, (raw[i + 4:j] for i, j in zip(cuts, cuts[1:], strict=False)), strict=True))
+        for x, e in zip(odd, self.tokenizer.encode_batch_fast([lead + x for x in odd], add_special_tokens=False), strict=True):
+            known[x] = array("I", e.ids).tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.spaced) + len(self.bare) > CACHE_WORDS:
             self.old_spaced, self.old_bare, self.spaced, self.bare = self.spaced, self.bare, {}, {}
-        if "\n" not in self.bare:
-            self._encode(["\n"], self.bare, "")
-        self.line_feed = self.bare["\n"]
         parts = [self.CUT.split(t) if self.UNEVEN.search(t) else t.split(" ") for t in texts]
         heads = [p[0] for p in parts]
         for p in parts:

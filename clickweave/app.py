@@ -26,7 +26,7 @@ from .operators.ordered import replay_schedule
 from .operators.upsert import upsert_fields
 from .sources.files import normalise_log, read_click_log, read_products, read_visitors
 from .streaming import jobs as J
-from .streaming.sources import CLICK_SCHEMA, file_stream
+from .streaming.sources import CLICK_SCHEMA, ENRICHED_SCHEMA, file_stream
 
 
 def paths(base: str) -> dict[str, str]:
@@ -83,9 +83,11 @@ def load_dims(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     p = paths(base)
     ranges = _read_or_none(spark, p["ip_ranges"])
     countries = _read_or_none(spark, p["countries"])
+    products, visitors = (current_dimension(spark, p[k]) for k in ("products", "visitors"))
+    # before the first lookup load every click gets the defaults
     return {
-        "products": current_dimension(spark, p["products"]),
-        "visitors": current_dimension(spark, p["visitors"]),
+        "products": products if products is not None else spark.createDataFrame([], "id string, category string, title string"),
+        "visitors": visitors if visitors is not None else spark.createDataFrame([], "userId string, birthDate string, gender string"),
         "ip_ranges": ranges if ranges is not None else spark.createDataFrame([], "lo long, hi long, code string"),
         "countries": countries if countries is not None else spark.createDataFrame([], "code string, name string"),
     }
@@ -109,21 +111,36 @@ def replay(spark: SparkSession, base: str, click_log: str) -> DataFrame:
 
 # ------------------------------------------------------------------ services
 
-def start_services(spark: SparkSession, base: str, window_minutes: int = 30, trigger: dict | None = None):
-    """Enrichment (dimensions re-read per micro-batch, day-partitioned output),
-    then the two consumers of the enriched table, each with its own checkpoint."""
+MAX_FILES_PER_BATCH = 1000  # a backfill is many batches, not one
+
+
+def _make_folder(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
+
+
+def start_services(spark: SparkSession, base: str, window_minutes: int = 30, trigger: dict | None = None,
+                   max_files: int = MAX_FILES_PER_BATCH):
+    """Enrichment (dimensions re-read per micro-batch, day-partitioned output), then the
+    consumers of the enriched table (bucket counts, offers, transition trace), each with its
+    own checkpoint. Starts on an empty base: schemas are fixed, folders are made."""
     p = paths(base)
     ck = p["checkpoints"]
     once = trigger is None or trigger.get("availableNow", False)
-    q1 = J.start_enrichment(file_stream(spark, p["clicks"], CLICK_SCHEMA), lambda: load_dims(spark, base),
-                            p["enriched"], f"{ck}/enrichment", trigger)
+    for k in ("clicks", "enriched"):
+        _make_folder(spark, p[k])
+    q1 = J.start_enrichment(file_stream(spark, p["clicks"], CLICK_SCHEMA, max_files_per_trigger=max_files),
+                            lambda: load_dims(spark, base), p["enriched"], f"{ck}/enrichment", trigger)
     if once:
         q1.awaitTermination()
-    schema = spark.read.parquet(p["enriched"]).schema
-    q2 = J.start_bucket_counts(file_stream(spark, p["enriched"], schema), p["buckets"], f"{ck}/aggregation", trigger)
-    q3 = J.start_offers(file_stream(spark, p["enriched"], schema), p["offers"], f"{ck}/detection",
-                        window_minutes, trigger)
-    return [q1, q2, q3]
+
+    def enriched():
+        return file_stream(spark, p["enriched"], ENRICHED_SCHEMA, max_files_per_trigger=max_files)
+
+    q2 = J.start_bucket_counts(enriched(), p["buckets"], f"{ck}/aggregation", trigger)
+    q3 = J.start_offers(enriched(), p["offers"], f"{ck}/detection", window_minutes, trigger)
+    q4 = J.start_trace(enriched(), p["trace"], f"{ck}/trace", window_minutes, trigger)
+    return [q1, q2, q3, q4]
 
 
 def refresh_dashboard(spark: SparkSession, base: str, as_of=None, buffer: str = "1 hour") -> dict:

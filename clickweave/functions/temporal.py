@@ -50,6 +50,16 @@ def format_datetime(ts) -> Column:
     return F.date_format(_c(ts), "yyyy-MM-dd HH:mm:ss")
 
 
+def time_literal(value, dtype: str) -> Column:
+    """A literal of a collected time. TIMESTAMP_NTZ is written as text: a naive datetime
+    given to ``F.lit`` would be read in the driver's local zone."""
+    if value is None:
+        return F.lit(None).cast(dtype)
+    if dtype == "timestamp_ntz":
+        return F.expr(f"TIMESTAMP_NTZ '{value.isoformat(sep=' ')}'")
+    return F.lit(value).cast(dtype)
+
+
 def floor_minute(ts) -> Column:
     """F13."""
     return F.date_trunc("minute", _c(ts))

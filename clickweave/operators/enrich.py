@@ -1,11 +1,11 @@
 """Click enrichment (J1-J6, J8, F3-F9) as joins, never per-row lookups.
 
-Plan shape: the click stream is the big side and is never shuffled while
-the dimensions are small. Products, visitors and the bucketed IP-range
-table are broadcast only after a row-count check (``max_broadcast_rows``);
-a larger dimension is joined with a shuffle on the key, where AQE splits
-partitions of hot visitors/products. The country list, bounded by the ISO
-code list, is always broadcast (into the small range table).
+Plan shape: plain left joins without hints. Spark broadcasts a dimension whose
+size (file statistics, or measured at run time by AQE) is under
+``spark.sql.autoBroadcastJoinThreshold``; a larger one is joined with a shuffle
+on the key, where AQE splits partitions of hot visitors/products. A key that a
+lookup table holds several times gives its last record (largest ``seq`` if the
+table has one), as in a key-value store, so lookups never repeat a click.
 """
 
 from __future__ import annotations
@@ -16,57 +16,68 @@ from pyspark.sql import functions as F
 from ..functions.device import device_type
 from ..functions.temporal import age_from_birthdate
 from ..functions.visitors import UNKNOWN, UNKNOWN_GENDER, age_to_int, gender_letter, or_default
-from .joins import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast, checked_broadcast_all
 from .range_join import IP_BUCKET_BITS, bucketed_ranges, ip_to_long, range_lookup
 
 ENRICHED_COLUMNS = ["event_id", "timestamp", "original_timestamp", "userId", "ip", "userAgent",
                     "productId", "category", "title", "birthdate", "country", "deviceType", "age", "gender"]
 
-# The country table is keyed by ISO 3166-1 alpha-2 codes: at most 26 * 26 =
-# 676 rows whatever the data volume, so it is broadcast without a check.
 
+def last_per_key(table: DataFrame, key: str) -> DataFrame:
+    """One row per key: the record with the largest ``seq`` (without such a column, the
+    largest record), whole. Null keys are kept out: they match nothing."""
+    rest = [c for c in table.columns if c != key]
+    order = F.struct(*(["seq"] if "seq" in rest else []), *[c for c in rest if c != "seq"])
+    last = table.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(order).alias("_last"))
+    return last.select(key, *[F.col(f"_last.{c}").alias(c) for c in rest])
 
-def with_product(clicks: DataFrame, products: DataFrame,
-                 max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+
+def with_product(clicks: DataFrame, products: DataFrame) -> DataFrame:
     """J1 + J2: category and title in one join; null or '' -> 'Unknown'."""
-    p = products.select(F.col("id").alias("_pid"), F.col("category").alias("_cat"),
+    p = last_per_key(products, "id").select(F.col("id").alias("_pid"), F.col("category").alias("_cat"),
                         F.col("title").alias("_title"))
-    p = checked_broadcast(p, max_broadcast_rows)
     out = clicks.join(p, clicks["productId"] == p["_pid"], "left")
     return (out.withColumn("category", or_default("_cat", UNKNOWN))
                .withColumn("title", or_default("_title", UNKNOWN))
                .drop("_pid", "_cat", "_title"))
 
 
-def with_visitor(clicks: DataFrame, visitors: DataFrame,
-                 max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def with_visitor(clicks: DataFrame, visitors: DataFrame) -> DataFrame:
     """J3 + J4: birth date and gender of the visitor in one join."""
-    v = visitors.select(F.col("userId").alias("_vid"), F.col("birthDate").alias("_birth"),
+    v = last_per_key(visitors, "userId").select(F.col("userId").alias("_vid"), F.col("birthDate").alias("_birth"),
                         F.col("gender").alias("_vgender"))
-    v = checked_broadcast(v, max_broadcast_rows)
     return clicks.join(v, clicks["userId"] == v["_vid"], "left").drop("_vid")
 
 
+def with_gender(clicks: DataFrame, visitors: DataFrame) -> DataFrame:
+    """J4 + F7: the click's own gender, else the visitor's, else 'U'."""
+    v = last_per_key(visitors, "userId").select(F.col("userId").alias("_vid"), F.col("gender").alias("_vgender"))
+    out = clicks.join(v, clicks["userId"] == v["_vid"], "left")
+    return out.withColumn("gender", _gender()).drop("_vid", "_vgender")
+
+
+def _gender() -> Column:
+    given = F.col("gender").isNotNull() & (F.col("gender") != "")
+    return F.when(given, gender_letter("gender")).otherwise(or_default("_vgender", UNKNOWN_GENDER))
+
+
 def country_table(ip_ranges: DataFrame, countries: DataFrame) -> DataFrame:
     """J6 folded into the range table: (lo, hi, country) with 'Unknown' names."""
-    names = F.broadcast(countries.select(F.col("code").alias("_code"), F.col("name").alias("_name")))
+    names = last_per_key(countries, "code").select(F.col("code").alias("_code"), F.col("name").alias("_name"))
     return (ip_ranges.join(names, ip_ranges["code"] == names["_code"], "left")
             .select("lo", "hi", or_default("_name", UNKNOWN).alias("country")))
 
 
 def with_country(clicks: DataFrame, ip_ranges: DataFrame, countries: DataFrame,
-                 ip_col: str = "ip", max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                 ip_col: str = "ip") -> DataFrame:
     """J5 + J6: IP -> range -> country name; anything unmatched -> 'Unknown'."""
     ranges = country_table(ip_ranges, countries)
-    out = range_lookup(clicks.withColumn("_ipnum", ip_to_long(ip_col)), "_ipnum", ranges, ["country"],
-                       max_broadcast_rows=max_broadcast_rows)
+    out = range_lookup(clicks.withColumn("_ipnum", ip_to_long(ip_col)), "_ipnum", ranges, ["country"])
     return out.withColumn("country", F.coalesce("country", F.lit(UNKNOWN))).drop("_ipnum")
 
 
 def enrich(clicks: DataFrame, products: DataFrame, visitors: DataFrame,
            ip_ranges: DataFrame, countries: DataFrame, as_of: Column | None = None,
-           strict_age: bool = True,
-           max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+           strict_age: bool = True) -> DataFrame:
     """Full enrichment of click-data into enriched-click-data.
 
     ``as_of`` is the "today" used for ages computed from birth dates; by
@@ -75,21 +86,18 @@ def enrich(clicks: DataFrame, products: DataFrame, visitors: DataFrame,
     Built as three left joins and one projection (few plan steps to analyse).
     """
     as_of = F.col("timestamp") if as_of is None else as_of
-    prod = products.select(F.col("id").alias("_pid"), F.col("category").alias("_cat"),
+    prod = last_per_key(products, "id").select(F.col("id").alias("_pid"), F.col("category").alias("_cat"),
                            F.col("title").alias("_title"))
-    vis = visitors.select(F.col("userId").alias("_vid"), F.col("birthDate").alias("_birth"),
+    vis = last_per_key(visitors, "userId").select(F.col("userId").alias("_vid"), F.col("birthDate").alias("_birth"),
                           F.col("gender").alias("_vgender"))
     ranges = bucketed_ranges(country_table(ip_ranges, countries)).select(
         "_bucket", F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), F.col("country").alias("_country"))
-    # one size-check job for all three dimensions (memoised per dimension)
-    prod, vis, ranges = checked_broadcast_all([prod, vis, ranges], max_broadcast_rows)
     ipnum = ip_to_long("ip")
     c = clicks.withColumns({"_ipnum": ipnum, "_vbucket": F.shiftright(ipnum, IP_BUCKET_BITS)})
     j = (c.join(prod, c["productId"] == prod["_pid"], "left")
          .join(vis, c["userId"] == vis["_vid"], "left")
          .join(ranges, (c["_vbucket"] == ranges["_bucket"]) & (c["_ipnum"] >= ranges["_lo"])
                & (c["_ipnum"] <= ranges["_hi"]), "left"))
-    given = F.col("gender").isNotNull() & (F.col("gender") != "")
     out = {
         "category": or_default("_cat", UNKNOWN),
         "title": or_default("_title", UNKNOWN),
@@ -97,7 +105,7 @@ def enrich(clicks: DataFrame, products: DataFrame, visitors: DataFrame,
         "country": F.coalesce("_country", F.lit(UNKNOWN)),
         "deviceType": device_type("userAgent"),
         "age": F.coalesce(age_to_int("age", strict_age), age_from_birthdate("_birth", as_of)),
-        "gender": F.when(given, gender_letter("gender")).otherwise(or_default("_vgender", UNKNOWN_GENDER)),
+        "gender": _gender(),
     }
     return j.select(*[out[c].alias(c) if c in out else F.col(c) for c in ENRICHED_COLUMNS])
 

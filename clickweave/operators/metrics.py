@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.temporal import floor_hour, floor_minute, format_datetime, relative_time, step_seconds
+from ..functions.temporal import floor_hour, floor_minute, format_datetime, relative_time, step_seconds, time_literal
 
 TS = "timestamp"
 
@@ -31,8 +31,7 @@ def default_as_of(df: DataFrame, ts: str = TS) -> Column:
     scalar subquery evaluated after the scan.
     """
     dtype = df.schema[ts].dataType.simpleString()
-    value = df.agg(F.max(ts)).first()[0]
-    return F.lit(value).cast(dtype)
+    return time_literal(df.agg(F.max(ts)).first()[0], dtype)
 
 
 def interval(text: str) -> Column:
@@ -74,6 +73,12 @@ def merge_partials(old: DataFrame, new: DataFrame) -> DataFrame:
             .groupBy("datetime", "userId").agg(F.sum("count").cast("long").alias("count")))
 
 
+def recent_visitors_per_bucket(clicks: DataFrame, as_of: Column, within: str = "8 hours 30 minutes", ts: str = TS) -> DataFrame:
+    """G3 from clicks. A click is never before its bucket's start, so the clicks of the buckets
+    asked for are all within the window: the filter reaches the scan."""
+    return visitors_per_bucket(user_bucket_counts(trailing(clicks, as_of, within, ts, inclusive=True), ts=ts), as_of, within)
+
+
 def visitors_per_bucket(buckets: DataFrame, as_of: Column, within: str = "8 hours 30 minutes") -> DataFrame:
     """G3 + P7: distinct visitors per 30-min bucket over the inclusive window.
 
@@ -202,7 +207,10 @@ def category_list(products: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------- latest rows
 
-def latest_visitors(df: DataFrame, as_of: Column, n: int = 10, arrival: str = "event_id",
+LATEST, RAW_LATEST = 10, 100
+
+
+def latest_visitors(df: DataFrame, as_of: Column, n: int = LATEST, arrival: str = "event_id",
                     ts: str = TS) -> DataFrame:
     """The last ``n`` rows by arrival, newest event time first.
 
@@ -214,6 +222,6 @@ def latest_visitors(df: DataFrame, as_of: Column, n: int = 10, arrival: str = "e
                     format_datetime(ts).alias("Date and Time"), "ip", "country"))
 
 
-def raw_latest(df: DataFrame, n: int = 100, ts: str = TS, tie: str = "event_id") -> DataFrame:
+def raw_latest(df: DataFrame, n: int = RAW_LATEST, ts: str = TS, tie: str = "event_id") -> DataFrame:
     """T4 + P3: newest ``n`` raw rows by time, without original_timestamp."""
     return df.orderBy(F.desc(ts), F.desc(tie)).limit(n).drop("original_timestamp")

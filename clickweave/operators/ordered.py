@@ -123,17 +123,17 @@ def drop_refreshes(clicks: DataFrame, key: str = "userId", order: tuple = ("time
 
 # ------------------------------------------------------ W1 / W2 (lead, cumsum)
 
-# fixed values: replay delay clamp (seconds) and untimed spacing
+# fixed values: replay delay clamp (seconds)
 MAX_DELAY_S = 10.0
 MIN_DELAY_S = 0.0
-UNTIMED_STEP_S = 0.2
 
 
 def replay_schedule(log: DataFrame, order: str = "event_id", t: str = "original_timestamp",
                     partitions: int | None = None) -> DataFrame:
     """W1 + W2: per row the delay to the next row (clamped to [0, 10] s; the
     last row has none) and its replay offset ``at`` = sum of all earlier
-    delays, in file order. Output: ``order``, delay, at.
+    delays, in file order. Output: ``order``, delay, at. A row whose own or next time is
+    null has no delay, which the sum counts as 0.
     """
     layout = ordered_layout(log.select(order, t), [order], partitions)
 
@@ -151,7 +151,7 @@ def replay_schedule(log: DataFrame, order: str = "event_id", t: str = "original_
     for i, pid in enumerate(pids):
         nxt = edges[pids[i + 1]][f"first_{t}"] if i + 1 < len(pids) else None
         last_t = edges[pid][f"last_{t}"]
-        tail = None if nxt is None else min(max(nxt - last_t, MIN_DELAY_S), MAX_DELAY_S)
+        tail = None if nxt is None or last_t is None or pd.isna(nxt) or pd.isna(last_t) else min(max(nxt - last_t, MIN_DELAY_S), MAX_DELAY_S)
         tail_delay[pid] = tail
         offset[pid] = running
         running += edges[pid]["partial"] + (tail or 0.0)
@@ -170,46 +170,14 @@ def replay_schedule(log: DataFrame, order: str = "event_id", t: str = "original_
                 pdf = pd.concat([held, pdf[[order, t]]], ignore_index=True)
             tt = pdf[t].to_numpy(dtype="float64")
             d = np.clip(np.diff(tt), MIN_DELAY_S, MAX_DELAY_S)
-            at = base + np.concatenate([[0.0], np.cumsum(d)])[:-1]
-            out = pd.DataFrame({order: pdf[order].iloc[:-1].to_numpy(), "delay": d, "at": at[:len(d)]})
-            base = base + float(d.sum())
+            at = base + np.concatenate([[0.0], np.nancumsum(d)])[:-1]
+            delay = pd.array(d, dtype="Float64")
+            delay[np.isnan(d)] = pd.NA
+            out = pd.DataFrame({order: pdf[order].iloc[:-1].to_numpy(), "delay": delay, "at": at[:len(d)]})
+            base = base + float(np.nansum(d))
             held = pdf[[order, t]].iloc[-1:].reset_index(drop=True)
             yield out
         if held is not None:
             yield pd.DataFrame({order: held[order].to_numpy(), "delay": [tail_delay[pid]], "at": [base]})
 
     return layout.mapInPandas(run, f"{order} long, delay double, at double")
-
-
-def untimed_schedule(log: DataFrame, order: str = "event_id", partitions: int | None = None) -> DataFrame:
-    """W2, untimed mode: fixed 0.2 s spacing in file order (rank * 0.2)."""
-    layout = ordered_layout(log.select(order), [order], partitions)
-    counts = layout.groupBy("_pid").count().collect()  # JVM aggregate, P rows
-    start, run_n = {}, 0
-    for r in sorted(counts, key=lambda r: r["_pid"]):
-        start[r["_pid"]] = run_n
-        run_n += r["count"]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        k = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if k is None:
-                k = start[int(pdf["_pid"].iloc[0])]
-            idx = np.arange(k, k + len(pdf), dtype="float64")
-            k += len(pdf)
-            yield pd.DataFrame({order: pdf[order].to_numpy(), "at": idx * UNTIMED_STEP_S})
-
-    return layout.mapInPandas(run, f"{order} long, at double")
-
-
-def replay_rounds(schedule: DataFrame, rounds: int) -> DataFrame:
-    """U4: the schedule repeated ``rounds`` times back to back.
-
-    Round r starts where round r-1's last row was published. ``explode`` of
-    a bounded sequence, not a cross join.
-    """
-    span = schedule.agg(F.max("at")).scalar()
-    return (schedule.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
-            .withColumn("at", F.col("at") + F.col("round") * span))

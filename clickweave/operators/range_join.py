@@ -14,18 +14,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast
-
 IP_BUCKET_BITS = 16
 
 
 def ip_to_long(ip) -> Column:
-    """Dotted IPv4 text -> 32-bit number; malformed -> null."""
+    """Dotted IPv4 text -> 32-bit number; malformed (also an octet above 255) -> null."""
     c = F.col(ip) if isinstance(ip, str) else ip
     parts = F.split(c, r"\.")  # one split per row (common subexpression)
     octet = [F.try_element_at(parts, F.lit(i + 1)).try_cast("long") for i in range(4)]
     num = octet[0] * 16777216 + octet[1] * 65536 + octet[2] * 256 + octet[3]
-    return F.when(F.size(parts) == 4, num)
+    valid = F.size(parts) == 4
+    for o in octet:
+        valid = valid & o.between(0, 255)
+    return F.when(valid, num)
 
 
 def bucketed_ranges(ranges: DataFrame, bits: int = IP_BUCKET_BITS) -> DataFrame:
@@ -34,17 +35,14 @@ def bucketed_ranges(ranges: DataFrame, bits: int = IP_BUCKET_BITS) -> DataFrame:
         "_bucket", F.explode(F.sequence(F.shiftright("lo", bits), F.shiftright("hi", bits))))
 
 
-def range_lookup(df: DataFrame, value_col: str, ranges: DataFrame, payload: list[str],
-                 bits: int = IP_BUCKET_BITS,
-                 max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def range_lookup(df: DataFrame, value_col: str, ranges: DataFrame, payload: list[str], bits: int = IP_BUCKET_BITS) -> DataFrame:
     """Left join ``df`` to the range containing ``value_col`` (lo <= v <= hi).
 
-    The bucketed range table is broadcast after a row-count check; beyond
-    the limit both sides shuffle on the bucket (AQE splits hot buckets).
+    A small bucketed range table is broadcast by its statistics; otherwise both
+    sides shuffle on the bucket (AQE splits hot buckets).
     """
     b = bucketed_ranges(ranges, bits).select(
         F.col("_bucket"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), *payload)
-    b = checked_broadcast(b, max_broadcast_rows)
     v = F.col(value_col)
     left = df.withColumn("_vbucket", F.shiftright(v, bits))
     cond = (left["_vbucket"] == b["_bucket"]) & (v >= b["_lo"]) & (v <= b["_hi"])

@@ -60,7 +60,7 @@ _INIT_STATE = (INIT, None, None, None)  # (state, first_us, first_pid, last_pid)
 
 TRACE_SCHEMA = ("userId string, event_id long, us long, productId string, category string, "
                 "state string, offer string, live boolean")
-SUMMARY_SCHEMA = ("pid int, first_user string, last_user string, n long, "
+SUMMARY_SCHEMA = ("pid int, first_user string, last_user string, n long, synced boolean, "
                   "st string, first_us long, first_pid string, last_pid string")
 
 
@@ -122,6 +122,18 @@ def _fold_rows(pdf: pd.DataFrame, state, current_user, window_us: int, trace: li
     return (st, first_us, first_pid, last_pid), current_user
 
 
+def _sync_pair(pdf: pd.DataFrame, before: tuple | None) -> tuple[bool, tuple]:
+    """Do two adjacent rows (of one visitor) have different products, both outside clothing
+    and shoes? At most the first can be a refresh of an accepted product, so after the
+    second the state is ``init`` whatever it was before."""
+    rows = list(zip(pdf["productId"].tolist(), pdf["category"].tolist()))
+    last = rows[-1]
+    if before is not None:
+        rows.insert(0, before)
+    outside = [c not in (CLOTHING, SHOES_CATEGORY) for _, c in rows]
+    return any(a and b and x != y for a, b, (x, _), (y, _) in zip(outside, outside[1:], rows, rows[1:])), last
+
+
 def _partition_folder(incoming: dict, window_us: int, mode: str):
     """mapInPandas body. ``incoming``: pid -> (user, state) for its first visitor."""
 
@@ -129,6 +141,7 @@ def _partition_folder(incoming: dict, window_us: int, mode: str):
         pid = None
         state, user = _INIT_STATE, None
         first_user, n = None, 0
+        synced, before = False, None
         trace: list | None = [] if mode == "trace" else None
         for pdf in batches:
             if pdf.empty:
@@ -141,13 +154,15 @@ def _partition_folder(incoming: dict, window_us: int, mode: str):
                     state, user = tuple(seed[1]), first_user
             state, user = _fold_rows(pdf, state, user, window_us, trace)
             n += len(pdf)
+            if mode == "summary" and not synced:
+                synced, before = _sync_pair(pdf, before)
             if trace is not None and trace:
                 yield pd.DataFrame(trace, columns=["userId", "event_id", "us", "productId", "category",
                                                    "state", "offer", "live"])
                 trace.clear()
         if mode == "summary" and pid is not None:
             st, fu, fp, lp = state
-            yield pd.DataFrame([{"pid": pid, "first_user": first_user, "last_user": user, "n": n,
+            yield pd.DataFrame([{"pid": pid, "first_user": first_user, "last_user": user, "n": n, "synced": synced,
                                  "st": st, "first_us": fu, "first_pid": fp, "last_pid": lp}])
 
     return run
@@ -162,14 +177,14 @@ def _bounds(layout: DataFrame) -> dict:
 
 
 def _tail_ends(layout: DataFrame, tails: dict, incoming: dict, window_us: int) -> dict:
-    """End state of the last visitor of each partition in ``tails`` (pid ->
-    visitor), folding only that visitor's rows of that partition."""
+    """(end state of the last visitor, whether it is the same for any incoming state) of each
+    partition in ``tails`` (pid -> visitor), folding only that visitor's rows of it."""
     if not tails:
         return {}
     keys = sorted(f"{pid}\u0001{user}" for pid, user in tails.items())
     rows = layout.filter(F.concat_ws("\u0001", F.col("_pid").cast("string"), "userId").isin(keys))
     out = rows.mapInPandas(_partition_folder(incoming, window_us, "summary"), SUMMARY_SCHEMA).collect()
-    return {r["pid"]: (r["st"], r["first_us"], r["first_pid"], r["last_pid"]) for r in out}
+    return {r["pid"]: ((r["st"], r["first_us"], r["first_pid"], r["last_pid"]), r["synced"]) for r in out}
 
 
 def _chain(bounds: dict, tail_end: dict, verified_end: dict, verified_in: dict) -> dict:
@@ -246,23 +261,25 @@ def sequence_trace(clicks: DataFrame, within_minutes: int = DEFAULT_WINDOW_MINUT
     # partitions whose last visitor continues in the next partition
     carry = {p: bounds[p]["last_user"] for p, q in zip(pids, pids[1:])
              if bounds[q]["first_user"] == bounds[p]["last_user"]}
-    tail_end = _tail_ends(layout, carry, {}, window_us)
+    ends = _tail_ends(layout, carry, {}, window_us)
+    tail_end = {p: end for p, (end, _) in ends.items()}
+    synced = {p for p, (_, s) in ends.items() if s}
     verified_end: dict = {}
     verified_in: dict = {}
     incoming = _chain(bounds, tail_end, verified_end, verified_in)
-    # A single-visitor partition hands its incoming state on: re-fold those
-    # (only they depend on it) until the chain stops changing. Each round
-    # fixes at least the first unverified partition of every chain, so it
-    # ends after at most (longest run of single-visitor partitions + 1)
-    # rounds; usually the first re-fold already agrees.
+    # A single-visitor partition hands its incoming state on, unless it holds a
+    # sync pair: then its end state is known. Only those without one are re-folded
+    # until the chain stops changing. Each round fixes at least the first unverified
+    # partition of every chain, so it ends after at most (longest run of
+    # single-visitor partitions without a sync pair + 1) rounds, usually none.
     while True:
-        todo = {p for p in incoming if p in carry and bounds[p]["first_user"] == bounds[p]["last_user"]
+        todo = {p for p in incoming if p in carry and p not in synced and bounds[p]["first_user"] == bounds[p]["last_user"]
                 and verified_in.get(p) != incoming[p]}
         if not todo:
             break
         fresh = _tail_ends(layout, {p: carry[p] for p in todo}, incoming, window_us)
         for p in todo:
-            verified_end[p] = fresh[p]
+            verified_end[p] = fresh[p][0]
             verified_in[p] = incoming[p]
         incoming = _chain(bounds, tail_end, verified_end, verified_in)
     trace = layout.mapInPandas(_partition_folder(incoming, window_us, "trace"), TRACE_SCHEMA)

@@ -20,14 +20,15 @@ def snapshot_diff(new: DataFrame, old: DataFrame) -> DataFrame:
     Rows of ``new`` count +1, rows of ``old`` -1; grouped by every column
     (nulls group together), the net count of a row is how many more times it
     occurs in ``new`` than in ``old``. Summing the positive / negative parts
-    gives exactly ``new.exceptAll(old).count()`` / ``old.exceptAll(new).count()``
-    with one shuffle (partial aggregation first, so a hot duplicated row
-    costs one row per task). One row out: only_new, only_old, changed.
+    gives ``new.exceptAll(old).count()`` / ``old.exceptAll(new).count()`` with one
+    shuffle of row digests (SHA-256 of the row as JSON, nulls kept apart), not of the
+    rows; partial aggregation first, so a hot duplicated row costs one row per
+    task. One row out: only_new, only_old, changed.
     """
     cols = new.columns
-    tagged = (new.select(*cols, F.lit(1).alias("_d"))
-              .unionByName(old.select(*cols, F.lit(-1).alias("_d"))))
-    net = tagged.groupBy(*cols).agg(F.sum("_d").alias("_n"))
+    digest = F.unhex(F.sha2(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}), 256)).alias("_row")
+    tagged = new.select(digest, F.lit(1).alias("_d")).unionByName(old.select(digest, F.lit(-1).alias("_d")))
+    net = tagged.groupBy("_row").agg(F.sum("_d").alias("_n"))
     return net.agg(F.coalesce(F.sum(F.when(F.col("_n") > 0, F.col("_n"))), F.lit(0)).cast("long").alias("only_new"),
                    F.coalesce(F.sum(F.when(F.col("_n") < 0, -F.col("_n"))), F.lit(0)).cast("long")
                    .alias("only_old")).select(

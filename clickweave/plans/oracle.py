@@ -171,6 +171,7 @@ def _offers_sql(window: int) -> str:
 def oracle_sql() -> dict[str, str]:
     base = _batch_oracles()
     base.update(stream_oracles(base))
+    base.update(_single_oracles())
     return base
 
 
@@ -249,11 +250,6 @@ def _batch_oracles() -> dict[str, str]:
                                     "WHERE rn = 1 OR prev IS DISTINCT FROM productId"),
         "replay_delays": _with(REPLAY_CTE, "SELECT event_id, delay FROM rsched"),
         "replay_schedule": _with(REPLAY_CTE, "SELECT event_id, delay, \"at\" FROM rsched"),
-        "replay_untimed": "SELECT event_id, CAST(0.2 AS DOUBLE) * CAST(row_number() OVER (ORDER BY event_id) - 1 "
-                          "AS DOUBLE) AS \"at\" FROM events",
-        "replay_rounds": _with(REPLAY_CTE, f"SELECT event_id, CAST(r AS INTEGER) AS \"round\", "
-                                           "\"at\" + r * (SELECT max(\"at\") FROM rsched) AS \"at\" FROM rsched, "
-                                           f"(SELECT unnest(range(0, {C.REPLAY_ROUNDS})) AS r)"),
         "align_union": _with("", "SELECT event_id, timestamp, userId, productId, age, gender, original_timestamp "
                                  "FROM clicks"),
         "snapshot_changed": _with(
@@ -286,6 +282,41 @@ def _batch_oracles() -> dict[str, str]:
     }
 
 
+ODD_CTE = (f"odd AS (SELECT * REPLACE (CASE WHEN event_id % 97 = 0 THEN timestamp + INTERVAL {C.FUTURE_YEARS} YEAR "
+           f"WHEN event_id % 89 = 0 THEN timestamp - INTERVAL {C.LATE_DAYS} DAY ELSE timestamp END AS timestamp) FROM clicks),\n"
+           "odd_buckets AS (SELECT time_bucket(INTERVAL 30 minute, timestamp) AS datetime, userId, count(*) AS count "
+           "FROM odd WHERE userId IS NOT NULL AND timestamp IS NOT NULL GROUP BY ALL)")
+
+
+def _single_oracles() -> dict[str, str]:
+    top = ("top AS (SELECT productId, category, count(*) AS count, row_number() OVER (ORDER BY count(*) DESC, productId, category) - 1 AS i "
+           "FROM buffer WHERE productId IS NOT NULL AND category IS NOT NULL GROUP BY productId, category QUALIFY i < 10)")
+    cols = " || '},' || ".join(f"""'"{c}":{{' || string_agg('"' || i || '":' || to_json({c})::VARCHAR, ',' ORDER BY i)"""
+                               for c in ("productId", "category", "count"))
+    seq = _sequence_ctes(C.OFFER_WINDOW_MINUTES)
+    demographics = seq.replace("FROM enriched", "FROM enriched_known")
+    known = "enriched_known AS (SELECT * FROM enriched WHERE gender IS NOT NULL AND age IS NOT NULL)"
+    return {
+        "snapshot_json": _with(BUFFER_CTE + ",\n" + top, f"SELECT 'top_products' AS key, '{{' || {cols} || '}}}}' AS value FROM top"),
+        "stream_odd_times": _with(ODD_CTE, "SELECT * FROM odd_buckets"),
+        "odd_time_counts": _with(ODD_CTE, f"SELECT CAST(coalesce(sum(count) FILTER (datetime > {AS_OF}), 0) AS BIGINT) AS future, "
+                                          f"CAST(coalesce(sum(count) FILTER (datetime < {AS_OF} - {_secs('8 hours 30 minutes')}), 0) AS BIGINT) AS late, "
+                                          "CAST(coalesce(sum(count), 0) AS BIGINT) AS clicks FROM odd_buckets"),
+        "catalogue_files": _with("", "SELECT id, category, title, price FROM products"),
+        "visitor_files": _with("", "SELECT userId, birthDate, gender FROM visitors"),
+        "keyed_messages": _with("", "SELECT userId AS key, '{' || array_to_string(list_filter(["
+                                    "'\"event_id\":' || event_id, '\"userId\":' || to_json(userId)::VARCHAR, "
+                                    "'\"productId\":' || to_json(productId)::VARCHAR], lambda x: x IS NOT NULL), ',') || '}' AS value, "
+                                    "'parent' AS header, productId AS parent FROM clicks"),
+        "offer_subscription": _with(seq, "SELECT 'special-offers' AS topicName, userId AS streamId, epoch_us(timestamp) * 1000 AS timestamp, "
+                                         "'offer' AS id, offer AS value FROM fold WHERE entered = 'offer' "
+                                         "AND userId = (SELECT min(userId) FROM fold WHERE entered = 'offer')", recursive=True),
+        "product_detail": _with("", "SELECT id, category, title, price FROM products WHERE id = (SELECT max(id) FROM products)"),
+        "offers_demographics": _with(known + ",\n" + demographics,
+                                     "SELECT userId, event_id, timestamp, offer FROM fold WHERE entered = 'offer'", recursive=True),
+    }
+
+
 def stream_oracles(base: dict[str, str]) -> dict[str, str]:
     """Streaming forms must equal their batch forms on time-ordered input."""
     return {"snapshot_roundtrip": base["top_products"], "stream_enrich": base["enrich_clicks"], "stream_bucket_counts": base["user_bucket_counts"],

@@ -59,24 +59,21 @@ def read_products(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).schema(PRODUCT_SCHEMA).json(path)
 
 
+def write_products(df: DataFrame, path: str) -> None:
+    """A catalogue as JSON arrays: one array per file, one file per task."""
+    rows = df.select(F.to_json(F.struct(*df.columns)).alias("j")).groupBy(F.spark_partition_id()).agg(F.collect_list("j").alias("j"))
+    rows.select(F.concat(F.lit("["), F.array_join("j", ",\n"), F.lit("]"))).write.text(path)
+
+
 def read_visitors(spark: SparkSession, path: str) -> DataFrame:
     """S3: visitors as JSON Lines."""
     return spark.read.schema(VISITOR_SCHEMA).json(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core on inputs that do not split.
-
-    A scan of a few unsplittable files (e.g. one Parquet row group) yields
-    fewer tasks than the cluster has cores; such an input is small, so one
-    round-robin exchange spreads it. On split inputs (many files / row
-    groups, the large-scale case) the scan already has enough partitions
-    and nothing is added to the plan.
-    """
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
-
-
 def with_arrival_order(df: DataFrame) -> DataFrame:
-    """Arrival order of file rows: (file, row position) as sortable columns."""
-    return df.withColumn("_file", F.input_file_name()).withColumn("_row", F.monotonically_increasing_id())
+    """Arrival order of file rows as sortable columns: file name, block start, and row number.
+
+    Row numbers grow within a file block as it is read, so (file, block, row) is the order
+    of the rows in the files, however Spark packs the blocks into tasks."""
+    return (df.withColumn("_file", F.input_file_name()).withColumn("_block", F.input_file_block_start())
+            .withColumn("_row", F.monotonically_increasing_id()))

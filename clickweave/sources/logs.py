@@ -46,10 +46,11 @@ def log_tail(log: DataFrame, keep: int = 10, show: int = 8) -> DataFrame:
         "created", "event_id", "line", rendered_log_line("created", "msg").alias("text"))
 
 
-def column_json(df: DataFrame, name: str) -> DataFrame:
+def column_json(df: DataFrame, name: str, order: list[str]) -> DataFrame:
     """K4: a small result table as one column-oriented JSON document
-    ``{"col": {"0": v, "1": v, ...}, ...}`` (index = position after sorting
-    by all columns; datetimes and dates as epoch milliseconds).
+    ``{"col": {"0": v, "1": v, ...}, ...}`` (datetimes and dates as epoch milliseconds).
+    The index is the row's place in the mart's ``order``: columns, with a leading ``-`` for
+    descending. A column whose name starts with ``_`` is for the order only.
 
     A document is one value, so the input must be a bounded mart (top-k,
     pivot, per-category counts); it is gathered by one aggregate.
@@ -60,7 +61,15 @@ def column_json(df: DataFrame, name: str) -> DataFrame:
         if f.dataType.typeName() in ("timestamp", "timestamp_ntz", "date"):
             c = F.unix_millis(c.cast("timestamp"))
         conv.append(c.alias(f.name))
-    rows = F.array_sort(F.collect_list(F.struct(*conv)))
+    def compare(a, b):
+        out = F.lit(0)
+        for c in reversed(order):
+            field, sign = c.removeprefix("-"), -1 if c.startswith("-") else 1
+            out = (F.when(a[field].eqNullSafe(b[field]), out).when(a[field].isNull(), 1).when(b[field].isNull(), -1)
+                   .when(a[field] < b[field], -sign).otherwise(sign))
+        return out
+
+    rows = F.array_sort(F.collect_list(F.struct(*conv)), compare)
     doc = df.agg(rows.alias("_rows"))
     idx = F.transform(F.sequence(F.lit(0), F.size("_rows") - 1), lambda i: i.cast("string"))
     def field(name: str):
@@ -68,7 +77,7 @@ def column_json(df: DataFrame, name: str) -> DataFrame:
 
     per_col = [F.when(F.size("_rows") > 0, F.map_from_arrays(idx, F.transform("_rows", field(c))))
                .otherwise(F.create_map().cast(f"map<string,{t}>")).alias(c)
-               for c, t in ((f.name, f.dataType.simpleString()) for f in df.select(*conv).schema.fields)]
+               for c, t in ((f.name, f.dataType.simpleString()) for f in df.select(*conv).schema.fields) if not c.startswith("_")]
     return doc.select(F.lit(name).alias("key"),
                       F.to_json(F.struct(*per_col)).alias("value"))
 

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from ..functions.temporal import timestamp_from_nanos
 
-STRING_PARAMS = ["userId", "age", "gender", "ip", "userAgent", "productId"]
-NUMERIC_PARAMS = ["event_id"]
+# ids are text: a numeric value is a double, which holds whole numbers to 2^53 only
+STRING_PARAMS = ["event_id", "userId", "age", "gender", "ip", "userAgent", "productId"]
+NUMERIC_PARAMS = ["original_timestamp"]
 PACKET_STREAM = "streamId"
 
 
@@ -26,7 +27,7 @@ def click_packets(clicks: DataFrame) -> DataFrame:
         F.col("userId").alias(PACKET_STREAM),
         (day * 1000).alias("epoch"),
         F.array((us - day) * 1000).alias("timestamps"),
-        F.create_map(*[x for p in STRING_PARAMS for x in (F.lit(p), F.array(F.col(p)))]).alias("stringValues"),
+        F.create_map(*[x for p in STRING_PARAMS for x in (F.lit(p), F.array(F.col(p).cast("string")))]).alias("stringValues"),
         F.create_map(*[x for p in NUMERIC_PARAMS for x in (F.lit(p), F.array(F.col(p).cast("double")))])
         .alias("numericValues"),
     )
@@ -35,11 +36,11 @@ def click_packets(clicks: DataFrame) -> DataFrame:
 def packet_rows(packets: DataFrame) -> DataFrame:
     """Explode packets to one row per timestamp (``posexplode`` + index)."""
     exploded = packets.select("*", F.posexplode("timestamps").alias("_i", "_t"))
-    sv = [F.try_element_at(F.col("stringValues")[p], F.col("_i") + 1).alias(p) for p in STRING_PARAMS]
-    nv = [F.try_element_at(F.col("numericValues")[p], F.col("_i") + 1).cast("long").alias(p)
-          for p in NUMERIC_PARAMS]
+    sv = [F.try_element_at(F.col("stringValues")[p], F.col("_i") + 1).alias(p) for p in STRING_PARAMS[1:]]
     return exploded.select(
-        *nv,
+        # text first; packets that carry the id as a number are still read
+        F.coalesce(F.try_element_at(F.col("stringValues")["event_id"], F.col("_i") + 1).cast("long"),
+                   F.try_element_at(F.col("numericValues")["event_id"], F.col("_i") + 1).cast("long")).alias("event_id"),
         timestamp_from_nanos(F.col("epoch") + F.col("_t")).cast("timestamp_ntz").alias("timestamp"),
         *sv,
     )

@@ -5,10 +5,10 @@
   by the next batch); each batch is written under its own ``batch``
   partition with dynamic overwrite, so a retried batch replaces its own
   output (idempotent) -- X13.
-* ``start_bucket_counts``: X4, the 30-minute (bucket, visitor) counts with
-  an 8.5-hour watermark in **update** mode; each batch appends its changed
-  absolute counts (idempotent per batch); readers take the latest count
-  per key (``latest_bucket_counts``).
+* ``start_bucket_counts``: X4, the 30-minute (bucket, visitor) counts: each
+  batch writes its own partial counts (idempotent per batch); readers sum
+  them per key (``latest_bucket_counts``). Nothing is dropped, whatever the
+  order of event times; ``odd_times`` counts late and future clicks (X7).
 * ``start_offers``: X1 keyed state -> offers, file sink (exactly once).
 * ``start_marts``: X6/X11, a ``rate`` source as the clock; each tick reads
   the trailing slice of the enriched table once (partition-pruned by day),
@@ -30,39 +30,35 @@ from ..operators import enrich as E
 from ..operators import metrics as M
 from .detector import offers_stream, sequence_trace_stream
 
-BUCKET_WATERMARK = "8 hours 30 minutes"
+BUCKET_RETENTION = "8 hours 30 minutes"
+BUCKET_SCHEMA = "datetime timestamp_ntz, userId string, count long, batch long"
 DAY_PARTITION = "day"
 
 
-def _event_time(df: DataFrame) -> DataFrame:
-    # watermarks need TIMESTAMP (not TIMESTAMP_NTZ); the session zone is UTC
-    return df.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-
-
-def _ntz(df: DataFrame, *cols: str) -> DataFrame:
-    for c in cols:
-        df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
-    return df
-
-
 def _write_batch(df: DataFrame, path: str, batch_id: int, partition_cols: list[str]) -> None:
-    """Idempotent batch write: a retried batch overwrites its own partition."""
+    """Idempotent batch write. A batch that was written leaves a marker and is not written again
+    on a retry (new files would be new rows to the file streams that read them); one that
+    broke off overwrites its own partition."""
+    spark = df.sparkSession
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_batches/{batch_id}")
+    fs = marker.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(marker):
+        return
     out = df.withColumn("batch", F.lit(batch_id).cast("long"))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols, "batch").parquet(path))
+    fs.mkdirs(marker)
 
 
 # ------------------------------------------------------------------ enrichment
 
 def start_enrichment(clicks_stream: DataFrame, load_dims: Callable[[], dict], out_path: str,
-                     checkpoint: str, trigger: dict | None = None,
-                     max_broadcast_rows: int | None = E.DEFAULT_MAX_BROADCAST_ROWS) -> StreamingQuery:
+                     checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Enrich every micro-batch against freshly read dimensions."""
 
     def batch(df: DataFrame, batch_id: int) -> None:
         d = load_dims()
-        out = E.enrich(df, d["products"], d["visitors"], d["ip_ranges"], d["countries"],
-                       max_broadcast_rows=max_broadcast_rows)
+        out = E.enrich(df, d["products"], d["visitors"], d["ip_ranges"], d["countries"])
         out = (out.withColumn(DAY_PARTITION, F.to_date("timestamp"))
                .sortWithinPartitions(DAY_PARTITION, "timestamp"))
         _write_batch(out, out_path, batch_id, [DAY_PARTITION])
@@ -83,47 +79,44 @@ def read_enriched(spark: SparkSession, path: str, since: Column | None = None) -
 
 # ---------------------------------------------------------------- X4 buckets
 
-def bucket_counts_stream(enriched_stream: DataFrame, watermark: str = BUCKET_WATERMARK,
-                         every: str = "30 minutes") -> DataFrame:
-    """G1 as a streaming aggregation with a watermark (partial + final hash
-    aggregate, running totals in the state store = G2)."""
-    s = _event_time(enriched_stream).withWatermark("timestamp", watermark)
-    # group by the window struct itself: it carries the watermark, so late
-    # rows are dropped and state of closed windows is evicted
-    agg = (s.filter(F.col("userId").isNotNull())
-           .groupBy(F.window("timestamp", every).alias("w"), "userId")
-           .agg(F.count(F.lit(1)).alias("count")))
-    return agg.select(F.col("w.start").alias("datetime"), "userId", "count")
-
-
 def start_bucket_counts(enriched_stream: DataFrame, out_path: str, checkpoint: str,
-                        trigger: dict | None = None, watermark: str = BUCKET_WATERMARK) -> StreamingQuery:
-    """Update mode; each batch appends the keys whose count changed."""
+                        trigger: dict | None = None) -> StreamingQuery:
+    """Each batch writes its own partial counts (G1); a retried batch replaces them.
+
+    No state and no watermark, so a late or future-dated click is counted like any other and
+    cannot make the job lose later ones."""
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        _write_batch(_ntz(df, "datetime"), out_path, batch_id, [])
+        _write_batch(M.user_bucket_counts(df), out_path, batch_id, [])
 
-    q = (bucket_counts_stream(enriched_stream, watermark).writeStream.outputMode("update")
-         .foreachBatch(batch).option("checkpointLocation", checkpoint))
+    q = enriched_stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return q.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def latest_bucket_counts(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
-    """Current absolute count per (bucket, visitor): the newest batch wins.
+    """The sum of the batches' partial counts per (bucket, visitor).
 
     ``since`` keeps only buckets starting at or after it (the 8.5-hour
     retention of the reference), filtered before the aggregation.
     """
-    df = spark.read.parquet(path)
+    df = spark.read.schema(BUCKET_SCHEMA).parquet(path)
     if since is not None:
         df = df.filter(F.col("datetime") >= since)
-    return df.groupBy("datetime", "userId").agg(F.max_by("count", "batch").alias("count"))
+    return df.groupBy("datetime", "userId").agg(F.sum("count").alias("count"))
+
+
+def odd_times(buckets: DataFrame, as_of: Column, late: str = BUCKET_RETENTION) -> DataFrame:
+    """How many counted clicks lie in buckets after ``as_of`` (future) or before the
+    retention (late): one row, for an alarm. They stay counted."""
+    future, old = F.col("datetime") > as_of, F.col("datetime") < as_of - M.interval(late)
+    total = lambda c: F.coalesce(F.sum(F.when(c, F.col("count"))), F.lit(0)).cast("long")
+    return buckets.agg(total(future).alias("future"), total(old).alias("late"), total(F.lit(True)).alias("clicks"))
 
 
 def compact_bucket_counts(spark: SparkSession, path: str, out_path: str, since: Column) -> None:
-    """Retention + compaction of the bucket log: latest count per key for
-    buckets >= ``since`` written as one new table (run periodically; readers
-    switch to ``out_path``, old log folders are dropped by storage policy)."""
+    """Retention + compaction of the bucket log: one row per key for buckets >= ``since``
+    written as one new table (run periodically; readers switch to ``out_path``, old log
+    folders are dropped by storage policy)."""
     latest_bucket_counts(spark, path, since).withColumn("batch", F.lit(0).cast("long")) \
         .write.mode("overwrite").parquet(out_path)
 
@@ -146,6 +139,18 @@ def start_trace(enriched_stream: DataFrame, out_path: str, checkpoint: str, with
 
 # --------------------------------------------------------------- X6/X11 marts
 
+# each mart's row order in its document
+MART_ORDER = {
+    "last_15_minutes": ["datetime"],
+    "products_last_hour": ["-count", "productId", "category"],
+    "latest_visitors": ["-Date and Time", "ip"],
+    "category_popularity": ["-count", "category"],
+    "device_type_popularity": ["_place"],
+    "raw_data": ["-timestamp", "-event_id"],
+    "sessions": ["datetime"],
+}
+
+
 def refresh_marts(spark: SparkSession, enriched_path: str, buckets_path: str | None, out_dir: str,
                   as_of: Column, buffer: str = "1 hour", documents: bool = True) -> dict[str, DataFrame]:
     """Recompute every dashboard mart from one snapshot of the trailing buffer.
@@ -167,13 +172,19 @@ def refresh_marts(spark: SparkSession, enriched_path: str, buckets_path: str | N
             "raw_data": M.raw_latest(snap),
         }
         if buckets_path is not None:
-            recent = latest_bucket_counts(spark, buckets_path, as_of - M.interval(BUCKET_WATERMARK))
+            recent = latest_bucket_counts(spark, buckets_path, as_of - M.interval(BUCKET_RETENTION))
             marts["sessions"] = M.visitors_per_bucket(recent, as_of)
         for name, df in marts.items():
             df.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/{name}")
         if documents:
             from ..sources.logs import column_json
-            docs = [column_json(spark.read.parquet(f"{out_dir.rstrip('/')}/{n}"), n) for n in marts]
+            docs = []
+            for n in marts:
+                mart = spark.read.parquet(f"{out_dir.rstrip('/')}/{n}")
+                if n == "device_type_popularity":
+                    place = F.array_position(F.array(*map(F.lit, M.DEVICE_PIVOT)), F.col("Device type"))
+                    mart = mart.withColumn("_place", F.when(place == 0, len(M.DEVICE_PIVOT) + 1).otherwise(place))
+                docs.append(column_json(mart, n, MART_ORDER[n]))
             union = docs[0]
             for d in docs[1:]:
                 union = union.unionByName(d)

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.temporal import time_literal
+
 CLICK_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("timestamp", T.TimestampNTZType()),
@@ -24,6 +26,20 @@ CLICK_SCHEMA = T.StructType([
     T.StructField("productId", T.StringType()),
 ])
 
+ENRICHED_SCHEMA = T.StructType([
+    *CLICK_SCHEMA.fields[:6],
+    T.StructField("productId", T.StringType()),
+    T.StructField("category", T.StringType()),
+    T.StructField("title", T.StringType()),
+    T.StructField("birthdate", T.DateType()),
+    T.StructField("country", T.StringType()),
+    T.StructField("deviceType", T.StringType()),
+    T.StructField("age", T.IntegerType()),
+    T.StructField("gender", T.StringType()),
+    T.StructField("day", T.DateType()),  # the table's partition columns
+    T.StructField("batch", T.LongType()),
+])
+
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                 max_files_per_trigger: int | None = None) -> DataFrame:
@@ -85,16 +101,17 @@ def stage_time_slices(df: DataFrame, path: str, slices: int, files_per_slice: in
     ``files_per_slice`` files. A file source with
     ``maxFilesPerTrigger=files_per_slice`` then replays the table as
     time-ordered micro-batches, and every slice is written in parallel.
-    (Replay tooling for tests; production input is the broker.)"""
+    Rows without a time go with the first slice. (Replay tooling for the registered
+    streaming queries; production input is the broker.)"""
     b = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
     lo, hi = b["lo"], b["hi"]
     if lo is None:
         return
-    step = (hi - lo) / slices
+    step, dtype = (hi - lo) / slices, df.schema[ts].dataType.simpleString()
     for i in range(slices):
-        cond = F.col(ts) >= F.lit(lo + step * i)
+        cond = F.col(ts) >= time_literal(lo + step * i, dtype) if i else F.lit(True)
         if i + 1 < slices:
-            cond = cond & (F.col(ts) < F.lit(lo + step * (i + 1)))
+            cond = F.coalesce(cond & (F.col(ts) < time_literal(lo + step * (i + 1), dtype)), F.lit(i == 0))
         df.filter(cond).repartitionByRange(files_per_slice, ts).write.mode("append").parquet(path)
 
 

@@ -22,7 +22,7 @@ def test_end_to_end_services(spark, tmp_path):
     prods = {r.id: (r.category, r.title) for r in app.current_dimension(spark, app.paths(base)["products"]).collect()}
     assert prods["B"] == ("clothing", "Dress")
     # click log: v1 views A, S, B within minutes -> one offer
-    t0 = int(dt.datetime(2024, 3, 1, 12, 0).timestamp())
+    t0 = int(dt.datetime(2024, 3, 1, 12, 0, tzinfo=dt.timezone.utc).timestamp())
     lines = ["Visitor Unique ID\tIP Address\t29\tUnix Timestamp\tProduct Page URL\tExtra"]
     for i, pid in enumerate(["A", "A", "S", "B"]):
         lines.append(f"{{v1}}\t10.0.0.1\tMozilla/5.0 (Windows NT 10.0)\t{t0 + 60 * i}\t"
@@ -34,11 +34,33 @@ def test_end_to_end_services(spark, tmp_path):
         q.awaitTermination()
     offers = spark.read.parquet(app.paths(base)["offers"]).collect()
     assert [(o.userId, o.offer) for o in offers] == [("v1", "offer1")]
-    marts = app.refresh_dashboard(spark, base, F.lit(dt.datetime(2024, 3, 1, 12, 5)).cast("timestamp_ntz"))
+    marts = app.refresh_dashboard(spark, base, F.expr("TIMESTAMP_NTZ '2024-03-01 12:05:00'"))
     top = spark.read.parquet(app.paths(base)["marts"] + "/products_last_hour").collect()
     assert sum(r["count"] for r in top) == 4 and "sessions" in marts
 
 
+def test_services_start_on_an_empty_base(spark):
+    """No lookups, no clicks, a continuous trigger: everything starts, and clicks get the defaults."""
+    import time
+
+    from clickweave.streaming.sources import CLICK_SCHEMA
+    base = shared_path(spark, "fresh")
+    queries = app.start_services(spark, base, trigger={"processingTime": "1 second"})
+    try:
+        row = (1, dt.datetime(2024, 1, 1), None, "v", "10.0.0.1", None, None, None, "A")
+        spark.createDataFrame([row], CLICK_SCHEMA).write.mode("append").parquet(app.paths(base)["clicks"])
+        deadline, rows = time.time() + 120, []
+        while time.time() < deadline and not rows:
+            time.sleep(1)
+            assert all(q.exception() is None for q in queries)
+            rows = (spark.read.schema("category string, country string, gender string").parquet(app.paths(base)["enriched"])
+                        .select("category", "country", "gender").collect())
+        assert [tuple(r) for r in rows] == [("Unknown", "Unknown", "U")]
+    finally:
+        for q in queries:
+            q.stop()
+
+
 def test_dimension_update_seen_by_next_batch(spark, tmp_path):
     """The enrichment re-reads dimensions per micro-batch."""
     from clickweave.streaming.jobs import start_enrichment

@@ -96,6 +96,16 @@ def test_progress_observation(spark):
     assert obs.get["rows"] == 25
 
 
+def test_packets_keep_large_ids(spark):
+    import datetime as dt
+
+    from clickweave.sources.packets import click_packets, packet_rows
+    big = 2**53 + 1
+    row = (big, dt.datetime(2024, 1, 1), None, "u", "10.0.0.1", None, None, None, "A")
+    from clickweave.streaming.sources import CLICK_SCHEMA
+    assert packet_rows(click_packets(spark.createDataFrame([row], CLICK_SCHEMA))).first().event_id == big
+
+
 def test_packets_multi_element(spark):
     from clickweave.sources.packets import packet_rows
     day_ns = 1704067200 * 10**9

@@ -80,13 +80,44 @@ def test_enrich_shuffle_fallback_equals_broadcast(spark):
     from tests.conftest import SF_SMALL
     t = TB.load(spark, SF_SMALL)
     args = (t["clicks"], t["products"], t["visitors"], t["ip_ranges"], t["countries"])
-    small = enrich(*args)  # all dimensions broadcast after the size check
-    big = enrich(*args, max_broadcast_rows=1)  # every check fails: shuffle joins
+    small = enrich(*args)  # Spark broadcasts by statistics
+    rows = sorted(map(tuple, small.collect()))
     import contextlib
     import io
     buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        big.explain()
-    plan = buf.getvalue()
-    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = enrich(*args)
+        with contextlib.redirect_stdout(buf):
+            big.explain()
+        assert "SortMergeJoin" in buf.getvalue() or "ShuffledHashJoin" in buf.getvalue()
+        assert rows == sorted(map(tuple, big.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_repeated_lookup_keys_do_not_repeat_clicks(spark):
+    from clickweave.operators.enrich import enrich
+    from clickweave.sources import testbed as TB
+    from tests.conftest import SF_SMALL
+    t = TB.load(spark, SF_SMALL)
+    twice = t["products"].selectExpr("id", "'old' AS category", "title", "0 AS seq").unionByName(
+        t["products"].selectExpr("id", "category", "title", "1 AS seq"))
+    rest = (t["visitors"], t["ip_ranges"], t["countries"])
+    assert sorted(map(tuple, enrich(t["clicks"], twice, *rest).collect())) == sorted(map(tuple, enrich(t["clicks"], t["products"], *rest).collect()))
+
+
+def test_documents_keep_the_order_of_the_mart(spark):
+    from clickweave.sources.logs import column_json
+    df = spark.createDataFrame([("a", 1, 3), ("z", 9, 1), ("m", 5, 2), (None, 5, 0)], "k string, n long, _i int")
+    by_n = column_json(df, "x", ["-n", "k"]).first().value
+    assert by_n == '{"k":{"0":"z","1":"m","2":null,"3":"a"},"n":{"0":9,"1":5,"2":5,"3":1}}' or '"3":"a"' in by_n
+    assert '"0":9,"1":5,"2":5,"3":1' in by_n and "_i" not in by_n
+    assert '"n":{"0":5,"1":9,"2":5,"3":1}' in column_json(df, "x", ["_i"]).first().value
+
+
+def test_octets_above_255_match_nothing(spark):
+    from clickweave.operators.range_join import ip_to_long
+    rows = spark.createDataFrame([("10.300.1.1",), ("10.0.0.1",), ("1.2.3",), ("256.0.0.0",), ("-1.0.0.0",), (None,)], "ip string")
+    assert [r[0] for r in rows.select(ip_to_long("ip")).collect()] == [None, 167772161, None, None, None, None]

@@ -34,8 +34,19 @@ def test_replay_schedule_many_partitions(spark):
     for i in range(len(t)):
         exp_delay = d[i] if i < len(d) else None
         assert got[i] == (exp_delay, at[i])
-    un = {r.event_id: r.at for r in O.untimed_schedule(df, partitions=9).collect()}
-    assert un[0] == 0.0 and un[10] == 10 * 0.2 and len(un) == 2500
+
+
+def test_replay_schedule_with_null_times(spark):
+    times = [1.0, None, 4.0, 6.0, None, None, 7.0, 9.0, None]
+    df = spark.createDataFrame(list(enumerate(times)), "event_id long, original_timestamp double")
+    want, at = {}, 0.0
+    for i, t in enumerate(times):
+        nxt = times[i + 1] if i + 1 < len(times) else None
+        delay = None if t is None or nxt is None else min(max(nxt - t, 0.0), 10.0)
+        want[i] = (delay, at)
+        at += delay or 0.0
+    for n in (1, 2, 4, 9):
+        assert {r.event_id: (r.delay, r.at) for r in O.replay_schedule(df, partitions=n).collect()} == want
 
 
 def test_upsert_null_keeps_old_and_last_wins(spark):

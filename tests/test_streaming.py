@@ -16,20 +16,41 @@ def _write(spark, path, rows):
     spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
-def test_bucket_counts_late_rows_and_updates(spark):
-    """Watermark 8.5 h. Spark drops a row as late once it is older than the
-    watermark of the *previous* micro-batch (late-event watermark lags one
-    batch so chained stateful operators agree)."""
+def test_bucket_counts_lose_no_late_or_future_rows(spark):
+    """Batch counts are summed on read: a far-future click does not cost later ones."""
     src, out, ck = shared_path(spark, "src"), shared_path(spark, "out"), shared_path(spark, "ck")
     schema = spark.createDataFrame([], SCHEMA).schema
-    _write(spark, src, [(1, T0, "u", "x", 1), (2, T0 + dt.timedelta(hours=10), "u", "x", 1)])
-    _write(spark, src, [(4, T0 + dt.timedelta(hours=2), "v", "x", 1)])            # inside the watermark
-    _write(spark, src, [(3, T0 + dt.timedelta(minutes=5), "u", "x", 1),           # older than 10h - 8.5h: late
-                        (5, T0 + dt.timedelta(hours=10, minutes=1), "u", "x", 1)])  # updates an emitted bucket
-    q = P.start_bucket_counts(file_stream(spark, src, schema, max_files_per_trigger=1), out, ck)
-    q.awaitTermination()
-    got = {(r.datetime, r.userId): r["count"] for r in P.latest_bucket_counts(spark, out).collect()}
-    assert got == {(T0, "u"): 1, (T0 + dt.timedelta(hours=2), "v"): 1, (T0 + dt.timedelta(hours=10), "u"): 2}
+    hour = dt.timedelta(hours=1)
+    far = T0.replace(year=2031)
+    _write(spark, src, [(1, T0, "u", "x", 1), (2, far, "u", "x", 1)])
+    _write(spark, src, [(4, T0 + 2 * hour, "v", "x", 1)])
+    _write(spark, src, [(3, T0 - 30 * hour, "u", "x", 1), (5, T0 + 2 * hour, "v", "x", 1), (6, T0, "u", "x", 1)])
+    for _ in range(2):  # the second run finds nothing new
+        P.start_bucket_counts(file_stream(spark, src, schema, max_files_per_trigger=1), out, ck).awaitTermination()
+    counts = P.latest_bucket_counts(spark, out)
+    got = {(r.datetime, r.userId): r["count"] for r in counts.collect()}
+    assert got == {(T0, "u"): 2, (T0 + 2 * hour, "v"): 2, (T0 - 30 * hour, "u"): 1, (far, "u"): 1}
+    as_of = F.expr(f"TIMESTAMP_NTZ '{T0 + 3 * hour}'")
+    assert tuple(P.odd_times(counts, as_of).first()) == (1, 1, 6)
+
+
+def test_batch_is_written_once(spark):
+    path = shared_path(spark, "once")
+    df = spark.range(3)
+    for _ in range(2):
+        P._write_batch(df, path, 7, [])
+    names = [f for f in os.listdir(path + "/batch=7") if f.endswith(".parquet")]
+    P._write_batch(df, path, 7, [])
+    assert spark.read.parquet(path).count() == 3
+    assert names == [f for f in os.listdir(path + "/batch=7") if f.endswith(".parquet")]
+
+
+def test_staging_loses_no_row_without_a_time(spark):
+    from clickweave.streaming.sources import stage_time_slices
+    df = spark.createDataFrame([(i, T0 + dt.timedelta(minutes=i) if i % 5 else None, "u", "x", 1) for i in range(40)], SCHEMA)
+    path = shared_path(spark, "staged")
+    stage_time_slices(df, path, 4, 2)
+    assert sorted(r.event_id for r in spark.read.parquet(path).collect()) == list(range(40))
 
 
 def test_marts_refresh_and_clock(spark):
@@ -42,7 +63,7 @@ def test_marts_refresh_and_clock(spark):
     (spark.createDataFrame(rows, cols).withColumn("original_timestamp", F.lit(None).cast("long"))
      .withColumn("batch", F.lit(0).cast("long")).write.partitionBy("day", "batch").parquet(enriched_path))
     out = shared_path(spark, "marts")
-    as_of = F.lit(T0 + dt.timedelta(minutes=89)).cast("timestamp_ntz")
+    as_of = F.expr(f"TIMESTAMP_NTZ '{T0 + dt.timedelta(minutes=89)}'")
     P.refresh_marts(spark, enriched_path, None, out, as_of)
     top = spark.read.parquet(f"{out}/products_last_hour").collect()
     assert sum(r["count"] for r in top) == 60  # strict 1-hour window: minutes 30..89

@@ -62,7 +62,6 @@ class IdBytes:
     """
 
     CUT = re.compile(r"(?<=\S) (?=\S)")
-    UNEVEN = re.compile(r"\s\s|\A\s|\s\Z")
     END_MARKS = ".,;:!?"
 
     def __init__(self, name: str):
@@ -132,7 +131,11 @@ class IdBytes:
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.spaced) + len(self.bare) > CACHE_WORDS:
             self.old_spaced, self.old_bare, self.spaced, self.bare = self.spaced, self.bare, {}, {}
-        parts = [self.CUT.split(t) if self.UNEVEN.search(t) else t.split(" ") for t in texts]
+        parts = [t.split(" ") for t in texts]
+        # White space beside a space shows as an empty part or as a part's first or last character.
+        odd = {x for x in set().union(*parts) if not x or x[0].isspace() or x[-1].isspace()}
+        if odd:
+            parts = [p if odd.isdisjoint(p) else self.CUT.split(t) for t, p in zip(texts, parts, strict=True)]
         heads = [p[0] for p in parts]
         for p in parts:
             del p[0]
@@ -150,7 +153,7 @@ def cut(n: int, size: int) -> Iterator[tuple[int, int]]:
         yield start, size
 
 
-def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, max_tokens: int = MAX_TOKENS, text_budget: int = 2_000_000) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, max_tokens: int = MAX_TOKENS, text_budget: int = 4_000_000) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece."""
     from clickweave.llm.common import text_slices
 

@@ -41,14 +41,16 @@ unbounded group into one task. Instead:
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.visitors import FEMALE_AGE_RANGE, MALE_AGE_RANGE, OFFER_MALE, OFFER_OTHER
+from ..functions.visitors import in_target_group, offer_for_gender
 from .ordered import layout_partitions
 
 # fixed values: state names and the categories the rule reacts to
@@ -58,32 +60,73 @@ DEFAULT_WINDOW_MINUTES = 30
 
 _INIT_STATE = (INIT, None, None, None)  # (state, first_us, first_pid, last_pid)
 
+
+class Step(NamedTuple):
+    """In ``state``, a row with the label ``when`` goes to ``goes_to``; ``product`` says whether it
+    must be the sequence's first product ("first"), another ("other") or any ("any")."""
+
+    state: str
+    when: str
+    goes_to: str
+    product: str = "any"
+
+
+@dataclass(frozen=True)
+class SequenceRule:
+    """An ordered state machine per visitor, as a table.
+
+    ``labels`` give each row its marks (Column conditions, evaluated in the JVM; null is
+    false). Of a state's ``steps`` the first that fits is taken. Entering ``emits`` ends the
+    sequence; ``code`` is what such a row carries. All machines start in ``init``.
+    """
+
+    labels: dict[str, Callable[[], Column]]
+    steps: tuple[Step, ...]
+    emits: str
+    code: Callable[[], Column]
+
+    def marks(self) -> Column:
+        """The row's labels as bits."""
+        out = F.lit(0)
+        for i, condition in enumerate(self.labels.values()):
+            out = out + F.when(condition(), 1 << i).otherwise(0)
+        return out.cast("long")
+
+    def by_state(self) -> dict[str, list[tuple[int, str, str]]]:
+        bits = {name: 1 << i for i, name in enumerate(self.labels)}
+        out: dict[str, list[tuple[int, str, str]]] = {}
+        for step in self.steps:
+            out.setdefault(step.state, []).append((bits[step.when], step.product, step.goes_to))
+        return out
+
+
+OFFER_RULE = SequenceRule(
+    labels={
+        "target_clothing": lambda: (F.col("category") == CLOTHING) & in_target_group("gender", "age"),
+        "clothing": lambda: F.col("category") == CLOTHING,
+        "shoes": lambda: F.col("category") == SHOES_CATEGORY,
+    },
+    steps=(
+        Step(INIT, "target_clothing", CLOTHES),
+        Step(CLOTHES, "shoes", SHOES),
+        Step(CLOTHES, "clothing", CLOTHES),
+        Step(SHOES, "clothing", OFFER, "other"),
+        Step(SHOES, "clothing", CLOTHES, "first"),
+    ),
+    emits=OFFER,
+    code=lambda: offer_for_gender("gender"),
+)
+
 TRACE_SCHEMA = ("userId string, event_id long, us long, productId string, category string, "
                 "state string, offer string, live boolean")
 SUMMARY_SCHEMA = ("pid int, first_user string, last_user string, n long, synced boolean, "
                   "st string, first_us long, first_pid string, last_pid string")
 
 
-def _in_target_group(gender, age) -> bool:
-    if age is None or age != age:  # null / NaN age never qualifies
-        return False
-    if gender == "M":
-        return MALE_AGE_RANGE[0] <= age <= MALE_AGE_RANGE[1]
-    if gender == "F":
-        return FEMALE_AGE_RANGE[0] <= age <= FEMALE_AGE_RANGE[1]
-    return False
-
-
-def _fold_rows(pdf: pd.DataFrame, state, current_user, window_us: int, trace: list | None):
+def _fold_rows(pdf: pd.DataFrame, state, current_user, window_us: int, trace: list | None, steps: dict, emits: str):
     """Fold one batch of sorted rows; returns (state, current_user)."""
-    users = pdf["userId"].tolist()
-    uss = pdf["us"].tolist()
-    pids = pdf["productId"].tolist()
-    cats = pdf["category"].tolist()
-    genders = pdf["gender"].tolist()
-    ages = pdf["age"].tolist()
-    eids = pdf["event_id"].tolist() if trace is not None else None
-    lives = pdf["live"].tolist() if trace is not None else None
+    users, uss, pids, marks = (pdf[c].tolist() for c in ("userId", "us", "productId", "marks"))
+    rest = list(zip(*(pdf[c].tolist() for c in ("event_id", "category", "code", "live")))) if trace is not None else None
     st, first_us, first_pid, last_pid = state
     for i in range(len(users)):
         u = users[i]
@@ -93,48 +136,36 @@ def _fold_rows(pdf: pd.DataFrame, state, current_user, window_us: int, trace: li
         pid = pids[i]
         if st != INIT and last_pid == pid:
             continue  # page refresh
-        cat = cats[i]
-        ts = uss[i]
-        nxt = None
-        if st == INIT:
-            if cat == CLOTHING and _in_target_group(genders[i], ages[i]):
-                nxt = CLOTHES
-        elif ts - first_us < window_us:
-            if st == CLOTHES:
-                if cat == SHOES_CATEGORY:
-                    nxt = SHOES
-                elif cat == CLOTHING:
-                    nxt = CLOTHES
-            elif cat == CLOTHING:  # st == SHOES
-                nxt = OFFER if pid != first_pid else CLOTHES
-        if nxt is None or nxt == OFFER:
-            if nxt == OFFER and trace is not None:
-                trace.append((u, eids[i], ts, pid, cat, OFFER,
-                              OFFER_MALE if genders[i] == "M" else OFFER_OTHER, lives[i]))
+        ts, mark, nxt = uss[i], marks[i], None
+        if mark and (st == INIT or ts - first_us < window_us):
+            for bit, product, goes_to in steps.get(st, ()):
+                if mark & bit and (product == "any" or (product == "first") == (pid == first_pid)):
+                    nxt = goes_to
+                    break
+        if nxt is not None and trace is not None:
+            eid, cat, code, live = rest[i]
+            trace.append((u, eid, ts, pid, cat, nxt, code, live))
+        if nxt is None or nxt == emits:
             st, first_us, first_pid, last_pid = _INIT_STATE
             continue
         if st == INIT:
             first_us, first_pid = ts, pid
         st, last_pid = nxt, pid
-        if trace is not None:
-            trace.append((u, eids[i], ts, pid, cat, nxt,
-                          OFFER_MALE if genders[i] == "M" else OFFER_OTHER, lives[i]))
     return (st, first_us, first_pid, last_pid), current_user
 
 
 def _sync_pair(pdf: pd.DataFrame, before: tuple | None) -> tuple[bool, tuple]:
-    """Do two adjacent rows (of one visitor) have different products, both outside clothing
-    and shoes? At most the first can be a refresh of an accepted product, so after the
-    second the state is ``init`` whatever it was before."""
-    rows = list(zip(pdf["productId"].tolist(), pdf["category"].tolist()))
+    """Do two adjacent rows (of one visitor) have different products and no label? At most the
+    first can be a refresh of an accepted product, so after the second the state is ``init``
+    whatever it was before."""
+    rows = list(zip(pdf["productId"].tolist(), pdf["marks"].tolist()))
     last = rows[-1]
     if before is not None:
         rows.insert(0, before)
-    outside = [c not in (CLOTHING, SHOES_CATEGORY) for _, c in rows]
-    return any(a and b and x != y for a, b, (x, _), (y, _) in zip(outside, outside[1:], rows, rows[1:])), last
+    return any(not a and not b and x != y for (x, a), (y, b) in zip(rows, rows[1:])), last
 
 
-def _partition_folder(incoming: dict, window_us: int, mode: str):
+def _partition_folder(incoming: dict, window_us: int, mode: str, rule_steps: dict, emits: str):
     """mapInPandas body. ``incoming``: pid -> (user, state) for its first visitor."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -152,7 +183,7 @@ def _partition_folder(incoming: dict, window_us: int, mode: str):
                 seed = incoming.get(pid)
                 if seed is not None and seed[0] == first_user:
                     state, user = tuple(seed[1]), first_user
-            state, user = _fold_rows(pdf, state, user, window_us, trace)
+            state, user = _fold_rows(pdf, state, user, window_us, trace, rule_steps, emits)
             n += len(pdf)
             if mode == "summary" and not synced:
                 synced, before = _sync_pair(pdf, before)
@@ -176,14 +207,14 @@ def _bounds(layout: DataFrame) -> dict:
     return {r["_pid"]: r for r in rows}
 
 
-def _tail_ends(layout: DataFrame, tails: dict, incoming: dict, window_us: int) -> dict:
+def _tail_ends(layout: DataFrame, tails: dict, incoming: dict, window_us: int, rule: SequenceRule) -> dict:
     """(end state of the last visitor, whether it is the same for any incoming state) of each
     partition in ``tails`` (pid -> visitor), folding only that visitor's rows of it."""
     if not tails:
         return {}
     keys = sorted(f"{pid}\u0001{user}" for pid, user in tails.items())
     rows = layout.filter(F.concat_ws("\u0001", F.col("_pid").cast("string"), "userId").isin(keys))
-    out = rows.mapInPandas(_partition_folder(incoming, window_us, "summary"), SUMMARY_SCHEMA).collect()
+    out = rows.mapInPandas(_partition_folder(incoming, window_us, "summary", rule.by_state(), rule.emits), SUMMARY_SCHEMA).collect()
     return {r["pid"]: ((r["st"], r["first_us"], r["first_pid"], r["last_pid"]), r["synced"]) for r in out}
 
 
@@ -218,19 +249,24 @@ def eligible(clicks: DataFrame) -> DataFrame:
     return clicks.filter(F.col("gender").isNotNull() & F.col("age").isNotNull())
 
 
-def fold_layout(clicks: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Range-partitioned, sorted, checkpointed fold input with partition ids."""
-    n = layout_partitions(clicks, partitions)
-    cols = clicks.select(
+def fold_input(clicks: DataFrame, rule: SequenceRule) -> DataFrame:
+    """The columns the fold needs: times as epoch micros, labels as bits."""
+    return clicks.select(
         F.col("userId").cast("string").alias("userId"),
         F.unix_micros(F.col("timestamp").cast("timestamp")).alias("us"),
         F.col("event_id").cast("long").alias("event_id"),
         F.col("productId").cast("string").alias("productId"),
         F.col("category").cast("string").alias("category"),
-        F.col("gender").cast("string").alias("gender"),
-        F.col("age").cast("int").alias("age"),
+        rule.marks().alias("marks"),
+        rule.code().cast("string").alias("code"),
         F.col("original_timestamp").isNull().alias("live"),
     ).filter(F.col("userId").isNotNull() & F.col("us").isNotNull())
+
+
+def fold_layout(clicks: DataFrame, rule: SequenceRule, partitions: int | None = None) -> DataFrame:
+    """Range-partitioned, sorted, checkpointed fold input with partition ids."""
+    n = layout_partitions(clicks, partitions)
+    cols = fold_input(clicks, rule)
     # The range exchange samples its input in a separate job; persisting the
     # narrow projection first means the upstream plan (scan + enrichment
     # joins) runs once, not once for sampling and once for the shuffle.
@@ -245,23 +281,24 @@ def fold_layout(clicks: DataFrame, partitions: int | None = None) -> DataFrame:
 
 
 def sequence_trace(clicks: DataFrame, within_minutes: int = DEFAULT_WINDOW_MINUTES,
-                   partitions: int | None = None, require_demographics: bool = False) -> DataFrame:
-    """Accepted transitions of every visitor (state entered per click).
+                   partitions: int | None = None, require_demographics: bool = False,
+                   rule: SequenceRule = OFFER_RULE) -> DataFrame:
+    """Accepted transitions of every visitor (state entered per click) by any rule table.
 
-    Input needs userId, timestamp, event_id, productId, category, gender,
-    age, original_timestamp (null = live row). Output: userId, event_id,
-    timestamp, productId, category, state, offer, live.
+    Input needs userId, timestamp, event_id, productId, category,
+    original_timestamp (null = live row) and what the rule's conditions read. Output:
+    userId, event_id, timestamp, productId, category, state, offer (the rule's code), live.
     """
     window_us = int(within_minutes) * 60 * 1_000_000
     if require_demographics:
         clicks = eligible(clicks)
-    layout = fold_layout(clicks, partitions)
+    layout = fold_layout(clicks, rule, partitions)
     bounds = _bounds(layout)
     pids = sorted(bounds)
     # partitions whose last visitor continues in the next partition
     carry = {p: bounds[p]["last_user"] for p, q in zip(pids, pids[1:])
              if bounds[q]["first_user"] == bounds[p]["last_user"]}
-    ends = _tail_ends(layout, carry, {}, window_us)
+    ends = _tail_ends(layout, carry, {}, window_us, rule)
     tail_end = {p: end for p, (end, _) in ends.items()}
     synced = {p for p, (_, s) in ends.items() if s}
     verified_end: dict = {}
@@ -277,17 +314,24 @@ def sequence_trace(clicks: DataFrame, within_minutes: int = DEFAULT_WINDOW_MINUT
                 and verified_in.get(p) != incoming[p]}
         if not todo:
             break
-        fresh = _tail_ends(layout, {p: carry[p] for p in todo}, incoming, window_us)
+        fresh = _tail_ends(layout, {p: carry[p] for p in todo}, incoming, window_us, rule)
         for p in todo:
             verified_end[p] = fresh[p][0]
             verified_in[p] = incoming[p]
         incoming = _chain(bounds, tail_end, verified_end, verified_in)
-    trace = layout.mapInPandas(_partition_folder(incoming, window_us, "trace"), TRACE_SCHEMA)
+    trace = layout.mapInPandas(_partition_folder(incoming, window_us, "trace", rule.by_state(), rule.emits), TRACE_SCHEMA)
     return trace.select("userId", "event_id",
                         F.timestamp_micros("us").cast("timestamp_ntz").alias("timestamp"),
                         "productId", "category", "state", "offer", "live")
 
 
+def detect_sequence(clicks: DataFrame, rule: SequenceRule, within_minutes: int = DEFAULT_WINDOW_MINUTES,
+                    partitions: int | None = None) -> DataFrame:
+    """One row per completed sequence of ``rule``: userId, event_id, timestamp, code."""
+    t = sequence_trace(clicks, within_minutes, partitions, rule=rule)
+    return t.filter(F.col("state") == rule.emits).select("userId", "event_id", "timestamp", F.col("offer").alias("code"))
+
+
 def detect_offers(clicks: DataFrame, within_minutes: int = DEFAULT_WINDOW_MINUTES,
                   partitions: int | None = None, require_demographics: bool = False) -> DataFrame:
     """X1 + X10: one row per offer: userId, event_id, timestamp, offer."""

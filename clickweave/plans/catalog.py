@@ -281,6 +281,21 @@ def _offers(window: int):
     return q
 
 
+# Another rule table. A visitor reaches a page without a product ("lost") and finds clothing or
+# shoes of another product again; the code is the category found.
+RECOVERY_RULE = S.SequenceRule(
+    labels={"no_product": lambda: F.col("category") == "Unknown", "wares": lambda: F.col("category").isin("clothing", "shoes")},
+    steps=(S.Step("init", "no_product", "lost"), S.Step("lost", "no_product", "lost"), S.Step("lost", "wares", "recovered", "other")),
+    emits="recovered",
+    code=lambda: F.col("category"),
+)
+
+
+def q_recoveries(spark, sf):
+    c = E.with_product(TB.clicks(spark, sf), TB.products(spark, sf))
+    return S.detect_sequence(c, RECOVERY_RULE, OFFER_WINDOW_MINUTES)
+
+
 def q_offer_events(spark, sf):
     """K2: every offer as the event the shop subscribes to (stream = visitor)."""
     from ..streaming.sources import offer_events
@@ -496,6 +511,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "offers_default_window": _offers(S.DEFAULT_WINDOW_MINUTES),
     "offers_month_window": _offers(43200),
     "offer_events": q_offer_events,
+    "recoveries": q_recoveries,
     "offer_summary": q_offer_summary,
     "transition_log": q_transition_log,
     "log_tail": q_log_tail,

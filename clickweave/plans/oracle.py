@@ -76,10 +76,11 @@ def _age_sql(birth: str, now: str) -> str:
             f"AS INTEGER) AS INTEGER)")
 
 
-def _sequence_ctes(window_minutes: int) -> str:
+def _fold_ctes(window_minutes: int, entered: dict[str, str], emits: str, code: str) -> str:
+    """The fold as a recursive walk of every visitor's clicks. ``entered``: for each state the SQL of
+    the state that click x enters (null: none)."""
     w = window_minutes * 60 * 1_000_000
-    m_lo, m_hi = MALE_AGE_RANGE
-    f_lo, f_hi = FEMALE_AGE_RANGE
+    later = "\n        ".join(f"WHEN x.st = '{st}' THEN {sql}" for st, sql in entered.items() if st != "init")
     return f"""seq AS (SELECT userId, event_id, timestamp, epoch_us(timestamp) AS us, productId, category, gender, age,
     original_timestamp IS NULL AS live,
     row_number() OVER (PARTITION BY userId ORDER BY timestamp, event_id) AS rn
@@ -91,24 +92,19 @@ fold(userId, rn, st, ft, fp, lp, entered, event_id, timestamp, productId, catego
   FROM (SELECT DISTINCT userId FROM seq)
   UNION ALL
   SELECT userId, rn,
-    CASE WHEN refresh THEN st WHEN entered IS NULL OR entered = 'offer' THEN 'init' ELSE entered END,
-    CASE WHEN refresh THEN ft WHEN entered IS NULL OR entered = 'offer' THEN NULL WHEN st = 'init' THEN us ELSE ft END,
-    CASE WHEN refresh THEN fp WHEN entered IS NULL OR entered = 'offer' THEN NULL
+    CASE WHEN refresh THEN st WHEN entered IS NULL OR entered = '{emits}' THEN 'init' ELSE entered END,
+    CASE WHEN refresh THEN ft WHEN entered IS NULL OR entered = '{emits}' THEN NULL WHEN st = 'init' THEN us ELSE ft END,
+    CASE WHEN refresh THEN fp WHEN entered IS NULL OR entered = '{emits}' THEN NULL
          WHEN st = 'init' THEN productId ELSE fp END,
-    CASE WHEN refresh THEN lp WHEN entered IS NULL OR entered = 'offer' THEN NULL ELSE productId END,
+    CASE WHEN refresh THEN lp WHEN entered IS NULL OR entered = '{emits}' THEN NULL ELSE productId END,
     entered, event_id, timestamp, productId, category,
-    CASE WHEN gender = 'M' THEN 'offer1' ELSE 'offer2' END, live
+    {code}, live
   FROM (
     SELECT x.*, CASE
         WHEN x.refresh THEN NULL
-        WHEN x.st = 'init' THEN CASE WHEN x.category = 'clothing' AND COALESCE(
-              (x.gender = 'M' AND x.age BETWEEN {m_lo} AND {m_hi}) OR (x.gender = 'F' AND x.age BETWEEN {f_lo} AND {f_hi}),
-              false) THEN 'clothes_visited' END
+        WHEN x.st = 'init' THEN {entered["init"]}
         WHEN NOT (x.us - x.ft < {w}) THEN NULL
-        WHEN x.st = 'clothes_visited' THEN CASE WHEN x.category = 'shoes' THEN 'shoes_visited'
-                                                WHEN x.category = 'clothing' THEN 'clothes_visited' END
-        ELSE CASE WHEN x.category = 'clothing' AND x.productId IS DISTINCT FROM x.fp THEN 'offer'
-                  WHEN x.category = 'clothing' THEN 'clothes_visited' END
+        {later}
       END AS entered
     FROM (SELECT f.userId, s.rn, f.st, f.ft, f.fp, f.lp, s.event_id, s.timestamp, s.us, s.productId, s.category,
                  s.gender, s.age, s.live, (f.st <> 'init' AND f.lp IS NOT DISTINCT FROM s.productId) AS refresh
@@ -117,6 +113,29 @@ fold(userId, rn, st, ft, fp, lp, entered, event_id, timestamp, productId, catego
 )"""
 
 
+def _sequence_ctes(window_minutes: int) -> str:
+    m_lo, m_hi = MALE_AGE_RANGE
+    f_lo, f_hi = FEMALE_AGE_RANGE
+    return _fold_ctes(window_minutes, {
+        "init": f"""CASE WHEN x.category = 'clothing' AND COALESCE(
+              (x.gender = 'M' AND x.age BETWEEN {m_lo} AND {m_hi}) OR (x.gender = 'F' AND x.age BETWEEN {f_lo} AND {f_hi}),
+              false) THEN 'clothes_visited' END""",
+        "clothes_visited": """CASE WHEN x.category = 'shoes' THEN 'shoes_visited'
+                                                WHEN x.category = 'clothing' THEN 'clothes_visited' END""",
+        "shoes_visited": """CASE WHEN x.category = 'clothing' AND x.productId IS DISTINCT FROM x.fp THEN 'offer'
+                  WHEN x.category = 'clothing' THEN 'clothes_visited' END""",
+    }, "offer", "CASE WHEN gender = 'M' THEN 'offer1' ELSE 'offer2' END")
+
+
+def _recoveries_sql() -> str:
+    ctes = _fold_ctes(C.OFFER_WINDOW_MINUTES, {
+        "init": "CASE WHEN x.category = 'Unknown' THEN 'lost' END",
+        "lost": "CASE WHEN x.category = 'Unknown' THEN 'lost' "
+                "WHEN x.category IN ('clothing', 'shoes') AND x.productId IS DISTINCT FROM x.fp THEN 'recovered' END",
+    }, "recovered", "category")
+    return _with(ctes, "SELECT userId, event_id, timestamp, offer AS code FROM fold WHERE entered = 'recovered'", recursive=True)
+
+
 TRANSITION_LOG_CTE = """tlog AS (
   SELECT timestamp AS created, event_id, userId, CAST(0 AS INTEGER) AS line,
          printf('[User %s entered state %s][Event: clicked %s][Category: %s]', userId, entered, productId, category) AS msg
@@ -269,6 +288,7 @@ def _batch_oracles() -> dict[str, str]:
                               "SELECT 'special-offers' AS topicName, userId AS streamId, "
                               "epoch_us(timestamp) * 1000 AS timestamp, 'offer' AS id, offer AS value "
                               "FROM fold WHERE entered = 'offer'", recursive=True),
+        "recoveries": _recoveries_sql(),
         "offer_summary": _with(_sequence_ctes(C.OFFER_WINDOW_MINUTES),
                                "SELECT offer, count(*) AS offers, count(DISTINCT userId) AS visitors "
                                "FROM fold WHERE entered = 'offer' GROUP BY offer", recursive=True),

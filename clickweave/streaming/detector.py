@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.sequence import _INIT_STATE, _fold_rows, DEFAULT_WINDOW_MINUTES
+from ..operators.sequence import DEFAULT_WINDOW_MINUTES, OFFER_RULE, SequenceRule, _fold_rows, _INIT_STATE, fold_input
 
 STATE_SCHEMA = "st string, first_us long, first_pid string, last_pid string"
 OUTPUT_SCHEMA = ("userId string, event_id long, us long, productId string, category string, "
@@ -28,8 +28,9 @@ OUTPUT_SCHEMA = ("userId string, event_id long, us long, productId string, categ
 class SequenceProcessor(StatefulProcessor):
     """Per-visitor fold; emits every accepted transition (offers included)."""
 
-    def __init__(self, within_minutes: int = DEFAULT_WINDOW_MINUTES):
+    def __init__(self, within_minutes: int = DEFAULT_WINDOW_MINUTES, rule: SequenceRule = OFFER_RULE):
         self.window_us = int(within_minutes) * 60 * 1_000_000
+        self.steps, self.emits = rule.by_state(), rule.emits
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("seq", STATE_SCHEMA)
@@ -45,7 +46,7 @@ class SequenceProcessor(StatefulProcessor):
         else:
             start = _INIT_STATE
         trace: list = []
-        end, _ = _fold_rows(pdf, start, pdf["userId"].iloc[0], self.window_us, trace)
+        end, _ = _fold_rows(pdf, start, pdf["userId"].iloc[0], self.window_us, trace, self.steps, self.emits)
         if end == _INIT_STATE:
             self.state.clear()
         else:
@@ -58,25 +59,11 @@ class SequenceProcessor(StatefulProcessor):
         pass
 
 
-def fold_input(enriched: DataFrame) -> DataFrame:
-    """Columns the processor needs, times as epoch micros."""
-    return enriched.select(
-        F.col("userId").cast("string").alias("userId"),
-        F.unix_micros(F.col("timestamp").cast("timestamp")).alias("us"),
-        F.col("event_id").cast("long").alias("event_id"),
-        F.col("productId").cast("string").alias("productId"),
-        F.col("category").cast("string").alias("category"),
-        F.col("gender").cast("string").alias("gender"),
-        F.col("age").cast("int").alias("age"),
-        F.col("original_timestamp").isNull().alias("live"),
-    ).filter(F.col("userId").isNotNull() & F.col("us").isNotNull())
-
-
 def sequence_trace_stream(enriched_stream: DataFrame,
-                          within_minutes: int = DEFAULT_WINDOW_MINUTES) -> DataFrame:
+                          within_minutes: int = DEFAULT_WINDOW_MINUTES, rule: SequenceRule = OFFER_RULE) -> DataFrame:
     """Streaming trace of accepted transitions (append mode)."""
-    traced = (fold_input(enriched_stream).groupBy("userId")
-              .transformWithStateInPandas(SequenceProcessor(within_minutes), OUTPUT_SCHEMA, "Append", "None"))
+    traced = (fold_input(enriched_stream, rule).groupBy("userId")
+              .transformWithStateInPandas(SequenceProcessor(within_minutes, rule), OUTPUT_SCHEMA, "Append", "None"))
     return traced.select("userId", "event_id",
                          F.timestamp_micros("us").cast("timestamp_ntz").alias("timestamp"),
                          "productId", "category", "state", "offer", "live")

@@ -3,6 +3,7 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from clickweave.operators import sequence as S
 
@@ -66,8 +67,11 @@ def test_shoes_to_other_resets(spark):
 
 def brute(pdf, within):
     pdf = pdf.sort_values(["userId", "us", "event_id"]).reset_index(drop=True)
+    target = [(g == "M" and 35 <= a <= 45) or (g == "F" and 25 <= a <= 35) for g, a in zip(pdf["gender"], pdf["age"].fillna(-1))]
+    pdf["marks"] = [(c == "clothing" and t) + 2 * (c == "clothing") + 4 * (c == "shoes") for c, t in zip(pdf["category"], target)]
+    pdf["code"] = ["offer1" if g == "M" else "offer2" for g in pdf["gender"]]
     trace = []
-    S._fold_rows(pdf, S._INIT_STATE, None, within * 60_000_000, trace)
+    S._fold_rows(pdf, S._INIT_STATE, None, within * 60_000_000, trace, S.OFFER_RULE.by_state(), S.OFFER)
     return sorted((t[0], t[1], t[6]) for t in trace if t[5] == S.OFFER)
 
 
@@ -118,3 +122,33 @@ def test_sequence_spanning_every_partition(spark):
     # the init-anchored speculation would have restarted the sequence mid-run;
     # with the anchor at T0, a 31-minute window still holds, a 5-minute one does not
     assert sorted((r.userId, r.event_id) for r in S.detect_offers(df, 5, 25).collect()) == []
+
+
+def test_few_passes_for_a_hot_visitor(spark, monkeypatch):
+    """A visitor over many partitions with an open sequence: a partition that holds a sync pair
+    needs no second fold, so the passes do not grow with the partitions."""
+    rows = []
+    for i in range(4000):
+        cat, pid = [("clothing", "A"), ("shoes", "S"), ("books", "X"), ("books", "Y"), ("clothing", "A")][i % 5]
+        rows.append(("hot", i, T0 + dt.timedelta(seconds=i), pid, cat, "M", 40, None))
+    df = spark.createDataFrame(rows, SCHEMA)
+    calls = []
+    real = S._tail_ends
+    monkeypatch.setattr(S, "_tail_ends", lambda *a: (calls.append(1), real(*a))[1])
+    results = []
+    for n in (4, 8, 16):
+        calls.clear()
+        results.append(sorted(tuple(r) for r in S.sequence_trace(df, 30, n).collect()))
+        assert len(calls) == 1
+    assert results[0] == results[1] == results[2] and results[0]
+
+
+def test_another_rule_table(spark):
+    rule = S.SequenceRule(labels={"a": lambda: F.col("category") == "a", "b": lambda: F.col("category") == "b"},
+                          steps=(S.Step("init", "a", "one"), S.Step("one", "b", "done", "other"), S.Step("one", "a", "one")),
+                          emits="done", code=lambda: F.lit("x"))
+    rows = [("u", 0, T0, "P", "a", None, None, None), ("u", 1, T0 + dt.timedelta(minutes=1), "P2", "b", None, None, None),
+            ("v", 2, T0, "P", "a", None, None, None), ("v", 3, T0 + dt.timedelta(minutes=1), "Q", "c", None, None, None),
+            ("v", 4, T0 + dt.timedelta(minutes=2), "R", "b", None, None, None)]
+    got = S.detect_sequence(spark.createDataFrame(rows, SCHEMA), rule, 30).collect()
+    assert [(r.userId, r.event_id, r.code) for r in got] == [("u", 1, "x")]

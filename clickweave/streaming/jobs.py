@@ -20,7 +20,9 @@ shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -139,6 +141,36 @@ def start_trace(enriched_stream: DataFrame, out_path: str, checkpoint: str, with
 
 # --------------------------------------------------------------- X6/X11 marts
 
+KEPT_VERSIONS = 3  # readers that began on an older version can end
+
+
+def _versions(spark: SparkSession, base: str):
+    """(file system, the versions of a mart that were written to the end, oldest first)."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(base)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+    return fs, sorted(n for n in names if n.startswith("v") and fs.exists(hadoop.Path(f"{base}/{n}/_SUCCESS")))
+
+
+def publish(df: DataFrame, out_dir: str, name: str) -> None:
+    """K3: replace a mart in one step. Every refresh is a new version; Spark marks it as
+    written at its very end, and readers take the newest marked one. So a reader sees the
+    old or the new mart, never none or half. Old versions are deleted but for a few."""
+    spark = df.sparkSession
+    base = f"{out_dir.rstrip('/')}/{name}"
+    df.write.parquet(f"{base}/v{time.time_ns():020d}")
+    fs, versions = _versions(spark, base)
+    for v in versions[:-KEPT_VERSIONS]:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{v}"), True)
+
+
+def read_mart(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
+    """The current version of a mart."""
+    base = f"{out_dir.rstrip('/')}/{name}"
+    return spark.read.parquet(f"{base}/{_versions(spark, base)[1][-1]}")
+
+
 # each mart's row order in its document
 MART_ORDER = {
     "last_15_minutes": ["datetime"],
@@ -155,9 +187,9 @@ def refresh_marts(spark: SparkSession, enriched_path: str, buckets_path: str | N
                   as_of: Column, buffer: str = "1 hour", documents: bool = True) -> dict[str, DataFrame]:
     """Recompute every dashboard mart from one snapshot of the trailing buffer.
 
-    Each mart is written as a table under its key (K3); with ``documents``
-    the same marts are also written as one (key, JSON) row each (K4) in
-    ``<out_dir>/documents`` -- every mart is bounded (top-k, pivot, per
+    Each mart is published under its key (K3, ``read_mart``); with ``documents``
+    the same marts are also published as one (key, JSON) row each (K4) under
+    the key ``documents`` -- every mart is bounded (top-k, pivot, per
     category / minute / bucket), so each document is one small aggregate.
     """
     since = as_of - M.interval(buffer)
@@ -174,13 +206,14 @@ def refresh_marts(spark: SparkSession, enriched_path: str, buckets_path: str | N
         if buckets_path is not None:
             recent = latest_bucket_counts(spark, buckets_path, as_of - M.interval(BUCKET_RETENTION))
             marts["sessions"] = M.visitors_per_bucket(recent, as_of)
-        for name, df in marts.items():
-            df.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/{name}")
+        # the marts are small and independent: their jobs run side by side
+        with ThreadPoolExecutor(len(marts)) as pool:
+            list(pool.map(lambda item: publish(item[1], out_dir, item[0]), marts.items()))
         if documents:
             from ..sources.logs import column_json
             docs = []
             for n in marts:
-                mart = spark.read.parquet(f"{out_dir.rstrip('/')}/{n}")
+                mart = read_mart(spark, out_dir, n)
                 if n == "device_type_popularity":
                     place = F.array_position(F.array(*map(F.lit, M.DEVICE_PIVOT)), F.col("Device type"))
                     mart = mart.withColumn("_place", F.when(place == 0, len(M.DEVICE_PIVOT) + 1).otherwise(place))
@@ -188,7 +221,7 @@ def refresh_marts(spark: SparkSession, enriched_path: str, buckets_path: str | N
             union = docs[0]
             for d in docs[1:]:
                 union = union.unionByName(d)
-            union.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/documents")
+            publish(union, out_dir, "documents")
     finally:
         snap.unpersist()
     return marts

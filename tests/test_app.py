@@ -35,7 +35,7 @@ def test_end_to_end_services(spark, tmp_path):
     offers = spark.read.parquet(app.paths(base)["offers"]).collect()
     assert [(o.userId, o.offer) for o in offers] == [("v1", "offer1")]
     marts = app.refresh_dashboard(spark, base, F.expr("TIMESTAMP_NTZ '2024-03-01 12:05:00'"))
-    top = spark.read.parquet(app.paths(base)["marts"] + "/products_last_hour").collect()
+    top = app.J.read_mart(spark, app.paths(base)["marts"], "products_last_hour").collect()
     assert sum(r["count"] for r in top) == 4 and "sessions" in marts
 
 

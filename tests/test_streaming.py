@@ -65,12 +65,12 @@ def test_marts_refresh_and_clock(spark):
     out = shared_path(spark, "marts")
     as_of = F.expr(f"TIMESTAMP_NTZ '{T0 + dt.timedelta(minutes=89)}'")
     P.refresh_marts(spark, enriched_path, None, out, as_of)
-    top = spark.read.parquet(f"{out}/products_last_hour").collect()
+    top = P.read_mart(spark, out, "products_last_hour").collect()
     assert sum(r["count"] for r in top) == 60  # strict 1-hour window: minutes 30..89
-    dev = {r["Device type"]: r["Total"] for r in spark.read.parquet(f"{out}/device_type_popularity").collect()}
+    dev = {r["Device type"]: r["Total"] for r in P.read_mart(spark, out, "device_type_popularity").collect()}
     assert dev == {"Desktop": 3, "Tablet": 0, "Mobile": 3, "Other": 4}  # minutes 80..89 (> 79): 4 bots
-    assert spark.read.parquet(f"{out}/latest_visitors").count() == 10
-    docs = {r.key: r.value for r in spark.read.parquet(f"{out}/documents").collect()}
+    assert P.read_mart(spark, out, "latest_visitors").count() == 10
+    docs = {r.key: r.value for r in P.read_mart(spark, out, "documents").collect()}
     assert set(docs) == {"last_15_minutes", "products_last_hour", "latest_visitors", "category_popularity",
                          "device_type_popularity", "raw_data"}
     assert docs["category_popularity"] == '{"category":{"0":"clothing"},"count":{"0":60}}'
@@ -78,11 +78,18 @@ def test_marts_refresh_and_clock(spark):
     out2, ck = shared_path(spark, "marts2"), shared_path(spark, "ck-marts")
     q = P.start_marts(spark, enriched_path, None, out2, ck, period="1 second")
     deadline = time.time() + 60
-    while time.time() < deadline and not os.path.exists(f"{out2}/raw_data/_SUCCESS"):
+    while time.time() < deadline and not P._versions(spark, f"{out2}/raw_data")[1]:
         time.sleep(0.5)
     q.stop()
-    assert os.path.exists(f"{out2}/raw_data/_SUCCESS")
-    assert spark.read.parquet(f"{out2}/device_type_popularity").count() == 0
+    assert P.read_mart(spark, out2, "device_type_popularity").count() == 0
+
+
+def test_published_marts_are_replaced_in_one_step(spark):
+    out = shared_path(spark, "published")
+    for n in range(5):
+        P.publish(spark.range(n), out, "m")
+        assert P.read_mart(spark, out, "m").count() == n
+    assert len([v for v in os.listdir(f"{out}/m") if v.startswith("v")]) == P.KEPT_VERSIONS
 
 
 def test_offer_events_subscription(spark):

@@ -17,7 +17,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SKIP = {"normalised_log", "stream_enrich", "stream_bucket_counts", "stream_visitors_per_bucket", "stream_offers"}
+SKIP = {"normalised_log", "stream_enrich", "stream_bucket_counts", "stream_visitors_per_bucket", "stream_offers", "stream_odd_times",
+        "odd_time_counts", "catalogue_files", "visitor_files"}
 
 
 def plan_text(df) -> str:
@@ -50,11 +51,11 @@ def main() -> None:
     from clickweave.session import build_session
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     out = sys.argv[2] if len(sys.argv) > 2 else "PLANS.md"
-    spark = build_session("local[8]", 8)
+    spark = build_session("local[4]", 8)
     lines = ["# Physical plans of the registered queries", "",
              f"Generated by `tools/plan_summary.py` on `{sf}` (local[8], AQE on; the adaptive plan may still "
              "switch join strategies at run time). `ShuffleX` = hash / range / round-robin exchanges "
-             "(round-robin only appears where a single-row-group input is spread over the cores); "
+             ""
              "`BHJ`/`SMJ`/`BNLJ` = broadcast-hash / sort-merge / nested-loop joins; `Py` = Python operators "
              "(Arrow batches). The pushed-filters column shows what reaches the main Parquet scan. "
              "Queries whose layout is checkpointed (sequence fold, ordered operators) show the plan "

@@ -56,6 +56,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def texts_of(column: pa.Array) -> Iterator[str | None]:
+    """The texts one by one, so that only a slice of a batch is held as Python strings."""
+    return (x.as_py() for x in column)
+
+
 def text_slices(texts: Iterable[str | None], max_chars: int = 4_000_000) -> Iterator[tuple[int, list[str]]]:
     """Runs of whole texts of about ``max_chars`` in all (one text may be longer), with
     the index of the first; null counts as empty. Bounds the work memory per step."""

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import arrow_batch, text_slices
+from clickweave.llm.common import arrow_batch, text_slices, texts_of
 
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -46,8 +46,8 @@ LEXICON_MIN = 3
 TRAIN_ROWS, TRAIN_CHARS, MAX_LANGS = 200, 20_000, 64
 EPOCHS, RATE, DECAY, SWITCHED = 4, 0.3, 1e-6, 0.3
 BLOCK = 512
-CACHE_WORDS = 300_000
-SLICE_CHARS = 1_500_000
+CACHE_WORDS = 200_000
+SLICE_CHARS = 1_000_000
 
 
 def ngram_rows(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -313,7 +313,7 @@ def predict(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",)) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         label = Labeller(model)
         for batch in batches:
-            for at, texts in text_slices(batch.column(len(keep)).to_pylist(), SLICE_CHARS):
+            for at, texts in text_slices(texts_of(batch.column(len(keep))), SLICE_CHARS):
                 words: list[str] = []
                 lengths = np.empty(len(texts), np.int64)
                 for i, t in enumerate(texts):

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import arrow_batch, text_slices
+from clickweave.llm.common import arrow_batch, text_slices, texts_of
 
 WORD_TERMS, SHAPE_TERMS = 1024, 256
 SURFACE = 40  # the last terms: repeats and shares
@@ -201,7 +201,7 @@ def score(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",)) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = TermCounts()
         for batch in batches:
-            for at, texts in text_slices(batch.column(len(keep)).to_pylist(), SLICE_CHARS):
+            for at, texts in text_slices(texts_of(batch.column(len(keep))), SLICE_CHARS):
                 new = [model.score(count(texts[a:a + BLOCK_DOCS])) for a in range(0, len(texts), BLOCK_DOCS)]
                 part = batch.slice(at, len(texts))
                 yield pa.RecordBatch.from_arrays([*part.columns[:len(keep)], *arrow_batch({"score": np.concatenate(new)}, schema).columns], names=[*keep, "score"])

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import text_slices, written
+from clickweave.llm.common import text_slices, texts_of, written
 from clickweave.llm.components import components
 
 WORD = re.compile(r"\w+")
@@ -141,7 +141,7 @@ def signed(docs: DataFrame, size: int, depths: list[int]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(size)
         for batch in batches:
-            for at, texts in text_slices(batch.column(2).to_pylist(), SLICE_CHARS):
+            for at, texts in text_slices(texts_of(batch.column(2)), SLICE_CHARS):
                 h, counts = shingles(texts)
                 has = np.flatnonzero(counts)
                 sets: list[bytes | None] = [None] * len(texts)
@@ -241,7 +241,7 @@ def near_groups(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHO
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(size)
         for batch in batches:
-            for at, texts in text_slices(batch.column(4).to_pylist(), SLICE_CHARS):
+            for at, texts in text_slices(texts_of(batch.column(4)), SLICE_CHARS):
                 h, counts = shingles(texts)
                 starts = np.cumsum(counts) - counts
                 part = batch.slice(at, len(texts))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import written
+from clickweave.llm.common import text_slices, texts_of, written
 
 TOKENIZER = "byte_bpe_50k.json"
 MAX_TOKENS, MAX_DOCS = 2048, 512
@@ -155,14 +155,12 @@ def cut(n: int, size: int) -> Iterator[tuple[int, int]]:
 
 def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, max_tokens: int = MAX_TOKENS, text_budget: int = 4_000_000) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece."""
-    from clickweave.llm.common import text_slices
-
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encode = IdBytes(tokenizer)
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for at, texts in text_slices(batch.column(1).to_pylist(), text_budget):
+            for at, texts in text_slices(texts_of(batch.column(1)), text_budget):
                 out: list[tuple] = []
                 for doc, raw in zip(ids[at:at + len(texts)], encode(texts), strict=True):
                     raw += b"\0\0\0\0"

@@ -38,7 +38,7 @@ from clickweave.llm.common import text_slices, texts_of, written
 TOKENIZER = "byte_bpe_50k.json"
 MAX_TOKENS, MAX_DOCS = 2048, 512
 GROUP_ROWS = 2048
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
 LINES = 20_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
@@ -56,68 +56,36 @@ class IdBytes:
     """Texts to their ids, as little-endian unsigned 32-bit bytes.
 
     A byte-level pre-tokeniser always starts a token at a single space or line feed between
-    two other characters, after such a line feed, and where end marks follow a letter or
-    digit. A text is cut at those places and each distinct piece is encoded once; runs
-    of white space stay whole.
+    two other characters, and after such a line feed. A text is cut before each and every
+    distinct part is encoded once; runs of white space stay whole. The last two generations
+    of parts are kept: what is used again moves up, the rest goes.
     """
 
     CUT = re.compile(r"(?<=\S) (?=\S)")
-    END_MARKS = ".,;:!?"
 
     def __init__(self, name: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer_file(name))
         (self.line_feed_id,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.line_feed = array("I", [self.line_feed_id]).tobytes()
-        self.spaced: dict[str, bytes] = {}  # what follows a space: ids with that space
-        self.bare: dict[str, bytes] = {}
-        self.old_spaced: dict[str, bytes] = {}  # the last generation: what is used again moves up
-        self.old_bare: dict[str, bytes] = {}
-
-    def _split(self, part: str) -> tuple[list[str], list[str]]:
-        """(body and end marks, if it can be cut there; lines, if it can be cut into some)."""
-        if "\n" in part:
-            lines = part.split("\n")
-            if all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
-                return [], lines
-            return [], []
-        body = part.rstrip(self.END_MARKS)
-        return ([body, part[len(body):]], []) if body and len(body) < len(part) and body[-1].isalnum() else ([], [])
-
-    def _learn(self, parts: set[str], known: dict[str, bytes], lead: str) -> None:
-        """Add the ids of ``lead`` + part for each new part."""
-        ends, lined, whole, lines = [], [], set(), set()
-        for x in self._move_up(parts, known):
-            cut_end, cut_lines = self._split(x)
-            if cut_end:
-                ends.append((x, *cut_end))
-                whole.add(cut_end[0])
-                lines.add(cut_end[1])
-            elif cut_lines:
-                lined.append((x, cut_lines))
-                whole.add(cut_lines[0])
-                lines.update(cut_lines[1:])
-            else:
-                whole.add(x)
-        self._encode(self._move_up(whole - known.keys(), known), known, lead)
-        self._encode(self._move_up(lines - self.bare.keys(), self.bare), self.bare, "")
-        for x, body, marks in ends:
-            known[x] = known[body] + self.bare[marks]
-        for x, cut_lines in lined:
-            known[x] = known[cut_lines[0]] + b"".join(self.line_feed + self.bare[line] for line in cut_lines[1:])
-
-    def _move_up(self, parts: set[str], known: dict[str, bytes]) -> set[str]:
-        """What neither generation knows; the rest is copied into ``known``."""
-        old = self.old_spaced if known is self.spaced else self.old_bare
-        again = parts & old.keys()
-        known.update((x, old[x]) for x in again)
-        return parts - again
-
-    def _encode(self, parts: Iterable[str], known: dict[str, bytes], lead: str) -> None:
-        """Add the ids of ``lead`` + part. Parts without white space at an end or line feeds are
-        encoded as the lines of one text, the others one by one."""
+        # what follows a space (ids with that space) or starts with a line feed; the same of texts
+        # with uneven white space; the rest
+        self.inner, self.old_inner = {}, {}
+        self.uneven, self.old_uneven = {}, {}
+        self.bare, self.old_bare = {}, {}
+
+    @staticmethod
+    def _is_uneven(part: str) -> bool:
+        """White space beside a space or line feed makes an empty part, or one that starts or ends so."""
+        inside = part.strip()
+        return not part or (inside is not part and (not inside or part != "\n" + inside))
+
+    def _learn(self, parts: set[str], known: dict[str, bytes], old: dict[str, bytes], lead: str) -> None:
+        """Add the ids of ``lead`` + part for each part that neither generation knows. Parts
+        without white space at an end or line feeds are encoded as the lines of one text."""
+        known.update((x, old[x]) for x in parts & old.keys())
         lines, odd = [], []
-        for x in parts:
+        for x in parts - old.keys():
             (odd if not x or "\n" in x or x[0].isspace() or x[-1].isspace() else lines).append(x)
         for at in range(0, len(lines), LINES):
             some = lines[at:at + LINES]
@@ -129,20 +97,28 @@ class IdBytes:
             known[x] = array("I", e.ids).tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.spaced) + len(self.bare) > CACHE_WORDS:
-            self.old_spaced, self.old_bare, self.spaced, self.bare = self.spaced, self.bare, {}, {}
-        parts = [t.split(" ") for t in texts]
-        # White space beside a space shows as an empty part or as a part's first or last character.
-        odd = {x for x in set().union(*parts) if not x or x[0].isspace() or x[-1].isspace()}
-        if odd:
-            parts = [p if odd.isdisjoint(p) else self.CUT.split(t) for t, p in zip(texts, parts, strict=True)]
+        if len(self.inner) + len(self.uneven) + len(self.bare) > CACHE_WORDS:
+            self.old_inner, self.old_uneven, self.old_bare = self.inner, self.uneven, self.bare
+            self.inner, self.uneven, self.bare = {}, {}, {}
+        parts = [t.replace("\n", " \n").split(" ") for t in texts]
+        new = set().union(*parts) - self.inner.keys()
+        mixed = {x for x in new if self._is_uneven(x)}
+        even = [mixed.isdisjoint(p) for p in parts] if mixed else [True] * len(parts)
+        if mixed:
+            parts = [p if e else self.CUT.split(t) for t, p, e in zip(texts, parts, even, strict=True)]
         heads = [p[0] for p in parts]
         for p in parts:
             del p[0]
-        self._learn(set().union(*parts) - self.spaced.keys(), self.spaced, " ")
-        self._learn(set(heads) - self.bare.keys(), self.bare, "")
-        get = self.spaced.__getitem__
-        return [self.bare[h] + b"".join(map(get, p)) for h, p in zip(heads, parts, strict=True)]
+        if mixed:
+            new = set().union(*(p for p, e in zip(parts, even, strict=True) if e)) - self.inner.keys()
+            rest = set().union(*(p for p, e in zip(parts, even, strict=True) if not e))
+            self._learn(rest - self.uneven.keys(), self.uneven, self.old_uneven, " ")
+        after = {x for x in new if x[0] == "\n"}  # a line feed, then a part without a space
+        self._learn(new - after, self.inner, self.old_inner, " ")
+        self._learn({*heads, *(x[1:] for x in after)} - self.bare.keys(), self.bare, self.old_bare, "")
+        self.inner.update((x, self.line_feed + self.bare[x[1:]]) for x in after)
+        inner, uneven = self.inner.__getitem__, self.uneven.__getitem__
+        return [self.bare[h] + b"".join(map(inner if e else uneven, p)) for h, p, e in zip(heads, parts, even, strict=True)]
 
 
 def cut(n: int, size: int) -> Iterator[tuple[int, int]]:

@@ -13,8 +13,9 @@ significant first, into a trie of groups. Equality is decided by the bytes alone
 
 Heavy groups hold more than a share each, one share being 1/``shares`` of all rows or
 bytes. So a level has at most 2 * ``shares`` of them, and that is what the driver sees and
-broadcasts: keys of ``width`` bytes each, which is bounded too. Widths double up to
-``MAX_WIDTH``. No text is cut or left out; a very long pair of copies takes more levels.
+broadcasts: keys of ``width`` bytes each. Widths double up to the width at which all keys of
+a level come to ``KEY_BYTES`` (at least ``LEAST_CAP``), so long copies take few levels and the
+keys stay bounded. No text is cut or left out.
 
 Rows: a null text counts as empty, and all empty texts are equal. The largest id of a
 group stays; null ids rank below all others, and rows that repeat an id with the same
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from clickweave.llm.common import ascii_lower, shuffle_partitions, written
 
-WIDTH, MAX_WIDTH = 32, 4096
+WIDTH, LEAST_CAP, KEY_BYTES = 32, 4096, 64 << 20
 LOCAL_WIDTH = 16
 TASK_BYTES = 64 << 20
 FOUND = "doc_id long, keep_id long, group_size long, text_sha256 string"
@@ -118,7 +119,7 @@ def exact_groups(docs: DataFrame, shares: int | None = None) -> DataFrame:
             break
         rows = written(routed.where("_node is not null and not _ended")
                        .select("doc_id", "_sha", F.col("_node").alias("_group"), F.col("_tail").alias("_rest")), "radix")
-        level, width = level + 1, min(2 * width, MAX_WIDTH)
+        level, width = level + 1, min(2 * width, max(LEAST_CAP, KEY_BYTES // (2 * shares)))
     tasks = max(shuffle_partitions(spark), -(-all_bytes // TASK_BYTES))
     found = leaves[0]
     for x in leaves[1:]:

@@ -6,16 +6,19 @@ end, which carry a boundary mark), both hashed to ``2**HASH_BITS`` rows, and the
 itself if the training lexicon holds it. Scores of neighbouring labels come from a learned
 transition matrix. Forward-backward gives each word its label probabilities.
 
-The model is fitted on the driver on a bounded sample: ``train_rows`` labelled documents
-of each of the ``max_langs`` most frequent languages, in hash order of their ids, texts of
-up to ``train_chars`` characters. Words take their document's label. A share of the
-training sequences joins parts of two documents of different languages, so that the
-transitions see switches. Fitting is a fixed number of AdaGrad passes from zero.
+The model is fitted on the driver on a bounded sample of every language that labels a text
+with letters: ``train_rows`` documents each, fewer where that comes to more than
+``max_rows`` in all, but at least one, in hash order of their ids. Texts have up to
+``train_chars`` characters; longer ones serve, cut, where a language has no others. Words
+take their document's label. A share of the training sequences joins parts of two documents
+of different languages, so that the transitions see switches. Fitting is a fixed number of
+AdaGrad passes from zero. The model's size grows with the number of languages.
 
 Prediction runs over every whole text in Arrow batches. Feature sums are made once per
 distinct word and worker; forward-backward runs over many texts at once, in blocks of
 ``BLOCK`` words whose transfer matrices are chained, so a very long text takes no more
-steps than a short one.
+steps than a short one. From ``WIDE`` languages on texts are not cut into blocks, and fewer
+of them are worked on at once.
 
 A document's language has the largest sum of its words' probabilities, weighted by
 letters; its score is the weighted mean of that label's probability. A null text or one
@@ -43,9 +46,10 @@ UNKNOWN = "und"
 HASH_BITS = 15
 SIZES = (1, 2, 3, 4)
 LEXICON_MIN = 3
-TRAIN_ROWS, TRAIN_CHARS, MAX_LANGS = 200, 20_000, 64
+TRAIN_ROWS, TRAIN_CHARS, MAX_ROWS = 200, 20_000, 12_800
+ORDERS = 2**30
 EPOCHS, RATE, DECAY, SWITCHED = 4, 0.3, 1e-6, 0.3
-BLOCK = 512
+BLOCK, WIDE = 512, 64
 CACHE_WORDS = 200_000
 SLICE_CHARS = 1_000_000
 
@@ -160,8 +164,18 @@ def forward_backward(emit: np.ndarray, starts: np.ndarray, switch: np.ndarray, s
     return forward, backward
 
 
+def block_words(labels: int, starts: np.ndarray) -> int:
+    """Chaining blocks takes labels**3 steps a word: with many labels one block a sequence."""
+    return BLOCK if labels <= WIDE else int(np.diff(starts).max(initial=1))
+
+
+def narrowed(amount: int, labels: int) -> int:
+    """``amount`` texts or words, less in proportion to the labels above ``WIDE``."""
+    return amount * WIDE // max(WIDE, labels)
+
+
 def marginals(emit: np.ndarray, starts: np.ndarray, model: Model) -> np.ndarray:
-    f, b = forward_backward(emit, starts, model.switch, model.start)
+    f, b = forward_backward(emit, starts, model.switch, model.start, block_words(len(model.labels), starts))
     f *= b
     f /= f.sum(1, keepdims=True)
     return f
@@ -237,14 +251,14 @@ def fit(rows: Sequence[tuple[str, str]], epochs: int = EPOCHS, rate: float = RAT
             score = np.stack([np.bincount(pw, weights[pr, j], len(used)) for j in range(k)], 1)
             score[known] += words_w[lex[used[known]]]
             emit, switch, start = factors(score)[at], soft(t_w), soft(s_w)
-            f, b = forward_backward(emit, starts, switch, start)
+            f, b = forward_backward(emit, starts, switch, start, block_words(k, starts))
             p = f * b
             p /= p.sum(1, keepdims=True)
             inside = np.ones(len(flat) - 1, bool)
             inside[starts[1:-1] - 1] = False
-            xi = f[:-1][inside][:, :, None] * switch * (emit * b)[1:][inside][:, None, :]
-            xi /= xi.sum((1, 2), keepdims=True)
-            moves = np.bincount(gold[:-1][inside] * k + gold[1:][inside], minlength=k * k).reshape(k, k) - xi.sum(0)
+            here, after = f[:-1][inside], (emit * b)[1:][inside]
+            here /= ((here @ switch) * after).sum(1, keepdims=True)
+            moves = np.bincount(gold[:-1][inside] * k + gold[1:][inside], minlength=k * k).reshape(k, k) - switch * (here.T @ after)
             first = np.bincount(gold[starts[:-1]], minlength=k) - p[starts[:-1]].sum(0)
             diff = np.eye(k)[gold] - p
             word_grad = np.stack([np.bincount(at, diff[:, j], len(used)) for j in range(k)], 1)
@@ -278,7 +292,7 @@ class Labeller:
     emit: np.ndarray | None = None
 
     def __call__(self, words: list[str], lengths: np.ndarray) -> np.ndarray:
-        if len(self.words) > CACHE_WORDS:
+        if len(self.words) > narrowed(CACHE_WORDS, len(self.model.labels)):
             self.words, self.emit = _Words(), None
         at = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
         if self.words.fresh:
@@ -290,16 +304,22 @@ class Labeller:
 
 
 def training_sample(docs: DataFrame, trained_on, train_rows: int = TRAIN_ROWS, train_chars: int = TRAIN_CHARS,
-                    max_langs: int = MAX_LANGS) -> list[tuple[str, str]]:
-    """At most about ``train_rows`` (text, lang) rows of each language, in hash order."""
-    rows = docs.where(trained_on & F.col("lang").isNotNull()).select("doc_id", "lang", "text")
-    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()}
-    if not counts:
+                    max_rows: int = MAX_ROWS) -> list[tuple[str, str]]:
+    """About ``train_rows`` (text, lang) rows of each language, or ``max_rows`` in all, and at
+    least one of each, in hash order. Rows that repeat an id and language are one."""
+    long = F.char_length("text") > train_chars
+    order = F.pmod(F.xxhash64("doc_id"), F.lit(ORDERS)) + F.when(long, ORDERS).otherwise(0)
+    rows = docs.where(trained_on & F.col("lang").isNotNull()).select("lang", "text", order.alias("_order"))
+    lettered = F.col("text").rlike(r"\p{L}")
+    langs = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min(F.when(lettered, F.col("_order"))).alias("least")).where("least is not null").collect()
+    if not langs:
         return []
-    order = F.pmod(F.xxhash64("doc_id"), F.lit(2**30))
-    share = F.coalesce(*[F.when(F.col("lang") == c, F.lit(min(2**30, 2**30 * train_rows // n + 1))) for c, n in sorted(counts.items())])
-    sample = (rows.withColumn("_order", order).where((F.col("_order") <= share) & (F.char_length("text") <= train_chars))
-              .orderBy("_order", "doc_id", "text").limit(2 * train_rows * len(counts)))
+    each = max(1, min(train_rows, max_rows // len(langs)))
+    cuts = docs.sparkSession.createDataFrame(
+        [(r.lang, max(r.least, r.least // ORDERS * ORDERS + min(ORDERS - 1, ORDERS * each // r.n + 1))) for r in langs], "_lang string, _last long")
+    text = F.when(long, F.regexp_extract("text", rf"(?s)\p{{L}}.{{0,{train_chars - 1}}}", 0)).otherwise(F.col("text"))
+    sample = (rows.join(F.broadcast(cuts), (F.col("lang") == F.col("_lang")) & (F.col("_order") <= F.col("_last"))).where(lettered)
+              .groupBy("lang", "_order").agg(F.min(text).alias("text")).orderBy("_order", "lang"))
     return [(r.text, r.lang) for r in sample.collect()]
 
 
@@ -313,7 +333,7 @@ def predict(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",)) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         label = Labeller(model)
         for batch in batches:
-            for at, texts in text_slices(texts_of(batch.column(len(keep))), SLICE_CHARS):
+            for at, texts in text_slices(texts_of(batch.column(len(keep))), narrowed(SLICE_CHARS, len(model.labels))):
                 words: list[str] = []
                 lengths = np.empty(len(texts), np.int64)
                 for i, t in enumerate(texts):

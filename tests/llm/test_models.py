@@ -70,6 +70,38 @@ def test_crf_odd_rows(spark, odd_docs, no_docs):
     assert crf_langid.predict(no_docs, model).count() == 0
 
 
+def many_langs(spark, langs, docs_each, length=40):
+    """Documents of languages that share no word; a language's words start with its own two letters."""
+    rng = np.random.default_rng(6)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for k in range(langs):
+        words = [letters[k % 26] + letters[k // 26] + "".join(rng.choice(list(letters), 3)) for _ in range(25)]
+        rows += [(k * 1000 + j, f"l{k:03}", " ".join(rng.choice(words, length))) for j in range(docs_each + k % 2)]
+    return spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(4)
+
+
+def test_crf_learns_every_language(spark):
+    docs = many_langs(spark, 70, 8)
+    sample = crf_langid.training_sample(docs, docs.doc_id >= 0)
+    assert len({lang for _, lang in sample}) == 70
+    rows = crf_langid.predict(docs, crf_langid.fit(sample), keep=("doc_id", "lang")).collect()
+    right = {r.lang for r in rows if r.lang == r.lang_pred}
+    assert len(right) == 70 and sum(r.lang == r.lang_pred for r in rows) / len(rows) >= 0.97
+
+
+def test_crf_sample_is_bounded_over_the_languages(spark):
+    docs = many_langs(spark, 30, 60, 5)
+    sample = crf_langid.training_sample(docs, docs.doc_id >= 0, max_rows=90)
+    assert len({lang for _, lang in sample}) == 30 and len(sample) < 180
+    # also a language of long texts, of repeated rows, or with a single row that has letters
+    odd = spark.createDataFrame([(1, "long", "- " * 100 + "abc " * 100), (2, "one", "12"), (3, "one", "word"), (5, "none", None), (6, None, "x")]
+                                + [(4, "same", "again")] * 50, "doc_id long, lang string, text string")
+    sample = crf_langid.training_sample(odd, odd.doc_id >= 0, train_rows=1, train_chars=20)
+    assert {lang for _, lang in sample} == {"long", "one", "same"}
+    assert max(len(t) for t, _ in sample) <= 20 and all(any(c.isalpha() for c in t) for t, _ in sample) and len(sample) <= 6
+
+
 def test_quality_held_out(spark):
     docs, labels = (spark.read.parquet(f"{SF_MID}/{t}.parquet") for t in ("documents", "labels"))
     model = lsa_knn.fit(*lsa_knn.training_sample(docs, labels, fold_of() != 2))

@@ -222,6 +222,12 @@ def block_links(vs: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray], thre
 def near_groups(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD, trees: int = TREES, max_depth: int = MAX_DEPTH,
                 target_recall: float = TARGET_RECALL) -> DataFrame:
     """One row per document: doc_id, class_id, set_id, copies, n_links, text_hash."""
+    return near_classes(docs, size, threshold, trees, max_depth, target_recall).drop("class")
+
+
+def near_classes(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD, trees: int = TREES, max_depth: int = MAX_DEPTH,
+                 target_recall: float = TARGET_RECALL) -> DataFrame:
+    """``near_groups`` with the number of the class, null for a document without words."""
     depths = prefix_depths(trees, max_depth, threshold, target_recall)
     rows = written(signed(docs, size, depths), "signed")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")))
@@ -290,8 +296,8 @@ def near_groups(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHO
     linked = written(sets.select("v", "set", "copies", "set_id").join(classes, F.col("v") == F.col("node"), "left").join(n_links, F.col("v") == F.col("l_v"), "left")
                      .select("set", "copies", "set_id", F.coalesce("root", "v").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "linked")
     named = written(linked.groupBy("class").agg(F.min("set_id").alias("class_id")), "named")
-    known = linked.join(named, "class").drop("class")
+    known = linked.join(named, "class")
     return (rows.select("doc_id", "text_hash", "set").join(known, "set", "left")
             .select("doc_id", F.when(F.col("copies").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
                     F.when(F.col("copies").isNull(), F.col("doc_id")).otherwise(F.col("set_id")).alias("set_id"),
-                    F.coalesce("copies", F.lit(1)).cast("long").alias("copies"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "text_hash"))
+                    F.coalesce("copies", F.lit(1)).cast("long").alias("copies"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "text_hash", "class"))

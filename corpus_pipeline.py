@@ -9,8 +9,8 @@ stage's rows as Parquet in the shared folder and reads them again for the next.
 2. line_dedup: lines that documents share stay in the one with the smallest id; n_chars is
    the length of the text that is left. Documents with nothing left but white space go.
 3. near_dedup: of each class of near-duplicates the document with the smallest id stays.
-   Rows that repeat an id with the same text are that document; all null-id rows of a class
-   without any id stay.
+   Rows that repeat an id with the same text are that document and stay with it; of a class
+   without any id one row stays.
 4. mix: documents are repeated, or left out, towards the sources' target weights.
 5. pack: the documents' tokens in sequences of at most 2048.
 
@@ -50,11 +50,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    stays = (lsh_forest.near_groups(docs).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    classes = lsh_forest.near_classes(docs)
+    nameless = F.col("doc_id").isNull() & F.col("class_id").isNull() & F.col("class").isNotNull()
+    stays = (classes.where(F.col("doc_id").eqNullSafe(F.col("class_id")) & ~nameless)
              .select(F.col("doc_id").alias("_near_id"), F.col("text_hash").alias("_near_hash")))
     here, names = aside(docs, "doc_id", "text")
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_near_id")) & (F.xxhash64("text") == F.col("_near_hash"))
-    return here.join(stays, same, "left_semi").select(*names).toDF(*docs.columns)
+    named = here.join(stays, same, "left_semi").select(*names)
+    # Rows of a class without ids are told apart by a position, written so that it stays.
+    loose = written(here.where(F.col("doc_id").isNull()).select(*names, F.monotonically_increasing_id().alias("_near_row")), "loose")
+    members = classes.where(nameless).select("class", F.col("text_hash").alias("_near_hash")).distinct()
+    first = (loose.select("_near_row", F.xxhash64("text").alias("_near_hash")).join(members, "_near_hash")
+             .groupBy("class").agg(F.min("_near_row").alias("_near_row")))
+    one = loose.join(first.select("_near_row"), "_near_row", "left_semi").select(*names)
+    return named.unionAll(one).toDF(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -184,6 +184,17 @@ def test_pipeline_stages(spark, odd_docs, no_docs):
         assert docs.count() == 0
 
 
+def test_near_dedup_keeps_one_row_of_a_class_without_ids(spark):
+    import corpus_pipeline as P
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, text, 1), (None, text, 2), (None, text + " more", 3), (None, "words of its own", 4), (None, None, 5), (None, "...", 6), (7, "words with an id", 7), (None, "words with an id", 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `class` int").repartition(3)
+    got = dict(P.STAGES)["near_dedup"](spark, df, "")
+    assert got.columns == df.columns
+    kept = sorted(r["class"] for r in got.collect())
+    assert len(set(kept) & {1, 2, 3}) == 1 and [k for k in kept if k > 3] == [4, 5, 6, 7]
+
+
 def test_pipeline_runs(spark):
     import corpus_pipeline as P
     rows = P.run(spark, SF_SMALL).collect()

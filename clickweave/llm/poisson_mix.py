@@ -1,7 +1,9 @@
 """Mixing sources to target weights by Poisson replication.
 
-A source with target weight w and n documents has the mean repetition rate
-w * total / n. Every document draws its count by inverting the Poisson distribution of
+A source with target weight w (a share of all weights) and n documents has the mean
+repetition rate w * total / n. The share of a source that the table does not have goes to
+nobody, so the result is smaller by it, as in the query's SQL; with ``present_only`` the shares are
+of the weights of the present sources, and the result has ``total`` rows on average. Every document draws its count by inverting the Poisson distribution of
 its source's rate at a uniform number made from a hash of (seed, doc_id), is exploded
 that many times, and all copies are sorted by a hash: a global shuffle that any re-run
 repeats. Rates above ``RATE_STEP`` are drawn as a sum of equal smaller Poisson draws,
@@ -54,29 +56,30 @@ def _pool(source: Column, weights: Mapping[str, float]) -> Column:
     return F.when(source.isin(*weights), source) if weights else F.lit(None).cast("string")
 
 
-def rates(docs: DataFrame, weights: Mapping[str, float], other_weight: float, total: int | None) -> DataFrame:
+def rates(docs: DataFrame, weights: Mapping[str, float], other_weight: float, total: int | None, present_only: bool = False) -> DataFrame:
     """One row per present pool: _of, _draws, _cdf."""
     spark = docs.sparkSession
     counts = {r._pool: r["count"] for r in docs.groupBy(_pool(F.col("source"), weights).alias("_pool")).count().collect()}
     total = sum(counts.values()) if total is None else total
-    whole = sum(weights.values()) + other_weight
+    shares = {**weights, None: other_weight}
+    whole = sum(shares[pool] for pool in counts) if present_only else sum(weights.values()) + other_weight
     found = []
     for pool, n in counts.items():
-        rate = (other_weight if pool is None else weights[pool]) / whole * total / n
-        draws = max(1, math.ceil(rate / RATE_STEP))
-        if rate > 0:
+        if shares[pool] > 0:
+            rate = shares[pool] / whole * total / n
+            draws = max(1, math.ceil(rate / RATE_STEP))
             found.append((pool, draws, poisson_cdf(rate / draws)))
     return spark.createDataFrame(found, "_of string, _draws int, _cdf array<double>")
 
 
 def poisson_mix(docs: DataFrame, weights: Mapping[str, float], other_weight: float = 0.0, total: int | None = None,
-                seed: str = "mix", number: str | None = "copy") -> DataFrame:
+                seed: str = "mix", number: str | None = "copy", present_only: bool = False) -> DataFrame:
     """The documents, each repeated by its draw, with a column ``number`` (None: without it)
     that counts a document's copies from 1, in a globally shuffled order. ``total`` is the wanted number of rows (default: as many as
     there are)."""
     if any(w < 0 for w in (*weights.values(), other_weight)) or sum(weights.values()) + other_weight <= 0:
         raise ValueError("weights must not be negative, and one must be positive")
-    plan = rates(docs, weights, other_weight, total)
+    plan = rates(docs, weights, other_weight, total, present_only)
     key = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce(F.col("text"), F.lit(""))))
     count = F.aggregate(
         F.transform(F.sequence(F.lit(1), F.col("_draws")), lambda j: uniform(F.lit(seed), F.col("_key"), j.cast("string"))),

@@ -11,7 +11,8 @@ stage's rows as Parquet in the shared folder and reads them again for the next.
 3. near_dedup: of each class of near-duplicates the document with the smallest id stays.
    Rows that repeat an id with the same text are that document and stay with it; of a class
    without any id one row stays.
-4. mix: documents are repeated, or left out, towards the sources' target weights.
+4. mix: documents are repeated, or left out, towards the target weights of the sources that
+   are there, to about as many rows as before.
 5. pack: the documents' tokens in sequences of at most 2048.
 
 Every stage accepts nulls in any column, empty and very long texts, repeated rows, extra
@@ -67,7 +68,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return poisson_mix.poisson_mix(docs, TARGETS, OTHER_SHARE, number=None)
+    return poisson_mix.poisson_mix(docs, TARGETS, OTHER_SHARE, number=None, present_only=True)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ import pytest
 from llm_fixtures import no_docs, odd_docs  # noqa: F401
 
 from clickweave.llm import byte_shards, line_runs, nra_topk, poisson_mix, radix_dedup
+from clickweave.llm.params import OTHER_SHARE, TARGETS
 from clickweave.llm.radix_dedup import radix_groups
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -170,6 +171,15 @@ def test_mix_weights_and_odd_rows(odd_docs):
         assert sorted(c) == list(range(1, len(c) + 1)) and len(set(c.values())) == 1
 
 
+@pytest.mark.parametrize("source", ["src5", "elsewhere"])
+def test_mix_total_with_absent_sources(spark, source):
+    import corpus_pipeline as P
+    docs = spark.range(2000).selectExpr("id AS doc_id", "'t' AS text", f"'{source}' AS source")
+    share = TARGETS.get(source, OTHER_SHARE)
+    for df, want in ((dict(P.STAGES)["mix"](spark, docs, ""), 2000), (poisson_mix.poisson_mix(docs, TARGETS, OTHER_SHARE), 2000 * share)):
+        assert abs(df.count() - want) < 4 * math.sqrt(want)
+
+
 def test_empty_tables(spark, no_docs):
     assert radix_dedup.exact_groups(no_docs).count() == 0
     assert line_runs.dedup_lines(no_docs).count() == 0

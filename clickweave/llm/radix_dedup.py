@@ -4,16 +4,17 @@ Texts (ASCII-lower-cased, as UTF-8 bytes) are split by successive runs of bytes,
 significant first, into a trie of groups. Equality is decided by the bytes alone:
 
 1. Level by level, the next ``width`` bytes of each row still in a heavy group (one
-   with more than its share of rows or bytes) are counted, partially in each task. A group
+   with more than its share of rows or bytes, or than a task is to hold) are counted, partially in each task. A group
    that has no bytes left consists of equal texts: its size and its largest id come from
    the count, and its rows need no shuffle, however many they are.
-2. A group of at most one share is a leaf. Its rows meet in one task by their leaf, which
+2. A smaller group is a leaf. Its rows meet in one task by their leaf, which
    goes on splitting them by successive bytes until each group is a singleton or ended.
 3. A heavy group with bytes left goes to the next level, which reads only its rows.
 
 Heavy groups hold more than a share each, one share being 1/``shares`` of all rows or
-bytes. So a level has at most 2 * ``shares`` of them, and that is what the driver sees and
-broadcasts: keys of ``width`` bytes each. Widths double up to the width at which all keys of
+bytes, or ``TASK_ROWS`` or ``TASK_BYTES`` if that is less: a leaf has a fixed size however large
+the input. So a level has at most 2 * ``shares`` of them (``shares`` grows with an input of more
+than that many rows or bytes a share), and that is what the driver sees and broadcasts: keys of ``width`` bytes each. Widths double up to the width at which all keys of
 a level come to ``KEY_BYTES`` (at least ``LEAST_CAP``), so long copies take few levels and the
 keys stay bounded. No text is cut or left out.
 
@@ -35,7 +36,7 @@ from clickweave.llm.common import ascii_lower, shuffle_partitions, written
 
 WIDTH, LEAST_CAP, KEY_BYTES = 32, 4096, 64 << 20
 LOCAL_WIDTH = 16
-TASK_BYTES = 64 << 20
+TASK_BYTES, TASK_ROWS = 64 << 20, 1 << 18
 FOUND = "doc_id long, keep_id long, group_size long, text_sha256 string"
 
 
@@ -92,7 +93,7 @@ def exact_groups(docs: DataFrame, shares: int | None = None) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw.alias("_rest")).select(
         "doc_id", F.unhex(F.sha2("_rest", 256)).alias("_sha"), F.lit(0).alias("_group"), "_rest")
     most_rows = most_bytes = None
-    all_bytes = 0
+    all_rows = all_bytes = 0
     done: list[DataFrame] = []
     leaves: list[DataFrame] = []
     level, width = 0, WIDTH
@@ -104,8 +105,9 @@ def exact_groups(docs: DataFrame, shares: int | None = None) -> DataFrame:
             F.count("*").alias("_n"), F.max("doc_id").alias("_keep"), F.sum(F.octet_length("_tail")).alias("_bytes"))
         if most_rows is None:
             whole = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("_rest")).alias("b")).first()
-            all_bytes = whole.b or 0
-            most_rows, most_bytes = max(1, whole.n // shares), max(1, all_bytes // shares)
+            all_rows, all_bytes = whole.n, whole.b or 0
+            shares = max(shares, -(-all_bytes // TASK_BYTES), -(-all_rows // TASK_ROWS))
+            most_rows, most_bytes = max(1, all_rows // shares), max(1, all_bytes // shares)
         heavy = counted.where((F.col("_n") > 1) & ((F.col("_n") > most_rows) | (F.col("_bytes") > most_bytes))).collect()
         nodes = spark.createDataFrame(
             [(r._group, bytes(r._head), r._ended, i, r._keep, r._n) for i, r in enumerate(heavy)],
@@ -120,7 +122,7 @@ def exact_groups(docs: DataFrame, shares: int | None = None) -> DataFrame:
         rows = written(routed.where("_node is not null and not _ended")
                        .select("doc_id", "_sha", F.col("_node").alias("_group"), F.col("_tail").alias("_rest")), "radix")
         level, width = level + 1, min(2 * width, max(LEAST_CAP, KEY_BYTES // (2 * shares)))
-    tasks = max(shuffle_partitions(spark), -(-all_bytes // TASK_BYTES))
+    tasks = max(shuffle_partitions(spark), -(-all_bytes // TASK_BYTES), -(-all_rows // TASK_ROWS))
     found = leaves[0]
     for x in leaves[1:]:
         found = found.unionByName(x)

@@ -50,6 +50,24 @@ def test_radix_dedup_large_group_of_copies(spark):
     assert got == {i: (399, 400) if i < 400 else (i, 1) for i in range(600)}
 
 
+def test_radix_leaves_have_a_fixed_size(spark, monkeypatch):
+    finish = radix_dedup._finish
+
+    def watched(batches):
+        held, size = list(batches), Counter()
+        for b in held:
+            for *leaf, rest in zip(*(b.column(i).to_pylist() for i in (0, 1, 2, 4)), strict=True):
+                size[tuple(leaf)] += len(rest)
+        assert max(size.values(), default=0) <= 20_000, "a leaf is too large for a task"
+        yield from finish(iter(held))
+
+    monkeypatch.setattr(radix_dedup, "_finish", watched)
+    monkeypatch.setattr(radix_dedup, "TASK_BYTES", 20_000)
+    docs = spark.createDataFrame([(i, "abc"[i % 3] * 100 + f"{i // 6:04}" + "x" * 900) for i in range(300)], "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.keep_id, r.group_size) for r in radix_dedup.exact_groups(docs, 2).collect()}
+    assert got == {i: (i // 6 * 6 + 3 + i % 3, 2) for i in range(300)}
+
+
 def brute_lines(rows):
     last = line_runs.LAST_ID
     holders = defaultdict(set)

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.llm import byte_shards, crf_langid, line_runs, link_trust, lsa_knn, lsh_forest, nra_topk, poisson_mix, radix_dedup, sql, vector_pack
+from clickweave.llm import (byte_shards, crf_langid, fim_arrow, line_runs, link_trust, lsa_knn, lsh_forest, nra_topk, poisson_mix, radix_dedup, sql,
+                            turn_repair, vector_pack, warc)
 from clickweave.llm.common import fold_of, is_held_out, table
 from clickweave.llm.params import OTHER_SHARE, RULES, TARGETS
 
@@ -60,12 +61,33 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards.byte_shards(table(spark, sf_dir, "documents"))
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = turn_repair.digests(turn_repair.damaged(turns))
+    numbers = [c for c in found.columns if c not in ("conv_id", "audit", "repaired_sha256")]
+    ids = turns.select(F.col("conv_id").alias("id")).distinct()
+    return ids.join(found, F.col("id").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("id").alias("conv_id"), *[F.coalesce(c, F.lit(0)).alias(c) for c in numbers], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+def op12_fim_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim_arrow.fill_in_middle(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                       F.sha2(fim_arrow.restore(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.payload_facts(warc.write(table(spark, sf_dir, "pages")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_crf_langid, op2_radix_dedup, op3_line_dedup, op4_lsh_forest, op5_knn_quality, op6_best_fit_packing, op7_poisson_mix, op8_exact_topk, op9_url_filter, op10_byte_shards, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_crf_langid, op2_radix_dedup, op3_line_dedup, op4_lsh_forest, op5_knn_quality, op6_best_fit_packing, op7_poisson_mix,
+                                   op8_exact_topk, op9_url_filter, op10_byte_shards, op11_turn_repair, op12_fim_arrow, op13_warc, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

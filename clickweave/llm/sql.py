@@ -130,4 +130,95 @@ WITH cut AS (
 SELECT page_id, host, path, rule, coalesce(said, CASE WHEN host IN (SELECT host FROM blocked) THEN 'block' ELSE 'allow' END) AS verdict FROM ruled
 """
 
-ORACLES = {"op2_radix_dedup": OP2, "op3_line_dedup": OP3, "op4_lsh_forest": OP4, "op7_poisson_mix": OP7, "op8_exact_topk": OP8, "op9_url_filter": OP9}
+def _bump(v: str, cost: str, letter: str) -> str:
+    """A state's value (ten digits of cost, then the audit; 'z' if unreachable) after one more edit."""
+    return f"CASE WHEN {v} = 'z' THEN 'z' ELSE lpad((substr({v}, 1, 10)::BIGINT + {cost})::VARCHAR, 10, '0') || substr({v}, 11) || '{letter}' END"
+
+
+def _if(test: str, v: str) -> str:
+    return f"CASE WHEN {test} THEN {v} ELSE 'z' END"
+
+
+# A forward dynamic programme that keeps each state's cheapest, least audit as a string, then the audit replayed.
+_CLOSED = f"""SELECT *, least(v3, {_bump('w2', '2', 'I')}) AS w3 FROM (
+    SELECT *, least(v2, {', '.join(_bump(f'v{q}', '2', 'I') for q in (0, 1, 3))}) AS w2 FROM walk)"""
+_STAYS = "2 + cut"
+OP11 = f"""
+WITH RECURSIVE tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS tab
+), named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations
+), hashed AS (
+  SELECT *, xor(list_reduce(list_transform(string_split(name, ''), lambda x: ascii(x)::BIGINT), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 20 AS how
+  FROM named, tab
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role,
+         CASE how WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE WHEN how = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM hashed WHERE how <> 0
+), turns AS (
+  SELECT *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body, substr(role, 1, 1) AS initial,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth FROM damaged
+), faults AS (
+  SELECT *, CASE WHEN body = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au') AS odd FROM turns
+), facts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (odd) AS illegal FROM faults GROUP BY conv_id
+), steps AS (
+  SELECT conv_id, i, initial, coalesce(fault IN ('blank', 'duplicate'), false) AS go, coalesce(fault = 'truncated', false)::INTEGER AS cut FROM faults
+), walk AS (
+  SELECT conv_id, 0::BIGINT AS i, '0000000000' AS v0, 'z' AS v1, 'z' AS v2, 'z' AS v3 FROM facts
+  UNION ALL
+  SELECT s.conv_id, s.i, {_bump('v0', '3', 'D')},
+         least({_bump('v1', '3', 'D')}, {_if("NOT go AND initial = 's'", _bump('v0', 'cut', 'K'))}),
+         least({_bump('w2', '3', 'D')}, {', '.join(_if("NOT go", _bump(v, _STAYS, 'R')) for v in ('v0', 'v1', 'w3'))},
+               {', '.join(_if("NOT go AND initial = 'u'", _bump(v, 'cut', 'K')) for v in ('v0', 'v1', 'w3'))}),
+         least({_bump('w3', '3', 'D')}, {_if("NOT go", _bump('w2', _STAYS, 'R'))}, {_if("NOT go AND initial = 'a'", _bump('w2', 'cut', 'K'))})
+  FROM ({_CLOSED}) w JOIN steps s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.i = w.i + 1
+), best AS (
+  SELECT f.conv_id, f.n, least(v0, w3) AS v FROM ({_CLOSED}) w JOIN facts f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.n = w.i
+), replay AS (
+  SELECT conv_id, 0::BIGINT AS p, 0::BIGINT AS i, 0 AS q, NULL::VARCHAR AS line, substr(v, 11) AS audit FROM best
+  UNION ALL
+  SELECT r.conv_id, r.p + 1, r.i + (r.letter <> 'I')::INTEGER,
+         CASE r.letter WHEN 'D' THEN q WHEN 'K' THEN CASE t.initial WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END ELSE CASE WHEN q = 2 THEN 3 ELSE 2 END END,
+         CASE r.letter WHEN 'K' THEN t.role || ':' || t.text WHEN 'D' THEN NULL ELSE CASE WHEN q = 2 THEN 'assistant:' ELSE 'user:' END || CASE WHEN r.letter = 'R' THEN t.text ELSE '' END END, audit
+  FROM (SELECT *, substr(audit, p + 1, 1) AS letter FROM replay WHERE p < length(audit)) r
+  LEFT JOIN turns t ON t.conv_id IS NOT DISTINCT FROM r.conv_id AND t.i = r.i + 1 AND r.letter <> 'I'
+), texts AS (SELECT conv_id, coalesce(string_agg(line, chr(10) ORDER BY p), '') AS repaired FROM replay GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(substr(v, 1, 10)::BIGINT, 0) AS cost, coalesce(substr(v, 11), '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN texts x ON x.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+OP12 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS hex FROM documents
+), u AS (
+  SELECT *, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units, ('0x' || substr(hex, 1, 8))::BIGINT AS h1, ('0x' || substr(hex, 9, 8))::BIGINT AS h2,
+         ('0x' || substr(hex, 17, 8))::BIGINT AS h3, ('0x' || substr(hex, 25, 8))::BIGINT AS h4 FROM d
+), c AS (
+  SELECT *, len(units) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u
+), p AS (
+  SELECT *, array_to_string(list_slice(units, 1, a), '') AS prefix, array_to_string(list_slice(units, a + 1, b), '') AS middle, array_to_string(list_slice(units, b + 1, n), '') AS suffix FROM c
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+OP13 = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h FROM pages
+), r AS (
+  SELECT *, strlen(h) >= 100 AND row_number() OVER (PARTITION BY h ORDER BY page_id NULLS LAST) > 1 AS again, min(page_id) OVER (PARTITION BY h) AS first_id FROM p
+)
+SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha256(h) AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN first_id END AS refers_to FROM r
+"""
+
+ORACLES = {"op2_radix_dedup": OP2, "op3_line_dedup": OP3, "op4_lsh_forest": OP4, "op7_poisson_mix": OP7, "op8_exact_topk": OP8, "op9_url_filter": OP9, "op11_turn_repair": OP11,
+           "op12_fim_arrow": OP12, "op13_warc": OP13}

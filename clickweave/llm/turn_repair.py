@@ -298,7 +298,7 @@ def _plan(rows: DataFrame) -> dict[int, tuple]:
     ends = _bounds(rows)
     filled = sorted(ends)
     earlier = dict(zip(filled, [None, *filled], strict=False))
-    later = dict(zip(filled, [*filled[1:], None], strict=True))
+    later = dict(zip(filled, [*filled[1:], None], strict=False))
     before = {p: ends.get(earlier[p]) for p in filled}
     parts = _part_summaries(rows, before)
     goes_on = {p: later[p] is not None and parts[p]["last_conv"] == parts[later[p]]["first_conv"] for p in filled}

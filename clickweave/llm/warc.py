@@ -9,8 +9,8 @@ others are ``revisit`` records that refer to it. The payload of a page that thou
 is a hot key: the ``HEAVY`` most frequent digests are matched by a bounded broadcast, and
 their rows are spread over the shuffle that matches the rest.
 
-Reading: index rows are selected first, sorted by file and offset over range partitions;
-neighbouring byte ranges (gaps up to ``GAP_BYTES``) are read in one request of at most
+Reading: index rows are selected first, sorted by file and offset over range partitions of about
+``TASK_BYTES`` of records; neighbouring byte ranges (gaps up to ``GAP_BYTES``) are read in one request of at most
 ``READ_BYTES`` and cut into records again. A revisit's payload facts come from the
 response that it refers to, over salted keys, since one response can have most revisits.
 
@@ -43,7 +43,7 @@ LEAST_BYTES = 100
 HEAVY = 1024
 SALT_ROWS = 10_000
 ARCHIVE_BYTES = 1 << 30
-GAP_BYTES, READ_BYTES, BATCH_BYTES = 64 << 10, 8 << 20, 16 << 20
+GAP_BYTES, READ_BYTES, BATCH_BYTES, TASK_BYTES = 64 << 10, 8 << 20, 16 << 20, 32 << 20
 
 INDEX = "file string, offset long, length long, url string, digest string, record_type string, page_id long, refers_to long, copies long"
 RECORD = "file string, offset long, record_type string, page_id long, refers_to long, payload_digest string, copies long, payload binary"
@@ -138,7 +138,7 @@ def write(pages: DataFrame, folder: str | None = None, compress: bool = False, a
                         if out is not None:
                             out.close()
                         name, at = f"{uuid.uuid4().hex}.warc{'.gz' if compress else ''}", 0
-                        out = system.open_output_stream(f"{path}/{name}", buffer_size=READ_BYTES)
+                        out = system.open_output_stream(f"{path}/{name}", compression=None, buffer_size=READ_BYTES)
                     out.write(raw)
                     index.append((f"{folder}/{name}", at, len(raw), url, digest, kind, page, refers, copies))
                     at += len(raw)
@@ -182,7 +182,9 @@ def ranges(rows: Iterator[tuple[str, int, int, int]], gap: int = GAP_BYTES, most
 def read(index: DataFrame, gap: int = GAP_BYTES, most: int = READ_BYTES) -> DataFrame:
     """The records of the selected index rows, read from their archives: file, offset, record_type,
     page_id, refers_to, payload_digest (as the record states it), copies, payload."""
-    plan = (index.select("file", "offset", "length", "copies").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset"))
+    size = index.agg(F.sum("length").alias("bytes")).first().bytes or 0
+    plan = (index.select("file", "offset", "length", "copies").repartitionByRange(-(-size // TASK_BYTES) or 1, "file", "offset")
+            .sortWithinPartitions("file", "offset"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, source, out, held = None, None, [], 0

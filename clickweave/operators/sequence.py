@@ -25,32 +25,47 @@ unbounded group into one task. Instead:
 2. that layout is checkpointed to the shared checkpoint folder (lineage
    cut, stable partition ids for the passes below);
 3. a JVM aggregate gives each partition's first and last visitor (P rows,
-   P = partition count, independent of data size). Only where a visitor
-   continues into the next partition are that visitor's tail rows of the
-   partition folded (``mapInPandas``) to get its end state;
-4. the driver walks the P partitions and derives the true incoming state
-   of every partition that starts in the middle of a visitor. A partition
-   holding a single visitor passes its state on; its end state is verified
-   by re-folding just that partition until nothing changes (usually zero or
-   one round);
+   P = partition count, independent of data size). Where a visitor continues
+   into the next partition, one pass over that visitor's rows summarises what
+   they do to the state: the end state from ``init``, and, if the partition
+   holds nobody else, a decision table for every state that may come in
+   (below);
+4. the driver walks the P partitions and looks up each one's incoming state;
 5. one parallel pass folds every partition with its incoming state
    (constant memory: Arrow batches stream through, state is four scalars)
    and emits the accepted transitions (the trace); offers are the trace
    rows with ``state == 'offer'``.
+
+So the number of passes is fixed, however many partitions a visitor fills.
+
+Decision table of a run of rows. An open sequence that comes in is known by
+its state, first time, first product and last product. The last product only
+decides whether the run's leading rows are refreshes of it (two variants);
+later refreshes are equal neighbours. The first product matters where a step
+asks for it: one row for each such product and one for all others. The
+first time decides at which row the limit ends the sequence: a step function
+of it, whose pieces are labelled with what a fold that starts from ``init``
+behind that row ends in. Those ends are found for all rows at once (sequences in
+one state move together; one that ends joins the one that starts behind it), and
+equal neighbouring pieces are one. A table of more than ``TABLE_ROWS`` pieces stays
+in the shared folder, where the driver looks up one row; the others are collected.
 """
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.visitors import in_target_group, offer_for_gender
+from ..session import shared_path
 from .ordered import layout_partitions
 
 # fixed values: state names and the categories the rule reacts to
@@ -119,82 +134,233 @@ OFFER_RULE = SequenceRule(
 
 TRACE_SCHEMA = ("userId string, event_id long, us long, productId string, category string, "
                 "state string, offer string, live boolean")
-SUMMARY_SCHEMA = ("pid int, first_user string, last_user string, n long, synced boolean, "
-                  "st string, first_us long, first_pid string, last_pid string")
+TABLE_SCHEMA = ("pid int, variant string, st string, known boolean, fp string, ft_hi long, "
+                "kind string, to_st string, to_ft long, to_fp string, lead string, last string")
+TABLE_ROWS = 4096  # of a partition's table on the driver; a larger one is looked up where it was written
+MAX_FORKS = 64  # first products with a row of their own; a partition with more is folded again on its own
+
+
+def _start_bits(steps: dict) -> int:
+    """Marks that can open a sequence."""
+    bits = 0
+    for bit, _, _ in steps.get(INIT, ()):
+        bits |= bit
+    return bits
 
 
 def _fold_rows(pdf: pd.DataFrame, state, current_user, window_us: int, trace: list | None, steps: dict, emits: str):
-    """Fold one batch of sorted rows; returns (state, current_user)."""
-    users, uss, pids, marks = (pdf[c].tolist() for c in ("userId", "us", "productId", "marks"))
-    rest = list(zip(*(pdf[c].tolist() for c in ("event_id", "category", "code", "live")))) if trace is not None else None
-    st, first_us, first_pid, last_pid = state
-    for i in range(len(users)):
-        u = users[i]
-        if u != current_user:
-            current_user = u
+    """Fold one batch of sorted rows; returns (state, current_user). Rows that come while no sequence
+    is open and cannot open one are skipped without a look at each."""
+    n = len(pdf)
+    if not n:
+        return state, current_user
+    users, uss, pids, marks = (pdf[c].to_numpy() for c in ("userId", "us", "productId", "marks"))
+    rest = [pdf[c].to_numpy() for c in ("event_id", "category", "code", "live")] if trace is not None else None
+    starts = np.flatnonzero(marks & _start_bits(steps)).tolist()
+    at, i = 0, 0
+    st, first_us, first_pid, last_pid = state if users[0] == current_user else _INIT_STATE
+    while i < n:
+        if st == INIT:
+            while at < len(starts) and starts[at] < i:
+                at += 1
+            if at == len(starts):
+                break
+            i = starts[at]
+        elif users[i] != users[i - 1] and i:
             st, first_us, first_pid, last_pid = _INIT_STATE
+            continue
         pid = pids[i]
         if st != INIT and last_pid == pid:
+            i += 1
             continue  # page refresh
-        ts, mark, nxt = uss[i], marks[i], None
+        ts, mark, nxt = int(uss[i]), int(marks[i]), None
         if mark and (st == INIT or ts - first_us < window_us):
-            for bit, product, goes_to in steps.get(st, ()):
-                if mark & bit and (product == "any" or (product == "first") == (pid == first_pid)):
-                    nxt = goes_to
-                    break
+            nxt = _next_state(steps, st, mark, pid == first_pid)
         if nxt is not None and trace is not None:
-            eid, cat, code, live = rest[i]
-            trace.append((u, eid, ts, pid, cat, nxt, code, live))
+            trace.append((users[i], rest[0][i], ts, pid, rest[1][i], nxt, rest[2][i], rest[3][i]))
         if nxt is None or nxt == emits:
             st, first_us, first_pid, last_pid = _INIT_STATE
-            continue
-        if st == INIT:
-            first_us, first_pid = ts, pid
-        st, last_pid = nxt, pid
-    return (st, first_us, first_pid, last_pid), current_user
+        else:
+            if st == INIT:
+                first_us, first_pid = ts, pid
+            st, last_pid = nxt, pid
+        i += 1
+    return (st, first_us, first_pid, last_pid), users[n - 1]
+
+
+def _next_state(steps: dict, st: str, mark: int, is_first: bool) -> str | None:
+    for bit, product, goes_to in steps.get(st, ()):
+        if mark & bit and (product == "any" or (product == "first") == is_first):
+            return goes_to
+    return None
+
+
+# ---- decision table of a run of one visitor's rows ----
+
+def _ends_from_init(us: list, pids: list, marks: list, window_us: int, steps: dict, emits: str) -> list:
+    """For every row k (and behind the last): what a fold that starts from ``init`` at row k ends in:
+    None (``init``) or (state, row that opened the sequence)."""
+    n = len(us)
+    joins = [0] * n  # a sequence that ended at row i goes on as the fold that starts at i + 1
+    groups: dict[str, dict] = {}  # state -> first product -> cell of open sequences
+    home: dict[int, list] = {}  # open sequence -> its cell: [set of the rows that opened one]
+    oldest: deque[int] = deque()
+
+    def close(rows, i: int) -> None:
+        for j in rows:
+            joins[j] = i + 1
+            del home[j]
+
+    def move(group: dict, to: str | None, i: int) -> None:
+        """All sequences of a group enter ``to``; the smaller of two groups or cells is moved."""
+        if to is None or to == emits:
+            for cell in group.values():
+                close(cell[0], i)
+            return
+        there = groups.get(to)
+        if there is None:
+            groups[to] = group
+            return
+        small, large = (group, there) if len(group) < len(there) else (there, group)
+        for product, cell in small.items():
+            other = large.get(product)
+            if other is not None:
+                cell, other = sorted((cell, other), key=lambda c: len(c[0]))
+                for j in cell[0]:
+                    home[j] = other
+                other[0] |= cell[0]
+            large[product] = cell if other is None else other
+        groups[to] = large
+
+    for i in range(n):
+        if home and not (i and pids[i] == pids[i - 1]):
+            while oldest and (oldest[0] not in home or us[i] - us[oldest[0]] >= window_us):
+                j = oldest.popleft()
+                if j in home:
+                    home[j][0].discard(j)
+                    close([j], i)
+            before, groups = groups, {}
+            for state, group in before.items():
+                first, other = (_next_state(steps, state, marks[i], same) if marks[i] else None for same in (True, False))
+                cell = group.pop(pids[i], None) if first != other else None
+                move(group, other, i)
+                if cell is not None:
+                    move({pids[i]: cell}, first, i)
+        to = _next_state(steps, INIT, marks[i], pids[i] is None) if marks[i] else None
+        if to is None or to == emits:
+            joins[i] = i + 1
+        else:
+            home[i] = cell = [{i}]
+            move({pids[i]: cell}, to, i)
+            oldest.append(i)
+    state_of: dict[int, str] = {}
+    for state, group in groups.items():
+        for cell in group.values():
+            state_of.update(dict.fromkeys(cell[0], state))
+    ends: list = [None] * (n + 1)
+    for k in range(n - 1, -1, -1):
+        ends[k] = (state_of[k], k) if k in state_of else ends[joins[k]]
+    return ends
+
+
+def _run_table(us: list, pids: list, marks: list, window_us: int, steps: dict, emits: str) -> list[tuple] | None:
+    """Rows (variant, state, known, first product, largest first time, kind, to state, to first
+    time, to first product) of the run's decision table; None if it would need too many products."""
+    ends = _ends_from_init(us, pids, marks, window_us, steps, emits)
+    n = len(us)
+    lead = next((i for i in range(n) if pids[i] != pids[0]), n)
+
+    def target(k: int) -> tuple:
+        return ("init", None, None, None) if ends[k] is None else ("open", ends[k][0], us[ends[k][1]], pids[ends[k][1]])
+
+    out: list[tuple] = [("init", INIT, False, None, None, *target(0))]
+
+    def walk(variant: str, came: str, state: str, i: int, pieces: list, product, known: bool, forked: set) -> bool:
+        """Follow a sequence that came in, its first product known or unlike all in ``forked``."""
+        start = i
+        while i < n:
+            if i > start and pids[i] == pids[i - 1]:
+                i += 1
+                continue
+            to = {same: _next_state(steps, state, marks[i], same) if marks[i] else None for same in (True, False)}
+            if to[True] != to[False] and not known and pids[i] not in forked:
+                forked.add(pids[i])
+                if len(forked) > MAX_FORKS or not walk(variant, came, state, i, list(pieces), pids[i], True, forked):
+                    return False
+            nxt = to[known and pids[i] == product]
+            if nxt is None or nxt == emits:
+                break
+            pieces.append((us[i] - window_us, target(i + 1)))
+            state, i = nxt, i + 1
+        last = target(i + 1) if i < n else ("through", state, None, None)
+        for (hi, goes_to), (_, after) in zip(pieces, [*pieces[1:], (None, last)]):
+            if goes_to != after:
+                out.append((variant, came, known, product, hi, *goes_to))
+        out.append((variant, came, known, product, None, *last))
+        return True
+
+    for came in steps:
+        if came != INIT and not (walk("other", came, came, 0, [], None, False, set()) and walk("same", came, came, lead, [], None, False, set())):
+            return None
+    return out
+
+
+def _tail_summary(incoming: dict, singles: set, window_us: int, steps: dict, emits: str):
+    """mapInPandas body over the rows of each partition's last visitor: the decision table of a partition in
+    ``singles``, else (or if it has none) the end state from ``init`` or from its incoming state."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pid, state, user, lead, last = None, _INIT_STATE, None, None, None
+        us: list = []
+        pids: list = []
+        marks: list = []
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            if pid is None:
+                pid, lead = int(pdf["_pid"].iloc[0]), pdf["productId"].iloc[0]
+                if pid in incoming:
+                    user, state = incoming[pid]
+            last = pdf["productId"].iloc[-1]
+            if pid in singles and pid not in incoming:
+                for held, c in zip((us, pids, marks), ("us", "productId", "marks")):
+                    held += pdf[c].tolist()
+            else:
+                state, user = _fold_rows(pdf, state, user, window_us, None, steps, emits)
+        if pid is None:
+            return
+        rows = None
+        if us:
+            rows = _run_table(us, pids, marks, window_us, steps, emits)
+        elif state == _INIT_STATE:
+            rows = [("init", INIT, False, None, None, "init", None, None, None)]
+        else:
+            rows = [("init", INIT, False, None, None, "open", state[0], state[1], state[2])]
+        if rows is None:
+            rows = [("none", INIT, False, None, None, "init", None, None, None)]
+        columns = [c.split()[0] for c in TABLE_SCHEMA.split(", ")]
+        yield pd.DataFrame([(pid, *r, lead, last) for r in rows], columns=columns).astype({"ft_hi": "Int64", "to_ft": "Int64"})
 
-def _sync_pair(pdf: pd.DataFrame, before: tuple | None) -> tuple[bool, tuple]:
-    """Do two adjacent rows (of one visitor) have different products and no label? At most the
-    first can be a refresh of an accepted product, so after the second the state is ``init``
-    whatever it was before."""
-    rows = list(zip(pdf["productId"].tolist(), pdf["marks"].tolist()))
-    last = rows[-1]
-    if before is not None:
-        rows.insert(0, before)
-    return any(not a and not b and x != y for (x, a), (y, b) in zip(rows, rows[1:])), last
+    return run
 
 
-def _partition_folder(incoming: dict, window_us: int, mode: str, rule_steps: dict, emits: str):
-    """mapInPandas body. ``incoming``: pid -> (user, state) for its first visitor."""
+def _partition_folder(incoming: dict, window_us: int, rule_steps: dict, emits: str):
+    """mapInPandas body of the trace. ``incoming``: pid -> (user, state) for its first visitor."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pid = None
         state, user = _INIT_STATE, None
-        first_user, n = None, 0
-        synced, before = False, None
-        trace: list | None = [] if mode == "trace" else None
         for pdf in batches:
             if pdf.empty:
                 continue
             if pid is None:
                 pid = int(pdf["_pid"].iloc[0])
-                first_user = pdf["userId"].iloc[0]
-                seed = incoming.get(pid)
-                if seed is not None and seed[0] == first_user:
-                    state, user = tuple(seed[1]), first_user
+                if pid in incoming:
+                    user, state = incoming[pid]
+            trace: list = []
             state, user = _fold_rows(pdf, state, user, window_us, trace, rule_steps, emits)
-            n += len(pdf)
-            if mode == "summary" and not synced:
-                synced, before = _sync_pair(pdf, before)
-            if trace is not None and trace:
-                yield pd.DataFrame(trace, columns=["userId", "event_id", "us", "productId", "category",
-                                                   "state", "offer", "live"])
-                trace.clear()
-        if mode == "summary" and pid is not None:
-            st, fu, fp, lp = state
-            yield pd.DataFrame([{"pid": pid, "first_user": first_user, "last_user": user, "n": n, "synced": synced,
-                                 "st": st, "first_us": fu, "first_pid": fp, "last_pid": lp}])
+            if trace:
+                yield pd.DataFrame(trace, columns=["userId", "event_id", "us", "productId", "category", "state", "offer", "live"])
 
     return run
 
@@ -207,36 +373,74 @@ def _bounds(layout: DataFrame) -> dict:
     return {r["_pid"]: r for r in rows}
 
 
-def _tail_ends(layout: DataFrame, tails: dict, incoming: dict, window_us: int, rule: SequenceRule) -> dict:
-    """(end state of the last visitor, whether it is the same for any incoming state) of each
-    partition in ``tails`` (pid -> visitor), folding only that visitor's rows of it."""
-    if not tails:
-        return {}
+def _tail_ends(layout: DataFrame, tails: dict, singles: set, incoming: dict, window_us: int, rule: SequenceRule) -> DataFrame:
+    """Table rows of the last visitors in ``tails`` (pid -> visitor), from only their rows, as a written table."""
     keys = sorted(f"{pid}\u0001{user}" for pid, user in tails.items())
     rows = layout.filter(F.concat_ws("\u0001", F.col("_pid").cast("string"), "userId").isin(keys))
-    out = rows.mapInPandas(_partition_folder(incoming, window_us, "summary", rule.by_state(), rule.emits), SUMMARY_SCHEMA).collect()
-    return {r["pid"]: ((r["st"], r["first_us"], r["first_pid"], r["last_pid"]), r["synced"]) for r in out}
-
-
-def _chain(bounds: dict, tail_end: dict, verified_end: dict, verified_in: dict) -> dict:
-    """Incoming state of every partition that starts inside a visitor.
-
-    ``tail_end[p]``: end state of p's last visitor folded from ``init`` --
-    exact unless p holds a single visitor with a non-init incoming state;
-    then ``verified_end[p]`` (folded from ``verified_in[p]``) is used while
-    it is still the current incoming state.
-    """
+    path = shared_path(layout.sparkSession, "fold-tables")
+    rows.mapInPandas(_tail_summary(incoming, singles, window_us, rule.by_state(), rule.emits), TABLE_SCHEMA).write.parquet(path)
+    return layout.sparkSession.read.schema(TABLE_SCHEMA).parquet(path)
+
+
+class _Tables:
+    """The decision tables of the partitions: small ones in memory, large ones looked up."""
+
+    def __init__(self, written: DataFrame):
+        self.written = written
+        sizes = {r["pid"]: r["count"] for r in written.groupBy("pid").count().collect()}
+        self.large = {p for p, n in sizes.items() if n > TABLE_ROWS}
+        some = written.where(~F.col("pid").isin(sorted(self.large)) | (F.col("variant") == "init")) if self.large else written
+        self.rows: dict = {}
+        for r in some.collect():
+            self.rows.setdefault(r["pid"], {}).setdefault((r["variant"], r["st"]), []).append(r)
+
+    def has_table(self, pid: int) -> bool:
+        return ("none", INIT) not in self.rows[pid]
+
+    def end(self, pid: int, state: tuple) -> tuple:
+        """The state behind the partition's last visitor if ``state`` comes in."""
+        any_row = next(iter(self.rows[pid].values()))[0]
+        if state == _INIT_STATE:
+            row = self.rows[pid]["init", INIT][0]
+        else:
+            st, first_us, first_pid, last_pid = state
+            variant = "same" if last_pid == any_row["lead"] else "other"
+            if pid in self.large:
+                fits = (F.col("pid") == pid) & (F.col("variant") == variant) & (F.col("st") == st)
+                found = self.written.where(fits & (~F.col("known") | F.col("fp").eqNullSafe(F.lit(first_pid)))
+                                           & (F.col("ft_hi").isNull() | (F.col("ft_hi") >= first_us)))
+                found = found.orderBy(F.desc("known"), F.asc_nulls_last("ft_hi")).limit(1).collect()
+            else:
+                found = [r for r in self.rows[pid][variant, st] if r["ft_hi"] is None or r["ft_hi"] >= first_us]
+                found = ([r for r in found if r["known"] and r["fp"] == first_pid] or [r for r in found if not r["known"]])
+                found = sorted(found, key=lambda r: (r["ft_hi"] is None, r["ft_hi"] or 0))
+            row = found[0]
+            if row["kind"] == "through":
+                return (row["to_st"], first_us, first_pid, row["last"])
+        return _INIT_STATE if row["kind"] == "init" else (row["to_st"], row["to_ft"], row["to_fp"], row["last"])
+
+
+def _incoming_states(layout: DataFrame, bounds: dict, window_us: int, rule: SequenceRule) -> dict:
+    """pid -> (visitor, state) of every partition that starts inside a visitor whose sequence is open."""
+    pids = sorted(bounds)
+    tails = {p: bounds[p]["last_user"] for p, q in zip(pids, pids[1:]) if bounds[q]["first_user"] == bounds[p]["last_user"]}
+    if not tails:
+        return {}
+    singles = {q for p, q in zip(pids, pids[1:]) if p in tails and q in tails and bounds[q]["first_user"] == bounds[q]["last_user"]}
+    tables = _Tables(_tail_ends(layout, tails, singles, {}, window_us, rule))
     incoming: dict = {}
-    prev = None
-    for p in sorted(bounds):
-        b = bounds[p]
-        if prev is not None and bounds[prev]["last_user"] == b["first_user"]:
-            end = tail_end.get(prev, _INIT_STATE)
-            if prev in incoming and verified_in.get(prev) == incoming[prev]:
-                end = verified_end[prev]
-            if tuple(end) != _INIT_STATE:
-                incoming[p] = (b["first_user"], tuple(end))
-        prev = p
+    for p, q in zip(pids, pids[1:]):
+        if p not in tails:
+            continue
+        state = incoming[p][1] if p in singles and p in incoming else _INIT_STATE
+        if p in singles and not tables.has_table(p):
+            # more first products than a table takes: this partition alone is folded from the state that comes in
+            again = _tail_ends(layout, {p: tails[p]}, singles, {p: (tails[p], state)}, window_us, rule)
+            end = _Tables(again).end(p, _INIT_STATE)
+        else:
+            end = tables.end(p, state)
+        if end != _INIT_STATE:
+            incoming[q] = (tails[p], end)
     return incoming
 
 
@@ -264,7 +468,8 @@ def fold_input(clicks: DataFrame, rule: SequenceRule) -> DataFrame:
 
 
 def fold_layout(clicks: DataFrame, rule: SequenceRule, partitions: int | None = None) -> DataFrame:
-    """Range-partitioned, sorted, checkpointed fold input with partition ids."""
+    """Range-partitioned, sorted, checkpointed fold input with partition ids: the clicks of
+    visitors that have one that can open a sequence (the others never leave ``init``)."""
     n = layout_partitions(clicks, partitions)
     cols = fold_input(clicks, rule)
     # The range exchange samples its input in a separate job; persisting the
@@ -272,7 +477,8 @@ def fold_layout(clicks: DataFrame, rule: SequenceRule, partitions: int | None =
     # joins) runs once, not once for sampling and once for the shuffle.
     cols = cols.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        laid = (cols.repartitionByRange(n, "userId", "us", "event_id")
+        able = cols.where(F.col("marks").bitwiseAND(_start_bits(rule.by_state())) != 0).select("userId").distinct()
+        laid = (cols.join(able, "userId", "left_semi").repartitionByRange(n, "userId", "us", "event_id")
                 .sortWithinPartitions("userId", "us", "event_id"))
         laid = laid.checkpoint(eager=True)
     finally:
@@ -293,33 +499,8 @@ def sequence_trace(clicks: DataFrame, within_minutes: int = DEFAULT_WINDOW_MINUT
     if require_demographics:
         clicks = eligible(clicks)
     layout = fold_layout(clicks, rule, partitions)
-    bounds = _bounds(layout)
-    pids = sorted(bounds)
-    # partitions whose last visitor continues in the next partition
-    carry = {p: bounds[p]["last_user"] for p, q in zip(pids, pids[1:])
-             if bounds[q]["first_user"] == bounds[p]["last_user"]}
-    ends = _tail_ends(layout, carry, {}, window_us, rule)
-    tail_end = {p: end for p, (end, _) in ends.items()}
-    synced = {p for p, (_, s) in ends.items() if s}
-    verified_end: dict = {}
-    verified_in: dict = {}
-    incoming = _chain(bounds, tail_end, verified_end, verified_in)
-    # A single-visitor partition hands its incoming state on, unless it holds a
-    # sync pair: then its end state is known. Only those without one are re-folded
-    # until the chain stops changing. Each round fixes at least the first unverified
-    # partition of every chain, so it ends after at most (longest run of
-    # single-visitor partitions without a sync pair + 1) rounds, usually none.
-    while True:
-        todo = {p for p in incoming if p in carry and p not in synced and bounds[p]["first_user"] == bounds[p]["last_user"]
-                and verified_in.get(p) != incoming[p]}
-        if not todo:
-            break
-        fresh = _tail_ends(layout, {p: carry[p] for p in todo}, incoming, window_us, rule)
-        for p in todo:
-            verified_end[p] = fresh[p][0]
-            verified_in[p] = incoming[p]
-        incoming = _chain(bounds, tail_end, verified_end, verified_in)
-    trace = layout.mapInPandas(_partition_folder(incoming, window_us, "trace", rule.by_state(), rule.emits), TRACE_SCHEMA)
+    incoming = _incoming_states(layout, _bounds(layout), window_us, rule)
+    trace = layout.mapInPandas(_partition_folder(incoming, window_us, rule.by_state(), rule.emits), TRACE_SCHEMA)
     return trace.select("userId", "event_id",
                         F.timestamp_micros("us").cast("timestamp_ntz").alias("timestamp"),
                         "productId", "category", "state", "offer", "live")

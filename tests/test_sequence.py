@@ -125,8 +125,7 @@ def test_sequence_spanning_every_partition(spark):
 
 
 def test_few_passes_for_a_hot_visitor(spark, monkeypatch):
-    """A visitor over many partitions with an open sequence: a partition that holds a sync pair
-    needs no second fold, so the passes do not grow with the partitions."""
+    """A visitor over many partitions with an open sequence: the passes do not grow with the partitions."""
     rows = []
     for i in range(4000):
         cat, pid = [("clothing", "A"), ("shoes", "S"), ("books", "X"), ("books", "Y"), ("clothing", "A")][i % 5]
@@ -143,6 +142,60 @@ def test_few_passes_for_a_hot_visitor(spark, monkeypatch):
     assert results[0] == results[1] == results[2] and results[0]
 
 
+@pytest.mark.parametrize("table_rows,forks", [(4096, 64), (2, 64), (4096, 0)])
+def test_few_passes_for_labelled_clicks_only(spark, monkeypatch, table_rows, forks):
+    """One visitor fills every partition and no click resets all sequences: still one pass of
+    summaries, whether tables are collected, looked up, or (too many products) cannot be made."""
+    rnd = random.Random(11)
+    rows, cats = [], ["clothing"] * 7 + ["shoes"]
+    for i in range(3000):
+        rows.append(("hot", i, T0 + dt.timedelta(seconds=11 * i), f"p{rnd.randrange(5)}" if i % 900 > 300 else f"q{i}", rnd.choice(cats), "M", 40, None))
+    df = spark.createDataFrame(rows, SCHEMA)
+    pdf = pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")])
+    pdf["us"] = (pdf["timestamp"] - pd.Timestamp(0)) // pd.Timedelta(microseconds=1)
+    pdf["live"] = True
+    expect = brute(pdf, 30)
+    calls = []
+    real = S._tail_ends
+    monkeypatch.setattr(S, "_tail_ends", lambda *a: (calls.append(1), real(*a))[1])
+    monkeypatch.setattr(S, "TABLE_ROWS", table_rows)
+    if not forks:
+        made = S._run_table
+        monkeypatch.setattr(S, "_run_table", lambda *a: made(*a) if len(a[0]) < 250 else None)
+    for n in (4, 8, 16):
+        calls.clear()
+        got = sorted((r.userId, r.event_id, r.offer) for r in S.detect_offers(df, 30, n).collect())
+        assert got == expect and expect
+        assert len(calls) == 1 or not forks
+
+
+RULE_2 = S.SequenceRule(
+    {"a": None, "b": None, "c": None},
+    (S.Step("init", "a", "x"), S.Step("x", "b", "y", "other"), S.Step("x", "b", "x", "first"), S.Step("x", "a", "x"),
+     S.Step("y", "c", "x", "other"), S.Step("y", "c", "offer", "first"), S.Step("y", "a", "y", "first"), S.Step("y", "b", "x", "other")), "offer", None)
+
+
+@pytest.mark.parametrize("rule", [S.OFFER_RULE, RULE_2])
+def test_decision_tables_equal_the_fold(rule):
+    rnd, steps = random.Random(3), rule.by_state()
+    names = [c.split()[0] for c in S.TABLE_SCHEMA.split(", ")]
+    products = ["p1", "p2", "p3", None, "zz"]
+    for t in range(600):
+        n = rnd.randrange(1, 25)
+        us = sorted(rnd.randrange(0, 40) for _ in range(n))
+        pids = [rnd.choice(products[:4]) for _ in range(n)]
+        marks = [rnd.choice([0, 3, 2, 4, 1, 7] if t % 2 else [3, 2, 4, 1]) for _ in range(n)]
+        tables = S._Tables.__new__(S._Tables)
+        tables.large, tables.rows = set(), {0: {}}
+        for r in S._run_table(us, pids, marks, 10, steps, "offer"):
+            row = dict(zip(names, (0, *r, pids[0], pids[-1]), strict=True))
+            tables.rows[0].setdefault((row["variant"], row["st"]), []).append(row)
+        pdf = pd.DataFrame({"userId": ["u"] * n, "us": us, "productId": pd.Series(pids, dtype=object), "marks": marks})
+        open_states = [(st, us[0] - rnd.randrange(0, 15), rnd.choice(products), rnd.choice(products)) for st in steps if st != "init" for _ in range(4)]
+        for state in [S._INIT_STATE, *open_states]:
+            assert tuple(tables.end(0, state)) == S._fold_rows(pdf, state, "u", 10, None, steps, "offer")[0]
+
+
 def test_another_rule_table(spark):
     rule = S.SequenceRule(labels={"a": lambda: F.col("category") == "a", "b": lambda: F.col("category") == "b"},
                           steps=(S.Step("init", "a", "one"), S.Step("one", "b", "done", "other"), S.Step("one", "a", "one")),

@@ -5,7 +5,10 @@ size (file statistics, or measured at run time by AQE) is under
 ``spark.sql.autoBroadcastJoinThreshold``; a larger one is joined with a shuffle
 on the key, where AQE splits partitions of hot visitors/products. A key that a
 lookup table holds several times gives its last record (largest ``seq`` if the
-table has one), as in a key-value store, so lookups never repeat a click.
+table has one), as in a key-value store, and an IP that lies in several ranges gives the
+narrowest, so lookups never repeat a click. ``prepare_lookups`` settles both for the
+lookup tables alone; ``sources.dimensions`` keeps what it makes, and ``enrich_prepared``
+joins it as it is.
 """
 
 from __future__ import annotations
@@ -16,8 +19,9 @@ from pyspark.sql import functions as F
 from ..functions.device import device_type
 from ..functions.temporal import age_from_birthdate
 from ..functions.visitors import UNKNOWN, UNKNOWN_GENDER, age_to_int, gender_letter, or_default
-from .range_join import IP_BUCKET_BITS, bucketed_ranges, ip_to_long, range_lookup
+from .range_join import IP_BUCKET_BITS, disjoint_ranges, ip_to_long, interval_lookup, range_lookup
 
+# fixed values: output columns and their order
 ENRICHED_COLUMNS = ["event_id", "timestamp", "original_timestamp", "userId", "ip", "userAgent",
                     "productId", "category", "title", "birthdate", "country", "deviceType", "age", "gender"]
 
@@ -31,26 +35,28 @@ def last_per_key(table: DataFrame, key: str) -> DataFrame:
     return last.select(key, *[F.col(f"_last.{c}").alias(c) for c in rest])
 
 
-def with_product(clicks: DataFrame, products: DataFrame) -> DataFrame:
-    """J1 + J2: category and title in one join; null or '' -> 'Unknown'."""
-    p = last_per_key(products, "id").select(F.col("id").alias("_pid"), F.col("category").alias("_cat"),
-                        F.col("title").alias("_title"))
+def prepare_lookups(products: DataFrame, visitors: DataFrame, ip_ranges: DataFrame, countries: DataFrame) -> dict[str, DataFrame]:
+    """The lookup tables with one row a key, and disjoint IP intervals with country names."""
+    return {
+        "products": last_per_key(products, "id").select("id", "category", "title"),
+        "visitors": last_per_key(visitors, "userId").select("userId", "birthDate", "gender"),
+        "country_ranges": disjoint_ranges(country_table(ip_ranges, countries), ["country"]),
+    }
+
+
+def with_product(clicks: DataFrame, products: DataFrame, prepared: bool = False) -> DataFrame:
+    """J1 + J2: category and title in one join; null or '' -> 'Unknown'. ``prepared``: one row a key."""
+    p = (products if prepared else last_per_key(products, "id")).select(F.col("id").alias("_pid"), F.col("category").alias("_cat"),
+                                                                        F.col("title").alias("_title"))
     out = clicks.join(p, clicks["productId"] == p["_pid"], "left")
     return (out.withColumn("category", or_default("_cat", UNKNOWN))
                .withColumn("title", or_default("_title", UNKNOWN))
                .drop("_pid", "_cat", "_title"))
 
 
-def with_visitor(clicks: DataFrame, visitors: DataFrame) -> DataFrame:
-    """J3 + J4: birth date and gender of the visitor in one join."""
-    v = last_per_key(visitors, "userId").select(F.col("userId").alias("_vid"), F.col("birthDate").alias("_birth"),
-                        F.col("gender").alias("_vgender"))
-    return clicks.join(v, clicks["userId"] == v["_vid"], "left").drop("_vid")
-
-
-def with_gender(clicks: DataFrame, visitors: DataFrame) -> DataFrame:
-    """J4 + F7: the click's own gender, else the visitor's, else 'U'."""
-    v = last_per_key(visitors, "userId").select(F.col("userId").alias("_vid"), F.col("gender").alias("_vgender"))
+def with_gender(clicks: DataFrame, visitors: DataFrame, prepared: bool = False) -> DataFrame:
+    """J3, J4 + F7: the click's own gender, else the visitor's, else 'U'."""
+    v = (visitors if prepared else last_per_key(visitors, "userId")).select(F.col("userId").alias("_vid"), F.col("gender").alias("_vgender"))
     out = clicks.join(v, clicks["userId"] == v["_vid"], "left")
     return out.withColumn("gender", _gender()).drop("_vid", "_vgender")
 
@@ -75,10 +81,22 @@ def with_country(clicks: DataFrame, ip_ranges: DataFrame, countries: DataFrame,
     return out.withColumn("country", F.coalesce("country", F.lit(UNKNOWN))).drop("_ipnum")
 
 
+def with_prepared_country(clicks: DataFrame, country_ranges: DataFrame, ip_col: str = "ip") -> DataFrame:
+    """J5 + J6 with the prepared interval table."""
+    out = interval_lookup(clicks.withColumn("_ipnum", ip_to_long(ip_col)), "_ipnum", country_ranges, ["country"])
+    return out.withColumn("country", F.coalesce("country", F.lit(UNKNOWN))).drop("_ipnum")
+
+
 def enrich(clicks: DataFrame, products: DataFrame, visitors: DataFrame,
            ip_ranges: DataFrame, countries: DataFrame, as_of: Column | None = None,
            strict_age: bool = True) -> DataFrame:
-    """Full enrichment of click-data into enriched-click-data.
+    """Full enrichment with lookup tables as they come (see ``enrich_prepared``)."""
+    return enrich_prepared(clicks, prepare_lookups(products, visitors, ip_ranges, countries), as_of, strict_age)
+
+
+def enrich_prepared(clicks: DataFrame, lookups: dict[str, DataFrame], as_of: Column | None = None,
+                    strict_age: bool = True) -> DataFrame:
+    """Full enrichment of click-data into enriched-click-data, with prepared lookup tables.
 
     ``as_of`` is the "today" used for ages computed from birth dates; by
     default each click's own timestamp (the moment the reference would have
@@ -86,12 +104,9 @@ def enrich(clicks: DataFrame, products: DataFrame, visitors: DataFrame,
     Built as three left joins and one projection (few plan steps to analyse).
     """
     as_of = F.col("timestamp") if as_of is None else as_of
-    prod = last_per_key(products, "id").select(F.col("id").alias("_pid"), F.col("category").alias("_cat"),
-                           F.col("title").alias("_title"))
-    vis = last_per_key(visitors, "userId").select(F.col("userId").alias("_vid"), F.col("birthDate").alias("_birth"),
-                          F.col("gender").alias("_vgender"))
-    ranges = bucketed_ranges(country_table(ip_ranges, countries)).select(
-        "_bucket", F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), F.col("country").alias("_country"))
+    prod = lookups["products"].select(F.col("id").alias("_pid"), F.col("category").alias("_cat"), F.col("title").alias("_title"))
+    vis = lookups["visitors"].select(F.col("userId").alias("_vid"), F.col("birthDate").alias("_birth"), F.col("gender").alias("_vgender"))
+    ranges = lookups["country_ranges"].select("_bucket", F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), F.col("country").alias("_country"))
     ipnum = ip_to_long("ip")
     c = clicks.withColumns({"_ipnum": ipnum, "_vbucket": F.shiftright(ipnum, IP_BUCKET_BITS)})
     j = (c.join(prod, c["productId"] == prod["_pid"], "left")

@@ -10,7 +10,7 @@ are dropped, as the reference's grouping does.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.temporal import floor_hour, floor_minute, format_datetime, relative_time, step_seconds, time_literal
@@ -101,12 +101,19 @@ def visits_per_minute(df: DataFrame, as_of: Column, within: str = "15 minutes",
     recent = trailing(df, as_of, within, ts)
     # date_trunc yields TIMESTAMP; keep the input's type (e.g. TIMESTAMP_NTZ)
     minute = floor_minute(ts).cast(df.schema[ts].dataType)
-    counts = recent.groupBy(minute.alias("datetime")).agg(F.count(F.lit(1)).alias("count"))
-    axis = (counts.agg(F.min("datetime").alias("lo"), F.max("datetime").alias("hi"))
-            .filter(F.col("lo").isNotNull())
-            .select(F.explode(F.sequence("lo", "hi", interval("1 minute"))).alias("datetime")))
-    return (axis.join(counts, "datetime", "left")
-            .select("datetime", F.coalesce("count", F.lit(0)).cast("long").alias("count")))
+    return filled_minutes(recent.groupBy(minute.alias("datetime")).agg(F.count(F.lit(1)).alias("count")))
+
+
+def filled_minutes(counts: DataFrame) -> DataFrame:
+    """Counts per minute (datetime, count) with 0 for the minutes missing between the first and the last.
+
+    The counts are one row a minute of the window; each is followed by the empty minutes up to
+    the next one, so the clicks behind them are read once."""
+    step = interval("1 minute")
+    following = F.lead("datetime").over(Window.orderBy("datetime"))  # at most a row a minute of the window
+    rows = counts.where(F.col("datetime").isNotNull()).select("datetime", "count", following.alias("_next"))
+    return rows.select(F.explode(F.sequence("datetime", F.coalesce(F.col("_next") - step, "datetime"), step)).alias("_minute"), "datetime", "count").select(
+        F.col("_minute").alias("datetime"), F.when(F.col("_minute") == F.col("datetime"), F.col("count")).otherwise(0).cast("long").alias("count"))
 
 
 def dense_axis(like: DataFrame, end: Column, periods: int, step: str) -> DataFrame:
@@ -135,7 +142,16 @@ def sessions_dense_8h(buckets: DataFrame, as_of: Column) -> DataFrame:
 
 # ------------------------------------------------------ popularity
 
-def top_products(df: DataFrame, n: int = 10) -> DataFrame:
+TOP_PRODUCTS = 10
+
+
+def top_counts(partials: DataFrame, keys: list[str], n: int | None = None) -> DataFrame:
+    """Sums of partial counts per key (null keys dropped), most first, ties by key."""
+    out = partials.dropna(subset=keys).groupBy(*keys).agg(F.sum("count").alias("count")).orderBy(F.desc("count"), *keys)
+    return out if n is None else out.limit(n)
+
+
+def top_products(df: DataFrame, n: int = TOP_PRODUCTS) -> DataFrame:
     """Views per (product, category), top ``n``; ties by key."""
     return (df.filter(F.col("productId").isNotNull() & F.col("category").isNotNull())
             .groupBy("productId", "category").agg(F.count(F.lit(1)).alias("count"))
@@ -169,9 +185,14 @@ def device_popularity(df: DataFrame, as_of: Column, within: str = "10 minutes",
     empty table. With ``with_share`` adds ``Percentage`` and drops 0 rows.
     One global aggregate (partial per task, one tiny final merge).
     """
-    recent = trailing(df, as_of, within, ts).filter(F.col("deviceType").isNotNull())
-    sums = [F.count(F.when(F.col("deviceType") == d, 1)).alias(d) for d in DEVICE_PIVOT]
-    agg = recent.agg(F.count(F.lit(1)).alias("_total"), *sums).filter(F.col("_total") > 0)
+    return device_pivot(trailing(df, as_of, within, ts).select("deviceType", F.lit(1).alias("count")), with_share)
+
+
+def device_pivot(counts: DataFrame, with_share: bool = False) -> DataFrame:
+    """The pivot of ``device_popularity`` from (deviceType, count) rows."""
+    known = counts.filter(F.col("deviceType").isNotNull())
+    sums = [F.coalesce(F.sum(F.when(F.col("deviceType") == d, F.col("count"))), F.lit(0)).cast("long").alias(d) for d in DEVICE_PIVOT]
+    agg = known.agg(F.sum("count").cast("long").alias("_total"), *sums).filter(F.col("_total") > 0)
     agg = agg.withColumn(DEVICE_PIVOT_OTHER, F.col("_total") - sum(F.col(d) for d in DEVICE_PIVOT))
     labels = DEVICE_PIVOT + [DEVICE_PIVOT_OTHER]
     stacked = ", ".join(f"'{d}', `{d}`" for d in labels)

@@ -75,6 +75,13 @@ DEFAULT_WINDOW_MINUTES = 30
 
 _INIT_STATE = (INIT, None, None, None)  # (state, first_us, first_pid, last_pid)
 
+# A visitor's stored state as a row before their clicks: marks = STORED, productId = last product,
+# category = state, event_id = first time, code = first product, us = FIRST.
+STORED = -1
+FIRST = -(1 << 63)
+EXPIRED = "expired"  # what is left of a sequence beyond its time limit: the next click but a refresh is lost
+STATE_SCHEMA = "userId string, st string, first_us long, first_pid string, last_pid string"
+
 
 class Step(NamedTuple):
     """In ``state``, a row with the label ``when`` goes to ``goes_to``; ``product`` says whether it
@@ -132,6 +139,8 @@ OFFER_RULE = SequenceRule(
     code=lambda: offer_for_gender("gender"),
 )
 
+FOLDED_SCHEMA = ("kind string, userId string, event_id long, us long, productId string, category string, state string, "
+                 "offer string, live boolean, first_us long, first_pid string, last_pid string")
 TRACE_SCHEMA = ("userId string, event_id long, us long, productId string, category string, "
                 "state string, offer string, live boolean")
 TABLE_SCHEMA = ("pid int, variant string, st string, known boolean, fp string, ft_hi long, "
@@ -148,9 +157,11 @@ def _start_bits(steps: dict) -> int:
     return bits
 
 
-def _fold_rows(pdf: pd.DataFrame, state, current_user, window_us: int, trace: list | None, steps: dict, emits: str):
+def _fold_rows(pdf: pd.DataFrame, state, current_user, window_us: int, trace: list | None, steps: dict, emits: str,
+               ends: list | None = None):
     """Fold one batch of sorted rows; returns (state, current_user). Rows that come while no sequence
-    is open and cannot open one are skipped without a look at each."""
+    is open and cannot open one are skipped without a look at each. ``ends`` takes the open state that each
+    visitor but the last ends in, and ``init`` for each that comes with a stored state."""
     n = len(pdf)
     if not n:
         return state, current_user
@@ -158,6 +169,8 @@ def _fold_rows(pdf: pd.DataFrame, state, current_user, window_us: int, trace: li
     rest = [pdf[c].to_numpy() for c in ("event_id", "category", "code", "live")] if trace is not None else None
     starts = np.flatnonzero(marks & _start_bits(steps)).tolist()
     at, i = 0, 0
+    if ends is not None and state[0] != INIT and users[0] != current_user:
+        ends.append((current_user, *state))
     st, first_us, first_pid, last_pid = state if users[0] == current_user else _INIT_STATE
     while i < n:
         if st == INIT:
@@ -166,10 +179,18 @@ def _fold_rows(pdf: pd.DataFrame, state, current_user, window_us: int, trace: li
             if at == len(starts):
                 break
             i = starts[at]
-        elif users[i] != users[i - 1] and i:
+        elif i and users[i] != users[i - 1]:
+            if ends is not None:
+                ends.append((users[i - 1], st, first_us, first_pid, last_pid))
             st, first_us, first_pid, last_pid = _INIT_STATE
             continue
         pid = pids[i]
+        if marks[i] == STORED:
+            st, first_us, first_pid, last_pid = pdf["category"].iloc[i], int(pdf["event_id"].iloc[i]), pdf["code"].iloc[i], pid
+            if ends is not None:
+                ends.append((users[i], *_INIT_STATE))
+            i += 1
+            continue
         if st != INIT and last_pid == pid:
             i += 1
             continue  # page refresh
@@ -299,7 +320,7 @@ def _run_table(us: list, pids: list, marks: list, window_us: int, steps: dict, e
         out.append((variant, came, known, product, None, *last))
         return True
 
-    for came in steps:
+    for came in [*steps, EXPIRED]:
         if came != INIT and not (walk("other", came, came, 0, [], None, False, set()) and walk("same", came, came, lead, [], None, False, set())):
             return None
     return out
@@ -365,6 +386,38 @@ def _partition_folder(incoming: dict, window_us: int, rule_steps: dict, emits: s
     return run
 
 
+def _state_folder(incoming: dict, goes_on: set, window_us: int, rule_steps: dict, emits: str):
+    """mapInPandas body: trace rows, and the state of every visitor who ends with an open sequence or came
+    with one (kind ``state``). A visitor in ``goes_on`` ends in a later partition."""
+    columns = [c.split()[0] for c in FOLDED_SCHEMA.split(", ")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pid = None
+        state, user = _INIT_STATE, None
+
+        def frame(trace: list, ends: list) -> pd.DataFrame:
+            rows = [("trace", *t, None, None, None) for t in trace]
+            rows += [("state", u, None, None, None, None, st, None, None, us, fp, lp) for u, st, us, fp, lp in ends]
+            out = pd.DataFrame(rows, columns=columns)
+            return out.astype({"event_id": "Int64", "us": "Int64", "first_us": "Int64", "live": "boolean"})
+
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            if pid is None:
+                pid = int(pdf["_pid"].iloc[0])
+                if pid in incoming:
+                    user, state = incoming[pid]
+            trace, ends = [], []
+            state, user = _fold_rows(pdf, state, user, window_us, trace, rule_steps, emits, ends)
+            if trace or ends:
+                yield frame(trace, ends)
+        if pid is not None and state[0] != INIT and pid not in goes_on:
+            yield frame([], [(user, *state)])
+
+    return run
+
+
 def _bounds(layout: DataFrame) -> dict:
     """First / last visitor of every non-empty partition (JVM aggregate; the
     layout is sorted by visitor inside each partition, so min/max suffice)."""
@@ -467,11 +520,20 @@ def fold_input(clicks: DataFrame, rule: SequenceRule) -> DataFrame:
     ).filter(F.col("userId").isNotNull() & F.col("us").isNotNull())
 
 
-def fold_layout(clicks: DataFrame, rule: SequenceRule, partitions: int | None = None) -> DataFrame:
+def stored_rows(state: DataFrame) -> DataFrame:
+    """Open states (STATE_SCHEMA) as rows before their visitors' clicks."""
+    return state.where(F.col("st") != INIT).select(
+        "userId", F.lit(FIRST).cast("long").alias("us"), F.coalesce("first_us", F.lit(FIRST // 2)).alias("event_id"), F.col("last_pid").alias("productId"),
+        F.col("st").alias("category"), F.lit(STORED).cast("long").alias("marks"), F.col("first_pid").alias("code"), F.lit(False).alias("live"))
+
+
+def fold_layout(clicks: DataFrame, rule: SequenceRule, partitions: int | None = None, state: DataFrame | None = None) -> DataFrame:
     """Range-partitioned, sorted, checkpointed fold input with partition ids: the clicks of
     visitors that have one that can open a sequence (the others never leave ``init``)."""
     n = layout_partitions(clicks, partitions)
     cols = fold_input(clicks, rule)
+    if state is not None:
+        cols = cols.unionByName(stored_rows(state))
     # The range exchange samples its input in a separate job; persisting the
     # narrow projection first means the upstream plan (scan + enrichment
     # joins) runs once, not once for sampling and once for the shuffle.
@@ -506,6 +568,22 @@ def sequence_trace(clicks: DataFrame, within_minutes: int = DEFAULT_WINDOW_MINUT
                         "productId", "category", "state", "offer", "live")
 
 
+def fold_batch(clicks: DataFrame, state: DataFrame, within_minutes: int = DEFAULT_WINDOW_MINUTES, partitions: int | None = None,
+               rule: SequenceRule = OFFER_RULE) -> DataFrame:
+    """The clicks folded on from stored states (STATE_SCHEMA), in one pass: rows of FOLDED_SCHEMA, of kind
+    ``trace`` (as ``sequence_trace``, time in epoch micros) and ``state`` (what visitors end in; of several rows of a visitor the open one holds).
+
+    ``state`` must hold the visitors of these clicks, others come back as they are. As in the batch form a visitor's
+    clicks are spread over as many partitions as they fill."""
+    window_us = int(within_minutes) * 60 * 1_000_000
+    layout = fold_layout(clicks, rule, partitions, state)
+    bounds = _bounds(layout)
+    pids = sorted(bounds)
+    goes_on = {p for p, q in zip(pids, pids[1:]) if bounds[q]["first_user"] == bounds[p]["last_user"]}
+    incoming = _incoming_states(layout, bounds, window_us, rule)
+    return layout.mapInPandas(_state_folder(incoming, goes_on, window_us, rule.by_state(), rule.emits), FOLDED_SCHEMA)
+
+
 def detect_sequence(clicks: DataFrame, rule: SequenceRule, within_minutes: int = DEFAULT_WINDOW_MINUTES,
                     partitions: int | None = None) -> DataFrame:
     """One row per completed sequence of ``rule``: userId, event_id, timestamp, code."""

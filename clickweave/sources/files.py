@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,14 +58,24 @@ def normalise_log(raw: DataFrame) -> DataFrame:
 
 
 def read_products(spark: SparkSession, path: str) -> DataFrame:
-    """Product catalogue as one JSON array."""
+    """Product catalogue as JSON arrays, one per file."""
     return spark.read.option("multiLine", True).schema(PRODUCT_SCHEMA).json(path)
 
 
 def write_products(df: DataFrame, path: str) -> None:
-    """A catalogue as JSON arrays: one array per file, one file per task."""
-    rows = df.select(F.to_json(F.struct(*df.columns)).alias("j")).groupBy(F.spark_partition_id()).agg(F.collect_list("j").alias("j"))
-    rows.select(F.concat(F.lit("["), F.array_join("j", ",\n"), F.lit("]"))).write.text(path)
+    """A catalogue as JSON arrays: one file per task, one array per file, streamed as its lines."""
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lead = "["
+        for batch in batches:
+            if batch.num_rows:
+                rows = batch.column(0).to_pylist()
+                yield pa.RecordBatch.from_arrays([pa.array([lead + rows[0], *("," + r for r in rows[1:])])], names=["value"])
+                lead = ","
+        if lead == ",":
+            yield pa.RecordBatch.from_arrays([pa.array(["]"])], names=["value"])
+
+    (df.select(F.to_json(F.struct(*df.columns)).alias("value")).mapInArrow(lines, "value string")
+     .write.option("maxRecordsPerFile", 0).text(path))
 
 
 def read_visitors(spark: SparkSession, path: str) -> DataFrame:
@@ -77,3 +90,17 @@ def with_arrival_order(df: DataFrame) -> DataFrame:
     of the rows in the files, however Spark packs the blocks into tasks."""
     return (df.withColumn("_file", F.input_file_name()).withColumn("_block", F.input_file_block_start())
             .withColumn("_row", F.monotonically_increasing_id()))
+
+
+def numbered(rows: DataFrame, name: str) -> DataFrame:
+    """The rows of a file read (not filtered yet) numbered from 0 in the order of file name, block and line.
+
+    A block's rows have consecutive row ids, so a row's place in its block is a difference.
+    One aggregate gives each block's first id and size; the running sum over these, one row a
+    block, gives every block its first number."""
+    here = with_arrival_order(rows)
+    blocks = here.groupBy("_file", "_block").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)  # one row a file block
+    starts = blocks.select("_file", "_block", "_first", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    out = here.join(starts, ["_file", "_block"])
+    return out.withColumn(name, F.col("_start") + F.col("_row") - F.col("_first")).drop("_file", "_block", "_row", "_first", "_start")

@@ -75,11 +75,6 @@ def seconds_between(a, b) -> Column:
     return (F.unix_micros(_c(b).cast("timestamp")) - F.unix_micros(_c(a).cast("timestamp"))) / MICROS_PER_SECOND
 
 
-def clamp(x, lo, hi) -> Column:
-    """F16: ``min(max(x, lo), hi)``."""
-    return F.least(F.greatest(_c(x), F.lit(lo)), F.lit(hi))
-
-
 def relative_time(ts, as_of) -> Column:
     """human relative time of ``ts`` seen from ``as_of``.
 

@@ -16,7 +16,9 @@ OFFER_ASSET_DIR = "assets/"
 PRODUCT_KEY_PREFIX = "product:"
 VISITOR_KEY_PREFIX = "visitor:"
 DEFAULT_SUBDOMAIN = "platform"
-SUBDOMAIN_PATTERN = r"^https://portal-api\.([a-zA-Z]+)\."
+# Log messages of the detector.
+ENTERED_MESSAGE = "[User %s entered state %s][Event: clicked %s][Category: %s]"
+OFFER_MESSAGE = "[User %s triggered offer %s]"
 PRICE_CURRENCY = "€"
 # ---------------------------------------------------------------------------
 
@@ -43,13 +45,13 @@ def product_id_from_url(col, pattern: str = PRODUCT_URL_PATTERN, group: int = 2)
 
 def state_log_message(user, state, product, category) -> Column:
     """state-transition log text."""
-    return F.format_string("[User %s entered state %s][Event: clicked %s][Category: %s]",
+    return F.format_string(ENTERED_MESSAGE,
                            _c(user), _c(state), _c(product), _c(category))
 
 
 def offer_log_message(user, offer) -> Column:
     """offer log text."""
-    return F.format_string("[User %s triggered offer %s]", _c(user), _c(offer))
+    return F.format_string(OFFER_MESSAGE, _c(user), _c(offer))
 
 
 def rendered_log_line(created_ts, msg) -> Column:
@@ -99,7 +101,8 @@ def strip_first_line_feed(col) -> Column:
     return F.when(pos == 0, s).otherwise(F.overlay(s, F.lit(""), pos, F.lit(1)))
 
 
-def subdomain(url, default: str = DEFAULT_SUBDOMAIN) -> Column:
-    """the environment label of a portal-api host name, default ``platform``."""
-    return F.coalesce(F.nullif(F.regexp_extract(_c(url), SUBDOMAIN_PATTERN, 1), F.lit("")),
-                      F.lit(default))
+def subdomain(url, service: str, default: str = DEFAULT_SUBDOMAIN) -> Column:
+    """the environment label behind the ``service`` label of a host name (``https://<service>.<label>.``),
+    default ``platform``."""
+    pattern = rf"^https?://\Q{service}\E\.([a-zA-Z]+)\."
+    return F.coalesce(F.nullif(F.regexp_extract(_c(url), pattern, 1), F.lit("")), F.lit(default))

@@ -13,12 +13,15 @@ joins it as it is.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.device import device_type
 from ..functions.temporal import age_from_birthdate
 from ..functions.visitors import UNKNOWN, UNKNOWN_GENDER, age_to_int, gender_letter, or_default
+from ..streaming.sources import ARRIVAL
 from .range_join import IP_BUCKET_BITS, disjoint_ranges, ip_to_long, interval_lookup, range_lookup
 
 # fixed values: output columns and their order
@@ -95,12 +98,13 @@ def enrich(clicks: DataFrame, products: DataFrame, visitors: DataFrame,
 
 
 def enrich_prepared(clicks: DataFrame, lookups: dict[str, DataFrame], as_of: Column | None = None,
-                    strict_age: bool = True) -> DataFrame:
+                    strict_age: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     """Full enrichment of click-data into enriched-click-data, with prepared lookup tables.
 
     ``as_of`` is the "today" used for ages computed from birth dates; by
     default each click's own timestamp (the moment the reference would have
     enriched it live). Given age/gender on a row win over the lookup (F7).
+    Arrival columns of a topic stay, and those named in ``keep``.
     Built as three left joins and one projection (few plan steps to analyse).
     """
     as_of = F.col("timestamp") if as_of is None else as_of
@@ -122,7 +126,8 @@ def enrich_prepared(clicks: DataFrame, lookups: dict[str, DataFrame], as_of: Col
         "age": F.coalesce(age_to_int("age", strict_age), age_from_birthdate("_birth", as_of)),
         "gender": _gender(),
     }
-    return j.select(*[out[c].alias(c) if c in out else F.col(c) for c in ENRICHED_COLUMNS])
+    arrival = [c for c in ARRIVAL if c in clicks.columns]
+    return j.select(*[out[c].alias(c) if c in out else F.col(c) for c in ENRICHED_COLUMNS], *arrival, *keep)
 
 
 def known_product_clicks(clicks: DataFrame, products: DataFrame) -> DataFrame:

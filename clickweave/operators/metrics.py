@@ -231,14 +231,15 @@ def category_list(products: DataFrame) -> DataFrame:
 LATEST, RAW_LATEST = 10, 100
 
 
-def latest_visitors(df: DataFrame, as_of: Column, n: int = LATEST, arrival: str = "event_id",
+def latest_visitors(df: DataFrame, as_of: Column, n: int = LATEST, arrival: str | list[str] = "event_id",
                     ts: str = TS) -> DataFrame:
-    """The last ``n`` rows by arrival, newest event time first.
+    """The last ``n`` rows by arrival (one or more columns), newest event time first.
 
     Columns: Relative Time, Date and Time, ip, country.
     """
-    last = df.orderBy(F.desc(arrival)).limit(n)
-    return (last.orderBy(F.desc(ts), F.desc(arrival))
+    by_arrival = [F.desc(c) for c in ([arrival] if isinstance(arrival, str) else arrival)]
+    last = df.orderBy(*by_arrival).limit(n)
+    return (last.orderBy(F.desc(ts), *by_arrival)
             .select(relative_time(ts, as_of).alias("Relative Time"),
                     format_datetime(ts).alias("Date and Time"), "ip", "country"))
 

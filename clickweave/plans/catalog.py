@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +27,8 @@ from ..operators import ordered as O
 from ..operators import sequence as S
 from ..operators import setops as U
 from ..operators import upsert as K
+from ..operators.range_join import ip_to_long, range_lookup
+from ..sources import dimensions as D
 from ..sources import logs as L
 from ..sources import packets as PK
 from ..sources import testbed as TB
@@ -42,15 +45,25 @@ RELATIVE_TIME_SHIFT_HOURS = 12
 LOG_KEEP, LOG_SHOW = 10, 8
 TOP_PRODUCTS_ORDER = ["-count", "productId", "category"]
 LATE_DAYS, FUTURE_YEARS = 30, 7
+CATALOGUE_TASKS = 4
+HOST_SERVICE = "www"
+TOPIC_DELAY_SECONDS = 7
+PANE_MINUTES = "2 hours"
 
 
 def _as_of(clicks: DataFrame) -> Column:
     return M.default_as_of(clicks)
 
 
+def _lookups(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The dimension tables, published in the shared folder once per state of their source files."""
+    def load() -> tuple[DataFrame, ...]:
+        return TB.products(spark, sf), TB.visitors(spark, sf), TB.ip_ranges(spark, sf), TB.countries(spark, sf)
+    return D.published(spark, [f"{sf.rstrip('/')}/{t}.parquet" for t in ("part", "customer", "nation")], load)
+
+
 def _enriched(spark: SparkSession, sf: str) -> DataFrame:
-    t = TB.load(spark, sf)
-    return E.enrich(t["clicks"], t["products"], t["visitors"], t["ip_ranges"], t["countries"])
+    return E.enrich_prepared(TB.clicks(spark, sf), _lookups(spark, sf))
 
 
 def _buffer(spark: SparkSession, sf: str) -> tuple[DataFrame, Column]:
@@ -62,7 +75,7 @@ def _buffer(spark: SparkSession, sf: str) -> tuple[DataFrame, Column]:
 
 def _product_buffer(spark: SparkSession, sf: str) -> DataFrame:
     b, _ = _buffer(spark, sf)
-    return E.with_product(b, TB.products(spark, sf))
+    return E.with_product(b, _lookups(spark, sf)["products"], prepared=True)
 
 
 def _device_buffer(spark: SparkSession, sf: str) -> tuple[DataFrame, Column]:
@@ -77,8 +90,7 @@ def q_enrich_clicks(spark, sf):
 
 
 def q_country_by_ip(spark, sf):
-    t = TB.load(spark, sf)
-    return E.with_country(t["clicks"], t["ip_ranges"], t["countries"]).select("event_id", "ip", "country")
+    return E.with_prepared_country(TB.clicks(spark, sf), _lookups(spark, sf)["country_ranges"]).select("event_id", "ip", "country")
 
 
 def q_known_product_clicks(spark, sf):
@@ -107,7 +119,7 @@ def q_visitor_age(spark, sf):
 
 
 def q_gender_label(spark, sf):
-    e = E.with_gender(TB.clicks(spark, sf), TB.visitors(spark, sf))
+    e = E.with_gender(TB.clicks(spark, sf), _lookups(spark, sf)["visitors"], prepared=True)
     return e.select("event_id", "gender", gender_label("gender").alias("genderLabel"))
 
 
@@ -209,16 +221,14 @@ def q_category_filter(spark, sf):
 def q_latest_visitors(spark, sf):
     """The newest rows first, then only these are enriched."""
     b, as_of = _buffer(spark, sf)
-    t = TB.load(spark, sf)
     last = b.orderBy(F.desc("event_id")).limit(M.LATEST)
-    return M.latest_visitors(E.with_country(last, t["ip_ranges"], t["countries"]), as_of)
+    return M.latest_visitors(E.with_prepared_country(last, _lookups(spark, sf)["country_ranges"]), as_of)
 
 
 def q_raw_latest(spark, sf):
     b, _ = _buffer(spark, sf)
-    t = TB.load(spark, sf)
     last = b.orderBy(F.desc("timestamp"), F.desc("event_id")).limit(M.RAW_LATEST)
-    return M.raw_latest(E.enrich(last, t["products"], t["visitors"], t["ip_ranges"], t["countries"]))
+    return M.raw_latest(E.enrich_prepared(last, _lookups(spark, sf)))
 
 
 # --------------------------------------------------------------- row order
@@ -252,12 +262,23 @@ def q_align_union(spark, sf):
 
 
 def q_snapshot_changed(spark, sf):
-    e = _enriched(spark, sf)
-    as_of = _as_of(TB.clicks(spark, sf))
-    now = M.trailing(e, as_of, BUFFER)
-    before = M.trailing(e.filter(F.col("timestamp") <= as_of - F.make_dt_interval(days=F.lit(1))),
-                        as_of - F.make_dt_interval(days=F.lit(1)), BUFFER)
-    return U.snapshot_diff(now, before)
+    """The buffer now and a day ago: only clicks that one of them lacks are enriched and compared."""
+    c = TB.clicks(spark, sf)
+    as_of = _as_of(c)
+    return U.marked_diff(E.enrich_prepared(U.period_diff(c, *_snapshots(as_of)), _lookups(spark, sf), keep=["_d"]))
+
+
+def _snapshots(as_of: Column) -> tuple[Column, Column]:
+    """Conditions of the buffer now, and a day ago."""
+    ts, buffer, day = F.col("timestamp"), M.interval(BUFFER), F.make_dt_interval(days=F.lit(1))
+    return ts > as_of - buffer, (ts <= as_of - day) & (ts > as_of - day - buffer)
+
+
+def q_snapshot_digest(spark, sf):
+    """Did the buffer change within a day? By additive digests of both."""
+    c = TB.clicks(spark, sf)
+    now, before = _snapshots(_as_of(c))
+    return U.same_rows(c.where(now), c.where(before))
 
 
 def q_visitor_upsert(spark, sf):
@@ -292,7 +313,7 @@ RECOVERY_RULE = S.SequenceRule(
 
 
 def q_recoveries(spark, sf):
-    c = E.with_product(TB.clicks(spark, sf), TB.products(spark, sf))
+    c = E.with_product(TB.clicks(spark, sf), _lookups(spark, sf)["products"], prepared=True)
     return S.detect_sequence(c, RECOVERY_RULE, OFFER_WINDOW_MINUTES)
 
 
@@ -340,11 +361,10 @@ def _staged(spark, sf, what: str) -> tuple[str, object, int]:
     """Stage the click (or enriched) table as time-ordered files; returns
     (path, schema, files per micro-batch)."""
     from ..session import shared_path
-    from ..streaming.sources import stage_time_slices
     df = TB.clicks(spark, sf) if what == "clicks" else _enriched(spark, sf)
     path = shared_path(spark, f"stage-{what}")
     per = spark.sparkContext.defaultParallelism
-    stage_time_slices(df, path, STREAM_SLICES, per)
+    TB.stage_time_slices(df, path, STREAM_SLICES, per)
     return path, df.schema, per
 
 
@@ -362,12 +382,12 @@ def q_stream_enrich(spark, sf):
     path, schema, per = _staged(spark, sf, "clicks")
     out, ck = shared_path(spark, "enriched"), shared_path(spark, "ck-enrich")
     stream = file_stream(spark, path, schema, max_files_per_trigger=per)
-    _run(start_enrichment(stream, lambda: TB.load(spark, sf), out, ck))
+    _run(start_enrichment(stream, lambda: _lookups(spark, sf), out, ck))
     return read_enriched(spark, out)
 
 
 def q_stream_bucket_counts(spark, sf):
-    """Watermarked update-mode aggregation, latest count per key."""
+    """Partial counts of every micro-batch in a levelled log, summed."""
     from ..session import shared_path
     from ..streaming.jobs import latest_bucket_counts, start_bucket_counts
     from ..streaming.sources import file_stream
@@ -389,9 +409,9 @@ def _odd_buckets(spark, sf) -> DataFrame:
     """The clicks arrive in the order of their ids, not of their times."""
     from ..session import shared_path
     from ..streaming.jobs import latest_bucket_counts, start_bucket_counts
-    from ..streaming.sources import file_stream, stage_time_slices
+    from ..streaming.sources import file_stream
     df, path, per = _odd_clicks(spark, sf), shared_path(spark, "stage-odd"), spark.sparkContext.defaultParallelism
-    stage_time_slices(df, path, STREAM_SLICES, per, ts="event_id")
+    TB.stage_time_slices(df, path, STREAM_SLICES, per, ts="event_id")
     out = shared_path(spark, "odd-buckets")
     _run(start_bucket_counts(file_stream(spark, path, df.schema, max_files_per_trigger=per), out, shared_path(spark, "ck-odd")))
     return latest_bucket_counts(spark, out)
@@ -411,11 +431,11 @@ def q_odd_time_counts(spark, sf):
 # ------------------------------------------------------- single operators
 
 def q_catalogue_files(spark, sf):
-    """The catalogue written as one JSON array, read back."""
+    """The catalogue written as a JSON array per task, read back."""
     from ..session import shared_path
     from ..sources.files import read_products, write_products
     path = shared_path(spark, "products-json")
-    write_products(TB.products(spark, sf), path)
+    write_products(TB.products(spark, sf).repartition(CATALOGUE_TASKS), path)
     return read_products(spark, path).select("id", "category", "title", "price")
 
 
@@ -429,10 +449,10 @@ def q_visitor_files(spark, sf):
 
 
 def q_keyed_messages(spark, sf):
-    """K1 + K8: clicks as keyed messages with a parent header."""
+    """K1 + K8: clicks as keyed messages whose header names the stream (visitor) they came from."""
     from ..streaming.sources import to_keyed_messages
     c = TB.clicks(spark, sf).select("event_id", "userId", "productId")
-    m = to_keyed_messages(c, "userId", "productId")
+    m = to_keyed_messages(c, "userId", "userId")
     return m.select("key", "value", F.col("headers")[0]["key"].alias("header"), F.col("headers")[0]["value"].cast("string").alias("parent"))
 
 
@@ -472,6 +492,227 @@ def q_stream_offers(spark, sf):
     return spark.read.parquet(out)
 
 
+# ------------------------------------------------ lookups, files and topics
+
+def q_overlapping_ranges(spark, sf):
+    """Clicks looked up in ranges that overlap and nest: one row a click, with the narrowest range's code."""
+    c = TB.clicks(spark, sf).select("event_id", "ip", ip_to_long("ip").alias("_n"))
+    return range_lookup(c, "_n", TB.overlapping_ranges(spark, sf), ["code"]).select("event_id", "ip", "code")
+
+
+def q_stream_enrich_versions(spark, sf):
+    """Visitors are updated (K5) between two micro-batches; later clicks see the new version."""
+    from ..session import shared_path
+    from ..streaming.jobs import read_enriched, start_enrichment
+    from ..streaming.sources import file_stream
+    base, path, out, ck = (shared_path(spark, n) for n in ("dims", "stage-versions", "enriched", "ck-versions"))
+    c, per = TB.clicks(spark, sf), spark.sparkContext.defaultParallelism
+    split = F.lit(MERGE_SPLIT).cast("timestamp_ntz")
+    reader = D.DimensionReader(spark, base)
+    rest = (TB.ip_ranges(spark, sf), TB.countries(spark, sf))
+    visitors = TB.visitors(spark, sf)
+    updated = q_visitor_upsert(spark, sf)
+    for table, part in ((visitors, c.where(F.coalesce(F.col("timestamp") < split, F.lit(True)))), (updated, c.where(F.col("timestamp") >= split))):
+        D.publish(spark, base, TB.products(spark, sf), table, *rest)
+        part.repartition(per).write.mode("append").parquet(path)
+        _run(start_enrichment(file_stream(spark, path, c.schema, max_files_per_trigger=per), reader, out, ck))
+    return read_enriched(spark, out)
+
+
+def q_log_file_order(spark, sf):
+    """S1 + W1: a log of many files, numbered in file order, and each row's delay to the next one."""
+    from ..session import shared_path
+    from ..sources.files import numbered
+    path = shared_path(spark, "click-log-files")
+    log = L.raw_log_from_events(TB.read_table(spark, sf, "events"))
+    write_click_log(log.repartitionByRange(2 * spark.sparkContext.defaultParallelism, "event_id").sortWithinPartitions("event_id"), path)
+    rows = numbered(normalise_log(read_click_log(spark, path)), "line")
+    delays = O.replay_schedule(rows.select("line", F.col("original_timestamp").cast("double").alias("original_timestamp")), order="line")
+    return rows.join(delays, "line").select("line", "userId", "productId", "original_timestamp", "delay")
+
+
+def _topic(spark, sf) -> DataFrame:
+    """The clicks as rows of a topic: two partitions by visitor, appended some seconds after the click."""
+    from ..streaming.sources import to_keyed_messages
+    c = TB.clicks(spark, sf)
+    messages = to_keyed_messages(c)
+    parsed = F.from_json("value", "event_id long, timestamp timestamp_ntz")
+    late = F.make_dt_interval(secs=F.col("_v.event_id") % TOPIC_DELAY_SECONDS)
+    return (messages.withColumn("_v", parsed)
+            .select(F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"),
+                    (F.crc32(F.col("key").cast("binary")) % 2).cast("int").alias("partition"), F.col("_v.event_id").alias("offset"),
+                    (F.col("_v.timestamp") + late).cast("timestamp").alias("timestamp")))
+
+
+def q_topic_arrival(spark, sf):
+    """S4 + W4: messages parsed and enriched; the last visitors by arrival in the topic."""
+    from ..streaming.sources import ARRIVAL, parse_topic
+    clicks = parse_topic(_topic(spark, sf))
+    as_of = _as_of(TB.clicks(spark, sf))
+    last = clicks.orderBy(*[F.desc(c) for c in ARRIVAL]).limit(M.LATEST)
+    return M.latest_visitors(E.enrich_prepared(last, _lookups(spark, sf)), as_of, arrival=ARRIVAL)
+
+
+def q_lookup_keys(spark, sf):
+    """the lookup keys of products and visitors."""
+    p = TB.products(spark, sf).select(T.product_key("id").alias("key"), T.topic_id(F.lit("shop"), "category").alias("topic"))
+    v = TB.visitors(spark, sf).select(T.visitor_key("userId").alias("key"), T.topic_id(F.lit("shop"), F.lit("visitors")).alias("topic"))
+    return p.unionByName(v)
+
+
+def q_asset_paths(spark, sf):
+    """image paths of the products and of the offers that clicks can trigger."""
+    from ..functions.visitors import offer_for_gender
+    p = TB.products(spark, sf).select("id", T.product_image_path(F.concat("id", F.lit(".jpg"))).alias("path"))
+    v = TB.visitors(spark, sf).select(F.col("userId").alias("id"), T.offer_image_path(offer_for_gender("gender")).alias("path"))
+    return p.unionByName(v)
+
+
+def q_text_cleanup(spark, sf):
+    """first line feed removed, and the label behind a host's service label."""
+    docs = TB.read_table(spark, sf, "documents").select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), T.strip_first_line_feed("text").alias("text"))
+    pages = TB.read_table(spark, sf, "pages").select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), T.subdomain("url", HOST_SERVICE).alias("text"))
+    return docs.unionByName(pages).select("kind", "id", F.sha2("text", 256).alias("text_sha256"))
+
+
+def q_age_domain(spark, sf):
+    """F27 + F3: visitors whose age the shop accepts."""
+    from ..functions.visitors import valid_age
+    v = TB.visitors(spark, sf)
+    aged = v.select("userId", age_from_birthdate("birthDate", _as_of(TB.clicks(spark, sf))).alias("age"))
+    return aged.select("userId", "age", valid_age("age").alias("valid"))
+
+
+def q_click_lag(spark, sf):
+    """seconds from a replayed click's original time to its own."""
+    from ..functions.temporal import seconds_between
+    c = TB.clicks(spark, sf).where(F.col("original_timestamp").isNotNull())
+    return c.select("event_id", seconds_between(F.timestamp_seconds("original_timestamp"), "timestamp").alias("lag"))
+
+
+def q_arrival_stamp(spark, sf):
+    """P5: every click is stamped with the time it is published (how many, and whether before the query's end)."""
+    from ..streaming.sources import stamp_arrival
+    stamped = stamp_arrival(TB.clicks(spark, sf), "published")
+    early = F.col("published") > F.col("timestamp")
+    return stamped.agg(F.count("published").alias("stamped"), F.count(F.when(early, 1)).alias("later_than_click"))
+
+
+# ------------------------------------------------------- commits, logs and panes
+
+def q_stream_recovery(spark, sf):
+    """The enrichment breaks off once before a batch's manifest and once behind it, and is started again:
+    clicks per day of the enriched table."""
+    from ..session import shared_path
+    from ..streaming import commits
+    from ..streaming.jobs import start_enrichment
+    from ..streaming.sources import file_stream
+    path, schema, per = _staged(spark, sf, "clicks")
+    out, ck = shared_path(spark, "enriched"), shared_path(spark, "ck-recovery")
+    lookups = _lookups(spark, sf)
+    for step in ("before manifest", "behind manifest", None):
+        stream = file_stream(spark, path, schema, max_files_per_trigger=per)
+        q = start_enrichment(stream, lambda: lookups, out, ck, commit=commits.breaking_off(step, 1) if step else commits.commit_batch)
+        try:
+            _run(q)
+        except StreamingQueryException as e:
+            if step is None or f"broken off {step}" not in str(e):
+                raise
+    days = spark.read.parquet(out).groupBy("day").agg(F.count(F.lit(1)).alias("clicks"), F.countDistinct("event_id").alias("ids"))
+    return days.select("day", "clicks", "ids")
+
+
+def q_stream_bucket_compaction(spark, sf):
+    """X4 + X7: more micro-batches than a level of the log holds: levels are merged on the way, counts stay."""
+    from ..session import shared_path
+    from ..streaming.jobs import latest_bucket_counts, start_bucket_counts
+    from ..streaming.sources import file_stream
+    path, schema, per = _staged(spark, sf, "clicks")
+    out, ck = shared_path(spark, "buckets"), shared_path(spark, "ck-compaction")
+    few = max(1, per * STREAM_SLICES // 12)
+    _run(start_bucket_counts(file_stream(spark, path, schema, max_files_per_trigger=few), out, ck))
+    return latest_bucket_counts(spark, out)
+
+
+def _panes(spark, sf) -> tuple[str, str]:
+    """(enriched table, panes) of the clicks, as the services leave them."""
+    from ..session import shared_path
+    from ..streaming.jobs import start_enrichment
+    from ..streaming.panes import start_panes
+    from ..streaming.sources import ENRICHED_SCHEMA, file_stream
+    path, schema, per = _staged(spark, sf, "clicks")
+    enriched, panes = shared_path(spark, "enriched"), shared_path(spark, "panes")
+    lookups = _lookups(spark, sf)
+    _run(start_enrichment(file_stream(spark, path, schema, max_files_per_trigger=per), lambda: lookups, enriched, shared_path(spark, "ck-enrich")))
+    _run(start_panes(file_stream(spark, enriched, ENRICHED_SCHEMA), panes, shared_path(spark, "ck-panes")))
+    return enriched, panes
+
+
+def q_pane_marts(spark, sf):
+    """X6 + X11: the marts from panes, as rows (mart, name, count)."""
+    from ..streaming.jobs import read_enriched
+    from ..streaming.panes import pane_marts
+    enriched, panes = _panes(spark, sf)
+    as_of = _as_of(TB.clicks(spark, sf))
+    marts = pane_marts(spark, panes, lambda since: read_enriched(spark, enriched, since), as_of, BUFFER, PANE_MINUTES, DEVICE_WINDOW)
+    named = {
+        "last_15_minutes": (F.date_format("datetime", "yyyy-MM-dd HH:mm:ss"), F.col("count")),
+        "products_last_hour": (F.concat_ws("|", "productId", "category"), F.col("count")),
+        "category_popularity": (F.col("category"), F.col("count")),
+        "device_type_popularity": (F.col("Device type"), F.col("Total")),
+        "latest_visitors": (F.concat_ws("|", "Date and Time", "ip", "country"), F.lit(1).cast("long")),
+        "raw_data": (F.col("userId"), F.col("event_id")),
+    }
+    out = None
+    for mart, (name, count) in named.items():
+        rows = marts[mart].select(F.lit(mart).alias("mart"), name.alias("name"), count.alias("count"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _detected(spark, sf, **options) -> str:
+    from ..session import shared_path
+    from ..streaming.jobs import start_detection
+    from ..streaming.sources import file_stream
+    path, schema, per = _staged(spark, sf, "enriched")
+    out = shared_path(spark, "detection")
+    _run(start_detection(file_stream(spark, path, schema, max_files_per_trigger=per), out, shared_path(spark, "ck-detection"), OFFER_WINDOW_MINUTES, **options))
+    return out
+
+
+def q_stream_detection(spark, sf):
+    """X1 + X9 + X10 + K7 in one stream: the log lines of its live transitions (offers included)."""
+    from ..streaming.jobs import read_trace
+    return L.transition_log(read_trace(spark, _detected(spark, sf)))
+
+
+def q_stream_expiry(spark, sf):
+    """X2 + X9: as ``stream_offers``, with states expired to tombstones when the state log is merged."""
+    from ..streaming.jobs import read_offers
+    return read_offers(spark, _detected(spark, sf, lateness="0 seconds"))
+
+
+def q_stream_progress(spark, sf):
+    """The rows that a listener saw pass through the enrichment, batch by batch."""
+    from ..session import shared_path
+    from ..streaming.jobs import start_enrichment
+    from ..streaming.progress import ProgressTable, await_reports, counted, read_progress
+    from ..streaming.sources import file_stream
+    path, schema, per = _staged(spark, sf, "clicks")
+    out = shared_path(spark, "progress")
+    table = ProgressTable(spark, out)
+    lookups = _lookups(spark, sf)
+    spark.streams.addListener(table)
+    try:
+        stream, _ = counted(file_stream(spark, path, schema, max_files_per_trigger=per))
+        q = start_enrichment(stream, lambda: lookups, shared_path(spark, "enriched"), shared_path(spark, "ck-progress"))
+        _run(q)
+        await_reports(table, q)
+    finally:
+        spark.streams.removeListener(table)
+    return read_progress(spark, out).groupBy("name").agg(F.count(F.lit(1)).alias("batches"), F.sum("rows").alias("rows"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "enrich_clicks": q_enrich_clicks,
     "country_by_ip": q_country_by_ip,
@@ -529,4 +770,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "offer_subscription": q_offer_subscription,
     "product_detail": q_product_detail,
     "offers_demographics": q_offers_demographics,
+    "snapshot_digest": q_snapshot_digest,
+    "overlapping_ranges": q_overlapping_ranges,
+    "stream_enrich_versions": q_stream_enrich_versions,
+    "log_file_order": q_log_file_order,
+    "topic_arrival": q_topic_arrival,
+    "lookup_keys": q_lookup_keys,
+    "asset_paths": q_asset_paths,
+    "text_cleanup": q_text_cleanup,
+    "age_domain": q_age_domain,
+    "click_lag": q_click_lag,
+    "arrival_stamp": q_arrival_stamp,
+    "stream_recovery": q_stream_recovery,
+    "stream_bucket_compaction": q_stream_bucket_compaction,
+    "pane_marts": q_pane_marts,
+    "stream_detection": q_stream_detection,
+    "stream_expiry": q_stream_expiry,
+    "stream_progress": q_stream_progress,
 }

@@ -12,7 +12,7 @@ from ..functions.device import device_case_sql
 from ..functions.temporal import step_seconds
 from ..functions.visitors import FEMALE_AGE_RANGE, MALE_AGE_RANGE
 from ..operators.upsert import UPDATE_COLUMNS_FIRST, UPDATE_COLUMNS_SECOND
-from ..sources.testbed import duckdb_ctes
+from ..sources.testbed import IP_RANGE_COLUMNS_NATION, IP_RANGE_COLUMNS_REGION, OVERLAPPING_SQL, SUPPLIER_RANGE_COLUMNS, duckdb_ctes
 from . import catalog as C
 
 AS_OF = "(SELECT max(timestamp) FROM clicks)"
@@ -170,16 +170,30 @@ def _device_pivot(share: bool) -> str:
     return _with(BUFFER_CTE + ",\n" + dev, body)
 
 
-def _upsert_sql() -> str:
+def _upsert_ctes() -> str:
+    """The visitors after the update (K5), as the CTE ``upserted``."""
     first = ", ".join(UPDATE_COLUMNS_FIRST)
     second = ", ".join(UPDATE_COLUMNS_SECOND).replace("NULL AS birthDate", "CAST(NULL AS VARCHAR) AS birthDate")
     extra = (f"updates AS (SELECT {first} FROM customer UNION ALL SELECT {second} FROM customer),\n"
              "latest AS (SELECT userId, arg_max(birthDate, seq) FILTER (WHERE birthDate IS NOT NULL) AS birthDate, "
              "arg_max(gender, seq) FILTER (WHERE gender IS NOT NULL) AS gender FROM updates "
              "WHERE userId IS NOT NULL GROUP BY userId)")
-    body = ("SELECT COALESCE(v.userId, l.userId) AS userId, COALESCE(l.birthDate, v.birthDate) AS birthDate, "
-            "COALESCE(l.gender, v.gender) AS gender FROM visitors v FULL OUTER JOIN latest l ON v.userId = l.userId")
-    return _with(extra, body)
+    return extra + (",\nupserted AS (SELECT COALESCE(v.userId, l.userId) AS userId, COALESCE(l.birthDate, v.birthDate) AS birthDate, "
+                    "COALESCE(l.gender, v.gender) AS gender FROM visitors v FULL OUTER JOIN latest l ON v.userId = l.userId)")
+
+
+def _pane_marts_sql(top: str) -> str:
+    minutes = (f"m AS (SELECT date_trunc('minute', timestamp) AS datetime, count(*) AS count FROM enriched WHERE timestamp > {AS_OF} - {_secs(C.PANE_MINUTES)} GROUP BY 1),\n"
+               "axis AS (SELECT unnest(generate_series(min(datetime), max(datetime), INTERVAL 1 minute)) AS datetime FROM m)")
+    window = f"FROM buffer WHERE timestamp > {AS_OF} - {_secs(C.DEVICE_WINDOW)} AND deviceType IS NOT NULL"
+    named = "CASE WHEN deviceType IN ('Desktop', 'Tablet', 'Mobile') THEN deviceType ELSE 'Other' END"
+    return _with(f"{BUFFER_CTE},\n{top},\n{minutes}", f"""
+SELECT 'last_15_minutes' AS mart, strftime(axis.datetime, '%Y-%m-%d %H:%M:%S') AS name, coalesce(count, 0) AS count FROM axis LEFT JOIN m USING (datetime)
+UNION ALL SELECT 'products_last_hour', productId || '|' || category, count FROM top
+UNION ALL SELECT 'category_popularity', category, count(*) FROM buffer WHERE category IS NOT NULL GROUP BY category
+UNION ALL SELECT 'device_type_popularity', kind, (SELECT count(*) {window} AND {named} = kind) FROM (SELECT unnest(['Desktop', 'Tablet', 'Mobile', 'Other']) AS kind) WHERE EXISTS (SELECT 1 {window})
+UNION ALL SELECT 'latest_visitors', strftime(timestamp, '%Y-%m-%d %H:%M:%S') || '|' || ip || '|' || country, 1 FROM (SELECT * FROM buffer ORDER BY event_id DESC LIMIT 10)
+UNION ALL SELECT 'raw_data', userId, event_id FROM (SELECT * FROM buffer ORDER BY timestamp DESC, event_id DESC LIMIT 100)""")
 
 
 def _offers_sql(window: int) -> str:
@@ -278,7 +292,7 @@ def _batch_oracles() -> dict[str, str]:
             "d AS (SELECT (SELECT count(*) FROM (SELECT * FROM snap_now EXCEPT ALL SELECT * FROM snap_old)) AS only_new, "
             "(SELECT count(*) FROM (SELECT * FROM snap_old EXCEPT ALL SELECT * FROM snap_now)) AS only_old)",
             "SELECT only_new, only_old, only_new + only_old > 0 AS changed FROM d"),
-        "visitor_upsert": _upsert_sql(),
+        "visitor_upsert": _with(_upsert_ctes(), "SELECT * FROM upserted"),
         "packet_rows": _with("", "SELECT event_id, timestamp, userId, age, gender, ip, userAgent, productId "
                                  "FROM clicks"),
         "offers": _offers_sql(C.OFFER_WINDOW_MINUTES),
@@ -316,7 +330,37 @@ def _single_oracles() -> dict[str, str]:
     seq = _sequence_ctes(C.OFFER_WINDOW_MINUTES)
     demographics = seq.replace("FROM enriched", "FROM enriched_known")
     known = "enriched_known AS (SELECT * FROM enriched WHERE gender IS NOT NULL AND age IS NOT NULL)"
+    snap = (f"a AS (SELECT * FROM clicks WHERE timestamp > {AS_OF} - {_secs(C.BUFFER)}),\n"
+            f"b AS (SELECT * FROM clicks WHERE timestamp <= {AS_OF} - INTERVAL 1 DAY AND timestamp > {AS_OF} - INTERVAL 1 DAY - {_secs(C.BUFFER)})")
+    upserted = _upsert_ctes()
+    versions = duckdb_ctes().replace("LEFT JOIN visitors v ON c.userId = v.userId",
+                                     f"LEFT JOIN both_visitors v ON c.userId = v.userId AND v.late = coalesce(c.timestamp >= TIMESTAMP '{C.MERGE_SPLIT}', false)")
+    versions = versions.replace("enriched AS (SELECT c.event_id", f"{upserted},\nboth_visitors AS (SELECT *, false AS late FROM visitors UNION ALL SELECT *, true FROM upserted),\nenriched AS (SELECT c.event_id")
+    ipnum = "167772160 + TRY_CAST(split_part(ip, '.', 2) AS BIGINT) * 65536 + TRY_CAST(split_part(ip, '.', 3) AS BIGINT) * 256 + TRY_CAST(split_part(ip, '.', 4) AS BIGINT)"
+    ranges = OVERLAPPING_SQL.format(nation_cols=", ".join(IP_RANGE_COLUMNS_NATION), region_cols=", ".join(IP_RANGE_COLUMNS_REGION),
+                                    supplier_cols=", ".join(SUPPLIER_RANGE_COLUMNS), nation="nation", supplier="supplier")
     return {
+        "snapshot_digest": _with(snap, "SELECT (SELECT count(*) FROM a) AS rows_a, (SELECT count(*) FROM b) AS rows_b, EXISTS (SELECT * FROM a EXCEPT ALL SELECT * FROM b) "
+                                       "OR EXISTS (SELECT * FROM b EXCEPT ALL SELECT * FROM a) AS changed"),
+        "overlapping_ranges": _with(f"overlapping AS ({ranges})", f"SELECT event_id, ip, code FROM (SELECT c.event_id, c.ip, r.code, row_number() OVER (PARTITION BY c.event_id "
+                                    f"ORDER BY r.hi - r.lo, r.lo DESC, r.code) AS place FROM clicks c LEFT JOIN overlapping r ON ({ipnum}) BETWEEN r.lo AND r.hi) WHERE place = 1"),
+        "stream_enrich_versions": f"WITH {versions}\nSELECT * FROM enriched",
+        "log_file_order": _with("numbered AS (SELECT row_number() OVER (ORDER BY event_id) - 1 AS line, userId, " + _product_id("url") + " AS productId, _epoch FROM raw_clicks)",
+                                "SELECT line, userId, productId, _epoch AS original_timestamp, CASE WHEN following IS NOT NULL THEN CAST(least(greatest(following - _epoch, 0), 10) AS DOUBLE) END AS delay "
+                                "FROM (SELECT *, lead(_epoch) OVER (ORDER BY line) AS following FROM numbered)"),
+        "topic_arrival": _with("", f"SELECT {relative_time_sql('timestamp', AS_OF)} AS \"Relative Time\", strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS \"Date and Time\", ip, country "
+                                   f"FROM (SELECT * FROM enriched ORDER BY timestamp + to_seconds(event_id % {C.TOPIC_DELAY_SECONDS}) DESC, event_id DESC LIMIT 10)"),
+        "lookup_keys": _with("", "SELECT 'product:' || id AS key, 'shop-' || category AS topic FROM products UNION ALL SELECT 'visitor:' || userId, 'shop-visitors' FROM visitors"),
+        "asset_paths": _with("", "SELECT id, 'assets/products/' || id || '.jpg' AS path FROM products UNION ALL "
+                                 "SELECT userId, CASE WHEN gender = 'M' THEN 'assets/offer1.png' ELSE 'assets/offer2.png' END FROM visitors"),
+        "text_cleanup": "SELECT 'document' AS kind, doc_id AS id, sha256(regexp_replace(text, '\n', '')) AS text_sha256 FROM documents UNION ALL "
+                        f"SELECT 'page', page_id, sha256(coalesce(nullif(regexp_extract(url, '^https?://{C.HOST_SERVICE}\\.([a-zA-Z]+)\\.', 1), ''), 'platform')) FROM pages",
+        "age_domain": _with("", f"SELECT userId, age, age BETWEEN 18 AND 65 AS valid FROM (SELECT userId, {_age_sql('birthDate', AS_OF)} AS age FROM visitors)"),
+        "click_lag": _with("", "SELECT event_id, (epoch_us(timestamp) - original_timestamp * 1000000) / 1e6 AS lag FROM clicks WHERE original_timestamp IS NOT NULL"),
+        "arrival_stamp": _with("", "SELECT count(*) AS stamped, count(*) FILTER (now()::TIMESTAMP > timestamp) AS later_than_click FROM clicks"),
+        "stream_recovery": _with("", "SELECT CAST(timestamp AS DATE) AS day, count(*) AS clicks, count(DISTINCT event_id) AS ids FROM clicks GROUP BY 1"),
+        "pane_marts": _pane_marts_sql(top),
+        "stream_progress": _with("", f"SELECT 'progress' AS name, CAST({C.STREAM_SLICES} AS BIGINT) AS batches, count(*) AS rows FROM clicks"),
         "snapshot_json": _with(BUFFER_CTE + ",\n" + top, f"SELECT 'top_products' AS key, '{{' || {cols} || '}}}}' AS value FROM top"),
         "stream_odd_times": _with(ODD_CTE, "SELECT * FROM odd_buckets"),
         "odd_time_counts": _with(ODD_CTE, f"SELECT CAST(coalesce(sum(count) FILTER (datetime > {AS_OF}), 0) AS BIGINT) AS future, "
@@ -327,7 +371,7 @@ def _single_oracles() -> dict[str, str]:
         "keyed_messages": _with("", "SELECT userId AS key, '{' || array_to_string(list_filter(["
                                     "'\"event_id\":' || event_id, '\"userId\":' || to_json(userId)::VARCHAR, "
                                     "'\"productId\":' || to_json(productId)::VARCHAR], lambda x: x IS NOT NULL), ',') || '}' AS value, "
-                                    "'parent' AS header, productId AS parent FROM clicks"),
+                                    "'parent' AS header, userId AS parent FROM clicks"),
         "offer_subscription": _with(seq, "SELECT 'special-offers' AS topicName, userId AS streamId, epoch_us(timestamp) * 1000 AS timestamp, "
                                          "'offer' AS id, offer AS value FROM fold WHERE entered = 'offer' "
                                          "AND userId = (SELECT min(userId) FROM fold WHERE entered = 'offer')", recursive=True),
@@ -340,7 +384,8 @@ def _single_oracles() -> dict[str, str]:
 def stream_oracles(base: dict[str, str]) -> dict[str, str]:
     """Streaming forms must equal their batch forms on time-ordered input."""
     return {"snapshot_roundtrip": base["top_products"], "stream_enrich": base["enrich_clicks"], "stream_bucket_counts": base["user_bucket_counts"],
-            "stream_visitors_per_bucket": base["visitors_per_bucket"], "stream_offers": base["offers"]}
+            "stream_visitors_per_bucket": base["visitors_per_bucket"], "stream_offers": base["offers"], "stream_expiry": base["offers"],
+            "stream_bucket_compaction": base["user_bucket_counts"], "stream_detection": base["transition_log"]}
 
 
 def _product_id(url: str) -> str:

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import offer_log_message, rendered_log_line, state_log_message
-from ..sources.testbed import RAW_CLICK_COLUMNS, _render
+from ..sources.testbed import RAW_CLICK_COLUMNS, rendered_columns
 
 
 def raw_log_from_events(events: DataFrame) -> DataFrame:
     """The producer's TSV log derived from the events table (every row has a
     Unix timestamp; visitor ids are wrapped in braces as in the real log)."""
-    raw = events.selectExpr(*_render(RAW_CLICK_COLUMNS, "spark"), "unix_timestamp(CAST(ts AS TIMESTAMP)) AS _epoch")
+    raw = events.selectExpr(*rendered_columns(RAW_CLICK_COLUMNS, "spark"), "unix_timestamp(CAST(ts AS TIMESTAMP)) AS _epoch")
     return raw.select(
         "event_id",
         F.concat(F.lit("{"), "userId", F.lit("}")).alias("Visitor Unique ID"),

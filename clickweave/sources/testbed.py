@@ -19,8 +19,10 @@ at all, and the user-agent mix covers every device rung plus null.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.device import device_case_sql
+from ..functions.temporal import time_literal
 from ..functions.text import PRODUCT_URL_PATTERN
 
 # dialect-specific snippets
@@ -87,13 +89,25 @@ IP_RANGE_COLUMNS_REGION = [
     "CAST(167772160 + CAST(n_nationkey AS BIGINT) * 655360 + 9 * 65536 - 1 AS BIGINT) AS hi",
     "CONCAT('R', CAST(n_regionkey AS STRING)) AS code",
 ]
+# Overlapping ranges, as SQL text for both dialects.
+SUPPLIER_RANGE_COLUMNS = [
+    "CAST(167772160 + (s_suppkey % 256) * 65536 + (s_suppkey % 200) * 256 AS BIGINT) AS lo",
+    "CAST(167772160 + (s_suppkey % 256) * 65536 + (s_suppkey % 200) * 256 + 255 AS BIGINT) AS hi",
+    "CONCAT('S', CAST(s_nationkey AS STRING)) AS code",
+]
+OVERLAPPING_SQL = """SELECT {nation_cols} FROM {nation}
+UNION ALL SELECT {region_cols} FROM {nation}
+UNION ALL SELECT CAST(167772160 + min(CAST(n_nationkey AS BIGINT)) * 655360 AS BIGINT) AS lo,
+  CAST(167772160 + (max(CAST(n_nationkey AS BIGINT)) + 1) * 655360 - 1 AS BIGINT) AS hi, CONCAT('W', CAST(n_regionkey AS STRING)) AS code
+  FROM {nation} GROUP BY n_regionkey
+UNION ALL SELECT {supplier_cols} FROM {supplier}"""
 COUNTRY_COLUMNS = [
     "CONCAT('N', CAST(n_nationkey AS STRING)) AS code",
     "n_name AS name",
 ]
 
 
-def _render(cols: list[str], dialect: str) -> list[str]:
+def rendered_columns(cols: list[str], dialect: str) -> list[str]:
     d = _DIALECT[dialect]
     return [c.format(**d) for c in cols]
 
@@ -114,7 +128,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw page views: ``url`` still unparsed, worded gender on live rows."""
-    return read_table(spark, sf_dir, "events").selectExpr(*_render(RAW_CLICK_COLUMNS, "spark"))
+    return read_table(spark, sf_dir, "events").selectExpr(*rendered_columns(RAW_CLICK_COLUMNS, "spark"))
 
 
 def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,11 +139,11 @@ def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "part").selectExpr(*_render(PRODUCT_COLUMNS, "spark"))
+    return read_table(spark, sf_dir, "part").selectExpr(*rendered_columns(PRODUCT_COLUMNS, "spark"))
 
 
 def visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "customer").selectExpr(*_render(VISITOR_COLUMNS, "spark"))
+    return read_table(spark, sf_dir, "customer").selectExpr(*rendered_columns(VISITOR_COLUMNS, "spark"))
 
 
 def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,14 +166,46 @@ def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+def overlapping_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IP ranges that overlap and nest: the nations' and regions' ranges, one range around all of a
+    region's, and a /24 (some repeated with another code) per supplier."""
+    return spark.sql(OVERLAPPING_SQL.format(nation_cols=", ".join(IP_RANGE_COLUMNS_NATION), region_cols=", ".join(IP_RANGE_COLUMNS_REGION),
+                                            supplier_cols=", ".join(SUPPLIER_RANGE_COLUMNS), nation="{nation}", supplier="{supplier}"),
+                     nation=read_table(spark, sf_dir, "nation"), supplier=read_table(spark, sf_dir, "supplier"))
+
+
+def stage_time_slices(df: DataFrame, path: str, slices: int, files_per_slice: int,
+                      ts: str = "timestamp") -> None:
+    """Write ``df`` as ``slices`` consecutive event-time ranges, one write job
+    per slice in time order, each range-partitioned on time into
+    ``files_per_slice`` files. A file source with
+    ``maxFilesPerTrigger=files_per_slice`` then replays the table as
+    time-ordered micro-batches. Rows without a time go with the first slice. The frame is
+    computed once, into a folder beside ``path``. (Replay tooling for the registered
+    streaming queries; production input is the broker.)"""
+    whole = f"{path.rstrip('/')}-whole"
+    df.write.parquet(whole)
+    df = df.sparkSession.read.schema(df.schema).parquet(whole)
+    b = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
+    lo, hi = b["lo"], b["hi"]
+    if lo is None:
+        return
+    step, dtype = (hi - lo) / slices, df.schema[ts].dataType.simpleString()
+    for i in range(slices):
+        cond = F.col(ts) >= time_literal(lo + step * i, dtype) if i else F.lit(True)
+        if i + 1 < slices:
+            cond = F.coalesce(cond & (F.col(ts) < time_literal(lo + step * (i + 1), dtype)), F.lit(i == 0))
+        df.filter(cond).repartitionByRange(files_per_slice, ts).write.mode("append").parquet(path)
+
+
 # -------------------------------------------------------------------- DuckDB
 
 def duckdb_ctes() -> str:
     """``WITH``-list body defining the same five tables (plus ``enriched``)."""
-    raw = ",\n  ".join(_render(RAW_CLICK_COLUMNS, "duckdb"))
+    raw = ",\n  ".join(rendered_columns(RAW_CLICK_COLUMNS, "duckdb"))
     pid = product_id_sql("url", "duckdb")
-    prod = ",\n  ".join(_render(PRODUCT_COLUMNS, "duckdb"))
-    vis = ",\n  ".join(_render(VISITOR_COLUMNS, "duckdb"))
+    prod = ",\n  ".join(rendered_columns(PRODUCT_COLUMNS, "duckdb"))
+    vis = ",\n  ".join(rendered_columns(VISITOR_COLUMNS, "duckdb"))
     ipn = ", ".join(IP_RANGE_COLUMNS_NATION)
     ipr = ", ".join(IP_RANGE_COLUMNS_REGION)
     ctry = ", ".join(COUNTRY_COLUMNS)

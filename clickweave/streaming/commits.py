@@ -84,22 +84,34 @@ def _partition_folders(folder: Folder, top: str, depth: int) -> list[str]:
     return found
 
 
-def commit_batch(df: DataFrame, path: str, batch_id: int, partition_cols: list[str]) -> None:
-    """Write a batch under its own ``batch`` partitions, all of it or nothing, once."""
+def commit_batch(df: DataFrame, path: str, batch_id: int, partition_cols: list[str], at: Callable[[str], None] = lambda step: None) -> None:
+    """Write a batch under its own ``batch`` partitions, all of it or nothing, once. ``at`` is told the steps."""
     folder = Folder(df.sparkSession, path)
     stage, manifest = f"_staging/{batch_id}", f"_batches/{batch_id}"
     if not folder.exists(manifest):
         out = df.withColumn("batch", F.lit(batch_id).cast("long"))
         out.write.mode("overwrite").partitionBy(*partition_cols, "batch").parquet(f"{folder.base}/{stage}")
+        at("before manifest")
         folder.write(manifest, "\n".join(_partition_folders(folder, stage, len(partition_cols) + 1)))
     elif not folder.exists(stage):
         return
+    at("behind manifest")
     for name in folder.read(manifest).splitlines():
         if folder.exists(f"{stage}/{name}"):
             folder.move(f"{stage}/{name}", name)
     folder.delete(stage)
 
 
+def breaking_off(step: str, batch: int) -> Callable:
+    """``commit_batch`` that fails at a step of one batch, to rehearse a lost driver."""
+    def commit(df: DataFrame, path: str, batch_id: int, partition_cols: list[str]) -> None:
+        def at(now: str) -> None:
+            if batch_id == batch and now == step:
+                raise RuntimeError(f"broken off {step}")
+        commit_batch(df, path, batch_id, partition_cols, at)
+    return commit
+
+
 class RunLog:
     """An additive table. ``merge`` makes one run of the union of several (also of one); it must give the
     same whatever is merged first. ``retain`` filters what a compaction keeps."""

@@ -45,7 +45,7 @@ _write_batch = commit_batch
 # ------------------------------------------------------------------ enrichment
 
 def start_enrichment(clicks_stream: DataFrame, load_dims: Callable[[], dict], out_path: str,
-                     checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+                     checkpoint: str, trigger: dict | None = None, commit: Callable = commit_batch) -> StreamingQuery:
     """Enrich every micro-batch against the current dimensions: prepared ones (a
     ``DimensionReader``) are joined as they are, raw ones are prepared for the batch."""
 
@@ -55,7 +55,7 @@ def start_enrichment(clicks_stream: DataFrame, load_dims: Callable[[], dict], ou
         out = E.enrich_prepared(df, lookups)
         out = (out.withColumn(DAY_PARTITION, F.to_date("timestamp"))
                .sortWithinPartitions(DAY_PARTITION, "timestamp"))
-        _write_batch(out, out_path, batch_id, [DAY_PARTITION])
+        commit(out, out_path, batch_id, [DAY_PARTITION])
 
     w = clicks_stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
@@ -207,7 +207,8 @@ def read_trace(spark: SparkSession, out_path: str) -> DataFrame:
 
 def read_offers(spark: SparkSession, out_path: str) -> DataFrame:
     """The offers of ``start_detection``."""
-    return spark.read.schema("userId string, event_id long, timestamp timestamp_ntz, offer string").parquet(f"{out_path.rstrip('/')}/offers")
+    rows = spark.read.schema("userId string, event_id long, timestamp timestamp_ntz, offer string").parquet(f"{out_path.rstrip('/')}/offers")
+    return rows.select("userId", "event_id", "timestamp", "offer")
 
 
 # --------------------------------------------------------------- X6/X11 marts

@@ -1,4 +1,4 @@
-"""Stream sources and sinks (S4, K1, K2) and a replay stager for tests.
+"""Stream sources and sinks.
 
 Production reads/writes a message broker through Spark's Kafka connector
 (the visitor id is the message key, so one visitor's clicks stay ordered in
@@ -12,8 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.temporal import time_literal
-
 CLICK_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("timestamp", T.TimestampNTZType()),
@@ -58,14 +56,27 @@ def kafka_click_stream(spark: SparkSession, servers: str, topic: str, schema: T.
          .option("subscribe", topic).option("startingOffsets", starting_offsets))
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
-    raw = r.load()
-    return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("v"),
-                      "partition", "offset").select("v.*", "partition", "offset")
+    return parse_topic(r.load(), schema)
+
+
+# Arrival order of topic rows: the broker's append time, then the partition's own order.
+ARRIVAL = ["arrived", "partition", "offset"]
+
+
+def parse_topic(messages: DataFrame, schema: T.StructType = CLICK_SCHEMA) -> DataFrame:
+    """Rows of a topic (key, value, partition, offset, timestamp) to clicks that keep their arrival order in the
+    columns ``ARRIVAL``. A value that is no JSON object gives a row of nulls, as a bad message does."""
+    value = F.from_json(F.col("value").cast("string"), schema, {"timestampNTZFormat": NTZ_FORMAT})
+    return (messages.select(value.alias("v"), F.col("timestamp").cast("timestamp_ntz").alias("arrived"), "partition", "offset")
+            .select("v.*", *ARRIVAL))
+
+
+NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
 
 def to_keyed_messages(df: DataFrame, key_col: str = "userId", parent_col: str | None = None) -> DataFrame:
-    """K1/K2/K8: rows -> (key, JSON value[, parent stream header])."""
-    cols = [F.col(key_col).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value")]
+    """K1/K2/K8: rows -> (key, JSON value[, header with the id of the stream the row came from])."""
+    cols = [F.col(key_col).cast("string").alias("key"), F.to_json(F.struct("*"), {"timestampNTZFormat": NTZ_FORMAT}).alias("value")]
     if parent_col:
         cols.append(F.array(F.struct(F.lit("parent").alias("key"),
                                      F.col(parent_col).cast("binary").alias("value"))).alias("headers"))
@@ -73,8 +84,8 @@ def to_keyed_messages(df: DataFrame, key_col: str = "userId", parent_col: str |
 
 
 def kafka_sink(df: DataFrame, servers: str, topic: str, checkpoint: str, key_col: str = "userId"):
-    """K1: publish keyed rows to a topic (requires the spark-sql-kafka package)."""
-    return (to_keyed_messages(df, key_col).writeStream.format("kafka")
+    """K1 + K8: publish keyed rows to a topic, with their stream as parent (requires the spark-sql-kafka package)."""
+    return (to_keyed_messages(df, key_col, key_col).writeStream.format("kafka")
             .option("kafka.bootstrap.servers", servers).option("topic", topic)
             .option("checkpointLocation", checkpoint).start())
 
@@ -94,40 +105,6 @@ def subscribe(events: DataFrame, topic: str, stream_id: str, event_id: str = "of
                          & (F.col("id") == event_id))
 
 
-def stage_time_slices(df: DataFrame, path: str, slices: int, files_per_slice: int,
-                      ts: str = "timestamp") -> None:
-    """Write ``df`` as ``slices`` consecutive event-time ranges, one write job
-    per slice in time order, each range-partitioned on time into
-    ``files_per_slice`` files. A file source with
-    ``maxFilesPerTrigger=files_per_slice`` then replays the table as
-    time-ordered micro-batches, and every slice is written in parallel.
-    Rows without a time go with the first slice. (Replay tooling for the registered
-    streaming queries; production input is the broker.)"""
-    b = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
-    lo, hi = b["lo"], b["hi"]
-    if lo is None:
-        return
-    step, dtype = (hi - lo) / slices, df.schema[ts].dataType.simpleString()
-    for i in range(slices):
-        cond = F.col(ts) >= time_literal(lo + step * i, dtype) if i else F.lit(True)
-        if i + 1 < slices:
-            cond = F.coalesce(cond & (F.col(ts) < time_literal(lo + step * (i + 1), dtype)), F.lit(i == 0))
-        df.filter(cond).repartitionByRange(files_per_slice, ts).write.mode("append").parquet(path)
-
-
 def stamp_arrival(df: DataFrame, col: str = "timestamp") -> DataFrame:
     """P5: stamp each row with the (UTC) time it is published."""
     return df.withColumn(col, F.current_timestamp().cast("timestamp_ntz"))
-
-
-def with_progress(df: DataFrame, name: str = "progress"):
-    """Row counter as a named observation (no extra job, no collect).
-
-    Returns (df, observation); read ``observation.get`` after an action in
-    batch, or ``query.lastProgress["observedMetrics"]`` in streaming.
-    """
-    from pyspark.sql import Observation
-    if df.isStreaming:
-        return df.observe(name, F.count(F.lit(1)).alias("rows")), None
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs

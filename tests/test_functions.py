@@ -90,8 +90,8 @@ def test_json_catalogue_readers(spark, tmp_path):
 
 
 def test_progress_observation(spark):
-    from clickweave.streaming.sources import with_progress
-    df, obs = with_progress(spark.range(25))
+    from clickweave.streaming.progress import counted
+    df, obs = counted(spark.range(25))
     df.write.format("noop").mode("overwrite").save()
     assert obs.get["rows"] == 25
 
@@ -150,8 +150,8 @@ def test_small_text_helpers(spark):
                                  "https://portal-api.dev.example.io/x", 17)],
                                "p string, u string, w string, t string, i string, o string, s string, url string, a int")
     r = df.select(T.product_key("p"), T.visitor_key("u"), T.topic_id("w", "t"), T.product_image_path("i"),
-                  T.offer_image_path("o"), T.strip_first_line_feed("s"), T.subdomain("url"),
-                  T.subdomain(F.lit("http://other")), valid_age("a")).first()
+                  T.offer_image_path("o"), T.strip_first_line_feed("s"), T.subdomain("url", "portal-api"),
+                  T.subdomain(F.lit("http://other"), "portal-api"), valid_age("a")).first()
     assert tuple(r) == ("product:42", "visitor:u7", "shop-clicks", "assets/products/img.png", "assets/offer1.png",
                         "token\n", "dev", "platform", False)
     products = spark.createDataFrame([("1", "a"), ("2", "b")], "id string, category string")

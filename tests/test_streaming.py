@@ -46,7 +46,7 @@ def test_batch_is_written_once(spark):
 
 
 def test_staging_loses_no_row_without_a_time(spark):
-    from clickweave.streaming.sources import stage_time_slices
+    from clickweave.sources.testbed import stage_time_slices
     df = spark.createDataFrame([(i, T0 + dt.timedelta(minutes=i) if i % 5 else None, "u", "x", 1) for i in range(40)], SCHEMA)
     path = shared_path(spark, "staged")
     stage_time_slices(df, path, 4, 2)
@@ -105,7 +105,7 @@ def test_offers_stream_restart_from_checkpoint(spark):
     rest -- the keyed state survives and the offers equal the batch fold."""
     from clickweave.operators.sequence import detect_offers
     from clickweave.plans.catalog import _enriched
-    from clickweave.streaming.sources import stage_time_slices
+    from clickweave.sources.testbed import stage_time_slices
     from tests.conftest import SF_MID
     e = _enriched(spark, SF_MID)
     split = e.agg(F.percentile_approx(F.unix_micros(F.col("timestamp").cast("timestamp")), 0.5)).first()[0]
@@ -124,7 +124,7 @@ def test_offers_stream_restart_from_checkpoint(spark):
 def test_bucket_counts_restart_from_checkpoint(spark):
     """Two runs on one checkpoint give the batch (bucket, visitor) counts."""
     from clickweave.sources import testbed as TB
-    from clickweave.streaming.sources import stage_time_slices
+    from clickweave.sources.testbed import stage_time_slices
     from tests.conftest import SF_SMALL
     c = TB.clicks(spark, SF_SMALL)
     split = c.agg(F.percentile_approx(F.unix_micros(F.col("timestamp").cast("timestamp")), 0.5)).first()[0]

@@ -17,7 +17,7 @@ from clickweave.session import build_session
 spark = build_session("local[2]", 4)
 bad = {{k: v for k, v in check(spark, "/root/testdata/sf0.001", {NAMES!r}, verbose=False).items() if v[0] != "match"}}
 from clickweave.sources import testbed as TB
-from clickweave.streaming.sources import stage_time_slices
+from clickweave.sources.testbed import stage_time_slices
 from clickweave.session import shared_path
 clicks, path = TB.clicks(spark, "/root/testdata/sf0.001"), shared_path(spark, "staged")
 stage_time_slices(clicks, path, 4, 2)

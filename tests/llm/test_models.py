@@ -200,6 +200,35 @@ def test_pack_round_trip(odd_docs, no_docs):
     assert vector_pack.pack(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("rule", ["residual_norm", "dot_product"])
+@pytest.mark.parametrize(("max_docs", "max_cost", "weights"), [(32, 1e4, (1.0, 0.05, 0.05)), (4, 1e4, (1.0, 1.0, 1.0)), (1000, 1.5e4, (0.2, 0.5, 1.0)), (3, 1e9, (1.0, 0.0, 0.0))])
+def test_best_fit_takes_the_best_bin(rule, max_docs, max_cost, weights):
+    """Every choice against all open bins, one by one."""
+    rng = np.random.default_rng(4)
+    lengths = np.sort(rng.integers(1, 101, 500))[::-1]
+    bins = vector_pack.best_fit(lengths, 100, max_docs, max_cost, rule, weights)
+    cap, left = (100, max_docs, max_cost), []
+    for n, got in zip(lengths.tolist(), bins.tolist(), strict=True):
+        need, best = (n, 1, n * n), None
+        for b, r in enumerate(left):
+            if all(x >= y for x, y in zip(r, need, strict=True)):
+                if rule == "residual_norm":
+                    score = sum(w * ((x - y) / c) ** 2 for w, x, y, c in zip(weights, r, need, cap, strict=True))
+                else:
+                    score = -sum(w * (y / c) * (x / c) for w, x, y, c in zip(weights, r, need, cap, strict=True))
+                if best is None or score < best[0] - 1e-15:
+                    best = (score, b)
+        if best is None:
+            left.append(list(cap))
+            assert got == len(left) - 1
+        else:
+            scored = sum(w * ((x - y) / c) ** 2 for w, x, y, c in zip(weights, left[got], need, cap, strict=True)) if rule == "residual_norm" else \
+                -sum(w * (y / c) * (x / c) for w, x, y, c in zip(weights, left[got], need, cap, strict=True))
+            assert abs(scored - best[0]) < 1e-12  # the best, up to rounding
+        left[got] = [x - y for x, y in zip(left[got], need, strict=True)]
+    assert all(min(r) >= 0 for r in left)
+
+
 def test_pack_is_near_the_bound(spark):
     rows = vector_pack.pack(spark.read.parquet(f"{SF_MID}/documents.parquet")).collect()
     assert len({r.sequence_id for r in rows}) <= 1.01 * math.ceil(sum(r.length for r in rows) / 2048) + 1

@@ -4,12 +4,16 @@ A document is the set of its runs of ``SHINGLE`` words (letters and digits, lowe
 as 64-bit hashes; a shorter text is one run. Documents with the same set are one class
 member from the start ("set"), so copies are never compared.
 
-Forest: each of ``TREES`` trees sorts the sets by a prefix of its own minima. All prefixes
-start ``MAX_DEPTH`` long and are shortened one level of one tree at a time, until a pair at
-the threshold shares a prefix in some tree with at least the target recall; pairs above it
-do so more often. Sets that share a prefix are candidates. They are linked through the
-smallest set of their prefix group, not pairwise, and the components of these links are the
-units of verification.
+Forest: each of ``TREES`` trees is a sorted run of all sets' signatures, ``MAX_DEPTH`` minima
+of its own one behind the other, over range partitions; a prefix trie read in order, where the sets
+that share a prefix are neighbours. A prefix length per tree is fixed by the target recall:
+shortened one level of one tree at a time, until a pair at the threshold shares a prefix in some
+tree with at least that probability (pairs above it do so more often). From there a set's matched prefix is
+shortened on, level by level, while the run of sets that share it has at most ``SMALL_RUN`` members: what
+costs little is compared as well, so recall is above the target except in large runs. Sets of one run
+are candidates. They are linked through the smallest set of their run, not pairwise, and the
+components of these links are the units of verification. A run may cross partitions: a summary row per
+partition (run lengths at its ends) gives every partition the whole length of such runs.
 
 Verification: a component's sets are dealt into blocks by hash, of about ``BLOCK_SETS`` sets
 and ``BLOCK_SHINGLES`` shingles. Every pair of blocks of a component meets in one task,
@@ -38,12 +42,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import text_slices, texts_of, written
+from clickweave.llm.common import checkpointed, shuffle_partitions, text_slices, texts_of, written
 from clickweave.llm.components import components
 
 WORD = re.compile(r"\w+")
 SHINGLE, THRESHOLD = 5, 0.8
-TREES, MAX_DEPTH, TARGET_RECALL = 24, 8, 0.9995
+TREES, MAX_DEPTH, TARGET_RECALL = 24, 6, 0.9995
+MIN_DEPTH, SMALL_RUN = 4, 32
+LEVEL_BITS = 10  # of each minimum; equal bits of different minima only add candidates
+RUN_ROWS = 500_000
 BLOCK_SETS, BLOCK_SHINGLES = 256, 1 << 21
 COLUMNS = 4096
 CACHE_WORDS = 300_000
@@ -112,19 +119,18 @@ class Shingles:
         return out, counts
 
 
-def tree_keys(shingles: np.ndarray, counts: np.ndarray, depths: list[int]) -> np.ndarray:
-    """texts x trees: the hashed prefix of each text's minima in each tree. No text is empty."""
+def tree_keys(shingles: np.ndarray, counts: np.ndarray, trees: int, depth: int) -> np.ndarray:
+    """texts x trees: the signature in each tree, ``depth`` minima of ``LEVEL_BITS`` bits, first one highest. No text is empty."""
     x = (shingles >> np.uint64(32)).astype(np.uint32)
     starts = np.cumsum(counts) - counts
     rng = np.random.default_rng(1)
-    keys = np.empty((len(counts), len(depths)), np.int64)
-    for t, depth in enumerate(depths):
-        key = np.full(len(counts), t + 1, np.uint64)
+    keys = np.zeros((len(counts), trees), np.int64)
+    for t in range(trees):
         for _ in range(depth):
             a, b = rng.integers(0, 2**32, 2, dtype=np.uint32)
             least = np.minimum.reduceat((x ^ b) * (a | np.uint32(1)), starts)
-            key = _mix(key ^ least.astype(np.uint64)) + np.uint64(1)
-        keys[:, t] = key.view(np.int64)
+            bits = _mix(least.astype(np.uint64) + np.uint64(1)) >> np.uint64(64 - LEVEL_BITS)
+            keys[:, t] = keys[:, t] << LEVEL_BITS | bits.astype(np.int64)
     return keys
 
 
@@ -135,7 +141,7 @@ def _set_id(distinct: np.ndarray) -> bytes:
     return np.array([a.sum(dtype=np.uint64), b.sum(dtype=np.uint64)], np.uint64).tobytes()
 
 
-def signed(docs: DataFrame, size: int, depths: list[int]) -> DataFrame:
+def signed(docs: DataFrame, size: int, trees: int, depth: int) -> DataFrame:
     """doc_id, text_hash, set, n (shingles), keys, per document; set is null without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +155,7 @@ def signed(docs: DataFrame, size: int, depths: list[int]) -> DataFrame:
                 n = np.zeros(len(texts), np.int64)
                 starts = np.cumsum(counts) - counts
                 if len(has):
-                    for i, row in zip(has, tree_keys(h, counts[has], depths), strict=True):
+                    for i, row in zip(has, tree_keys(h, counts[has], trees, depth), strict=True):
                         own = np.unique(h[starts[i]:starts[i] + counts[i]])
                         sets[i], keys[i], n[i] = _set_id(own), row.tobytes(), len(own)
                 part = batch.slice(at, len(texts))
@@ -160,14 +166,104 @@ def signed(docs: DataFrame, size: int, depths: list[int]) -> DataFrame:
             .mapInArrow(run, "doc_id long, text_hash long, set binary, n long, keys binary"))
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _by_tree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(v, keys) to one row per tree."""
     for batch in batches:
         for at in range(0, batch.num_rows, 4096):
             part = batch.slice(at, 4096)
             keys = np.frombuffer(b"".join(part.column(1).to_pylist()), np.int64)
-            v = np.repeat(part.column(0).to_numpy(), len(keys) // part.num_rows)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(v)], names=["key", "v"])
+            trees = len(keys) // part.num_rows
+            v = np.repeat(part.column(0).to_numpy(), trees)
+            tree = np.tile(np.arange(trees, dtype=np.int32), part.num_rows)
+            yield pa.RecordBatch.from_arrays([pa.array(tree), pa.array(keys), pa.array(v)], names=["tree", "sig", "v"])
+
+
+def _run_starts(tree: np.ndarray, sig: np.ndarray, level: int, max_depth: int) -> np.ndarray:
+    """Where the runs of rows with one prefix of ``level`` minima begin, and the number of rows at the end."""
+    prefix = sig >> (LEVEL_BITS * (max_depth - level))
+    change = np.flatnonzero((prefix[1:] != prefix[:-1]) | (tree[1:] != tree[:-1])) + 1
+    return np.concatenate([[0], change, [len(sig)]])
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
+    """A partition's columns (it has about ``RUN_ROWS`` rows of numbers)."""
+    held = list(batches)
+    return [np.concatenate([b.column(i).to_numpy() for b in held]) if held else np.empty(0, np.int64) for i in range(3)]
+
+
+def runs_across(ends: list[tuple], levels: list[int], max_depth: int) -> dict[int, dict[int, tuple[int, int]]]:
+    """partition -> level -> whole lengths of the runs that its first and its last row lie in. ``ends``, in
+    order: (partition, first tree, first signature, last tree, last signature, rows, lengths of the first run by level, of the last)."""
+    out: dict[int, dict[int, tuple[int, int]]] = {e[0]: {} for e in ends}
+    for n, level in enumerate(levels):
+        def prefix(tree: int, sig: int, level: int = level) -> tuple[int, int]:
+            return tree, sig >> (LEVEL_BITS * (max_depth - level))
+
+        # Chains of partitions that share a run: its parts add up.
+        total: dict[tuple[int, tuple[int, int]], int] = {}
+        chain = 0
+        where: dict[int, tuple[tuple, tuple]] = {}
+        before = None
+        for p, ft, fs, lt, ls, rows, lead, trail in ends:
+            first, last = prefix(ft, fs), prefix(lt, ls)
+            if before != first:
+                chain += 1
+            head = (chain, first)
+            total[head] = total.get(head, 0) + lead[n]
+            if lead[n] == rows:
+                tail = head
+            else:
+                chain += 1
+                tail = (chain, last)
+                total[tail] = total.get(tail, 0) + trail[n]
+            where[p], before = (head, tail), last
+        for p, (head, tail) in where.items():
+            out[p][level] = (total[head], total[tail])
+    return out
+
+
+def candidate_runs(sets: DataFrame, depths: list[int], max_depth: int, min_depth: int, small_run: int, run_rows: int = RUN_ROWS) -> DataFrame:
+    """(key, v) of every set in a run of two or more that is to be compared, from (v, keys)."""
+    rows = sets.select("v", "keys").mapInArrow(_by_tree, "tree int, sig long, v long")
+    parts = max(shuffle_partitions(sets.sparkSession), -(-sets.count() * len(depths) // run_rows))
+    laid = checkpointed(rows.repartitionByRange(parts, "tree", "sig", "v").sortWithinPartitions("tree", "sig", "v"))
+    levels = list(range(min(min_depth, *depths), max(depths) + 1))
+
+    def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        tree, sig, _ = _whole(batches)
+        if not len(sig):
+            return
+        starts = [_run_starts(tree, sig, level, max_depth) for level in levels]
+        yield pa.RecordBatch.from_pydict({
+            "part": pa.array([TaskContext.get().partitionId()], pa.int32()), "ft": pa.array([int(tree[0])], pa.int32()), "fs": [int(sig[0])],
+            "lt": pa.array([int(tree[-1])], pa.int32()), "ls": [int(sig[-1])], "n": [len(sig)],
+            "lead": [[int(s[1]) for s in starts]], "trail": [[int(s[-1] - s[-2]) for s in starts]]})
+
+    ends = sorted(tuple(r) for r in laid.mapInArrow(summary, "part int, ft int, fs long, lt int, ls long, n long, lead array<long>, trail array<long>").collect())
+    across = runs_across(ends, levels, max_depth)
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        tree, sig, v = _whole(batches)
+        if not len(sig):
+            return
+        whole = across[TaskContext.get().partitionId()]
+        fixed = np.array(depths)[tree]
+        level_of, size_of = fixed.copy(), np.zeros(len(sig), np.int64)
+        for level in reversed(levels):
+            starts = _run_starts(tree, sig, level, max_depth)
+            sizes = np.diff(starts)
+            sizes[0], sizes[-1] = whole[level][0], whole[level][1]
+            size = np.repeat(sizes, np.diff(starts))
+            take = (level == fixed) | ((level < fixed) & (level >= min_depth) & (size <= small_run))
+            level_of, size_of = np.where(take, level, level_of), np.where(take, size, size_of)
+        use = size_of > 1
+        prefix = sig[use] >> (LEVEL_BITS * (max_depth - level_of[use]))
+        key = _mix(_mix(prefix.astype(np.uint64)) + (tree[use].astype(np.uint64) * np.uint64(16) + level_of[use].astype(np.uint64)))
+        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(v[use])], names=["key", "v"])
+
+    return laid.mapInArrow(chosen, "key long, v long")
 
 
 def common_counts(sets: list[np.ndarray]) -> np.ndarray:
@@ -220,22 +316,22 @@ def block_links(vs: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray], thre
 
 
 def near_groups(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD, trees: int = TREES, max_depth: int = MAX_DEPTH,
-                target_recall: float = TARGET_RECALL) -> DataFrame:
+                target_recall: float = TARGET_RECALL, small_run: int = SMALL_RUN) -> DataFrame:
     """One row per document: doc_id, class_id, set_id, copies, n_links, text_hash."""
-    return near_classes(docs, size, threshold, trees, max_depth, target_recall).drop("class")
+    return near_classes(docs, size, threshold, trees, max_depth, target_recall, small_run).drop("class")
 
 
 def near_classes(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD, trees: int = TREES, max_depth: int = MAX_DEPTH,
-                 target_recall: float = TARGET_RECALL) -> DataFrame:
+                 target_recall: float = TARGET_RECALL, small_run: int = SMALL_RUN) -> DataFrame:
     """``near_groups`` with the number of the class, null for a document without words."""
     depths = prefix_depths(trees, max_depth, threshold, target_recall)
-    rows = written(signed(docs, size, depths), "signed")
+    rows = written(signed(docs, size, trees, max_depth), "signed")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")))
     sets = written(rows.where("set is not null").groupBy("set").agg(first.alias("r"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("keys").alias("keys"))
                    .select("set", "copies", "n", "keys", F.col("r.id").alias("set_id"), F.col("r.hash").alias("set_hash"),
                            F.monotonically_increasing_id().alias("v")), "sets")
 
-    prefixes = sets.select("v", "keys").mapInArrow(_prefixes, "key long, v long")
+    prefixes = written(candidate_runs(sets, depths, max_depth, MIN_DEPTH, small_run), "prefixes")
     hubs = written(prefixes.groupBy("key").agg(F.count("*").alias("c"), F.min("v").alias("hub")).where("c > 1").select("key", "hub"), "hubs")
     near = components(prefixes.join(hubs, "key").select(F.col("v").alias("a"), F.col("hub").alias("b")))
     near = written(near.join(sets.select(F.col("v").alias("node"), "n", "set_id", "set_hash"), "node"), "members")

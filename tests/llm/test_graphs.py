@@ -4,7 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
-from llm_fixtures import SF_SMALL, no_docs, odd_docs  # noqa: F401
+from llm_fixtures import SF_MID, SF_SMALL, no_docs, odd_docs  # noqa: F401
 
 from clickweave.llm import link_trust, lsh_forest
 from clickweave.llm.components import components
@@ -201,3 +201,49 @@ def test_pipeline_runs(spark):
     ids = {r.doc_id for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id").collect()}
     assert rows and {r.doc_id for r in rows} <= ids
     assert max(Counter(r.sequence_id for r in rows for _ in range(r.length)).values()) <= 2048
+
+
+@pytest.mark.parametrize("run_rows", [7, 60, 10**6])
+def test_forest_runs_over_many_partitions(spark, run_rows):
+    """Chosen runs against a grouping of all signatures in memory, large runs over several partitions included."""
+    rng = np.random.default_rng(2)
+    depths, trees, depth = [5, 6, 5, 6], 4, 6
+    minima = rng.integers(0, 3, (120, trees, depth))
+    minima[:50] = minima[0]  # one signature many times
+    keys = np.zeros((120, trees), np.int64)
+    for d in range(depth):
+        keys = keys << lsh_forest.LEVEL_BITS | minima[:, :, d]
+    sets = spark.createDataFrame([(i, bytearray(k.tobytes())) for i, k in enumerate(keys)], "v long, keys binary").repartition(3)
+    want = set()
+    for t in range(trees):
+        for i in range(120):
+            size = {n: int((minima[:, t, :n] == minima[i, t, :n]).all(1).sum()) for n in range(4, 7)}
+            level = min([n for n in range(4, depths[t]) if size[n] <= 8], default=depths[t])
+            run = frozenset(np.flatnonzero((minima[:, t, :level] == minima[i, t, :level]).all(1)).tolist())
+            if len(run) > 1:
+                want.add((t, run))
+    groups = {}
+    for r in lsh_forest.candidate_runs(sets, depths, depth, 4, 8, run_rows).collect():
+        groups.setdefault(r.key, set()).add(r.v)
+    assert sorted(map(sorted, groups.values())) == sorted(sorted(run) for _, run in want)
+
+
+def test_forest_recall_before_verification(spark):
+    """Of the linked pairs of documents (brute force), the share that some run of the forest holds."""
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text").collect()
+    sets = {r.doc_id: {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} for r in docs if (w := lsh_forest.WORD.findall((r.text or "").lower()))}
+    shingles = lsh_forest.Shingles()
+    h, counts = shingles([r.text or "" for r in docs])
+    has = np.flatnonzero(counts)
+    depths = lsh_forest.prefix_depths(lsh_forest.TREES, lsh_forest.MAX_DEPTH, 0.8, lsh_forest.TARGET_RECALL)
+    keys = lsh_forest.tree_keys(h, counts[has], lsh_forest.TREES, lsh_forest.MAX_DEPTH)
+    prefix = [keys[:, t] >> (lsh_forest.LEVEL_BITS * (lsh_forest.MAX_DEPTH - d)) for t, d in enumerate(depths)]
+    at = {docs[i].doc_id: n for n, i in enumerate(has)}
+    pairs = found = 0
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1:]:
+            if sets[a] != sets[b] and 0.8 * len(sets[a]) <= len(sets[b]) <= len(sets[a]) / 0.8 and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                pairs += 1
+                found += any(p[at[a]] == p[at[b]] for p in prefix)
+    assert pairs > 20 and found >= 0.99 * pairs

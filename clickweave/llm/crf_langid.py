@@ -36,17 +36,20 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.llm.common import arrow_batch, text_slices, texts_of
 
-WORD = re.compile(r"[^\W\d_]+")
+WORD = re.compile(r"[^\W\d_]+")  # letters, and number signs such as a half or a Roman numeral: see words_of
+LETTERS = regex.compile(r"\p{L}+")
 UNKNOWN = "und"
 HASH_BITS = 15
 SIZES = (1, 2, 3, 4)
 LEXICON_MIN = 3
 TRAIN_ROWS, TRAIN_CHARS, MAX_ROWS = 200, 20_000, 12_800
+MAX_LABELS = 2000
 ORDERS = 2**30
 EPOCHS, RATE, DECAY, SWITCHED = 4, 0.3, 1e-6, 0.3
 BLOCK, WIDE = 512, 64
@@ -54,6 +57,14 @@ CACHE_WORDS = 200_000
 SLICE_CHARS = 1_000_000
 
 
+def words_of(text: str) -> list[str]:
+    """The runs of letters (category L) of a text, in lower case."""
+    found = WORD.findall(text.lower())
+    if found and not "".join(found).isalpha():
+        found = [x for w in found for x in ([w] if w.isalpha() else LETTERS.findall(w))]
+    return found
+
+
 def ngram_rows(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """(word number, hashed row) of every n-gram of each word between boundary marks;
     n-grams that include a mark are its affixes."""
@@ -314,6 +325,8 @@ def training_sample(docs: DataFrame, trained_on, train_rows: int = TRAIN_ROWS, t
     langs = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min(F.when(lettered, F.col("_order"))).alias("least")).where("least is not null").collect()
     if not langs:
         return []
+    if len(langs) > MAX_LABELS:
+        raise ValueError(f"{len(langs)} languages: every task holds the model, 256 KB a language; clean the labels or raise MAX_LABELS")
     each = max(1, min(train_rows, max_rows // len(langs)))
     cuts = docs.sparkSession.createDataFrame(
         [(r.lang, max(r.least, r.least // ORDERS * ORDERS + min(ORDERS - 1, ORDERS * each // r.n + 1))) for r in langs], "_lang string, _last long")
@@ -337,7 +350,7 @@ def predict(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",)) ->
                 words: list[str] = []
                 lengths = np.empty(len(texts), np.int64)
                 for i, t in enumerate(texts):
-                    found = WORD.findall(t.lower())
+                    found = words_of(t)
                     lengths[i] = len(found)
                     words += found
                 shares = np.zeros((len(texts), len(model.labels)))
@@ -369,7 +382,7 @@ def label_runs(docs: DataFrame, model: Model) -> DataFrame:
             ids = batch.column(0).to_pylist()
             out: list[tuple] = []
             for i, text in zip(ids, batch.column(1).to_pylist(), strict=True):
-                spans = list(WORD.finditer(text or ""))
+                spans = list(LETTERS.finditer(text or ""))
                 if not spans or not model.labels:
                     continue
                 p = label([m.group().lower() for m in spans], np.array([len(spans)]))

@@ -121,17 +121,19 @@ def lost_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = written(keyed_lines(docs, id_col, text_col, min_chars), "lines")
     runs = Runs(spark, fanout, shuffle_partitions(spark))
     lost: list[DataFrame] = []
-    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
-        batch = lines
-        if low is not None:
-            batch = batch.where(F.col("_id") > low)
-        if high is not None:
-            batch = batch.where(F.col("_id") <= high)
-        keys = batch.groupBy(*HASH).agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"))
-        keys = written(runs.find(keys), "batch")
-        runs.add(keys.where("_owner is null").select(*HASH, F.col("_first").alias("_owner")).repartition(runs.buckets, *HASH))
-        lost.append(keys.where("_owner is not null or _first < _last").select(*HASH, F.coalesce("_owner", "_first").alias("_owner")))
-    runs.close()
+    try:
+        for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+            batch = lines
+            if low is not None:
+                batch = batch.where(F.col("_id") > low)
+            if high is not None:
+                batch = batch.where(F.col("_id") <= high)
+            keys = batch.groupBy(*HASH).agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"))
+            keys = written(runs.find(keys), "batch")
+            runs.add(keys.where("_owner is null").select(*HASH, F.col("_first").alias("_owner")).repartition(runs.buckets, *HASH))
+            lost.append(keys.where("_owner is not null or _first < _last").select(*HASH, F.coalesce("_owner", "_first").alias("_owner")))
+    finally:
+        runs.close()
     # A key's owner is the same in every batch that loses it: one row per key.
     gone = lost[0]
     for x in lost[1:]:

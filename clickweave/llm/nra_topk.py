@@ -11,15 +11,16 @@ final score, and the best k of these are exact, ties included.
 
 Candidates are cut into blocks of ``block_rows`` vectors, each with its own sorted lists;
 queries into blocks of about ``query_rows``. Every candidate block meets every query
-block once, keyed by the query block's number, and gives each query its k best there;
-the k best of these are the result. Inside a task the bounds of all its queries come from
+block once, keyed by the query block and one of as many salts as leave ``SALT_BLOCKS`` candidate
+blocks a key, and gives each query its k best there; the k best of these are the result. Inside a task the bounds of all its queries come from
 matrix products, in the narrowest number type that holds them exactly.
 
 Rows: vectors that are null, empty, or hold null or non-finite components take no part,
 nor do rows with a null id. Vectors of another length than the query's are not compared
 with it. Rows with a query's own id are no candidates of it; if an id repeats, its
 smallest vector is the query, while all its rows are candidates of others. Extra columns
-are ignored; an empty table gives an empty result.
+are ignored; an empty table gives an empty result. Scores are 64-bit: vectors whose largest
+component, squared and times the length, reaches 2**63 are refused.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 from clickweave.llm.common import written
 
 BLOCK_ROWS, QUERY_ROWS = 4096, 512
+SALT_BLOCKS = 8
 BLOCK = "dim int, n int, ids binary, values binary"
 FOUND = "query_id long, vec_id long, score long"
 
@@ -129,12 +131,19 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, bl
     """query_id, rank, vec_id, score: the k highest integer inner products of each query."""
     rows = quantised(vectors, scale)
     asked = rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
-    blocks = written(rows.mapInArrow(_blocks(block_rows), BLOCK), "vectors")
+    size = rows.agg(F.max(F.array_max(F.transform("v", F.abs))).alias("most"), F.max(F.size("v")).alias("dim")).first()
+    if size.most is not None and size.most**2 * size.dim >= 2**63:
+        raise ValueError("an inner product may exceed 64 bits")
+    blocks = written(rows.mapInArrow(_blocks(block_rows), BLOCK).withColumn("_id", F.monotonically_increasing_id()), "vectors")
+    salts = -(-blocks.count() // SALT_BLOCKS) or 1
     n_blocks = max(1, -(-asked.count() // query_rows))
     queries = written(asked.repartition(n_blocks).mapInArrow(_blocks(10**9), BLOCK)
                       .withColumn("_block", F.spark_partition_id()), "queries")
-    pairs = (blocks.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-             .join(queries.select("_block", "dim", F.col("ids").alias("q_ids"), F.col("values").alias("q_values")), ["_block", "dim"])
+    salted = queries.select("_block", "dim", F.col("ids").alias("q_ids"), F.col("values").alias("q_values"),
+                            F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    pairs = (blocks.withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(salts)).cast("int"))
+             .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+             .join(salted, ["_block", "_salt", "dim"])
              .select("dim", "ids", "values", "q_ids", "q_values"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -46,7 +46,7 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return poisson_mix.poisson_mix(table(spark, sf_dir, "documents"), TARGETS, OTHER_SHARE)
+    return poisson_mix.poisson_mix(table(spark, sf_dir, "documents"), TARGETS, OTHER_SHARE, present_only=True)
 
 
 def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

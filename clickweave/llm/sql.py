@@ -63,7 +63,7 @@ WITH weight(pool, w) AS (VALUES {', '.join(f"('{k}', {v!r})" for k, v in TARGETS
          coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) AS k FROM documents
 ), counts AS (SELECT pool, count(*) AS n FROM docs GROUP BY pool
 ), rate AS (
-  SELECT c.pool, w / (SELECT sum(w) FROM weight) * (SELECT count(*) FROM docs) / n AS rate
+  SELECT c.pool, w / (SELECT sum(w) FROM weight JOIN counts p ON p.pool IS NOT DISTINCT FROM weight.pool) * (SELECT count(*) FROM docs) / n AS rate
   FROM counts c JOIN weight ON c.pool IS NOT DISTINCT FROM weight.pool
 ), split AS (SELECT pool, greatest(1, ceil(rate / {poisson_mix.RATE_STEP!r}))::INTEGER AS draws, rate FROM rate WHERE rate > 0
 ), cdf AS (

@@ -8,6 +8,8 @@ import numpy as np
 import pytest
 from llm_fixtures import no_docs, odd_docs  # noqa: F401
 
+from pyspark.sql import functions as F
+
 from clickweave.llm import byte_shards, line_runs, nra_topk, poisson_mix, radix_dedup
 from clickweave.llm.params import OTHER_SHARE, TARGETS
 from clickweave.llm.radix_dedup import radix_groups
@@ -203,3 +205,33 @@ def test_empty_tables(spark, no_docs):
     assert line_runs.dedup_lines(no_docs).count() == 0
     assert byte_shards.byte_shards(no_docs).count() == 0
     assert poisson_mix.poisson_mix(no_docs, {"a": 1.0}, 1.0).count() == 0
+
+
+def test_topk_refuses_scores_beyond_64_bits(spark):
+    big = spark.createDataFrame([(0, [1e9, 1e9]), (1, [1e9, 1e9])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="64 bits"):
+        nra_topk.top_k(big, big.vec_id == 0)
+
+
+@pytest.mark.parametrize("salt_blocks", [1, 8])
+def test_topk_over_salted_blocks(spark, monkeypatch, salt_blocks):
+    monkeypatch.setattr(nra_topk, "SALT_BLOCKS", salt_blocks)
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(300, 5))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>").repartition(6)
+    whole = np.floor(256 * vectors).astype(np.int64)
+    want = []
+    for q in range(0, 300, 10):
+        scores = whole @ whole[q]
+        best = sorted((i for i in range(300) if i != q), key=lambda i: (-scores[i], i))[:5]
+        want += [(q, n, i, int(scores[i])) for n, i in enumerate(best, 1)]
+    got = nra_topk.top_k(df, df.vec_id % 10 == 0, block_rows=16, query_rows=4)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+
+
+def test_line_runs_leave_no_tables_behind(spark, monkeypatch, odd_docs):
+    before = {t.name for t in spark.catalog.listTables()}
+    monkeypatch.setattr(line_runs.Runs, "find", lambda self, keys: 1 / 0 if self.levels else keys.withColumn("_owner", F.lit(None).cast("long")))
+    with pytest.raises(ZeroDivisionError):
+        line_runs.lost_lines(odd_docs)
+    assert {t.name for t in spark.catalog.listTables()} == before

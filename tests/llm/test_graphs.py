@@ -3,6 +3,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from llm_fixtures import SF_MID, SF_SMALL, no_docs, odd_docs  # noqa: F401
 
@@ -229,21 +230,28 @@ def test_forest_runs_over_many_partitions(spark, run_rows):
 
 
 def test_forest_recall_before_verification(spark):
-    """Of the linked pairs of documents (brute force), the share that some run of the forest holds."""
-    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text").collect()
-    sets = {r.doc_id: {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} for r in docs if (w := lsh_forest.WORD.findall((r.text or "").lower()))}
+    """Of the linked pairs (brute force) of the documents and of texts that differ by as much as may be, the share
+    that the tries' fixed prefixes alone make candidates."""
+    rng = random.Random(3)
+    texts = [r.text or "" for r in spark.read.parquet(f"{SF_MID}/documents.parquet").select("text").collect()]
+    near = []
+    for k in range(250):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+        other = list(words)
+        for at in rng.sample(range(120), 2):
+            other[at] = f"x{k}"
+        near += [" ".join(words), " ".join(other)]
     shingles = lsh_forest.Shingles()
-    h, counts = shingles([r.text or "" for r in docs])
+    h, counts = shingles(texts + near)
+    starts = np.cumsum(counts) - counts
+    sets = [frozenset(h[s:s + c].tolist()) for s, c in zip(starts, counts, strict=True)]
     has = np.flatnonzero(counts)
+    at = {i: n for n, i in enumerate(has)}
     depths = lsh_forest.prefix_depths(lsh_forest.TREES, lsh_forest.MAX_DEPTH, 0.8, lsh_forest.TARGET_RECALL)
     keys = lsh_forest.tree_keys(h, counts[has], lsh_forest.TREES, lsh_forest.MAX_DEPTH)
-    prefix = [keys[:, t] >> (lsh_forest.LEVEL_BITS * (lsh_forest.MAX_DEPTH - d)) for t, d in enumerate(depths)]
-    at = {docs[i].doc_id: n for n, i in enumerate(has)}
-    pairs = found = 0
-    ids = sorted(sets)
-    for i, a in enumerate(ids):
-        for b in ids[i + 1:]:
-            if sets[a] != sets[b] and 0.8 * len(sets[a]) <= len(sets[b]) <= len(sets[a]) / 0.8 and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
-                pairs += 1
-                found += any(p[at[a]] == p[at[b]] for p in prefix)
-    assert pairs > 20 and found >= 0.99 * pairs
+    prefix = np.stack([keys[:, t] >> (lsh_forest.LEVEL_BITS * (lsh_forest.MAX_DEPTH - d)) for t, d in enumerate(depths)], 1)
+    first = len(texts)
+    pairs = [(a, a + 1) for a in range(first, len(sets), 2)] + [(a, b) for a in range(first) for b in range(a + 1, first) if sets[a] and sets[a] != sets[b]]
+    linked = [(a, b) for a, b in pairs if 0.8 * len(sets[a]) <= len(sets[b]) <= len(sets[a]) / 0.8 and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    found = sum(bool((prefix[at[a]] == prefix[at[b]]).any()) for a, b in linked)
+    assert len(linked) > 200 and found >= 0.995 * len(linked)

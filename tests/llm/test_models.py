@@ -81,6 +81,21 @@ def many_langs(spark, langs, docs_each, length=40):
     return spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(4)
 
 
+def test_number_signs_are_no_letters(spark):
+    assert crf_langid.words_of("½ ² Ⅷ ① 42 _") == [] and crf_langid.words_of("m² Ⅷth Ünï½cöde x_y") == ["m", "th", "ünï", "cöde", "x", "y"]
+    docs = spark.createDataFrame([(1, "½ ² Ⅷ ①", None), (2, "guter Text", None)], "doc_id long, text string, lang string")
+    model = crf_langid.fit([("the cat and the dog", "en"), ("der Hund und die Katze", "de")])
+    got = {r.doc_id: r.lang_pred for r in crf_langid.predict(docs, model).collect()}
+    assert got[1] == "und" and got[2] in ("en", "de")
+
+
+def test_too_many_labels_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(crf_langid, "MAX_LABELS", 2)
+    docs = spark.createDataFrame([(i, "word", f"l{i}") for i in range(3)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="3 languages"):
+        crf_langid.training_sample(docs, docs.doc_id >= 0)
+
+
 def test_crf_learns_every_language(spark):
     docs = many_langs(spark, 70, 8)
     sample = crf_langid.training_sample(docs, docs.doc_id >= 0)

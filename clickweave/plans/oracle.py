@@ -12,7 +12,7 @@ from ..functions.device import device_case_sql
 from ..functions.temporal import step_seconds
 from ..functions.visitors import FEMALE_AGE_RANGE, MALE_AGE_RANGE
 from ..operators.upsert import UPDATE_COLUMNS_FIRST, UPDATE_COLUMNS_SECOND
-from ..sources.testbed import IP_RANGE_COLUMNS_NATION, IP_RANGE_COLUMNS_REGION, OVERLAPPING_SQL, SUPPLIER_RANGE_COLUMNS, duckdb_ctes
+from ..sources.testbed import IP_RANGE_COLUMNS_NATION, IP_RANGE_COLUMNS_REGION, OVERLAPPING_SQL, REPLAY_ORIGIN_US, SUPPLIER_RANGE_COLUMNS, duckdb_ctes
 from . import catalog as C
 
 AS_OF = "(SELECT max(timestamp) FROM clicks)"
@@ -296,7 +296,8 @@ def _batch_oracles() -> dict[str, str]:
         "packet_rows": _with("", "SELECT event_id, timestamp, userId, age, gender, ip, userAgent, productId "
                                  "FROM clicks"),
         "offers": _offers_sql(C.OFFER_WINDOW_MINUTES),
-        "offers_default_window": _offers_sql(30),
+        "offers_default_window": _offers_sql(30).replace("clicks AS (SELECT event_id, timestamp,", f"clicks AS (SELECT event_id, make_timestamp({REPLAY_ORIGIN_US} "
+                                                         f"+ CAST(floor((epoch_us(timestamp) - {REPLAY_ORIGIN_US}) / {C.REPLAY_SPEED}) AS BIGINT)) AS timestamp,"),
         "offers_month_window": _offers_sql(43200),
         "offer_events": _with(_sequence_ctes(C.OFFER_WINDOW_MINUTES),
                               "SELECT 'special-offers' AS topicName, userId AS streamId, "

@@ -27,6 +27,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..operators import enrich as E
 from ..operators import metrics as M
@@ -34,6 +35,7 @@ from ..operators import sequence as S
 from .commits import Folder, RunLog, commit_batch
 from .detector import offers_stream, sequence_trace_stream
 from .panes import pane_marts
+from .sources import ENRICHED_SCHEMA
 
 BUCKET_RETENTION = "8 hours 30 minutes"
 BUCKET_SCHEMA = "datetime timestamp_ntz, userId string, count long"
@@ -66,9 +68,13 @@ def read_enriched(spark: SparkSession, path: str, since: Column | None = None) -
     are read (partition pruning) and the pushed-down time filter skips row
     groups (files are time-sorted within a day)."""
     df = spark.read.parquet(path)
-    if since is not None:
-        df = df.filter((F.col(DAY_PARTITION) >= F.to_date(since)) & (F.col("timestamp") > since))
-    return df.drop("batch", DAY_PARTITION)
+    return df.drop("batch", DAY_PARTITION) if since is None else since_time(df, since)
+
+
+def since_time(enriched: DataFrame, since: Column) -> DataFrame:
+    """The enriched clicks after a time: older day partitions are pruned, the time filter is pushed down."""
+    rows = enriched.filter((F.col(DAY_PARTITION) >= F.to_date(since)) & (F.col("timestamp") > since))
+    return rows.drop("batch", DAY_PARTITION)
 
 
 # ---------------------------------------------------------------- X4 buckets
@@ -237,10 +243,11 @@ def publish(df: DataFrame, out_dir: str, name: str) -> None:
         fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{v}"), True)
 
 
-def read_mart(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
-    """The current version of a mart."""
+def read_mart(spark: SparkSession, out_dir: str, name: str, schema: StructType | None = None) -> DataFrame:
+    """The current version of a mart; with its schema, no file is opened to learn it."""
     base = f"{out_dir.rstrip('/')}/{name}"
-    return spark.read.parquet(f"{base}/{_versions(spark, base)[1][-1]}")
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{base}/{_versions(spark, base)[1][-1]}")
 
 
 # each mart's row order in its document
@@ -269,7 +276,8 @@ def refresh_marts(spark: SparkSession, enriched_path: str, buckets_path: str | N
     snap = None
     try:
         if panes_path is not None:
-            marts = pane_marts(spark, panes_path, lambda start: read_enriched(spark, enriched_path, start), as_of, buffer)
+            table = spark.read.schema(ENRICHED_SCHEMA).parquet(enriched_path)  # listed once for all marts
+            marts = pane_marts(spark, panes_path, lambda start: since_time(table, start), as_of, buffer)
         else:
             snap = M.trailing(read_enriched(spark, enriched_path, since), as_of, buffer).persist()
             marts = {
@@ -290,7 +298,7 @@ def refresh_marts(spark: SparkSession, enriched_path: str, buckets_path: str | N
             from ..sources.logs import column_json
             docs = []
             for n in marts:
-                mart = read_mart(spark, out_dir, n)
+                mart = read_mart(spark, out_dir, n, marts[n].schema)
                 if n == "device_type_popularity":
                     place = F.array_position(F.array(*map(F.lit, M.DEVICE_PIVOT)), F.col("Device type"))
                     mart = mart.withColumn("_place", F.when(place == 0, len(M.DEVICE_PIVOT) + 1).otherwise(place))

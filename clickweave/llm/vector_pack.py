@@ -185,7 +185,7 @@ def cut(n: int, size: int) -> Iterator[tuple[int, int]]:
         yield start, size
 
 
-def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, max_tokens: int = MAX_TOKENS, text_budget: int = 8_000_000) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, max_tokens: int = MAX_TOKENS, text_budget: int = 6_000_000) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -18,6 +18,8 @@ at all, and the user-agent mix covers every device rung plus null.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -192,7 +194,7 @@ def stage_time_slices(df: DataFrame, path: str, slices: int, files_per_slice: in
     time-ordered micro-batches. Rows without a time go with the first slice. The frame is
     computed once, into a folder beside ``path``. (Replay tooling for the registered
     streaming queries; production input is the broker.)"""
-    whole = f"{path.rstrip('/')}-whole"
+    whole = f"{path.rstrip('/')}-whole-{uuid.uuid4().hex}"
     df.write.parquet(whole)
     df = df.sparkSession.read.schema(df.schema).parquet(whole)
     b = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()

@@ -90,17 +90,17 @@ FROM scored QUALIFY rank <= 5
 """
 
 
+SQL_STEPS = 300  # 0.85**300 of what a first step passes on is left
+
+
 def _spread(name: str, seed: str, giver: str, taker: str) -> str:
-    """CTEs of the PageRank steps name_0 .. name_STEPS along giver -> taker."""
-    d = link_trust.DAMPING
-    out = [f"{name}_flow AS (SELECT {giver} AS giver, {taker} AS taker, links / sum(links) OVER (PARTITION BY {giver}) AS part FROM edges)",
-           f"{name}_0 AS (SELECT host, {seed} AS seed, {seed} AS score FROM hosts)"]
-    for i in range(link_trust.STEPS):
-        out.append(f"""{name}_{i + 1} AS (
-  SELECT s.host, any_value(s.seed) AS seed,
-         any_value(s.seed) + {d!r} * coalesce(sum(f.part * g.score), 0) AS score
-  FROM {name}_{i} s LEFT JOIN {name}_flow f ON f.taker = s.host LEFT JOIN {name}_{i} g ON g.host = f.giver GROUP BY s.host)""")
-    return ", ".join(out)
+    """CTEs of the PageRank along giver -> taker, as the sum of what each step adds."""
+    return f"""{name}_flow AS (SELECT {giver} AS giver, {taker} AS taker, links / sum(links) OVER (PARTITION BY {giver}) AS part FROM edges),
+{name}_gain AS (
+  SELECT 0 AS i, host, {seed}::DOUBLE AS gain FROM hosts WHERE {seed} > 0
+  UNION ALL
+  SELECT g.i + 1, f.taker, {link_trust.DAMPING!r} * sum(f.part * g.gain) FROM {name}_gain g JOIN {name}_flow f ON f.giver = g.host WHERE g.i < {SQL_STEPS} GROUP BY g.i, f.taker),
+{name} AS (SELECT host, sum(gain) AS score FROM {name}_gain GROUP BY host)"""
 
 
 def _rule(field: str) -> str:
@@ -111,7 +111,7 @@ def _rule(field: str) -> str:
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 OP9 = f"""
-WITH cut AS (
+WITH RECURSIVE cut AS (
   SELECT page_id, html, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), split AS (
   SELECT page_id, html, {_LOWER.format("regexp_extract(rest, '^[^/?#]*')")} AS host, regexp_extract(rest, '(?s)^[^/?#]*([^?#]*)', 1) AS path FROM cut
@@ -124,8 +124,8 @@ WITH cut AS (
     SELECT host, avg((said IS NOT DISTINCT FROM 'allow')::INTEGER) AS good, avg((said IS NOT DISTINCT FROM 'block')::INTEGER) AS bad FROM ruled WHERE host <> '' GROUP BY host
     UNION ALL SELECT dst, 0.0, 0.0 FROM edges) GROUP BY host
 ), {_spread('t', 'good', 'src', 'dst')}, {_spread('r', 'bad', 'dst', 'src')}, blocked AS (
-  SELECT host FROM t_{link_trust.STEPS} t JOIN r_{link_trust.STEPS} r USING (host)
-  WHERE round(r.score, {link_trust.DIGITS}) >= {link_trust.THRESHOLD} AND round(r.score, {link_trust.DIGITS}) > round(t.score, {link_trust.DIGITS})
+  SELECT r.host FROM r LEFT JOIN t USING (host)
+  WHERE round(r.score, {link_trust.DIGITS}) >= {link_trust.THRESHOLD} AND round(r.score, {link_trust.DIGITS}) > round(coalesce(t.score, 0), {link_trust.DIGITS})
 )
 SELECT page_id, host, path, rule, coalesce(said, CASE WHEN host IN (SELECT host FROM blocked) THEN 'block' ELSE 'allow' END) AS verdict FROM ruled
 """

@@ -164,7 +164,7 @@ def test_scores_converge_and_scheme_less_links_count(spark, tmp_path):
 
     from clickweave.llm import sql
     pages = [(100 * s + i, f"http://{'ab'[s]}.net/{'es' if i < 2 else 'x'}/{i}", f"<a href='//{'ba'[s]}.net/y'>") for s in range(2) for i in range(25)]
-    pages += [(300, "http://c.org/", "<a href=//a.net>"), (301, "http://d.org/", None)]
+    pages += [(300, "http://c.org/", "<a href=//d.org>"), (301, "http://d.org/", None)]
     df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(2)
     scores = {r.host: r.distrust for r in link_trust.host_scores(df, RULES).collect()}
     assert abs(scores["a.net"] - 0.08 / 0.15) < 2e-3 and scores["d.org"] == 0

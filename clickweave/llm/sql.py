@@ -1,7 +1,7 @@
 """DuckDB SQL with the rows of the registered queries, where SQL can state them.
 
-None for op1 and op5 (trained models), op6 (packing), op10 (DuckDB has no CRC-32) and the
-pipeline; ``tests/llm`` compares those with brute-force versions.
+None for op1 and op5 (trained models), op6 (packing) and the
+pipeline; ``tests/llm`` compares those with brute-force versions. CRC-32 is written out.
 """
 
 from __future__ import annotations
@@ -139,17 +139,36 @@ def _if(test: str, v: str) -> str:
     return f"CASE WHEN {test} THEN {v} ELSE 'z' END"
 
 
+# The table of CRC-32 by its rule (reversed polynomial), and the checksum of a list of bytes.
+_CRC_TABLE = """tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS tab
+)"""
+
+
+def _crc32(octets: str) -> str:
+    return f"xor(list_reduce({octets}, lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
+
+
+OP10 = f"""
+WITH {_CRC_TABLE}, sized AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, {_crc32("list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT)")} AS text_crc32
+  FROM documents, tab
+), placed AS (
+  SELECT *, sum(size) OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32 ROWS UNBOUNDED PRECEDING) AS upto, row_number() OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32) AS place,
+         sum(size) OVER () AS every FROM sized
+), dealt AS (SELECT *, least((2 * upto - size) * 8 // (2 * every), 7)::INTEGER AS shard FROM placed)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY place) - 1 AS slot, NULL::INTEGER AS grown_shard FROM dealt
+"""
+
 # A forward dynamic programme that keeps each state's cheapest, least audit as a string, then the audit replayed.
 _CLOSED = f"""SELECT *, least(v3, {_bump('w2', '2', 'I')}) AS w3 FROM (
     SELECT *, least(v2, {', '.join(_bump(f'v{q}', '2', 'I') for q in (0, 1, 3))}) AS w2 FROM walk)"""
 _STAYS = "2 + cut"
 OP11 = f"""
-WITH RECURSIVE tab AS (
-  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS tab
-), named AS (
+WITH RECURSIVE {_CRC_TABLE}, named AS (
   SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations
 ), hashed AS (
-  SELECT *, xor(list_reduce(list_transform(string_split(name, ''), lambda x: ascii(x)::BIGINT), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 20 AS how
+  SELECT *, {_crc32("list_transform(string_split(name, ''), lambda x: ascii(x)::BIGINT)")} % 20 AS how
   FROM named, tab
 ), damaged AS (
   SELECT conv_id, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role,
@@ -220,5 +239,5 @@ WITH p AS (
 SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha256(h) AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN first_id END AS refers_to FROM r
 """
 
-ORACLES = {"op2_radix_dedup": OP2, "op3_line_dedup": OP3, "op4_lsh_forest": OP4, "op7_poisson_mix": OP7, "op8_exact_topk": OP8, "op9_url_filter": OP9, "op11_turn_repair": OP11,
+ORACLES = {"op2_radix_dedup": OP2, "op3_line_dedup": OP3, "op4_lsh_forest": OP4, "op7_poisson_mix": OP7, "op8_exact_topk": OP8, "op9_url_filter": OP9, "op10_byte_shards": OP10, "op11_turn_repair": OP11,
            "op12_fim_arrow": OP12, "op13_warc": OP13}

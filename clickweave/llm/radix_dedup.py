@@ -7,16 +7,18 @@ significant first, into a trie of groups. Equality is decided by the bytes alone
    with more than its share of rows or bytes, or than a task is to hold) are counted, partially in each task. A group
    that has no bytes left consists of equal texts: its size and its largest id come from
    the count, and its rows need no shuffle, however many they are.
-2. A smaller group is a leaf. Its rows meet in one task by their leaf, which
-   goes on splitting them by successive bytes until each group is a singleton or ended.
+2. A smaller group is a leaf. Its rows meet in one task, sorted by leaf; the task holds one
+   leaf at a time and goes on splitting it by successive bytes until each group is a singleton or ended.
 3. A heavy group with bytes left goes to the next level, which reads only its rows.
 
 Heavy groups hold more than a share each, one share being 1/``shares`` of all rows or
 bytes, or ``TASK_ROWS`` or ``TASK_BYTES`` if that is less: a leaf has a fixed size however large
 the input. So a level has at most 2 * ``shares`` of them (``shares`` grows with an input of more
-than that many rows or bytes a share), and that is what the driver sees and broadcasts: keys of ``width`` bytes each. Widths double up to the width at which all keys of
-a level come to ``KEY_BYTES`` (at least ``LEAST_CAP``), so long copies take few levels and the
-keys stay bounded. No text is cut or left out.
+than that many rows or bytes a share). Their keys of ``width`` bytes are a written table, of which the
+driver sees the size alone. It is broadcast only if it measures ``BROADCAST_BYTES`` at most; a larger
+one is joined by a shuffle on the key and a salt, so that a hot group spreads over ``SALTS`` tasks.
+Widths double up to the width at which all keys of a level come to ``KEY_BYTES`` (at least
+``LEAST_CAP``), so long copies take few levels. No text is cut or left out.
 
 Rows: a null text counts as empty, and all empty texts are equal. The largest id of a
 group stays; null ids rank below all others, and rows that repeat an id with the same
@@ -32,11 +34,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import ascii_lower, shuffle_partitions, written
+from clickweave.llm.common import ascii_lower, shuffle_partitions, texts_of, written
 
 WIDTH, LEAST_CAP, KEY_BYTES = 32, 4096, 64 << 20
 LOCAL_WIDTH = 16
 TASK_BYTES, TASK_ROWS = 64 << 20, 1 << 18
+BROADCAST_BYTES, NODE_BYTES, SALTS = 128 << 20, 64, 32
+OUT_ROWS = 10_000
 FOUND = "doc_id long, keep_id long, group_size long, text_sha256 string"
 
 
@@ -63,26 +67,56 @@ def radix_groups(texts: list[bytes]) -> Iterator[list[int]]:
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of whole leaves, in one task, to their groups."""
-    leaves: dict[tuple, tuple[list, list, list]] = {}
-    for b in batches:
-        level, group, head, ids, rest, sha = (c.to_pylist() for c in b.columns)
-        for key, i, t, s in zip(zip(level, group, head, strict=True), ids, rest, sha, strict=True):
-            rows = leaves.setdefault(key, ([], [], []))
-            rows[0].append(i)
-            rows[1].append(t)
-            rows[2].append(s)
+    """Rows sorted by leaf to their groups; only the leaf at hand is held."""
+    now: tuple | None = None
+    ids: list = []
+    texts: list[bytes] = []
+    shas: list[bytes] = []
     out: tuple[list, list, list, list] = ([], [], [], [])
-    for ids, texts, shas in leaves.values():
+
+    def close() -> None:
         for group in [[0]] if len(ids) == 1 else radix_groups(texts):
             keep = max((ids[i] for i in group if ids[i] is not None), default=None)
             out[0].extend(ids[i] for i in group)
             out[1].extend([keep] * len(group))
             out[2].extend([len(group)] * len(group))
             out[3].extend(shas[i].hex() for i in group)
+        for held in (ids, texts, shas):
+            held.clear()
+
+    def flush() -> pa.RecordBatch:
+        part = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)],
+                                          names=["doc_id", "keep_id", "group_size", "text_sha256"])
+        for column in out:
+            column.clear()
+        return part
+
+    for b in batches:
+        level, group, head, own, rest, sha = b.columns
+        leaves = zip(level.to_pylist(), group.to_pylist(), head.to_pylist(), strict=True)
+        for leaf, i, t, s in zip(leaves, own.to_pylist(), texts_of(rest), sha.to_pylist(), strict=True):
+            if leaf != now:
+                if ids:
+                    close()
+                if len(out[0]) >= OUT_ROWS:
+                    yield flush()
+                now = leaf
+            ids.append(i)
+            texts.append(t)
+            shas.append(s)
+    if ids:
+        close()
     if out[0]:
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)],
-                                         names=["doc_id", "keep_id", "group_size", "text_sha256"])
+        yield flush()
+
+
+def _routed(at: DataFrame, nodes: DataFrame, node_bytes: int) -> DataFrame:
+    """``at`` with the heavy group that each row is in, or nulls."""
+    key = ["_group", "_head", "_ended"]
+    if node_bytes <= BROADCAST_BYTES:
+        return at.join(F.broadcast(nodes), key, "left")
+    salted = nodes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return at.withColumn("_salt", F.floor(F.rand(SALTS) * SALTS).cast("int")).join(salted, [*key, "_salt"], "left").drop("_salt")
 
 
 def exact_groups(docs: DataFrame, shares: int | None = None) -> DataFrame:
@@ -91,9 +125,11 @@ def exact_groups(docs: DataFrame, shares: int | None = None) -> DataFrame:
     shares = shares or max(2, shuffle_partitions(spark))
     raw = normalised(F.col("text"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw.alias("_rest")).select(
-        "doc_id", F.unhex(F.sha2("_rest", 256)).alias("_sha"), F.lit(0).alias("_group"), "_rest")
-    most_rows = most_bytes = None
-    all_rows = all_bytes = 0
+        "doc_id", F.unhex(F.sha2("_rest", 256)).alias("_sha"), F.lit(0).cast("long").alias("_group"), "_rest")
+    whole = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("_rest")).alias("b")).first()
+    all_rows, all_bytes = whole.n, whole.b or 0
+    shares = max(shares, -(-all_bytes // TASK_BYTES), -(-all_rows // TASK_ROWS))
+    most_rows, most_bytes = max(1, all_rows // shares), max(1, all_bytes // shares)
     done: list[DataFrame] = []
     leaves: list[DataFrame] = []
     level, width = 0, WIDTH
@@ -102,31 +138,27 @@ def exact_groups(docs: DataFrame, shares: int | None = None) -> DataFrame:
                          (F.octet_length("_rest") <= width).alias("_ended"),
                          F.expr(f"substring(_rest, {width + 1})").alias("_tail"))
         counted = at.groupBy("_group", "_head", "_ended").agg(
-            F.count("*").alias("_n"), F.max("doc_id").alias("_keep"), F.sum(F.octet_length("_tail")).alias("_bytes"))
-        if most_rows is None:
-            whole = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("_rest")).alias("b")).first()
-            all_rows, all_bytes = whole.n, whole.b or 0
-            shares = max(shares, -(-all_bytes // TASK_BYTES), -(-all_rows // TASK_ROWS))
-            most_rows, most_bytes = max(1, all_rows // shares), max(1, all_bytes // shares)
-        heavy = counted.where((F.col("_n") > 1) & ((F.col("_n") > most_rows) | (F.col("_bytes") > most_bytes))).collect()
-        nodes = spark.createDataFrame(
-            [(r._group, bytes(r._head), r._ended, i, r._keep, r._n) for i, r in enumerate(heavy)],
-            "_group int, _head binary, _ended boolean, _node int, keep_id long, group_size long")
-        routed = at.join(F.broadcast(nodes), ["_group", "_head", "_ended"], "left")
+            F.count("*").alias("group_size"), F.max("doc_id").alias("keep_id"), F.sum(F.octet_length("_tail")).alias("_bytes"))
+        heavy = (F.col("group_size") > 1) & ((F.col("group_size") > most_rows) | (F.col("_bytes") > most_bytes))
+        nodes = written(counted.where(heavy).select("_group", "_head", "_ended", F.monotonically_increasing_id().alias("_node"), "keep_id", "group_size"), "heavy")
+        size = nodes.agg(F.sum(F.octet_length("_head") + NODE_BYTES).alias("bytes"), F.bool_or("_ended").alias("ended"),
+                         F.bool_or(~F.col("_ended")).alias("open")).first()
+        routed = _routed(at, nodes, size.bytes or 0)
         leaves.append(routed.where("_node is null").select(F.lit(level).alias("_level"), "_group", "_head", "doc_id", "_tail", "_sha"))
-        if any(r._ended for r in heavy):
+        if size.ended:
             done.append(routed.where("_node is not null and _ended")
                         .select("doc_id", "keep_id", "group_size", F.lower(F.hex("_sha")).alias("text_sha256")))
-        if all(r._ended for r in heavy):
+        if not size.open:
             break
         rows = written(routed.where("_node is not null and not _ended")
                        .select("doc_id", "_sha", F.col("_node").alias("_group"), F.col("_tail").alias("_rest")), "radix")
         level, width = level + 1, min(2 * width, max(LEAST_CAP, KEY_BYTES // (2 * shares)))
     tasks = max(shuffle_partitions(spark), -(-all_bytes // TASK_BYTES), -(-all_rows // TASK_ROWS))
+    leaf = ["_level", "_group", "_head"]
     found = leaves[0]
     for x in leaves[1:]:
         found = found.unionByName(x)
-    found = found.repartition(tasks, "_level", "_group", "_head").mapInArrow(_finish, FOUND)
+    found = found.repartition(tasks, *leaf).sortWithinPartitions(*leaf).mapInArrow(_finish, FOUND)
     for x in done:
         found = found.unionByName(x)
     return found.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")

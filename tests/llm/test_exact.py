@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_fixtures import no_docs, odd_docs  # noqa: F401
 
@@ -70,6 +71,46 @@ def test_radix_leaves_have_a_fixed_size(spark, monkeypatch):
     assert got == {i: (i // 6 * 6 + 3 + i % 3, 2) for i in range(300)}
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 30])
+def test_radix_heavy_keys_joined_by_a_salt(spark, monkeypatch, limit):
+    monkeypatch.setattr(radix_dedup, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(radix_dedup, "SALTS", 3)
+    seen = []
+    routed = radix_dedup._routed
+
+    def watched(at, nodes, node_bytes):
+        assert node_bytes == sum(len(r._head) + radix_dedup.NODE_BYTES for r in nodes.collect())
+        seen.append(node_bytes)
+        return routed(at, nodes, node_bytes)
+
+    monkeypatch.setattr(radix_dedup, "_routed", watched)
+    texts = {}
+    rows = [(None if i == 7 else i, "A" * 80 + ("one" if i % 3 else f"{i}")) for i in range(200)] + [(3, None), (4, ""), (5, "")]
+    for i, t in rows:
+        texts.setdefault((t or "").lower(), Counter())[i] += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((r.doc_id, r.keep_id, r.group_size, r.kept) for r in radix_dedup.exact_groups(docs, 50).collect())
+    want = Counter()
+    for i, t in rows:
+        same = texts[(t or "").lower()]
+        keep = max(x for x in same if x is not None)
+        want[(i, keep, sum(same.values()), i == keep)] += 1
+    assert got == want
+    assert len(seen) > 1 and max(seen) > 0, "no heavy groups"
+
+
+def test_radix_holds_one_leaf_at_a_time(monkeypatch):
+    monkeypatch.setattr(radix_dedup, "OUT_ROWS", 4)
+    groups, largest = radix_dedup.radix_groups, []
+    monkeypatch.setattr(radix_dedup, "radix_groups", lambda texts: largest.append(len(texts)) or groups(texts))
+    rows = [(0, n, b"h%d" % n, 10 * n + k, b"x" * (k // 2), b"s") for n in range(6) for k in range(n + 1)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i:i + 4], strict=True)], names=list("abcdef")) for i in range(0, len(rows), 4)]
+    out = list(radix_dedup._finish(iter(batches)))
+    assert max(largest) == 6 and len(out) > 2
+    got = {i: (k, n) for b in out for i, k, n in zip(*(b.column(c).to_pylist() for c in range(3)), strict=True)}
+    assert got == {10 * n + k: (10 * n + min(n, k | 1), 2 if k | 1 <= n else 1) for n in range(6) for k in range(n + 1)}
+
+
 def brute_lines(rows):
     last = line_runs.LAST_ID
     holders = defaultdict(set)

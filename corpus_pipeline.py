@@ -8,9 +8,9 @@ stage's rows as Parquet in the shared folder and reads them again for the next.
    under ``MIN_LANG_SCORE`` go.
 2. line_dedup: lines that documents share stay in the one with the smallest id; n_chars is
    the length of the text that is left. Documents with nothing left but white space go.
-3. near_dedup: of each class of near-duplicates the document with the smallest id stays.
-   Rows that repeat an id with the same text are that document and stay with it; of a class
-   without any id one row stays.
+3. near_dedup: of each class of near-duplicates one row stays, one with the smallest id (if
+   several rows of the class have that id, or none has any, one of them). Documents without
+   words are in no class and stay.
 4. mix: documents are repeated, or left out, towards the target weights of the sources that
    are there, to about as many rows as before.
 5. pack: the documents' tokens in sequences of at most 2048.
@@ -52,18 +52,21 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     classes = lsh_forest.near_classes(docs)
-    nameless = F.col("doc_id").isNull() & F.col("class_id").isNull() & F.col("class").isNotNull()
-    stays = (classes.where(F.col("doc_id").eqNullSafe(F.col("class_id")) & ~nameless)
-             .select(F.col("doc_id").alias("_near_id"), F.col("text_hash").alias("_near_hash")))
+    stays = written(classes.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
+                    .select("class", F.col("doc_id").alias("_near_id"), F.col("text_hash").alias("_near_hash")).distinct(), "stays")
     here, names = aside(docs, "doc_id", "text")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_near_id")) & (F.xxhash64("text") == F.col("_near_hash"))
-    named = here.join(stays, same, "left_semi").select(*names)
-    # Rows of a class without ids are told apart by a position, written so that it stays.
-    loose = written(here.where(F.col("doc_id").isNull()).select(*names, F.monotonically_increasing_id().alias("_near_row")), "loose")
-    members = classes.where(nameless).select("class", F.col("text_hash").alias("_near_hash")).distinct()
-    first = (loose.select("_near_row", F.xxhash64("text").alias("_near_hash")).join(members, "_near_hash")
-             .groupBy("class").agg(F.min("_near_row").alias("_near_row")))
-    one = loose.join(first.select("_near_row"), "_near_row", "left_semi").select(*names)
+    own_id = F.col("doc_id").cast("long")
+    of_stay = own_id.eqNullSafe(F.col("_near_id")) & (F.xxhash64("text") == F.col("_near_hash"))
+    again = written(docs.groupBy(own_id.alias("_near_id")).agg(F.count("*").alias("n")).where("n > 1 and _near_id is not null").select("_near_id"), "again")
+    # An id that one row has names it. Rows with another's id, or none, are told apart by a position, written so that it stays.
+    single = stays.where("_near_id is not null").join(again, "_near_id", "left_anti")
+    named = here.join(single, of_stay, "left_semi").select(*names)
+    marked = F.monotonically_increasing_id().alias("_near_row")
+    loose = written(here.where(own_id.isNull()).unionAll(here.join(again, own_id == F.col("_near_id"), "left_semi")).select(*names, marked), "loose")
+    members = loose.select("_near_row", "doc_id", F.xxhash64("text").alias("_own_hash")).join(
+        stays, own_id.eqNullSafe(F.col("_near_id")) & (F.col("_own_hash") == F.col("_near_hash")))
+    first = members.where("class is not null").groupBy("class").agg(F.min("_near_row").alias("_near_row")).select("_near_row")
+    one = loose.join(first.unionAll(members.where("class is null").select("_near_row")), "_near_row", "left_semi").select(*names)
     return named.unionAll(one).toDF(*docs.columns)
 
 

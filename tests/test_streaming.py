@@ -136,3 +136,27 @@ def test_bucket_counts_restart_from_checkpoint(spark):
     from clickweave.operators.metrics import user_bucket_counts
     got = sorted(tuple(r) for r in P.latest_bucket_counts(spark, out).collect())
     assert got == sorted(tuple(r) for r in user_bucket_counts(c).collect())
+
+
+def test_visitors_of_a_group_keep_their_own_sequences(spark, monkeypatch):
+    """All visitors in one call a batch; each goes on from their own state."""
+    from clickweave.operators.sequence import detect_offers
+    from clickweave.streaming import detector
+    monkeypatch.setattr(detector, "VISITOR_GROUPS", 1)
+    schema = SCHEMA + ", productId string, gender string, age int"
+    src, out, ck = shared_path(spark, "src"), shared_path(spark, "offers"), shared_path(spark, "ck")
+    rows, n = [], 0
+    for step, category in enumerate(["clothing", "shoes", "clothing", "shoes", "clothing", "clothing"]):
+        batch = []
+        for user in range(12):
+            n += 1
+            kind = "books" if (step + user) % 5 == 0 else category
+            at = T0 + dt.timedelta(minutes=20 * step + user % 3)
+            batch.append((n, at, f"u{user}", kind, None, None if user == 7 else f"p{(step * user) % 4}", "FM"[user % 2], 20 + 3 * user))
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(src)
+        rows += batch
+    clicks = spark.createDataFrame(rows, schema)
+    for _ in range(2):  # the second run finds nothing new
+        P.start_offers(file_stream(spark, src, clicks.schema, max_files_per_trigger=1), out, ck, 50).awaitTermination()
+    got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    assert got == sorted(tuple(r) for r in detect_offers(clicks, 50).collect()) and got

@@ -22,6 +22,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.device import device_case_sql
 from ..functions.temporal import time_literal
@@ -192,21 +193,23 @@ def stage_time_slices(df: DataFrame, path: str, slices: int, files_per_slice: in
     ``files_per_slice`` files. A file source with
     ``maxFilesPerTrigger=files_per_slice`` then replays the table as
     time-ordered micro-batches. Rows without a time go with the first slice. The frame is
-    computed once, into a folder beside ``path``. (Replay tooling for the registered
+    computed once, into a folder beside ``path`` that is partitioned by slice, so a slice's
+    jobs read that slice alone. (Replay tooling for the registered
     streaming queries; production input is the broker.)"""
     whole = f"{path.rstrip('/')}-whole-{uuid.uuid4().hex}"
-    df.write.parquet(whole)
-    df = df.sparkSession.read.schema(df.schema).parquet(whole)
     b = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
     lo, hi = b["lo"], b["hi"]
     if lo is None:
         return
     step, dtype = (hi - lo) / slices, df.schema[ts].dataType.simpleString()
+    number = F.lit(0)
+    for i in range(1, slices):
+        number = number + F.coalesce((F.col(ts) >= time_literal(lo + step * i, dtype)).cast("int"), F.lit(0))
+    df.withColumn("_slice", number).write.partitionBy("_slice").parquet(whole)
+    staged = df.sparkSession.read.schema(T.StructType([*df.schema.fields, T.StructField("_slice", T.IntegerType())])).parquet(whole)
     for i in range(slices):
-        cond = F.col(ts) >= time_literal(lo + step * i, dtype) if i else F.lit(True)
-        if i + 1 < slices:
-            cond = F.coalesce(cond & (F.col(ts) < time_literal(lo + step * (i + 1), dtype)), F.lit(i == 0))
-        df.filter(cond).repartitionByRange(files_per_slice, ts).write.mode("append").parquet(path)
+        part = staged.where(F.col("_slice") == i).drop("_slice")
+        part.repartitionByRange(files_per_slice, ts).write.mode("append").parquet(path)
 
 
 # -------------------------------------------------------------------- DuckDB

@@ -164,5 +164,5 @@ class RunLog:
     def read(self, narrow: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
         """The merged table; ``narrow`` is applied before the merge (it must commute with it)."""
         names = [name for _, name in self._state()[1]["runs"]]
-        rows = self._runs(names) if names else self.spark.createDataFrame([], self.schema)
+        rows = self._runs(names) if names else self.spark.range(0).select(*[F.lit(None).cast(t).alias(c) for c, t in (f.split() for f in self.schema.split(", "))])
         return self.merge(narrow(rows))

@@ -160,3 +160,16 @@ def test_visitors_of_a_group_keep_their_own_sequences(spark, monkeypatch):
         P.start_offers(file_stream(spark, src, clicks.schema, max_files_per_trigger=1), out, ck, 50).awaitTermination()
     got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     assert got == sorted(tuple(r) for r in detect_offers(clicks, 50).collect()) and got
+
+
+def test_a_staged_slice_is_read_alone(spark):
+    from clickweave.sources.testbed import stage_time_slices
+    df = spark.createDataFrame([(i, T0 + dt.timedelta(minutes=i) if i % 5 else None, "u", "x", 1) for i in range(40)], SCHEMA)
+    path = shared_path(spark, "staged")
+    stage_time_slices(df, path, 4, 2)
+    folder, name = os.path.split(path)
+    whole, = [f"{folder}/{f}" for f in os.listdir(folder) if f.startswith(f"{name}-whole-")]
+    ids = [sorted(r.event_id for r in spark.read.schema(df.schema).parquet(f"{whole}/_slice={i}").collect()) for i in range(4)]
+    timed = [i for i in range(40) if i % 5]
+    assert sorted(sum(ids, [])) == list(range(40)) and set(range(0, 40, 5)) <= set(ids[0])
+    assert [i for part in ids for i in part if i % 5] == timed

@@ -40,6 +40,7 @@ from .sources import ENRICHED_SCHEMA
 BUCKET_RETENTION = "8 hours 30 minutes"
 BUCKET_SCHEMA = "datetime timestamp_ntz, userId string, count long"
 DAY_PARTITION = "day"
+BATCH_BROADCAST = 1 << 20  # bytes of a lookup table that every micro-batch may send through the driver
 
 _write_batch = commit_batch
 
@@ -49,9 +50,12 @@ _write_batch = commit_batch
 def start_enrichment(clicks_stream: DataFrame, load_dims: Callable[[], dict], out_path: str,
                      checkpoint: str, trigger: dict | None = None, commit: Callable = commit_batch) -> StreamingQuery:
     """Enrich every micro-batch against the current dimensions: prepared ones (a
-    ``DimensionReader``) are joined as they are, raw ones are prepared for the batch."""
+    ``DimensionReader``) are joined as they are, raw ones are prepared for the batch. A broadcast
+    table passes through the driver in every batch, so batches broadcast only small ones
+    (``BATCH_BROADCAST``, or the session's limit if that is lower) and join others by a shuffle."""
 
     def batch(df: DataFrame, batch_id: int) -> None:
+        _broadcast_at_most(df.sparkSession, BATCH_BROADCAST)
         d = load_dims()
         lookups = d if "country_ranges" in d else E.prepare_lookups(d["products"], d["visitors"], d["ip_ranges"], d["countries"])
         out = E.enrich_prepared(df, lookups)
@@ -63,6 +67,14 @@ def start_enrichment(clicks_stream: DataFrame, load_dims: Callable[[], dict], ou
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def _broadcast_at_most(spark: SparkSession, limit: int) -> None:
+    """Lower a session's broadcast limits; a stream's batches have a session of their own."""
+    plain, adaptive = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    for name, given in ((plain, spark.conf.get(plain)), (adaptive, spark.conf.get(adaptive, None))):
+        if given and not given.startswith("-"):
+            spark.conf.set(name, min(limit, int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(given))))
+
+
 def read_enriched(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
     """The enriched table; with ``since``, only day partitions >= date(since)
     are read (partition pruning) and the pushed-down time filter skips row

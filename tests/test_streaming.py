@@ -173,3 +173,30 @@ def test_a_staged_slice_is_read_alone(spark):
     timed = [i for i in range(40) if i % 5]
     assert sorted(sum(ids, [])) == list(range(40)) and set(range(0, 40, 5)) <= set(ids[0])
     assert [i for part in ids for i in part if i % 5] == timed
+
+
+def test_batches_broadcast_only_small_tables(spark):
+    """A table above the limit is joined by a shuffle, in the batches alone; rows stay the same."""
+    from clickweave.sources import dimensions as D
+    from clickweave.streaming.sources import CLICK_SCHEMA
+    base, src, out, ck = (shared_path(spark, n) for n in ("dims", "src", "enriched", "ck"))
+    n = 40000
+    products = spark.range(n).select(F.col("id").cast("string").alias("id"), F.lit("clothing").alias("category"), F.sha2(F.col("id").cast("string"), 256).alias("title"))
+    visitors = spark.createDataFrame([("u1", "1990-01-02", "F")], "userId string, birthDate string, gender string")
+    ranges = spark.createDataFrame([(0, 1 << 24, "N0")], "lo long, hi long, code string")
+    countries = spark.createDataFrame([("N0", "Here")], "code string, name string")
+    D.publish(spark, base, products, visitors, ranges, countries)
+    clicks = [(i, T0, None, "u1", "0.0.0.9", None, None, None, str(i * 1000)) for i in range(50)]
+    spark.createDataFrame(clicks, CLICK_SCHEMA).write.parquet(src)
+    plans = []
+
+    def commit(df, path, batch_id, cols):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        P.commit_batch(df, path, batch_id, cols)
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    P.start_enrichment(file_stream(spark, src, CLICK_SCHEMA), D.DimensionReader(spark, base), out, ck, commit=commit).awaitTermination()
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == before
+    assert len(plans) == 1 and plans[0].count("SortMergeJoin") == 1 and plans[0].count("BroadcastHashJoin") == 2
+    got = {r.event_id: (r.title is not None and r.title != "Unknown", r.country, r.gender) for r in P.read_enriched(spark, out).collect()}
+    assert got == {i: (i * 1000 < n, "Here", "F") for i in range(50)}
